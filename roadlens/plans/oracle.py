@@ -75,7 +75,8 @@ DEPS = {
 }
 
 
-def with_ctes(sql: str, *names: str, extra: dict[str, str] | None = None) -> str:
+def with_ctes(sql: str, *names: str, extra: dict[str, str] | None = None,
+              recursive: bool = False) -> str:
     """Prefix ``sql`` with the named CTEs (and their dependencies, in order)."""
     order: list[str] = []
 
@@ -90,7 +91,44 @@ def with_ctes(sql: str, *names: str, extra: dict[str, str] | None = None) -> str
     bodies = [f"{n} AS ({CTES[n]})" for n in order]
     for k, v in (extra or {}).items():
         bodies.append(f"{k} AS ({v})")
-    return "WITH " + ",\n".join(bodies) + "\n" + sql
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ",\n".join(bodies) + "\n" + sql
 
 
 __all__ = ["CTES", "with_ctes", "rnd", "bucket", "DUP_EVERY", "MALFORMED_EVERY"]
+
+
+CTES["can_scored"] = (
+    "SELECT *, -(0.25 + CAST((sequence_number * 13) % 512 AS DOUBLE) / 1024) AS anomaly_score "
+    "FROM can_bus_events"
+)
+DEPS["can_scored"] = ["can_bus_events"]
+CTES["anomaly_detections"] = (
+    "SELECT event_id, vehicle_id, \"timestamp\", sensor_type, anomaly_score, "
+    "to_json({'speed_ms': speed_ms, 'steering_angle_deg': steering_angle_deg, "
+    "'brake_pressure_pct': brake_pressure_pct, 'engine_temp_celsius': engine_temp_celsius}) AS features, "
+    "ingested_at AS detected_at FROM can_scored WHERE anomaly_score < -0.7"
+)
+DEPS["anomaly_detections"] = ["can_scored"]
+CTES["snapshots"] = (
+    "SELECT \"timestamp\" AS ts, vehicle_id, sensor_type, speed_ms, CAST(0 AS DOUBLE) AS accel_magnitude, "
+    "CAST(0 AS DOUBLE) AS engine_temp, CAST(NULL AS DOUBLE) AS anomaly_score, false AS is_anomaly, "
+    "latitude AS lat, longitude AS lon, event_id FROM gps_events "
+    "UNION ALL SELECT \"timestamp\", vehicle_id, sensor_type, CAST(0 AS DOUBLE), accel_magnitude, "
+    "CAST(0 AS DOUBLE), CAST(NULL AS DOUBLE), false, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), event_id "
+    "FROM imu_events "
+    "UNION ALL SELECT \"timestamp\", vehicle_id, sensor_type, speed_ms, CAST(0 AS DOUBLE), "
+    "engine_temp_celsius, anomaly_score, anomaly_score < -0.7, CAST(NULL AS DOUBLE), "
+    "CAST(NULL AS DOUBLE), event_id FROM can_scored"
+)
+DEPS["snapshots"] = ["gps_events", "imu_events", "can_scored"]
+
+
+def dupes(cte: str) -> str:
+    """Rows of a clean readings CTE plus the second delivery of every
+    DUP_EVERY-th event (offset + 1)."""
+    return (
+        f"SELECT * FROM {cte} UNION ALL "
+        f"SELECT * REPLACE (\"offset\" + 1 AS \"offset\") FROM {cte} "
+        f"WHERE sequence_number % {DUP_EVERY} = 0"
+    )

@@ -50,3 +50,43 @@ def imu_events(spark, sf_dir):
 
 def can_bus_events(spark, sf_dir):
     return processed(spark, sf_dir, "can_bus")
+
+
+# ---------------------------------------------------------------------------
+# Stand-in anomaly scores for the serving and alert queries. The seeded
+# forest (M2-M4) scores rows too, but its scores are not SQL-expressible;
+# the serving queries need a score column an oracle can reproduce.
+# ---------------------------------------------------------------------------
+
+STANDIN_CUT = -0.7
+FEATURES_JSON = ("speed_ms", "steering_angle_deg", "brake_pressure_pct", "engine_temp_celsius")
+
+
+def standin_score():
+    return -(F.lit(0.25) + ((F.col("sequence_number") * 13) % 512).cast("double") / 1024)
+
+
+def scored_can(spark, sf_dir):
+    """Processed can_bus readings with ``anomaly_score`` and ``is_anomaly``."""
+    can = can_bus_events(spark, sf_dir).withColumn("anomaly_score", standin_score())
+    return can.withColumn("is_anomaly", F.col("anomaly_score") < STANDIN_CUT)
+
+
+def anomaly_detections(spark, sf_dir):
+    """M14 record layout over the flagged readings (detected at ingestion)."""
+    return (
+        scored_can(spark, sf_dir)
+        .filter(F.col("is_anomaly"))
+        .select(
+            "event_id", "vehicle_id", "timestamp", "sensor_type", "anomaly_score",
+            F.to_json(F.struct(*FEATURES_JSON)).alias("features"),
+            F.col("ingested_at").alias("detected_at"),
+        )
+    )
+
+
+def snapshots(spark, sf_dir):
+    """P14 over gps, imu and scored can_bus readings."""
+    from roadlens.operators.enrich import snapshot
+
+    return snapshot(gps_events(spark, sf_dir), imu_events(spark, sf_dir), scored_can(spark, sf_dir))

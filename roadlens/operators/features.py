@@ -87,9 +87,9 @@ def align_imu(can: DataFrame, imu: DataFrame, tolerance_us: int = 1_000_000,
     )
     picked = rows.select(
         "event_id", "vehicle_id", "timestamp", "_kind",
-        F.last(F.struct("_imu_ts", "_val"), ignorenulls=True).over(w).alias("_m"),
+        F.last(F.when(F.col("_kind") == 0, F.struct("_imu_ts", "_val")), ignorenulls=True)
+        .over(w).alias("_m"),
     ).filter(F.col("_kind") == 1)
-    # ``last`` skips null structs only; imu rows always carry a struct.
     ok = (F.col("_m._imu_ts").isNotNull()) & (
         _us() - F.unix_micros(F.col("_m._imu_ts")) <= F.lit(tolerance_us)
     )

@@ -247,11 +247,16 @@ class IsolationForest:
         psi = min(self.max_samples, n)
         # Candidate rate: 8x the needed share keeps a shortfall negligible.
         rate = min(1.0, 8.0 * psi / n)
-        cut = int(rate * (2**63 - 1))
+        max_h = 2**63 - 1
+        cut = max_h if rate >= 1.0 else int(rate * max_h)
         tree_ids = F.sequence(F.lit(0), F.lit(self.n_trees - 1))
         hashed = F.transform(
             tree_ids,
-            lambda t: F.struct(t.alias("t"), F.abs(F.xxhash64(F.col(self.key), t, F.lit(self.seed))).alias("h")),
+            lambda t: F.struct(
+                t.alias("t"),
+                # Clear the sign bit: a non-negative hash without abs() overflow.
+                F.xxhash64(F.col(self.key), t, F.lit(self.seed)).bitwiseAND(F.lit(max_h)).alias("h"),
+            ),
         )
         scaled = [((F.col(c) - F.lit(means[i])) / F.lit(stds[i] if stds[i] > 0 else 1.0)).alias(f"f{i}")
                   for i, c in enumerate(self.features)]

@@ -55,9 +55,14 @@ def test_reload_identical(spark, model, tmp_path):
 
 
 def test_fit_is_deterministic(spark, model):
+    # Same subsample and structure under another partitioning; thresholds
+    # agree up to the last bits of the scaling statistics (summation order).
     again = IsolationForest().fit(normal_rows(spark).repartition(7))
-    assert again.nodes.sort_values(["tree_id", "node_id"]).reset_index(drop=True).equals(
-        model.nodes.sort_values(["tree_id", "node_id"]).reset_index(drop=True))
+    a = again.nodes.sort_values(["tree_id", "node_id"]).reset_index(drop=True)
+    b = model.nodes.sort_values(["tree_id", "node_id"]).reset_index(drop=True)
+    ints = ["tree_id", "node_id", "feature", "left", "right", "size", "depth"]
+    assert a[ints].equals(b[ints])
+    assert np.allclose(a["threshold"], b["threshold"], rtol=0, atol=1e-9)
 
 
 def test_unfitted_and_missing_columns(spark, model):

@@ -7,10 +7,13 @@ carries an array of the rules it matches, exploded into candidates.
 The cool-down (A5) is a greedy recurrence per (rule, vehicle): the first hit
 fires; a later hit fires only if at least ``cooldown`` seconds have passed since
 the last *fired* alert (suppressed hits do not extend it). It is evaluated on
-event time. The batch form streams each key's hits in time order through one
-Arrow-batched fold: the keys are hash-partitioned, sorted within the partition,
-and the fold keeps only the last fire time per key, so memory is one batch plus
-one timestamp per key, never a whole group.
+event time. The batch form first splits each key's hits into independent
+segments (a hit at least one cool-down after the previous hit always fires),
+then streams every segment in time order through one Arrow-batched fold:
+segments are hash-partitioned, sorted within the partition, and the fold keeps
+only the last fire time of the segment in progress, so memory is one batch
+plus one timestamp, never a whole group, and a hot vehicle's segments spread
+over many tasks.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,10 +115,11 @@ def candidates(snap: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
 
 
 def _fold(batches):
-    """Greedy cool-down over rows sorted by (rule, vehicle, ts, event_id).
+    """Greedy cool-down over rows sorted by (rule, vehicle, segment, ts, event_id).
 
     State carried across batches: the last fire time of the key in progress
-    (the sort guarantees a key's rows are contiguous).
+    (the sort guarantees a key's rows are contiguous). A new segment starts
+    with a hit that fires whatever came before, so the state resets there.
     """
     cur_key = None
     last_fire = None
@@ -123,12 +127,13 @@ def _fold(batches):
         if pdf.empty:
             continue
         keep = []
-        ts = pdf["ts"].astype("int64").to_numpy() if pdf["ts"].dtype != object else None
+        ts = pdf["ts"].to_numpy(dtype="datetime64[ns]").astype("int64") // 1000
         rules = pdf["rule"].to_numpy()
         vehicles = pdf["vehicle_id"].to_numpy()
-        cds = (pdf["cooldown_s"].to_numpy() * 1e9).astype("int64")
+        segs = pdf["_seg"].to_numpy()
+        cds = (pdf["cooldown_s"].to_numpy() * 1e6).astype("int64")
         for i in range(len(pdf)):
-            key = (rules[i], vehicles[i])
+            key = (rules[i], vehicles[i], segs[i])
             if key != cur_key:
                 cur_key, last_fire = key, None
             t = ts[i]
@@ -136,13 +141,57 @@ def _fold(batches):
                 last_fire = t
                 keep.append(i)
         if keep:
-            yield pdf.iloc[keep]
+            yield pdf.iloc[keep].drop(columns=["_seg"])
+
+
+def segments(cands: DataFrame) -> DataFrame:
+    """Split each (rule, vehicle) hit sequence into independent segments.
+
+    A hit whose previous hit is at least one cool-down earlier (or that has
+    none) always fires, so the recurrence restarts there: ``_seg`` is the time
+    of the latest such restart at or before the hit. Both steps use windows
+    over (rule, vehicle, bucket of one cool-down), with the previous bucket's
+    hits copied in as context, plus a running maximum over bucket summaries,
+    so a hot vehicle is spread over its buckets instead of one task.
+    """
+    us = F.unix_micros("ts")
+    cd = (F.col("cooldown_s") * 1_000_000).cast("long")
+    b = F.floor(us / cd).cast("long")
+    key = ["rule", "vehicle_id"]
+    own = cands.withColumns({"_b": b, "_ctx": F.lit(False)})
+    ctx = cands.withColumns({"_b": b + 1, "_ctx": F.lit(True)})
+    w = Window.partitionBy(*key, "_b").orderBy(us, "event_id", F.col("_ctx").desc())
+    prev = F.lag(us).over(w)
+    marked = (
+        own.unionByName(ctx)
+        .withColumn("_prev", prev)
+        .filter(~F.col("_ctx"))
+        .withColumn("_reset", F.when(F.col("_prev").isNull() | (us - F.col("_prev") >= cd), us))
+    )
+    # Latest restart within the bucket up to the hit, else the latest restart
+    # of the earlier buckets (a running max over one row per bucket).
+    in_bucket = F.max("_reset").over(
+        Window.partitionBy(*key, "_b").orderBy(us, "event_id")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    per_bucket = marked.groupBy(*key, "_b").agg(F.max("_reset").alias("_bmax"))
+    carried = per_bucket.withColumn(
+        "_before",
+        F.max("_bmax").over(Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
+    ).select(*key, "_b", "_before")
+    return (
+        marked.withColumn("_in", in_bucket)
+        .join(carried, [*key, "_b"])
+        .withColumn("_seg", F.coalesce("_in", "_before"))
+        .drop("_b", "_ctx", "_prev", "_reset", "_in", "_before")
+    )
 
 
 def apply_cooldown(cands: DataFrame, partitions: int | None = None) -> DataFrame:
     """A5 (batch): keep the hits that fire under the per-(rule, vehicle) cool-down."""
-    keyed = cands.repartition(*( [partitions] if partitions else []), "rule", "vehicle_id")
-    ordered = keyed.sortWithinPartitions("rule", "vehicle_id", "ts", "event_id")
+    seg = segments(cands)
+    keyed = seg.repartition(*([partitions] if partitions else []), "rule", "vehicle_id", "_seg")
+    ordered = keyed.sortWithinPartitions("rule", "vehicle_id", "_seg", "ts", "event_id")
     return ordered.mapInPandas(_fold, schema=cands.schema)
 
 
@@ -194,7 +243,7 @@ def _stream_fold(key, pdfs, state):
     last = state.get[0] if state.exists else None
     pdf = pd.concat(list(pdfs), ignore_index=True)
     pdf = pdf.sort_values(["ts", "event_id"], kind="mergesort")
-    ts_us = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy()
+    ts_us = pdf["ts"].to_numpy(dtype="datetime64[ns]").astype("int64") // 1000
     cds = (pdf["cooldown_s"].to_numpy() * 1e6).astype("int64")
     keep = []
     for i in range(len(pdf)):

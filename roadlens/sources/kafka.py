@@ -109,9 +109,13 @@ def parse_messages(df: DataFrame, schema: StructType) -> DataFrame:
     vehicle_id is null (malformed JSON decodes to all nulls).
     """
     data = F.from_json(F.col("value").cast("string"), schema, JSON_OPTIONS)
+    # ``inline`` of a one-element array flattens the decoded struct through a
+    # Generate. Filters on the decoded fields (this one and every sanity
+    # filter downstream) cannot be pushed below a Generate, so each message
+    # is decoded once; a plain projection would let the optimizer substitute
+    # the decoder into every predicate and decode the value once per predicate.
     return (
-        df.select("topic", "partition", "offset", data.alias("data"))
-        .select("topic", "partition", "offset", "data.*")
+        df.select("topic", "partition", "offset", F.inline(F.array(data)))
         .filter(F.col("vehicle_id").isNotNull())
     )
 

@@ -87,3 +87,17 @@ def test_history_ids_are_deterministic(spark):
     h2 = A.history(A.evaluate(snap), as_of="2024-01-02").select("alert_id").collect()
     assert sorted(h1) == sorted(h2)
     assert A.history(A.evaluate(snap), as_of="2025-01-01").count() == 0
+
+
+def test_segments_on_sparse_hits_match_brute_force(spark):
+    # Sparse hits: many gaps longer than the cool-down, so many segments,
+    # including gaps that straddle bucket edges.
+    snap = fixture(spark, 400, seed=21)
+    rules = A.default_rules()
+    cands = A.candidates(snap, rules)
+    expect = brute(cands.collect(), rules)
+    got = {(r["rule"], r["vehicle_id"], r["event_id"]) for r in A.apply_cooldown(cands).collect()}
+    assert got == expect
+    segs = A.segments(cands).select("rule", "vehicle_id", "_seg").distinct().count()
+    keys = cands.select("rule", "vehicle_id").distinct().count()
+    assert segs > keys

@@ -20,8 +20,20 @@ LAG_BUCKETS_S = (0.1, 0.5, 1, 2, 5, 10, 30, 60)
 
 
 def recent(df: DataFrame, seconds: int, ts_col: str = "timestamp", as_of=None) -> DataFrame:
-    """Rows with ``ts_col >= as_of - seconds``."""
-    return df.filter(F.col(ts_col) >= lookback_start(df, ts_col, seconds, as_of))
+    """Rows with ``ts_col >= as_of - seconds``.
+
+    A timestamp bound does not imply anything about the year/month/day
+    partition columns of a Hive-partitioned table, so when they are present
+    the implied day bound is added too: it only references partition columns
+    and prunes folders at the scan (the bound itself is evaluated once).
+    """
+    start = lookback_start(df, ts_col, seconds, as_of)
+    out = df.filter(F.col(ts_col) >= start)
+    if ts_col == "timestamp" and {"year", "month", "day"} <= set(df.columns):
+        day_key = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
+        start_key = F.year(start) * 10000 + F.month(start) * 100 + F.dayofmonth(start)
+        out = out.filter(day_key >= start_key)
+    return out
 
 
 def focus(df: DataFrame, vehicle: str | None) -> DataFrame:

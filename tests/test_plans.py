@@ -16,7 +16,11 @@ def plan(spark, name):
 @pytest.mark.parametrize("name", ["w1_speed_summary", "w3_engine_health", "t_valid_gps", "g11_last_locations"])
 def test_decode_once_and_pruned(spark, name):
     p = plan(spark, name)
-    assert p.count("from_json(") == 1, p
+    # Each scan decodes once, inside the Generate; no predicate decodes again.
+    # (Look-back queries scan twice: the query and its max(timestamp) subquery.)
+    lines = [ln for ln in p.splitlines() if "from_json(" in ln]
+    assert lines and all("Generate" in ln for ln in lines), p
+    assert all(ln.count("from_json(") == 1 for ln in lines), p
     assert "PartitionFilters: [isnotnull(topic" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
@@ -41,3 +45,24 @@ def test_cooldown_python_only_in_fold(spark):
 def test_dedup_is_an_aggregate_not_a_window(spark):
     p = plan(spark, "t_dedup")
     assert "min_by" in p and "Window" not in p
+
+
+def test_lookback_prunes_day_partitions(spark, tmp_path):
+    import datetime as dt
+
+    from roadlens.operators.serving import recent
+
+    rows = [(f"e{i}", "ZX-001", dt.datetime(2024, 1, 1 + i % 5, 12, 0, tzinfo=dt.timezone.utc), float(i))
+            for i in range(50)]
+    df = spark.createDataFrame(rows, "event_id string, vehicle_id string, timestamp timestamp, speed_ms double")
+    from roadlens.functions.time import time_parts
+
+    path = str(tmp_path / "gps")
+    time_parts(df, with_hour=False).write.partitionBy("year", "month", "day").parquet(path)
+    table = spark.read.parquet(path)
+    out = recent(table, 3600)
+    p = out._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    part = [ln for ln in p.splitlines() if ln.startswith("PartitionFilters")]
+    assert part and "day#" in part[0] and "Subquery" in part[0]
+    assert out.count() == 10

@@ -147,48 +147,45 @@ def _fold(batches):
 def segments(cands: DataFrame) -> DataFrame:
     """Split each (rule, vehicle) hit sequence into independent segments.
 
-    A hit whose previous hit is at least one cool-down earlier (or that has
-    none) always fires, so the recurrence restarts there: ``_seg`` is the time
-    of the latest such restart at or before the hit. Both steps use windows
-    over (rule, vehicle, bucket of one cool-down), with the previous bucket's
-    hits copied in as context, plus a running maximum over bucket summaries,
-    so a hot vehicle is spread over its buckets instead of one task.
+    A hit at least one cool-down after the previous hit (or the first hit)
+    always fires, so the recurrence restarts there. With buckets one cool-down
+    wide, two hits of the same bucket are less than a cool-down apart, so a
+    restart can only be the first hit of a bucket: bucket b restarts when the
+    previous non-empty bucket's last hit is at least a cool-down before b's
+    first hit. Only per-bucket min/max are needed (a map-side combined
+    aggregate); the running segment id is computed over one row per bucket
+    and joined back on (rule, vehicle, bucket), so a hot vehicle's hits are
+    never gathered in one task. ``_seg`` is the bucket where the segment
+    starts.
     """
     us = F.unix_micros("ts")
     cd = (F.col("cooldown_s") * 1_000_000).cast("long")
-    b = F.floor(us / cd).cast("long")
     key = ["rule", "vehicle_id"]
-    own = cands.withColumns({"_b": b, "_ctx": F.lit(False)})
-    ctx = cands.withColumns({"_b": b + 1, "_ctx": F.lit(True)})
-    w = Window.partitionBy(*key, "_b").orderBy(us, "event_id", F.col("_ctx").desc())
-    prev = F.lag(us).over(w)
-    marked = (
-        own.unionByName(ctx)
-        .withColumn("_prev", prev)
-        .filter(~F.col("_ctx"))
-        .withColumn("_reset", F.when(F.col("_prev").isNull() | (us - F.col("_prev") >= cd), us))
-    )
-    # Latest restart within the bucket up to the hit, else the latest restart
-    # of the earlier buckets (a running max over one row per bucket).
-    in_bucket = F.max("_reset").over(
-        Window.partitionBy(*key, "_b").orderBy(us, "event_id")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    per_bucket = marked.groupBy(*key, "_b").agg(F.max("_reset").alias("_bmax"))
-    carried = per_bucket.withColumn(
-        "_before",
-        F.max("_bmax").over(Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-    ).select(*key, "_b", "_before")
-    return (
-        marked.withColumn("_in", in_bucket)
-        .join(carried, [*key, "_b"])
-        .withColumn("_seg", F.coalesce("_in", "_before"))
-        .drop("_b", "_ctx", "_prev", "_reset", "_in", "_before")
+    hits = cands.withColumn("_b", F.floor(us / cd).cast("long"))
+    per_bucket = hits.groupBy(*key, "_b").agg(
+        F.min(us).alias("_mn"), F.max(us).alias("_mx"), F.first("cooldown_s").alias("_cd")
     )
+    by_b = Window.partitionBy(*key).orderBy("_b")
+    prev_mx = F.lag("_mx").over(by_b)
+    restart = prev_mx.isNull() | (F.col("_mn") - prev_mx >= (F.col("_cd") * 1_000_000).cast("long"))
+    seg = per_bucket.withColumn("_start", F.when(restart, F.col("_b"))).withColumn(
+        "_seg", F.max("_start").over(by_b.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ).select(*key, "_b", "_seg")
+    return hits.join(seg, [*key, "_b"]).drop("_b")
 
 
-def apply_cooldown(cands: DataFrame, partitions: int | None = None) -> DataFrame:
-    """A5 (batch): keep the hits that fire under the per-(rule, vehicle) cool-down."""
+def apply_cooldown(cands: DataFrame, partitions: int | None = None, cut_lineage: bool = True) -> DataFrame:
+    """A5 (batch): keep the hits that fire under the per-(rule, vehicle) cool-down.
+
+    The hits feed both the bucket summaries and the fold; a reliable checkpoint
+    (to ``spark.checkpoint.dir``, a shared folder on a cluster) computes them
+    once and cuts the lineage back to the raw readings.
+    """
+    if cut_lineage:
+        from roadlens.session import checkpoint_root
+
+        checkpoint_root(cands.sparkSession)
+        cands = cands.checkpoint(eager=True)
     seg = segments(cands)
     keyed = seg.repartition(*([partitions] if partitions else []), "rule", "vehicle_id", "_seg")
     ordered = keyed.sortWithinPartitions("rule", "vehicle_id", "_seg", "ts", "event_id")

@@ -302,3 +302,37 @@ register(
         "gps_events",
     ),
 )(_load_by_name)
+
+
+# ---------------------------------------------------------------------------
+# Append into a serving table (by name, NOT NULL, key dedup)
+# Training scan (available features, no nulls, hash sample)
+# ---------------------------------------------------------------------------
+
+
+def _append_table(spark, sf):
+    path = scratch_path(spark, "gps-events-table")
+    landing.append(tables.gps_events(spark, sf), SERVING_TABLES["gps_events"], path)
+    return spark.read.parquet(path)
+
+
+register(
+    "s_append_table",
+    with_ctes(
+        "SELECT " + ", ".join(f'"{f.name}"' for f in SERVING_TABLES["gps_events"].schema.fields)
+        + " FROM gps_events",
+        "gps_events",
+    ),
+)(_append_table)
+
+
+def _training_scan(spark, sf):
+    from roadlens.ml.iforest import FEATURE_COLS
+
+    path = scratch_path(spark, "can-history")
+    tables.can_bus_events(spark, sf).write.parquet(path)
+    # Reference default: a 10 % sample (reproducible by key hash).
+    return landing.training_scan(spark, path, FEATURE_COLS, fraction=0.1)
+
+
+register("s_training_scan")(_training_scan)

@@ -182,3 +182,7 @@ register("g20_consumer_progress", with_ctes(
 reg("g21_recent_snapshots",
     "SELECT * FROM snapshots ORDER BY ts DESC, event_id DESC LIMIT 1000",
     "snapshots")(lambda spark, sf: G.latest(tables.snapshots(spark, sf), 1000))
+
+reg("g21_recent_vehicles",
+    f"SELECT DISTINCT vehicle_id FROM snapshots WHERE {since('snapshots', 300, 'ts')}",
+    "snapshots")(lambda spark, sf: G.recent_vehicle_ids(tables.snapshots(spark, sf), 300))

@@ -66,3 +66,11 @@ def test_lookback_prunes_day_partitions(spark, tmp_path):
     part = [ln for ln in p.splitlines() if ln.startswith("PartitionFilters")]
     assert part and "day#" in part[0] and "Subquery" in part[0]
     assert out.count() == 10
+
+
+@pytest.mark.parametrize("name", ["w1_speed_summary", "w5_throughput", "g11_last_locations", "t_dedup"])
+def test_partial_aggregation_before_shuffle(spark, name):
+    # A hot key is combined on the map side: a partial aggregate sits below
+    # every exchange on the aggregation keys.
+    p = plan(spark, name)
+    assert "partial_" in p

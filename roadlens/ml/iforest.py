@@ -162,6 +162,9 @@ class IsolationForestModel:
     def score_column(self, df: DataFrame):
         """Column expression for ``score_samples`` of the rows of ``df``."""
         spark = df.sparkSession
+        from roadlens.session import ship_package
+
+        ship_package(spark)
         arrays = spark.sparkContext.broadcast(self._arrays())
         means = np.array(self.means)
         stds = np.where(np.array(self.stds) > 0, np.array(self.stds), 1.0)
@@ -232,6 +235,9 @@ class IsolationForest:
         self.key = key
 
     def fit(self, df: DataFrame) -> IsolationForestModel:
+        from roadlens.session import ship_package
+
+        ship_package(df.sparkSession)
         feats = feature_frame(df, self.features).select(self.key, *self.features)
         stats = feats.agg(
             F.count(F.lit(1)).alias("n"),

@@ -181,6 +181,9 @@ def apply_cooldown(cands: DataFrame, partitions: int | None = None, cut_lineage:
     (to ``spark.checkpoint.dir``, a shared folder on a cluster) computes them
     once and cuts the lineage back to the raw readings.
     """
+    from roadlens.session import ship_package
+
+    ship_package(cands.sparkSession)
     if cut_lineage:
         from roadlens.session import checkpoint_root
 
@@ -254,6 +257,9 @@ def _stream_fold(key, pdfs, state):
 def apply_cooldown_stream(cands: DataFrame) -> DataFrame:
     """Stateful cool-down on a streaming frame of candidates. Each key's
     state is one timestamp; rows of one micro-batch are folded in time order."""
+    from roadlens.session import ship_package
+
+    ship_package(cands.sparkSession)
     return cands.groupBy("rule", "vehicle_id").applyInPandasWithState(
         _stream_fold,
         outputStructType=cands.schema,

@@ -63,3 +63,30 @@ def is_local(path: str) -> bool:
 def ensure_dir(path: str) -> None:
     if is_local(path):
         os.makedirs(local_path(path), exist_ok=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``roadlens`` importable in Python workers (mapInPandas,
+    applyInPandas, pandas UDFs). Once per application the package is zipped
+    and added with ``addPyFile``, which Spark distributes to every executor;
+    deployments that already install the package (``--py-files``, a wheel)
+    pay only the zip."""
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="roadlens-pkg-")
+    zpath = os.path.join(out_dir, "roadlens.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    spark.sparkContext.addPyFile(zpath)
+    _SHIPPED.add(app)

@@ -48,9 +48,9 @@ def cands_sql(names) -> str:
     )
 
 
-def fired_ctes(names) -> dict[str, str]:
+def fired_ctes(names, cands: str | None = None) -> dict[str, str]:
     return {
-        "cands": cands_sql(names),
+        "cands": cands if cands is not None else cands_sql(names),
         "h": "SELECT *, row_number() OVER (PARTITION BY rule, vehicle_id ORDER BY ts, event_id) AS rn FROM cands",
         "nx": (
             "SELECT a.rule, a.vehicle_id, a.rn, min(b.rn) AS next_rn FROM h a LEFT JOIN h b "
@@ -109,3 +109,27 @@ register(
 register("g21_recent_alerts",
          fired_sql("SELECT * FROM fired ORDER BY ts DESC, event_id DESC, rule LIMIT 50", ALL))(
     lambda spark, sf: A.recent_alerts(A.evaluate(tables.snapshots(spark, sf)), 50))
+
+
+# Q8: the documented hard-braking alert, as an extra configurable rule over
+# can_bus readings (60 s cool-down).
+HARD_BRAKE_CANDS = (
+    "SELECT 'hard_braking' AS rule, 'medium' AS severity, CAST(60 AS DOUBLE) AS cooldown_s, vehicle_id, "
+    "\"timestamp\" AS ts, event_id, concat('[HARD BRAKING] Vehicle ', vehicle_id, ' | ts=', "
+    "strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S.%f')) AS message FROM can_bus_events WHERE hard_braking"
+)
+
+
+def _hard_braking_alerts(spark, sf):
+    from pyspark.sql import functions as F
+
+    can = tables.can_bus_events(spark, sf).select(
+        F.col("timestamp").alias("ts"), "vehicle_id", "event_id", "hard_braking")
+    return A.evaluate(can, [A.hard_braking_rule(60)])
+
+
+register(
+    "a5_hard_braking_rule",
+    with_ctes("SELECT * FROM fired", "can_bus_events",
+              extra=fired_ctes([], cands=HARD_BRAKE_CANDS), recursive=True),
+)(_hard_braking_alerts)

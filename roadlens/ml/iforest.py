@@ -204,6 +204,11 @@ class IsolationForestModel:
             "prediction", F.when(F.col("anomaly_score") < F.lit(self.offset), -1).otherwise(1)
         ).withColumn("is_anomaly", F.col("prediction") == -1)
 
+    def scorer(self):
+        """A DataFrame -> DataFrame function for the streaming anomaly
+        branch (adds ``anomaly_score``, ``prediction``, ``is_anomaly``)."""
+        return self.predict
+
     # ----------------------------------------------------------------- M12
     def save(self, spark: SparkSession, path: str) -> None:
         spark.createDataFrame(self.nodes, NODE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")

@@ -127,6 +127,22 @@ def _alerts(raw):
     return J.alert_stream(snap).select("rule", "severity", "vehicle_id", "message", "ts", "event_id")
 
 
+def _f2(raw):
+    can = J.sensor_stream(raw, "can_bus")
+    imu = J.sensor_stream(raw, "imu")
+    return J.align_imu_stream(can, imu).select(
+        "event_id", "vehicle_id", "timestamp", "accel_magnitude", "imu_timestamp")
+
+
+def _register_f2():
+    from roadlens.plans import q_features  # noqa: F401  (oracle text)
+
+    _reg("r_stream_f2_align", "f2_align_imu", _f2)
+
+
+_register_f2()
+
+
 def _register_alerts():
     from roadlens.plans import q_alerts  # noqa: F401  (oracle text)
 

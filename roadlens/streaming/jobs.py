@@ -104,11 +104,40 @@ def start_topology(
         start(time_parts(fn(streams[sensor], dur), "window_start", with_hour=False), f"{key}_{fn.__name__}",
               ["year", "month", "day"])
     if scorer is not None:
-        scored = scorer(streams["can_bus"])
+        can = streams["can_bus"]
+        if "accel_magnitude" not in can.columns:
+            can = align_imu_stream(can, streams["imu"])
+        scored = scorer(can)
         start(scored.filter(F.col("is_anomaly")), "anomalies", ["year", "month", "day", "vehicle_id"])
     return topo
 
 
+def align_imu_stream(can: DataFrame, imu: DataFrame, tolerance_s: int = 1) -> DataFrame:
+    """F2 on streams: the newest imu ``accel_magnitude`` of the same vehicle at
+    or before each can_bus reading, within the tolerance (else null).
+
+    A watermarked interval left join keeps both sides' state bounded by the
+    watermarks; the newest partner per reading is a ``max_by`` grouped by the
+    reading (its event time is a grouping key, so append mode applies). Rows
+    are emitted once both watermarks pass.
+    """
+    i = imu.select(
+        F.col("vehicle_id").alias("_iv"), F.col("timestamp").alias("_its"),
+        F.col("accel_magnitude").alias("_iacc"), F.col("sequence_number").alias("_iseq"),
+    )
+    cond = F.expr(
+        f"vehicle_id = _iv AND _its <= timestamp AND _its >= timestamp - INTERVAL {int(tolerance_s)} SECONDS"
+    )
+    joined = can.join(i, cond, "leftOuter")
+    newest = F.max_by(F.struct("_iacc", "_its"), F.struct("_its", "_iseq"))
+    return (
+        joined.groupBy(*can.columns)
+        .agg(newest.alias("_m"))
+        .withColumns({"accel_magnitude": F.col("_m._iacc"), "imu_timestamp": F.col("_m._its")})
+        .drop("_m")
+    )
+
+
 def alert_stream(snap: DataFrame, rules=None) -> DataFrame:
     """Candidates of a snapshot stream through the stateful cool-down."""
     return A.apply_cooldown_stream(A.candidates(snap, rules))

@@ -31,3 +31,23 @@ def test_single_watermark_upstream(spark):
     s = J.sensor_stream(raw, "can_bus")
     plan = s._jdf.queryExecution().analyzed().toString()
     assert plan.count("EventTimeWatermark") == 1
+
+
+def test_anomaly_branch_streams(spark):
+    from roadlens.ml.iforest import IsolationForest
+    from roadlens.plans import tables
+
+    from roadlens.plans.q_ml import anomaly_input
+
+    model = IsolationForest(n_trees=20).fit(anomaly_input(spark, SF))
+    raw = J.file_source(spark, [raw_table_path(spark, SF)], list(TOPICS.values()))
+    out, ckpt = scratch_path(spark, "topo-ml-out"), scratch_path(spark, "topo-ml-ckpt")
+    topo = J.start_topology(spark, raw, out, ckpt, trigger={"availableNow": True}, scorer=model.scorer())
+    for q in topo.queries:
+        q.awaitTermination()
+    anomalies = spark.read.parquet(f"{out}/anomalies")
+    n = anomalies.count()
+    total = tables.can_bus_events(spark, SF).count()
+    assert 0 < n < total * 0.2
+    assert anomalies.filter(~anomalies.is_anomaly).count() == 0
+    topo.stop()

@@ -24,7 +24,7 @@ def reg(name, sql, *ctes):
 reg("g1_active_vehicles",
     "SELECT vehicle_id, max(\"timestamp\") AS last_seen, avg(speed_ms) AS avg_speed_ms, "
     f"max(speed_ms) AS max_speed_ms FROM gps_events WHERE {since('gps_events', 300)} GROUP BY 1",
-    "gps_events")(lambda spark, sf: G.active_vehicles(tables.gps_events(spark, sf), 5))
+    "gps_events")(lambda spark, sf: G.active_vehicles(tables.gps_store(spark, sf), 5))
 
 reg("g2_recent_anomalies",
     "SELECT vehicle_id, \"timestamp\", sensor_type, anomaly_score, features FROM anomaly_detections "
@@ -34,24 +34,24 @@ reg("g2_recent_anomalies",
 reg("g3_speed_timeseries",
     "SELECT \"timestamp\", speed_ms, speed_kmh, heading_deg FROM gps_events "
     f"WHERE vehicle_id = '{FOCUS}' AND {since('gps_events', 3600)}",
-    "gps_events")(lambda spark, sf: G.speed_timeseries(tables.gps_events(spark, sf), FOCUS, 1))
+    "gps_events")(lambda spark, sf: G.speed_timeseries(tables.gps_store(spark, sf), FOCUS, 1))
 
 reg("g4_engine_health",
     "SELECT vehicle_id, \"timestamp\", engine_temp_celsius, oil_pressure_kpa, battery_voltage, "
     "brake_wear_pct, engine_overheating, low_battery FROM can_bus_events "
     f"WHERE {since('can_bus_events', 6 * 3600)} "
     "AND (engine_overheating OR low_battery OR brake_wear_pct > 80)",
-    "can_bus_events")(lambda spark, sf: G.engine_health(tables.can_bus_events(spark, sf), 6))
+    "can_bus_events")(lambda spark, sf: G.engine_health(tables.can_store(spark, sf), 6))
 
 reg("g5_throughput_last_hour",
     "SELECT date_trunc('minute', \"timestamp\") AS minute, count(*) AS event_count, "
     f"count(DISTINCT vehicle_id) AS active_vehicles FROM gps_events WHERE {since('gps_events', 3600)} "
     "GROUP BY 1",
-    "gps_events")(lambda spark, sf: G.throughput_last_hour(tables.gps_events(spark, sf)))
+    "gps_events")(lambda spark, sf: G.throughput_last_hour(tables.gps_store(spark, sf)))
 
 reg("g6_kpi_active_vehicles",
     f"SELECT count(DISTINCT vehicle_id) AS cnt FROM gps_events WHERE {since('gps_events', WIN * 60)}",
-    "gps_events")(lambda spark, sf: G.kpi_active_vehicles(tables.gps_events(spark, sf), WIN))
+    "gps_events")(lambda spark, sf: G.kpi_active_vehicles(tables.gps_store(spark, sf), WIN))
 
 reg("g7_kpi_anomaly_count",
     f"SELECT count(*) AS cnt FROM anomaly_detections WHERE {since('anomaly_detections', WIN * 60, 'detected_at')}",
@@ -59,39 +59,39 @@ reg("g7_kpi_anomaly_count",
 
 reg("g8_kpi_fleet_speed",
     f"SELECT {rnd('avg(speed_ms) * 3.6', 1)} AS avg_kmh FROM gps_events WHERE {since('gps_events', WIN * 60)}",
-    "gps_events")(lambda spark, sf: G.kpi_fleet_speed(tables.gps_events(spark, sf), WIN))
+    "gps_events")(lambda spark, sf: G.kpi_fleet_speed(tables.gps_store(spark, sf), WIN))
 
 reg("g9_kpi_overheating",
     "SELECT count(DISTINCT vehicle_id) AS cnt FROM can_bus_events WHERE engine_overheating "
     f"AND {since('can_bus_events', WIN * 60)}",
-    "can_bus_events")(lambda spark, sf: G.kpi_overheating(tables.can_bus_events(spark, sf), WIN))
+    "can_bus_events")(lambda spark, sf: G.kpi_overheating(tables.can_store(spark, sf), WIN))
 
 reg("g10_kpi_events",
     f"SELECT count(*) AS cnt FROM gps_events WHERE {since('gps_events', WIN * 60)}",
-    "gps_events")(lambda spark, sf: G.kpi_events(tables.gps_events(spark, sf), WIN))
+    "gps_events")(lambda spark, sf: G.kpi_events(tables.gps_store(spark, sf), WIN))
 
 reg("g11_last_locations",
     "SELECT vehicle_id, last(latitude ORDER BY \"timestamp\", sequence_number) AS lat, "
     "last(longitude ORDER BY \"timestamp\", sequence_number) AS lon, "
     "last(speed_ms ORDER BY \"timestamp\", sequence_number) * 3.6 AS speed_kmh "
     f"FROM gps_events WHERE {since('gps_events', WIN * 60)} GROUP BY 1",
-    "gps_events")(lambda spark, sf: G.last_locations(tables.gps_events(spark, sf), WIN))
+    "gps_events")(lambda spark, sf: G.last_locations(tables.gps_store(spark, sf), WIN))
 
 reg("g12_speed_per_minute",
     "SELECT date_trunc('minute', \"timestamp\") AS minute, vehicle_id, avg(speed_ms) * 3.6 AS avg_speed_kmh "
     f"FROM gps_events WHERE {since('gps_events', WIN * 60)} GROUP BY 1, 2",
-    "gps_events")(lambda spark, sf: G.speed_per_minute(tables.gps_events(spark, sf), WIN))
+    "gps_events")(lambda spark, sf: G.speed_per_minute(tables.gps_store(spark, sf), WIN))
 
 reg("g12_speed_per_minute_focus",
     "SELECT date_trunc('minute', \"timestamp\") AS minute, vehicle_id, avg(speed_ms) * 3.6 AS avg_speed_kmh "
     f"FROM gps_events WHERE {since('gps_events', WIN * 60)} AND vehicle_id = '{FOCUS}' GROUP BY 1, 2",
-    "gps_events")(lambda spark, sf: G.speed_per_minute(tables.gps_events(spark, sf), WIN, FOCUS))
+    "gps_events")(lambda spark, sf: G.speed_per_minute(tables.gps_store(spark, sf), WIN, FOCUS))
 
 reg("g13_engine_temp_per_minute",
     "SELECT date_trunc('minute', \"timestamp\") AS minute, vehicle_id, avg(engine_temp_celsius) AS avg_temp, "
     f"max(engine_temp_celsius) AS max_temp FROM can_bus_events WHERE {since('can_bus_events', WIN * 60)} "
     "GROUP BY 1, 2",
-    "can_bus_events")(lambda spark, sf: G.engine_temp_per_minute(tables.can_bus_events(spark, sf), WIN))
+    "can_bus_events")(lambda spark, sf: G.engine_temp_per_minute(tables.can_store(spark, sf), WIN))
 
 reg("g14_anomaly_history",
     "SELECT \"timestamp\", vehicle_id, sensor_type, anomaly_score, features FROM anomaly_detections "
@@ -102,12 +102,12 @@ reg("g14_anomaly_history",
 reg("g15_hard_brake_leaderboard",
     "SELECT vehicle_id, count(*) AS hard_brake_count, max(brake_pressure_pct) AS max_pressure "
     f"FROM can_bus_events WHERE hard_braking AND {since('can_bus_events', WIN * 60)} GROUP BY 1",
-    "can_bus_events")(lambda spark, sf: G.hard_brake_leaderboard(tables.can_bus_events(spark, sf), WIN))
+    "can_bus_events")(lambda spark, sf: G.hard_brake_leaderboard(tables.can_store(spark, sf), WIN))
 
 reg("g16_events_per_minute",
     "SELECT date_trunc('minute', \"timestamp\") AS minute, count(*) AS events FROM gps_events "
     f"WHERE {since('gps_events', WIN * 60)} GROUP BY 1",
-    "gps_events")(lambda spark, sf: G.events_per_minute(tables.gps_events(spark, sf), WIN))
+    "gps_events")(lambda spark, sf: G.events_per_minute(tables.gps_store(spark, sf), WIN))
 
 _DECODED_SQL = " UNION ALL ".join(
     f"SELECT vehicle_id, sensor_type FROM ({dup})"

@@ -90,3 +90,32 @@ def snapshots(spark, sf_dir):
     from roadlens.operators.enrich import snapshot
 
     return snapshot(gps_events(spark, sf_dir), imu_events(spark, sf_dir), scored_can(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Serving store: processed readings written once per session as
+# year/month/day-partitioned Parquet (what the streaming sink S8 lands), so the
+# serving queries read stored tables and their look-back prunes day folders.
+# ---------------------------------------------------------------------------
+
+_STORE: dict[tuple[str, str, str], str] = {}
+
+
+def serving_table(spark, sf_dir, sensor):
+    from roadlens.session import scratch_path
+    from roadlens.sources.landing import write_partitioned
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), sensor)
+    if key not in _STORE:
+        path = scratch_path(spark, f"serving-{sensor}")
+        write_partitioned(processed(spark, sf_dir, sensor), path, ["year", "month", "day"])
+        _STORE[key] = path
+    return spark.read.parquet(_STORE[key])
+
+
+def gps_store(spark, sf_dir):
+    return serving_table(spark, sf_dir, "gps")
+
+
+def can_store(spark, sf_dir):
+    return serving_table(spark, sf_dir, "can_bus")

@@ -13,7 +13,7 @@ def plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["w1_speed_summary", "w3_engine_health", "t_valid_gps", "g11_last_locations"])
+@pytest.mark.parametrize("name", ["w1_speed_summary", "w3_engine_health", "t_valid_gps", "t_dedup"])
 def test_decode_once_and_pruned(spark, name):
     p = plan(spark, name)
     # Each scan decodes once, inside the Generate; no predicate decodes again.
@@ -74,3 +74,13 @@ def test_partial_aggregation_before_shuffle(spark, name):
     # every exchange on the aggregation keys.
     p = plan(spark, name)
     assert "partial_" in p
+
+
+@pytest.mark.parametrize("name", ["g1_active_vehicles", "g11_last_locations", "g15_hard_brake_leaderboard"])
+def test_serving_reads_store_with_day_pruning(spark, name):
+    df = E.queries()[name](spark, SF)
+    p = df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    part = [ln for ln in p.splitlines() if ln.startswith("PartitionFilters")]
+    assert any("day#" in ln and "Subquery" in ln for ln in part), p
+    assert "from_json(" not in p

@@ -131,7 +131,8 @@ register("g17_events_received", with_ctes(
 
 
 def _processed_all(spark, sf, cols):
-    parts = [tables.processed(spark, sf, s).select(*cols) for s in ("gps", "imu", "can_bus")]
+    """Processed readings of the three main sensors, from the stored tables."""
+    parts = [tables.store(spark, sf, s).select(*cols) for s in ("gps", "imu", "can_bus")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 

@@ -119,3 +119,11 @@ def gps_store(spark, sf_dir):
 
 def can_store(spark, sf_dir):
     return serving_table(spark, sf_dir, "can_bus")
+
+
+def imu_store(spark, sf_dir):
+    return serving_table(spark, sf_dir, "imu")
+
+
+def store(spark, sf_dir, sensor):
+    return serving_table(spark, sf_dir, sensor)

@@ -81,3 +81,13 @@ def test_late_rows_dropped_and_reported(spark, tmp_path):
     # the five late rows of one window arrive there as one row.
     assert dropped >= 1
     assert spark.table("late_test").filter("max_speed_ms = 99.0").count() == 0
+
+
+def test_console_sink_update_mode(spark):
+    from roadlens.operators.windows import vehicle_speed_summary
+
+    raw = J.file_source(spark, [raw_table_path(spark, SF)], list(TOPICS.values()))
+    agg = vehicle_speed_summary(J.sensor_stream(raw, "gps"))
+    q = J.console_sink(agg, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.lastProgress["sources"][0]["numInputRows"] > 0

@@ -90,4 +90,5 @@ def test_console_sink_update_mode(spark):
     agg = vehicle_speed_summary(J.sensor_stream(raw, "gps"))
     q = J.console_sink(agg, trigger={"availableNow": True})
     q.awaitTermination()
-    assert q.lastProgress["sources"][0]["numInputRows"] > 0
+    # The last progress may be an empty batch; count over all batches.
+    assert sum(p["sources"][0]["numInputRows"] for p in q.recentProgress) > 0

@@ -37,13 +37,19 @@ def sensor_stream(raw: DataFrame, sensor: str, watermark: str | None = None) ->
 
 
 def parquet_sink(df: DataFrame, path: str, checkpoint: str, partition_cols=None,
-                 trigger: dict | None = None, name: str | None = None):
+                 trigger: dict | None = None, name: str | None = None,
+                 files_per_partition: int = 4):
     """Partitioned Parquet file sink, append mode, checkpointed.
 
-    Rows are clustered on the partition keys before the sink so each trigger
-    writes few files per folder.
+    Rows are clustered on the partition keys plus a small salt before the
+    sink: each folder gets at most ``files_per_partition`` files per trigger,
+    and a hot vehicle's rows are spread over that many tasks.
     """
     out = df
+    if partition_cols:
+        salt_src = "event_id" if "event_id" in df.columns else partition_cols[0]
+        salt = F.pmod(F.xxhash64(F.col(salt_src)), F.lit(files_per_partition))
+        out = df.repartition(*[F.col(c) for c in partition_cols], salt)
     w = out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_cols:
         w = w.partitionBy(*partition_cols)

@@ -73,10 +73,11 @@ def scored_can(spark, sf_dir):
 
 
 def anomaly_detections(spark, sf_dir):
-    """M14 record layout over the flagged readings (detected at ingestion)."""
+    """M14 record layout over the flagged readings (detected at ingestion),
+    read from the stored can_bus table like the other serving queries."""
+    scored = serving_table(spark, sf_dir, "can_bus").withColumn("anomaly_score", standin_score())
     return (
-        scored_can(spark, sf_dir)
-        .filter(F.col("is_anomaly"))
+        scored.filter(F.col("anomaly_score") < STANDIN_CUT)
         .select(
             "event_id", "vehicle_id", "timestamp", "sensor_type", "anomaly_score",
             F.to_json(F.struct(*FEATURES_JSON)).alias("features"),

@@ -107,7 +107,6 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
     plan = F.broadcast(schedule(quota, block_docs))  # at most resolution + max_sources rows
     keyed = (rows.withColumn("source", F.coalesce(F.col("__source").cast("string"), F.lit(NULL_SOURCE)))
              .withColumn("__hash", stable_hash(F.lit(seed), F.col("__id"))))
-    # Few sources: their pools fit a map. Else the join keeps the hint off.
     pooled = keyed.join(quota.select("source", "pool", F.col("quota").alias("q")), "source")
     ranked = grouped_rank(pooled, "pool", "__hash", ["__id"], "__rank")
     placed = (ranked.withColumn("block", F.expr(f"__rank DIV {block_docs}"))
@@ -123,6 +122,15 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
         (F.expr("round * period + slot") < F.col("dry_slot")).alias("balanced"))
 
 
+def in_mixed_order(docs: DataFrame, *, id_col: str = "doc_id", **settings) -> DataFrame:
+    """``docs``, all rows and columns, sorted by their position in ``mix``;
+    rows that repeat an id stand together at its first position."""
+    places = (mix(docs, id_col=id_col, **settings).groupBy(F.col(id_col).alias("__mixed"))
+              .agg(F.min("position").alias("__position")))
+    return (docs.join(places, docs[id_col].eqNullSafe(places["__mixed"])).orderBy("__position")
+            .select(*[docs[c] for c in docs.columns]))
+
+
 def op1_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents"))
 

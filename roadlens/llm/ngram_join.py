@@ -230,6 +230,14 @@ def join_ngrams(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                     F.when(F.col("__id").isNotNull(), F.coalesce("component", "__id")).alias("component_id")))
 
 
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents that ``join_ngrams`` links with one of a
+    smaller id. Rows with a null id stay."""
+    joined = join_ngrams(docs, id_col=id_col, text_col=text_col)
+    gone = joined.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+
+
 def op5_ngram_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_ngrams(read(spark, sf_dir, "documents"))
 

@@ -107,10 +107,12 @@ def fit(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col
 
 
 def assess(docs: DataFrame, model: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-           threshold: float = THRESHOLD) -> DataFrame:
+           threshold: float = THRESHOLD, carry: str | None = None) -> DataFrame:
     """One row per row of ``docs``: id, the base figures, ``score`` and
-    ``kept``. A null text counts as empty (it fails the base rule)."""
-    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    ``kept``. A null text counts as empty (it fails the base rule). ``carry``
+    names a column to keep."""
+    more = [carry] if carry else []
+    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"), *more)
     scored = (with_base(hashed(rows, "__text"), "__text").withColumn("model", model.scalar()))
     total = F.expr(" + ".join(f"aggregate({x}, 0L, (a, h) -> a + model[cast(pmod(h, {BUCKETS}) AS int)])"
                               for x in ("uni", "bi")))
@@ -118,7 +120,7 @@ def assess(docs: DataFrame, model: DataFrame, *, id_col: str = "doc_id", text_co
     return (scored.withColumn("score", F.when(n > 0, total / (n * F.lit(float(SCALE)))))
             .select(F.col("__id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines",
                     "n_repeat_words", "base_failed",
-                    (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"), "score"))
+                    (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"), "score", *more))
 
 
 def quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -129,5 +131,14 @@ def quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_
     return assess(docs, model, id_col=id_col, text_col=text_col, threshold=threshold)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns."""
+    model = fit(docs, trusted_ids(labels), id_col=id_col, text_col=text_col)
+    packed = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
+                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    judged = assess(packed, model, id_col="__id", text_col="__text", carry="__row")
+    return judged.filter("kept").select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
+
+
 def op7_target_ratio_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

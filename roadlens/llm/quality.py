@@ -117,10 +117,12 @@ def assess(docs: DataFrame, model: DataFrame, *, id_col: str = "doc_id", text_co
     total = F.expr(" + ".join(f"aggregate({x}, 0L, (a, h) -> a + model[cast(pmod(h, {BUCKETS}) AS int)])"
                               for x in ("uni", "bi")))
     n = F.expr("size(uni) + size(bi)")
-    return (scored.withColumn("score", F.when(n > 0, total / (n * F.lit(float(SCALE)))))
-            .select(F.col("__id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                    "n_repeat_words", "base_failed",
-                    (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"), "score", *more))
+    scored = scored.withColumn("score", F.when(n > 0, total / (n * F.lit(float(SCALE)))))
+    kept = ~F.col("base_failed") & (F.col("score") >= threshold)
+    # A generator, so that no filter on the verdict is pushed into the steps above.
+    return scored.select(F.inline(F.array(F.struct(
+        F.col("__id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", kept.alias("kept"), "score", *more))))
 
 
 def quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from roadlens.session import checkpoint_root, scratch_path, ship_package
 
-__all__ = ["ascii_lower", "checkpoint_root", "grouped_rank", "kept_table", "read", "ship_package", "stable_hash"]
+__all__ = ["ascii_lower", "checkpoint_root", "grouped_rank", "kept_table", "read",
+           "small_enough", "ship_package", "stable_hash"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -59,3 +60,14 @@ def grouped_rank(df: DataFrame, key: str, hashed: str, ties: list[str], rank: st
             .join(starts, [key, "__bucket"])
             .withColumn(rank, F.col("__start") + F.col("__at") - 1)
             .drop("__bucket", "__start", "__at"))
+
+
+#: Tables of ids up to this many rows (16 bytes each) are sent to every executor.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_enough(ids: DataFrame) -> DataFrame:
+    """``ids`` (a written table of one or a few narrow columns) with a
+    broadcast hint if its rows are counted and few; beyond that the join
+    shuffles both sides."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import kept_table, read, ship_package
+from roadlens.llm.common import kept_table, read, ship_package, small_enough
 from roadlens.llm.graph import components
 from roadlens.llm.shingles import digest, sets
 
@@ -44,48 +44,62 @@ COMBINED_SIZE = 500
 BLOCK = 256
 
 
-def shingle_table(docs: DataFrame, *, whole: bool) -> DataFrame:
-    """``__id``, n, digest and ``tokens`` of (``__id``, ``__text``) rows: all
-    tokens in hash order, or the first p + ``SLACK``."""
+def shingle_table(docs: DataFrame) -> DataFrame:
+    """``__id``, n, digest and ``tokens`` (the first p + ``SLACK`` in hash
+    order) of (``__id``, ``__text``) rows."""
     def batches(it):
         for batch in it:
             n, marks, out = [], [], []
             for s in sets(batch.column(1)):
                 n.append(len(s))
                 marks.append(digest(s))
-                out.append(s if whole else s[:len(s) // 5 + 1 + SLACK])
-            ends = np.cumsum([0] + [len(s) for s in out])
-            flat = np.concatenate(out) if out else np.empty(0, np.int64)
+                out.append(s[:len(s) // 5 + 1 + SLACK])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(marks, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(marks, pa.binary()), token_lists(out)],
                 ["__id", "n", "digest", "tokens"])
 
     kind = docs.schema["__id"].dataType.simpleString()
     return docs.mapInArrow(batches, f"__id {kind}, n long, digest binary, tokens array<long>")
 
 
+def token_lists(arrays: list) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(s) for s in arrays])
+    flat = np.concatenate(arrays) if arrays else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
+
+
 def prefix_size(n: str = "n") -> str:
     return f"({n} DIV 5 + 1)"
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n, tokens) of ``nodes`` (node, rep, digest), from their texts."""
-    wanted = docs.join(nodes.select(F.col("rep").alias("__id")).distinct(), "__id", "left_semi")
-    full = shingle_table(wanted, whole=True)
-    return (full.drop("__id").join(nodes.select("node", "digest"), "digest")
-            .dropDuplicates(["node"]).select("node", "n", "tokens"))
+    """(node, n, tokens) of ``nodes`` (a written table of node, rep, digest),
+    from the texts of their documents. A document that the table holds twice
+    comes twice."""
+    wanted = docs.join(small_enough(nodes), F.col("__id") == F.col("rep")).select("__text", "node", "digest")
+
+    def batches(it):
+        for batch in it:
+            found = list(sets(batch.column(0)))
+            same = [i for i, (s, d) in enumerate(zip(found, batch.column(2).to_pylist())) if digest(s) == d]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1).take(pa.array(same, pa.int64())), pa.array([len(found[i]) for i in same], pa.int64()),
+                 token_lists([found[i] for i in same])], ["node", "n", "tokens"])
+
+    return wanted.mapInArrow(batches, "node long, n long, tokens array<long>")
 
 
 def sized(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= 80 * greatest({a}, {b})"
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, same: bool) -> DataFrame:
+def candidate_pairs(left: DataFrame, right: DataFrame, same: bool, tails: bool = True) -> DataFrame:
     """Pairs (x, y) of index rows (token, node, n, at) that share a token and
     may link. ``at`` counts from 0 in an order that both sides share, and every
     token up to the last shared one is in the index of both: what isn't shared
-    up to there differs, and linked sets differ in at most (n + m) / 9."""
+    up to there differs, and linked sets differ in at most (n + m) / 9. With
+    ``tails`` the index ends with the p-th token, so the rest of the list that
+    ends first differs, too."""
     a = left.select("token", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "at")])
     b = right.select("token", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "at")])
     on = F.expr(sized("a_n", "b_n") + (" AND a_node < b_node" if same else ""))
@@ -93,7 +107,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame, same: bool) -> DataFrame:
              .groupBy("a_node", "b_node").agg(F.count(F.lit(1)).alias("s"), F.max("a_at").alias("a_at"),
                                               F.max("b_at").alias("b_at"), F.first("a_n").alias("a_n"),
                                               F.first("b_n").alias("b_n")))
-    return pairs.filter("9 * (a_at + b_at + 2 - 2 * s) <= a_n + b_n").select(
+    tail = f"+ least({prefix_size('a_n')} - a_at, {prefix_size('b_n')} - b_at) - 1" if tails else ""
+    return pairs.filter(f"9 * (a_at + b_at + 2 - 2 * s {tail}) <= a_n + b_n").select(
         F.col("a_node").alias("x"), F.col("b_node").alias("y"))
 
 
@@ -175,14 +190,15 @@ def join_ngrams(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     nothing. An empty table gives no rows."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    table = kept_table(shingle_table(rows, whole=False), "shingles")
-    classes = (table.filter("n > 0 AND __id IS NOT NULL").groupBy("digest")
-               .agg(F.min("__id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-               .withColumn("node", F.monotonically_increasing_id()))
-    classes = kept_table(classes, "classes")
-    nodes = classes.select("node", "rep", "digest", "n")
-
-    entries = classes.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
+    table = kept_table(shingle_table(rows).withColumn("row", F.monotonically_increasing_id()), "shingles")
+    usable = table.filter("n > 0 AND __id IS NOT NULL")
+    # A class is known by the row of its least id.
+    nodes = kept_table(usable.groupBy("digest").agg(F.min(F.struct("__id", "row")).alias("first"), F.first("n").alias("n"))
+                       .select(F.col("first.row").alias("node"), F.col("first.__id").alias("rep"), "digest", "n"), "classes")
+    copies = kept_table(usable.select("row").join(nodes.select(F.col("node").alias("row")), "row", "left_anti"), "copies")
+
+    entries = (usable.join(small_enough(copies), "row", "left_anti")
+               .select(F.col("row").alias("node"), "n", F.posexplode("tokens").alias("pos", "token")))
     counts = entries.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     shared = kept_table(entries.join(counts, "token"), "shared")
 
@@ -196,7 +212,7 @@ def join_ngrams(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     light = placed.filter(f"NOT heavy AND c <= {FREQUENT} AND at < {prefix_size()}").select("token", "node", "n", "at")
     heavy = kept_table(placed.filter("heavy").select("node").distinct().join(nodes, "node"), "heavy")
 
-    heavy_full = kept_table(whole_sets(rows, heavy.select("node", "rep", "digest")), "heavy-sets")
+    heavy_full = kept_table(whole_sets(rows, heavy.select("node", "rep", "digest")).dropDuplicates(["node"]), "heavy-sets")
     tokens = heavy_full.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
     known = shared.filter(f"c > {FREQUENT}").select("token").distinct().withColumn("known", F.lit(True))
     rare = tokens.join(known, "token", "left").filter("known IS NULL")
@@ -210,14 +226,15 @@ def join_ngrams(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     ranked = kept_table(tokens.join(own, "token").withColumn("at", F.row_number().over(by_count) - 1)
                         .filter(f"c > 1 AND at <= {prefix_size()}").select("token", "node", "n", "c", "at"), "heavy-prefixes")
     single = ranked.filter(f"c <= {FREQUENT}")
-    pairs = kept_table(pairs.unionByName(candidate_pairs(single, single, True)).distinct(), "candidates")
+    pairs = kept_table(pairs.unionByName(candidate_pairs(single, single, True, tails=False)).distinct(), "candidates")
     keys = kept_table(heavy_keys(ranked), "combinations")
     least = keys.groupBy("key").agg(F.min("node").alias("b"))
     family = components(keys.join(least, "key").select(F.col("node").alias("a"), "b").distinct())
     inside = family_links(family.select(F.col("v").alias("node"), F.col("root").alias("family")), heavy_full)
 
     used = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
-    full = kept_table(whole_sets(rows, nodes.join(used, "node")), "sets")
+    used = kept_table(nodes.join(used, "node").select("node", "rep", "digest"), "used")
+    full = kept_table(whole_sets(rows, used), "sets")
     links = verified(pairs, full).unionByName(inside)
     named = nodes.select("node", "rep")
     edges = (links.join(named.select(F.col("node").alias("x"), F.col("rep").alias("a")), "x")

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,49 +33,41 @@ from roadlens.functions.numeric import round_half_up
 class Rule:
     name: str
     severity: str
-    cooldown_s: float
     condition: Column
     message: Column
+    cooldown_s: float = 300  # 0: every hit fires
 
 
 def _ts_text(ts: str = "ts") -> Column:
-    return F.date_format(F.col(ts), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    """ISO 8601 in UTC: microseconds only where there are any."""
+    fraction = F.when(F.unix_micros(ts) % 1_000_000 != 0, F.date_format(ts, ".SSSSSS")).otherwise("")
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("+00:00"))
 
 
 def _fmt(pattern: str, c: Column, digits: int) -> Column:
-    return F.format_string(pattern, round_half_up(c, digits))
+    """The rounded number; ``n/a`` for a null."""
+    return F.when(c.isNotNull(), F.format_string(pattern, round_half_up(c, digits))).otherwise("n/a")
+
+
+def _text(tag: str, value: Column, *, before: str = "", unit: str = "") -> Column:
+    """``[TAG] Vehicle v | <before><value><unit> | ts=...``"""
+    return F.concat(F.lit(f"[{tag}] Vehicle "), "vehicle_id", F.lit(f" | {before}"), value, F.lit(f"{unit} | ts="), _ts_text())
 
 
 def default_rules() -> list[Rule]:
     """A1-A4. Names, severities, thresholds, cool-downs and the
     message texts."""
-    v = F.col("vehicle_id")
+    sensor_score = F.concat(F.col("sensor_type"), F.lit(" | score="), _fmt("%.3f", F.col("anomaly_score"), 3))
+    kmh = F.col("speed_ms") * 3.6
     return [
-        Rule(
-            "anomaly_detected", "high", 60,
-            F.coalesce(F.col("is_anomaly"), F.lit(False)),
-            F.concat(F.lit("[ANOMALY] Vehicle "), v, F.lit(" | sensor="), F.col("sensor_type"),
-                     F.lit(" | score="), _fmt("%.3f", F.col("anomaly_score"), 3),
-                     F.lit(" | ts="), _ts_text()),
-        ),
-        Rule(
-            "engine_overheat", "critical", 120,
-            F.col("engine_temp") > 105.0,
-            F.concat(F.lit("[ENGINE OVERHEAT] Vehicle "), v, F.lit(" | temp="),
-                     _fmt("%.1f", F.col("engine_temp"), 1), F.lit("°C | ts="), _ts_text()),
-        ),
-        Rule(
-            "high_speed", "medium", 300,
-            F.col("speed_ms") > 25.0,
-            F.concat(F.lit("[HIGH SPEED] Vehicle "), v, F.lit(" | speed="),
-                     _fmt("%.1f", F.col("speed_ms") * 3.6, 1), F.lit(" km/h | ts="), _ts_text()),
-        ),
-        Rule(
-            "high_acceleration", "medium", 60,
-            F.col("accel_magnitude") > 15.0,
-            F.concat(F.lit("[HIGH ACCEL] Vehicle "), v, F.lit(" | accel="),
-                     _fmt("%.2f", F.col("accel_magnitude"), 2), F.lit(" m/s² | ts="), _ts_text()),
-        ),
+        Rule("anomaly_detected", "high", F.coalesce(F.col("is_anomaly"), F.lit(False)),
+             _text("ANOMALY", sensor_score, before="sensor="), cooldown_s=60),
+        Rule("engine_overheat", "critical", F.col("engine_temp") > 105.0,
+             _text("ENGINE OVERHEAT", _fmt("%.1f", F.col("engine_temp"), 1), before="temp=", unit="°C"), cooldown_s=120),
+        Rule("high_speed", "medium", F.col("speed_ms") > 25.0,
+             _text("HIGH SPEED", _fmt("%.1f", kmh, 1), before="speed=", unit=" km/h")),
+        Rule("high_acceleration", "medium", F.col("accel_magnitude") > 15.0,
+             _text("HIGH ACCEL", _fmt("%.2f", F.col("accel_magnitude"), 2), before="accel=", unit=" m/s²"), cooldown_s=60),
     ]
 
 
@@ -82,15 +75,11 @@ def hard_braking_rule(cooldown_s: float = 60) -> Rule:
     """Optional extra rule (promised by the reference's documentation only);
     evaluates snapshots that carry a ``hard_braking`` flag."""
     return Rule(
-        "hard_braking", "medium", cooldown_s,
-        F.coalesce(F.col("hard_braking"), F.lit(False)),
-        F.concat(F.lit("[HARD BRAKING] Vehicle "), F.col("vehicle_id"), F.lit(" | ts="), _ts_text()),
+        "hard_braking", "medium", F.coalesce(F.col("hard_braking"), F.lit(False)),
+        F.concat(F.lit("[HARD BRAKING] Vehicle "), F.col("vehicle_id"), F.lit(" | ts="), _ts_text()), cooldown_s,
     )
 
 
-CANDIDATE_SCHEMA = "rule string, severity string, cooldown_s double, vehicle_id string, ts timestamp, event_id string, message string"
-
-
 def candidates(snap: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """A6 (first half): every (rule, snapshot) match, in one scan."""
     rules = rules or default_rules()
@@ -126,20 +115,24 @@ def _fold(batches):
     for pdf in batches:
         if pdf.empty:
             continue
-        keep = []
         ts = pdf["ts"].to_numpy(dtype="datetime64[ns]").astype("int64") // 1000
-        rules = pdf["rule"].to_numpy()
-        vehicles = pdf["vehicle_id"].to_numpy()
-        segs = pdf["_seg"].to_numpy()
         cds = (pdf["cooldown_s"].to_numpy() * 1e6).astype("int64")
-        for i in range(len(pdf)):
-            key = (rules[i], vehicles[i], segs[i])
-            if key != cur_key:
-                cur_key, last_fire = key, None
-            t = ts[i]
-            if last_fire is None or t - last_fire >= cds[i]:
-                last_fire = t
+        keys = pdf[["rule", "vehicle_id", "_seg"]]
+        starts = np.flatnonzero(np.r_[True, (keys.ne(keys.shift())).any(axis=1).to_numpy()[1:]])
+        keep = []
+        for lo, hi in zip(starts, np.r_[starts[1:], len(pdf)]):
+            key = tuple(keys.iloc[lo])
+            last_fire = last_fire if key == cur_key else None
+            cur_key = key
+            i = lo
+            while i < hi:  # from one fire to the next
+                if last_fire is not None:
+                    i = max(i, lo + int(np.searchsorted(ts[lo:hi], last_fire + cds[lo])))
+                    if i >= hi:
+                        break
+                last_fire = int(ts[i])
                 keep.append(i)
+                i += 1
         if keep:
             yield pdf.iloc[keep].drop(columns=["_seg"])
 
@@ -161,7 +154,7 @@ def segments(cands: DataFrame) -> DataFrame:
     us = F.unix_micros("ts")
     cd = (F.col("cooldown_s") * 1_000_000).cast("long")
     key = ["rule", "vehicle_id"]
-    hits = cands.withColumn("_b", F.floor(us / cd).cast("long"))
+    hits = cands.withColumn("_b", F.floor(us / F.greatest(cd, F.lit(1))).cast("long"))  # cool-down 0: all fire
     per_bucket = hits.groupBy(*key, "_b").agg(
         F.min(us).alias("_mn"), F.max(us).alias("_mx"), F.first("cooldown_s").alias("_cd")
     )

@@ -8,11 +8,17 @@ from roadlens.plans import tables
 from roadlens.plans.oracle import with_ctes
 from roadlens.plans.registry import register
 
-_TS = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
+def _iso(ts: str) -> str:
+    """ISO 8601 in UTC, as the alert texts spell it."""
+    return (f"strftime({ts}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us({ts}) % 1000000 <> 0 "
+            f"THEN strftime({ts}, '.%f') ELSE '' END || '+00:00'")
+
+
+_TS = _iso("ts")
 
 
 def _r(expr: str, n: int) -> str:
-    return f"printf('%.{n}f', CAST(round(CAST({expr} AS DECIMAL(38,12)), {n}) AS DOUBLE))"
+    return f"coalesce(printf('%.{n}f', CAST(round(CAST({expr} AS DECIMAL(38,12)), {n}) AS DOUBLE)), 'n/a')"
 
 
 # One SELECT per rule: (name, severity, cooldown, condition, message).
@@ -116,7 +122,7 @@ register("g21_recent_alerts",
 HARD_BRAKE_CANDS = (
     "SELECT 'hard_braking' AS rule, 'medium' AS severity, CAST(60 AS DOUBLE) AS cooldown_s, vehicle_id, "
     "\"timestamp\" AS ts, event_id, concat('[HARD BRAKING] Vehicle ', vehicle_id, ' | ts=', "
-    "strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S.%f')) AS message FROM can_bus_events WHERE hard_braking"
+    + _iso('"timestamp"') + ") AS message FROM can_bus_events WHERE hard_braking"
 )
 
 

@@ -26,7 +26,7 @@ register(
     "SELECT *, CAST(year(window_start) AS INTEGER) AS year, CAST(month(window_start) AS INTEGER) AS month, "
     f"CAST(day(window_start) AS INTEGER) AS day FROM ({W1_SQL}) w",
 )(lambda spark, sf: time_parts(
-    W.vehicle_speed_summary(tables.gps_events(spark, sf)), "window_start", with_hour=False))
+    W.window_summary("w1", tables.gps_events(spark, sf)), "window_start", with_hour=False))
 
 register("p_enrich_gps", with_ctes("SELECT * FROM gps_events", "gps_events"))(
     lambda spark, sf: tables.gps_events(spark, sf))

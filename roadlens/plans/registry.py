@@ -59,7 +59,7 @@ FROM gps_events GROUP BY 1, 2, 3""",
 @register("w1_speed_summary", W1_SQL)
 def w1_speed_summary(spark, sf_dir):
     """W1 over processed gps readings."""
-    return W.vehicle_speed_summary(tables.gps_events(spark, sf_dir), "1 minute")
+    return W.window_summary("w1", tables.gps_events(spark, sf_dir))
 
 
 W2_SQL = with_ctes(
@@ -75,7 +75,7 @@ FROM can_bus_events WHERE hard_braking GROUP BY 1, 2""",
 @register("w2_hard_braking", W2_SQL)
 def w2_hard_braking(spark, sf_dir):
     """W2 over processed can_bus readings."""
-    return W.hard_braking_events(tables.can_bus_events(spark, sf_dir), "5 minutes")
+    return W.window_summary("w2", tables.can_bus_events(spark, sf_dir))
 
 
 W3_SQL = with_ctes(
@@ -94,7 +94,7 @@ FROM can_bus_events GROUP BY 1, 2""",
 @register("w3_engine_health", W3_SQL)
 def w3_engine_health(spark, sf_dir):
     """W3 over processed can_bus readings."""
-    return W.engine_health_summary(tables.can_bus_events(spark, sf_dir), "5 minutes")
+    return W.window_summary("w3", tables.can_bus_events(spark, sf_dir))
 
 
 W4_SQL = with_ctes(
@@ -113,7 +113,7 @@ FROM imu_events GROUP BY 1, 2""",
 @register("w4_imu_vibration", W4_SQL)
 def w4_imu_vibration(spark, sf_dir):
     """W4 over processed imu readings."""
-    return W.imu_vibration_summary(tables.imu_events(spark, sf_dir), "1 minute")
+    return W.window_summary("w4", tables.imu_events(spark, sf_dir))
 
 
 W5_SQL = with_ctes(

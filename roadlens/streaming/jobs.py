@@ -107,7 +107,7 @@ def start_topology(
     for s, df in streams.items():
         start(df, s, PARTITION_COLS)
     for key, (sensor, fn, dur) in W.WINDOW_SUMMARIES.items():
-        start(time_parts(fn(streams[sensor], dur), "window_start", with_hour=False), f"{key}_{fn.__name__}",
+        start(time_parts(fn(streams[sensor], dur), "window_start", with_hour=False), f"{key}_summary",
               ["year", "month", "day"])
     if scorer is not None:
         can = streams["can_bus"]

@@ -56,7 +56,7 @@ def test_anomaly_branch_streams(spark):
 def test_late_rows_dropped_and_reported(spark, tmp_path):
     import datetime as dt
 
-    from roadlens.operators.windows import vehicle_speed_summary
+    from roadlens.operators.windows import window_summary
 
     t0 = dt.datetime(2024, 1, 1, 0, 10, tzinfo=dt.timezone.utc)
     schema = "vehicle_id string, timestamp timestamp, speed_ms double"
@@ -67,7 +67,7 @@ def test_late_rows_dropped_and_reported(spark, tmp_path):
         .coalesce(1).write.parquet(src + "/a")
     os.utime(src, None)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src + "/*")
-    agg = vehicle_speed_summary(stream.withWatermark("timestamp", "1 minute"))
+    agg = window_summary("w1", stream.withWatermark("timestamp", "1 minute"))
     q = (agg.writeStream.format("memory").queryName("late_test").outputMode("append")
          .trigger(processingTime="0 seconds").start())
     q.processAllAvailable()
@@ -84,10 +84,10 @@ def test_late_rows_dropped_and_reported(spark, tmp_path):
 
 
 def test_console_sink_update_mode(spark):
-    from roadlens.operators.windows import vehicle_speed_summary
+    from roadlens.operators.windows import window_summary
 
     raw = J.file_source(spark, [raw_table_path(spark, SF)], list(TOPICS.values()))
-    agg = vehicle_speed_summary(J.sensor_stream(raw, "gps"))
+    agg = window_summary("w1", J.sensor_stream(raw, "gps"))
     q = J.console_sink(agg, trigger={"availableNow": True})
     q.awaitTermination()
     # The last progress may be an empty batch; count over all batches.

@@ -90,7 +90,7 @@ def _grow(key, pdf: pd.DataFrame) -> pd.DataFrame:
     tree_id = int(key[0])
     seed = int(pdf["_seed"].iloc[0])
     psi = len(pdf)
-    x = np.stack([pdf[f"f{i}"].to_numpy(dtype="float64") for i in range(len(FEATURE_COLS))], axis=1)
+    x = np.stack([pdf[f"f{i}"].to_numpy(dtype="float64") for i in range(sum(c[:1] == "f" and c[1:].isdigit() for c in pdf.columns))], axis=1)
     # Sort by the row hash so the tree does not depend on arrival order.
     x = x[np.argsort(pdf["_h"].to_numpy(), kind="mergesort")]
     rng = np.random.default_rng([seed, tree_id])

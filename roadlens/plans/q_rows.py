@@ -326,6 +326,36 @@ register(
 )(_append_table)
 
 
+_GPS_COLUMNS = ", ".join(f'"{f.name}"' for f in SERVING_TABLES["gps_events"].schema.fields)
+
+
+def _append_twice(spark, sf):
+    """The second append finds every key stored."""
+    path = scratch_path(spark, "gps-events-twice")
+    for _ in range(2):
+        landing.append(tables.gps_events(spark, sf), SERVING_TABLES["gps_events"], path)
+    return spark.read.parquet(path)
+
+
+register("s_append_twice", with_ctes(f"SELECT {_GPS_COLUMNS} FROM gps_events", "gps_events"))(_append_twice)
+
+
+def _append_rejects(spark, sf):
+    """Every row of vehicles ending in 7 loses its vehicle: those are rejected."""
+    from pyspark.sql import functions as F
+
+    path = scratch_path(spark, "gps-events-rejects")
+    gps = tables.gps_events(spark, sf)
+    landing.append(gps.withColumn("vehicle_id", F.when(~F.col("vehicle_id").endswith("7"), F.col("vehicle_id"))),
+                   SERVING_TABLES["gps_events"], path)
+    return spark.read.parquet(f"{path}_rejects").select("event_id", "vehicle_id", "timestamp", "speed_ms")
+
+
+register("s_append_rejects", with_ctes(
+    'SELECT event_id, CAST(NULL AS VARCHAR) AS vehicle_id, "timestamp", speed_ms FROM gps_events '
+    "WHERE vehicle_id LIKE '%7'", "gps_events"))(_append_rejects)
+
+
 def _training_scan(spark, sf):
     from roadlens.ml.iforest import FEATURE_COLS
 

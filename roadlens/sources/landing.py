@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -103,14 +104,41 @@ def load_table(spark: SparkSession, path: str, table: TableDef) -> DataFrame:
     return align(spark.read.parquet(path), table)
 
 
-def append(df: DataFrame, table: TableDef, path: str) -> int:
-    """Append a frame to a table folder, aligned by name; key duplicates
-    (S12 primary key) are removed within the batch. Returns rows written."""
-    from roadlens.operators.validate import deduplicate
-
-    aligned, _ = enforce_not_null(align(df, table), table)
+def stored(spark: SparkSession, table: TableDef, path: str) -> DataFrame | None:
+    """The rows of a table folder, or None where nothing was appended yet."""
+    try:
+        return spark.read.schema(table.schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def append(df: DataFrame, table: TableDef, path: str, rejects: str | None = None) -> int:
+    """Append a frame to a table folder, aligned by name. Returns the rows
+    written.
+
+    Rows that break a NOT NULL rule go to the folder ``rejects`` (by default
+    ``<path>_rejects``). A key is kept once (S12): within the batch the row of
+    least (timestamp, whole row), and no row whose key is already stored; the
+    stored keys are read only from the batch's time span."""
+    aligned, broken = enforce_not_null(align(df, table), table)
+    spark = df.sparkSession
+    if table.not_null:
+        broken.write.mode("append").parquet(rejects or f"{path.rstrip('/')}_rejects")
     if table.key:
-        aligned = deduplicate(aligned, key=table.key[0]) if len(table.key) == 1 else aligned.dropDuplicates(list(table.key))
+        key, others = list(table.key), [c for c in aligned.columns if c not in table.key]
+        lead = [c for c in ("timestamp",) if c in others]
+        row = F.struct(*[F.col(c) for c in [*lead, *[c for c in others if c not in lead]]])
+        aligned = aligned.groupBy(*key).agg(F.min(row).alias("_r")).select(
+            *[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in aligned.columns])
+        before = stored(spark, table, path)
+        if before is not None:
+            time = next((c for c in ("timestamp", "window_start") if c in aligned.columns), None)
+            if time:
+                lo, hi = aligned.agg(F.min(time), F.max(time)).first()
+                before = before.filter(F.col(time).between(F.lit(lo), F.lit(hi)))
+            aligned = aligned.join(before.select(*key), key, "left_anti").select(*aligned.columns)
     # Count while writing (one pass), not with a second job.
     obs = Observation("append")
     aligned.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)

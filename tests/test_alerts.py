@@ -101,3 +101,26 @@ def test_segments_on_sparse_hits_match_brute_force(spark):
     segs = A.segments(cands).select("rule", "vehicle_id", "_seg").distinct().count()
     keys = cands.select("rule", "vehicle_id").distinct().count()
     assert segs > keys
+
+
+def test_cooldown_zero_fires_every_hit(spark):
+    import datetime as dt
+
+    ts = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [("r", "high", 0.0, "ZX-001", ts, f"e{i}", "m") for i in range(3)]
+    rows += [("r", "high", 0.0, "ZX-001", ts + dt.timedelta(seconds=1), "e9", "m")]
+    cands = spark.createDataFrame(rows, "rule string, severity string, cooldown_s double, vehicle_id string, "
+                                        "ts timestamp, event_id string, message string")
+    assert A.apply_cooldown(cands).count() == 4
+
+
+def test_message_texts_are_iso_and_survive_null_scores(spark):
+    snap = spark.sql("""SELECT 'ZX-001' vehicle_id, timestamp'2024-01-01 12:00:00' ts, 'e1' event_id, true is_anomaly,
+        'can_bus' sensor_type, cast(null AS double) anomaly_score, 110.0D engine_temp, 0.0D speed_ms, 0.0D accel_magnitude
+        UNION ALL SELECT 'ZX-002', timestamp'2024-01-01 12:00:00.5', 'e2', false, 'can_bus', 1.0D, 0.0D, 30.0D, 0.0D""")
+    got = {r["message"] for r in A.candidates(snap).collect()}
+    assert got == {
+        "[ANOMALY] Vehicle ZX-001 | sensor=can_bus | score=n/a | ts=2024-01-01T12:00:00+00:00",
+        "[ENGINE OVERHEAT] Vehicle ZX-001 | temp=110.0°C | ts=2024-01-01T12:00:00+00:00",
+        "[HIGH SPEED] Vehicle ZX-002 | speed=108.0 km/h | ts=2024-01-01T12:00:00.500000+00:00",
+    }

@@ -43,3 +43,17 @@ def test_parameterised_sql(spark):
     out = landing.query(spark, "SELECT v FROM t_params WHERE vehicle_id = ?", ["ZX-002"]).collect()
     assert [r["v"] for r in out] == [2.0]
     assert "t_params" in landing.list_tables(spark)
+
+
+def test_append_keeps_rejects_and_keys(spark):
+    ts = dt.datetime(2024, 3, 15, 10, 30, tzinfo=dt.timezone.utc)
+    schema = "event_id string, vehicle_id string, timestamp timestamp, speed_ms double"
+    df = spark.createDataFrame(
+        [("e1", "ZX-001", ts, 1.0), ("e1", "ZX-001", ts, 2.0), ("e2", None, ts, 3.0), ("e3", "ZX-002", ts, 4.0)], schema)
+    path = tempfile.mkdtemp(prefix="table-") + "/gps_events"
+    table = SERVING_TABLES["gps_events"]
+    assert landing.append(df, table, path) == 2
+    assert landing.append(df, table, path) == 0
+    assert sorted(r["event_id"] for r in spark.read.parquet(path).collect()) == ["e1", "e3"]
+    rejected = spark.read.parquet(path + "_rejects").collect()
+    assert [r["event_id"] for r in rejected] == ["e2", "e2"] and rejected[0]["speed_ms"] == 3.0

@@ -19,8 +19,8 @@ tokens of a set (``SLACK``) are counted and looked up:
    ones, and for frequent ones combinations of two tokens of the prefix
    extended by one (single tokens for very long sets, whose combinations would
    be too many). Sets that a chain of shared combinations connects form a
-   family, which is verified block against block on whole sets, sorted by size
-   so that blocks whose sizes can't link are never paired.
+   family, which is verified block against block on whole sets, in bands of
+   size so that blocks whose sizes can't link are never paired.
 
 Every step is exact; no candidate is capped or sampled.
 """
@@ -42,6 +42,8 @@ SLACK = 32
 #: Sets up to this size use combinations; from 0.8 of it on, single tokens too.
 COMBINED_SIZE = 500
 BLOCK = 256
+#: Sizes of a band differ by less than this factor.
+BAND = 1.1
 
 
 def shingle_table(docs: DataFrame) -> DataFrame:
@@ -134,11 +136,16 @@ def heavy_keys(ranked: DataFrame) -> DataFrame:
 
 def family_links(family: DataFrame, full: DataFrame) -> DataFrame:
     """Links (x, y) within families (``node``, ``family``): enough of them to
-    connect all that link. Blocks of ``BLOCK`` sets in the order of size meet
-    each other where their sizes can link."""
-    sizes = family.join(full.select("node", "n"), "node")
-    blocked = sizes.withColumn("block", F.expr(f"cast((row_number() OVER (PARTITION BY family ORDER BY n, node) - 1) "
-                                               f"DIV {BLOCK} AS int)"))
+    connect all that link. Sets are dealt by hash into blocks of about
+    ``BLOCK`` within bands of their size, and blocks meet each other where
+    their sizes can link. Only counts per band are needed, so no family is
+    sorted or numbered in one task."""
+    banded = (family.join(full.select("node", "n"), "node")
+              .withColumn("band", F.expr(f"cast(floor(ln(n) / ln({BAND})) AS long)")))
+    counts = banded.groupBy("family", "band").agg(F.count(F.lit(1)).alias("in_band"))
+    # A block's number grows with its band, so a later block's sets aren't smaller.
+    blocked = banded.join(counts, ["family", "band"]).withColumn("block", F.expr(
+        f"shiftleft(band, 40) + pmod(xxhash64(node), (in_band + {BLOCK - 1}) DIV {BLOCK})")).drop("band", "in_band")
     blocked = kept_table(blocked, "blocks")
     spans = blocked.groupBy("family", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     meets = (spans.select(F.col("family").alias("fam"), F.col("block").alias("i"), F.col("hi").alias("top"))

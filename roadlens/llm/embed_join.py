@@ -175,17 +175,21 @@ def near_embeddings(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     ordered = (projected(classes.select("node", "m", "vec"), principal(classes), epsilon)
                .repartitionByRange(spread, "cell", "node").sortWithinPartitions("cell", "node").drop("cell")
                .withColumn("pid", F.spark_partition_id())
-               .withColumn("part", F.expr(f"cast((monotonically_increasing_id() & 8589934591L) DIV {LEAF} AS int)")))
+               .withColumn("at", F.expr("monotonically_increasing_id() & 8589934591L")))
     ordered = kept_table(ordered, "ordered")
-    boxes = (ordered.select("pid", "part", F.posexplode("p").alias("d", "x"))
-             .groupBy("pid", "part", "d").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-             .groupBy("pid", "part").agg(F.sort_array(F.collect_list(F.struct("d", "lo", "hi"))).alias("x"))
-             .select("pid", "part", F.expr("transform(x, y -> y.lo)").alias("lo"), F.expr("transform(x, y -> y.hi)").alias("hi"),
-                     # One row per interval of LEAF vectors.
-                     (F.row_number().over(Window.orderBy("pid", "part")) - 1).cast("long").alias("seq")))
+    # Intervals hold LEAF vectors of the whole sequence, however many range
+    # partitions it has: one count per partition gives where each starts.
+    earlier = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (ordered.groupBy("pid").agg(F.count(F.lit(1)).alias("held"))
+              .select("pid", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before")))
+    placed = (ordered.join(starts, "pid").withColumn("seq", F.expr(f"(before + at) DIV {LEAF}"))
+              .drop("pid", "at", "before"))
+    boxes = (placed.select("seq", F.posexplode("p").alias("d", "x"))
+             .groupBy("seq", "d").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+             .groupBy("seq").agg(F.sort_array(F.collect_list(F.struct("d", "lo", "hi"))).alias("x"))
+             .select("seq", F.expr("transform(x, y -> y.lo)").alias("lo"), F.expr("transform(x, y -> y.hi)").alias("hi")))
     leaves = kept_table(boxes, "leaves")
-    meets = kept_table(interval_pairs(leaves.select("seq", "lo", "hi"), leaves.count(), epsilon), "meets")
-    placed = ordered.join(leaves.select("pid", "part", "seq"), ["pid", "part"]).drop("pid", "part")
+    meets = kept_table(interval_pairs(leaves, math.ceil(n / LEAF), epsilon), "meets")
     sides = [placed.join(meets.withColumn("seq", F.col(s)), "seq").withColumn("side", F.lit(s)).drop("seq") for s in ("i", "j")]
     found = kept_table(leaf_links(sides[0].unionByName(sides[1].filter("i < j")), cosine, epsilon), "links")
     counts = found.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))

@@ -82,7 +82,7 @@ def feature_frame(df: DataFrame, features=FEATURE_COLS) -> DataFrame:
         else:
             missing.append(c)
     if missing:
-        raise ValueError(f"Missing required feature columns: {missing}")
+        raise ValueError(f"Missing and not derivable: {', '.join(missing)}")
     return df.withColumns({c: F.coalesce(e, F.lit(0.0)) for c, e in exprs.items()})
 
 
@@ -293,7 +293,7 @@ class UnfittedDetector:
     """Predicting before fitting raises, as in the reference."""
 
     def predict(self, *_a, **_k):
-        raise RuntimeError("Call fit() before predict()")
+        raise RuntimeError("no forest yet: use fit() or load()")
 
     score_samples = predict
 

@@ -38,9 +38,9 @@ FOLDS = 5
 def _training_frame(df: DataFrame) -> DataFrame:
     missing = [c for c in FEATURE_COLS if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing training feature columns: {missing}")
+        raise ValueError(f"Missing from the training frame: {', '.join(missing)}")
     if LABEL_COL not in df.columns:
-        raise ValueError(f"Missing label column: {LABEL_COL}")
+        raise ValueError(f"Missing from the training frame: the label {LABEL_COL!r}")
     return df.withColumns(
         {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURE_COLS}
     ).withColumn("label", F.col(LABEL_COL).cast("double"))
@@ -85,7 +85,7 @@ class MaintenancePredictor:
 
     def _require(self) -> PipelineModel:
         if self._model is None:
-            raise RuntimeError("Call fit() before predict_proba()")
+            raise RuntimeError("no model yet: use fit() or load()")
         return self._model
 
     def predict_proba(self, df: DataFrame) -> DataFrame:

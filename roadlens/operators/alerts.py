@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -226,30 +227,54 @@ def recent_alerts(alerts: DataFrame, n: int = 50) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# The same cool-down on a stream, as keyed state (last fire time).
+# The same cool-down on a stream, in event time. A key's state is its last
+# fire and the hits above the watermark, which may still be preceded by others.
 # ---------------------------------------------------------------------------
 
-STATE_SCHEMA = T.StructType([T.StructField("last_fire_us", T.LongType())])
+STATE_SCHEMA = T.StructType([T.StructField("last_fire_us", T.LongType()), T.StructField("waiting", T.BinaryType())])
+
+
+def _packed(pdf: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(pdf, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
 
 
 def _stream_fold(key, pdfs, state):
-    last = state.get[0] if state.exists else None
-    pdf = pd.concat(list(pdfs), ignore_index=True)
-    pdf = pdf.sort_values(["ts", "event_id"], kind="mergesort")
-    ts_us = pdf["ts"].to_numpy(dtype="datetime64[ns]").astype("int64") // 1000
-    cds = (pdf["cooldown_s"].to_numpy() * 1e6).astype("int64")
+    last, waiting = state.get if state.exists else (None, None)
+    parts = [pa.ipc.open_stream(waiting).read_pandas()] if waiting else []
+    parts += [p for p in pdfs if len(p)]
+    if not parts:  # timed out with nothing waiting: the cool-down is over
+        state.remove()
+        return
+    pdf = pd.concat(parts, ignore_index=True).sort_values(["ts", "event_id"], kind="mergesort", ignore_index=True)
+    ts_us = pdf["ts"].to_numpy(dtype="datetime64[us]").astype("int64")
+    cooldown = int(pdf["cooldown_s"].iat[0] * 1e6)
+    mark = state.getCurrentWatermarkMs()
+    due = int(np.searchsorted(ts_us, mark * 1000, "right"))
     keep = []
-    for i in range(len(pdf)):
-        if last is None or ts_us[i] - last >= cds[i]:
+    for i in range(due):
+        if last is None or ts_us[i] - last >= cooldown:
             last = int(ts_us[i])
             keep.append(i)
-    state.update((last,))
+    # Next look: when the first waiting hit is due, else when the cool-down ends.
+    wake = -(-int(ts_us[due] if due < len(pdf) else last + cooldown) // 1000)
+    if wake > mark:
+        state.update((last, _packed(pdf.iloc[due:]) if due < len(pdf) else None))
+        state.setTimeoutTimestamp(wake)
+    elif state.exists:
+        state.remove()
     yield pdf.iloc[keep]
 
 
 def apply_cooldown_stream(cands: DataFrame) -> DataFrame:
-    """Stateful cool-down on a streaming frame of candidates. Each key's
-    state is one timestamp; rows of one micro-batch are folded in time order."""
+    """Stateful cool-down on a streaming frame of candidates whose ``ts``
+    carries a watermark. Hits wait in state until the watermark has passed
+    them and are then folded in event-time order, so the alerts don't depend
+    on the order of arrival or on the micro-batches. A key's state is dropped
+    once its cool-down is over and nothing waits."""
     from roadlens.session import ship_package
 
     ship_package(cands.sparkSession)
@@ -258,5 +283,5 @@ def apply_cooldown_stream(cands: DataFrame) -> DataFrame:
         outputStructType=cands.schema,
         stateStructType=STATE_SCHEMA,
         outputMode="append",
-        timeoutConf="NoTimeout",
+        timeoutConf="EventTimeTimeout",
     )

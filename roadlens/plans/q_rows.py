@@ -15,7 +15,7 @@ from roadlens.plans.telemetry_view import duck_readings_cte
 from roadlens.schemas import SENSOR_SCHEMAS, SENSOR_TYPES, SERVING_TABLES
 from roadlens.session import scratch_path
 from roadlens.sources import landing
-from roadlens.sources.kafka import decode_stats, to_messages
+from roadlens.sources.kafka import decode_stats, quarantine, to_messages
 
 # ---------------------------------------------------------------------------
 # P1-P14
@@ -211,6 +211,18 @@ register(
     ),
 )(lambda spark, sf: decode_stats(tables.messages(spark, sf)))
 
+register(
+    "s_quarantine_malformed",
+    with_ctes(
+        "SELECT topic, \"offset\", vehicle_id AS \"key\", '{not json' AS \"value\", 'malformed' AS reason FROM ("
+        + " UNION ALL ".join(
+            f"SELECT topic, \"offset\", vehicle_id, sequence_number FROM ({dupes(k)})" for k in _ALL_RAW_WITH_BAD
+        )
+        + ") WHERE sequence_number % 103 = 0",
+        extra=_ALL_RAW_WITH_BAD,
+    ),
+)(lambda spark, sf: quarantine(tables.messages(spark, sf)))
+
 # ---------------------------------------------------------------------------
 # Serialisation (compare decoded fields, not bytes)
 # ---------------------------------------------------------------------------
@@ -361,8 +373,12 @@ def _training_scan(spark, sf):
 
     path = scratch_path(spark, "can-history")
     tables.can_bus_events(spark, sf).write.parquet(path)
-    # Reference default: a 10 % sample (reproducible by key hash).
+    # A 10 % sample by a hash of the key that SQL engines share.
     return landing.training_scan(spark, path, FEATURE_COLS, fraction=0.1)
 
 
-register("s_training_scan")(_training_scan)
+register("s_training_scan", with_ctes(
+    "SELECT event_id, speed_ms, steering_angle_deg, brake_pressure_pct, engine_temp_celsius FROM can_bus_events "
+    "WHERE speed_ms IS NOT NULL AND steering_angle_deg IS NOT NULL AND brake_pressure_pct IS NOT NULL "
+    "AND engine_temp_celsius IS NOT NULL "
+    "AND CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT) < 429496729", "can_bus_events"))(_training_scan)

@@ -21,6 +21,7 @@ from roadlens.plans.registry import ORACLES, register
 from roadlens.plans.telemetry_view import JSON_OPTIONS, raw_table_path
 from roadlens.schemas import SENSOR_SCHEMAS, STREAM_ENVELOPE, TOPICS
 from roadlens.session import scratch_path
+from roadlens.sources.kafka import quarantine
 from roadlens.streaming import jobs as J
 
 CONTROL_VEHICLE = "ZX-CONTROL"
@@ -71,12 +72,13 @@ def _control_messages(spark: SparkSession, ts: str, phase: int) -> DataFrame:
     return out.select(*[f.name for f in STREAM_ENVELOPE.fields])
 
 
-def run_stream(spark: SparkSession, sf: str, build, name: str) -> DataFrame:
-    """Run ``build(raw_stream)`` to completion through a Parquet sink."""
+def run_stream(spark: SparkSession, sf: str, build, name: str, files_per_batch: int | None = None) -> DataFrame:
+    """Run ``build(raw_stream)`` to completion through a Parquet sink, in
+    micro-batches of ``files_per_batch`` files where given."""
     root = scratch_path(spark, f"stream-{name}")
     control = f"{root}/control"
     spark.createDataFrame([], STREAM_ENVELOPE).write.parquet(control)
-    raw = J.file_source(spark, [raw_table_path(spark, sf), control], list(TOPICS.values()))
+    raw = J.file_source(spark, [raw_table_path(spark, sf), control], list(TOPICS.values()), files_per_batch)
     df = build(raw)
     out, ckpt = f"{root}/out", f"{root}/checkpoint"
     for phase in range(3):
@@ -95,8 +97,8 @@ def run_stream(spark: SparkSession, sf: str, build, name: str) -> DataFrame:
     return res
 
 
-def _reg(key: str, batch_key: str, build):
-    register(key, ORACLES.get(batch_key))(lambda spark, sf: run_stream(spark, sf, build, key))
+def _reg(key: str, batch_key: str, build, files_per_batch: int | None = None):
+    register(key, ORACLES.get(batch_key))(lambda spark, sf: run_stream(spark, sf, build, key, files_per_batch))
 
 
 for key, (sensor, fn, dur) in W.WINDOW_SUMMARIES.items():
@@ -122,8 +124,12 @@ def _scorer(can):
         "is_anomaly", F.col("anomaly_score") < tables.STANDIN_CUT)
 
 
+#: The message files of an hour of readings arrive in no order of time.
+ALERT_WATERMARK = "2 hours"
+
+
 def _alerts(raw):
-    snap = J.snapshot_stream(raw, scorer=_scorer)
+    snap = J.snapshot_stream(raw, scorer=_scorer, watermark=ALERT_WATERMARK)
     return J.alert_stream(snap).select("rule", "severity", "vehicle_id", "message", "ts", "event_id")
 
 
@@ -146,7 +152,16 @@ _register_f2()
 def _register_alerts():
     from roadlens.plans import q_alerts  # noqa: F401  (oracle text)
 
-    _reg("r_stream_alerts", "a_cooldown_all", _alerts)
+    _reg("r_stream_alerts", "a_cooldown_all", _alerts, files_per_batch=6)
 
 
 _register_alerts()
+
+
+def _register_quarantine():
+    from roadlens.plans import q_rows  # noqa: F401  (oracle text)
+
+    _reg("r_stream_quarantine", "s_quarantine_malformed", quarantine)
+
+
+_register_quarantine()

@@ -43,6 +43,7 @@ TOPIC_TO_SENSOR = {topic: sensor for sensor, topic in TOPICS.items()}
 # Fixed value: every vehicle id starts with this prefix.
 VEHICLE_PREFIX = "ZX-"
 
+# The columns of the envelope.
 ENVELOPE = StructType(
     [
         _f("event_id", StringType()),
@@ -54,6 +55,7 @@ ENVELOPE = StructType(
     ]
 )
 
+# The columns of the six sensor kinds.
 PAYLOADS: dict[str, list[StructField]] = {
     "gps": [
         _f("latitude", DoubleType()),
@@ -266,6 +268,7 @@ def _schema(cols) -> StructType:
     return StructType([StructField(n, t, True) for n, t in cols])
 
 
+# The columns and keys of the serving tables.
 SERVING_TABLES: dict[str, TableDef] = {
     "gps_events": TableDef(
         "gps_events",

@@ -146,6 +146,17 @@ def decode_stats(df: DataFrame) -> DataFrame:
     )
 
 
+def quarantine(df: DataFrame) -> DataFrame:
+    """The messages that no decoder takes, whole, with the reason: a
+    topic without a schema, or a value that is not a JSON object with a
+    vehicle_id. The same on batches and streams."""
+    value = F.col("value").cast("string")
+    reason = F.when(~F.col("topic").isin(list(TOPIC_SCHEMAS)), "unknown topic").when(
+        F.get_json_object(value, "$.vehicle_id").isNull(), "malformed")
+    return df.select("topic", "offset", F.col("key").cast("string").alias("key"), value.alias("value"),
+                     reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def to_messages(df: DataFrame, topic: str | Column | None = None) -> DataFrame:
     """Key (vehicle_id bytes) + JSON value + topic for a frame of readings.
 

@@ -175,8 +175,8 @@ def training_scan(spark: SparkSession, path: str, features: Sequence[str], fract
     cols = avail + ([key] if key in df.columns and key not in avail else [])
     out = df.select(*cols).dropna(subset=avail)
     if fraction < 1.0:
-        h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000))
-        out = out.filter(h < F.lit(int(fraction * 1_000_000)))
+        digest = F.md5(F.concat_ws("|", F.lit(seed).cast("string"), F.col(key).cast("string")))
+        out = out.filter(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") < int(fraction * 2**32))
     return out
 
 

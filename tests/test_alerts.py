@@ -68,10 +68,16 @@ def test_suppressed_hits_do_not_extend_cooldown(spark):
 
 
 def test_stream_cooldown_matches_batch(spark, tmp_path):
+    # Six micro-batches in no order of time; a last, later reading moves the watermark.
     snap = fixture(spark, 1200, seed=11)
     src = str(tmp_path / "snap")
-    snap.write.parquet(src)
-    stream = spark.readStream.schema(snap.schema).parquet(src)
+    for i in range(6):
+        snap.filter(F.pmod(F.xxhash64("event_id"), F.lit(6)) == i).coalesce(1).write.mode("append").parquet(src)
+    end = snap.limit(1).withColumns({"ts": F.expr("ts + INTERVAL 9 DAYS"), "event_id": F.lit("end"), "is_anomaly": F.lit(False),
+                                     **{c: F.lit(0.0) for c in ("speed_ms", "accel_magnitude", "engine_temp")}})
+    end.select(*snap.columns).coalesce(1).write.mode("append").parquet(src)
+    stream = (spark.readStream.schema(snap.schema).option("maxFilesPerTrigger", 1).parquet(src)
+              .withWatermark("ts", "3 days"))
     out = A.apply_cooldown_stream(A.candidates(stream))
     q = (out.writeStream.format("memory").queryName("alerts_stream_test").outputMode("append")
          .trigger(availableNow=True).start())

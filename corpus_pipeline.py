@@ -14,6 +14,12 @@ from roadlens.llm import mixing, ngram_join, packing, quality, secrets
 from roadlens.llm.common import kept_table, read
 
 
+#: Target weights of the mix by source; None: operator 1's own.
+MIX_WEIGHTS: dict | None = None
+#: The column that carries a document's place in the mix to the packing.
+MIX_POSITION = "mix_position"
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: rejected documents go."""
     return quality.keep_good(docs, read(spark, sf_dir, "labels"))
@@ -32,13 +38,14 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: all documents, in the order of the mix."""
-    return mixing.in_mixed_order(docs)
+    """Operator 1: all documents, in the order of the mix, with their place in it."""
+    return mixing.with_position(docs, MIX_POSITION, weights=MIX_WEIGHTS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: the pieces of the documents and their places in sequences."""
-    return packing.pack(docs)
+    """Operator 4: the pieces of the documents and their places in sequences,
+    which follow the mix where the documents carry it."""
+    return packing.pack(docs, order_col=MIX_POSITION if MIX_POSITION in docs.columns else None)
 
 
 STAGES = [

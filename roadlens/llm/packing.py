@@ -84,12 +84,14 @@ class Encoder(dict):
 
 
 def tokenise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
-             end_id: int = END_ID, path: str | None = None) -> DataFrame:
-    """The pieces of every document: ``__id``, piece, start, length, ids_crc32.
-    A null text is empty; a longer document's first piece holds the remainder."""
+             end_id: int = END_ID, path: str | None = None, order_col: str | None = None) -> DataFrame:
+    """The pieces of every document: ``__id``, piece, start, length, ids_crc32
+    and, where ``order_col`` names a column, its value as ``__order``. A null
+    text is empty; a longer document's first piece holds the remainder."""
     ship_package(docs.sparkSession)
     path = path or vocabulary_path()
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
+                       *([F.col(order_col).cast("long").alias("__order")] if order_col else []))
     end = np.array([end_id], "<u4").tobytes()
 
     def batches(it):
@@ -108,13 +110,16 @@ def tokenise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     length.append(to - at)
                     crc.append(zlib.crc32(ids[4 * at:4 * to]))
                     at = to
+            of = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
-                 pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                ["__id", "piece", "start", "length", "ids_crc32"])
+                [batch.column(0).take(of), pa.array(piece, pa.int32()),
+                 pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
+                 *([batch.column(2).take(of)] if order_col else [])],
+                ["__id", "piece", "start", "length", "ids_crc32", *(["__order"] if order_col else [])])
 
     kind = rows.schema["__id"].dataType.simpleString()
-    return rows.mapInArrow(batches, f"__id {kind}, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(batches, f"__id {kind}, piece int, start long, length long, ids_crc32 long"
+                           + (", __order long" if order_col else ""))
 
 
 def exact_fill(left: np.ndarray, gap: int) -> tuple[int, ...]:
@@ -183,11 +188,16 @@ def plan(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]
 
 
 def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
-         end_id: int = END_ID, path: str | None = None) -> DataFrame:
+         end_id: int = END_ID, path: str | None = None, order_col: str | None = None) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id and
     offset. Every row of ``docs`` is packed, also those that repeat an id; an
-    empty table gives no rows."""
-    pieces = kept_table(tokenise(docs, id_col=id_col, text_col=text_col, size=size, end_id=end_id, path=path), "pieces")
+    empty table gives no rows.
+
+    Pieces of a length are taken in a hash order. With ``order_col`` (places
+    from 0, not null) they are taken in that order instead, and sequences are
+    numbered by the earliest place they hold."""
+    pieces = kept_table(tokenise(docs, id_col=id_col, text_col=text_col, size=size, end_id=end_id, path=path,
+                                 order_col=order_col), "pieces")
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= size rows
     used = dict.fromkeys(counts, 0)
     rows, sequence = [], 0
@@ -200,11 +210,22 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", siz
         sequence += n
     table = docs.sparkSession.createDataFrame(
         rows, "length long, from_rank long, to_rank long, shift long, offset long").coalesce(1)
-    ranked = grouped_rank(pieces.withColumn("__hash", stable_hash(F.col("__id"), F.col("piece"))),
-                          "length", "__hash", ["__id", "piece"], "__rank")
-    at = ranked.join(F.broadcast(table), "length").filter("__rank >= from_rank AND __rank < to_rank")
-    return at.select(F.col("__id").alias(id_col), "piece", "start", "length", "ids_crc32",
-                     (F.col("__rank") + F.col("shift")).alias("sequence_id"), "offset")
+    if order_col:  # places spread over the 60 bits that ranks are counted in
+        last = pieces.agg(F.max("__order")).first()[0] or 0
+        hashed = F.col("__order") * F.lit(2**60 // (last + 1))
+    else:
+        hashed = stable_hash(F.col("__id"), F.col("piece"))
+    ranked = grouped_rank(pieces.withColumn("__hash", hashed), "length", "__hash", ["__id", "piece"], "__rank")
+    at = (ranked.join(F.broadcast(table), "length").filter("__rank >= from_rank AND __rank < to_rank")
+          .withColumn("__sequence", F.col("__rank") + F.col("shift")))
+    if order_col:
+        at = kept_table(at.select("__id", "piece", "start", "length", "ids_crc32", "__sequence", "offset", "__hash"), "placed")
+        first = at.groupBy("__sequence").agg(F.min("__hash").alias("__hash")).withColumn("__all", F.lit(0))
+        numbered = grouped_rank(first, "__all", "__hash", ["__sequence"], "sequence_id", rows_per_bucket=2_000)
+        at = at.join(numbered.select("__sequence", "sequence_id"), "__sequence")
+    else:
+        at = at.withColumn("sequence_id", F.col("__sequence"))
+    return at.select(F.col("__id").alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op4_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

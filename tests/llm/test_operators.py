@@ -319,3 +319,29 @@ def test_pipeline_equals_its_stages(spark):
     check_packing(got, packing.SIZE)
     want = {r.doc_id: r.ids_crc32 for r in packing.tokenise(docs).withColumnRenamed("__id", "doc_id").collect()}
     assert all(r.ids_crc32 == want[r.doc_id] for r in got)
+
+
+def test_pipeline_output_follows_the_mix(spark, monkeypatch):
+    """Sequences follow the target weights of stage 4, and pieces stay whole."""
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    docs = documents(spark, [" ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randrange(20, 60))) for _ in range(400)],
+                     ["a", "b"]).drop("__text")
+
+    def packed(weights):
+        monkeypatch.setattr(corpus_pipeline, "MIX_WEIGHTS", weights)
+        mixed = corpus_pipeline.mix_sources(spark, docs, "")
+        rows = corpus_pipeline.pack_sequences(spark, mixed, "").collect()
+        place = {r.doc_id: r.mix_position for r in mixed.collect()}
+        check_packing(rows, packing.SIZE)
+        first = {}  # the earliest place of each sequence, and its document
+        for r in rows:
+            first[r.sequence_id] = min(first.get(r.sequence_id, (400, 0)), (place[r.doc_id], r.doc_id))
+        assert sorted(first) == list(range(len(first)))
+        assert [first[i] for i in range(len(first))] == sorted(first.values())
+        return {(r.doc_id, r.piece): (r.sequence_id, r.offset) for r in rows}, first
+
+    (mostly_a, first_a), (mostly_b, first_b) = packed({"a": 0.9, "b": 0.1}), packed({"a": 0.1, "b": 0.9})
+    assert mostly_a.keys() == mostly_b.keys() and mostly_a != mostly_b
+    assert {first_a[i][1] % 2 for i in range(5)} == {0} and {first_b[i][1] % 2 for i in range(5)} == {1}

@@ -20,7 +20,7 @@ from roadlens.llm.common import read, ship_package
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("iban", "ssn", "local")
 #: Score of a span without context, per kind of the method; a context word
-#: within ``CONTEXT_CHARS`` before it adds ``CONTEXT_BONUS``.
+#: within ``CONTEXT_CHARS`` before or after it adds ``CONTEXT_BONUS``.
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.9, "phone": 0.8, "iban": 0.9, "ssn": 0.4, "local": 0.3}
 CONTEXT_BONUS = 0.3
 CONTEXT_CHARS = 48
@@ -89,21 +89,41 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def score(text: str, start: int, kind: str) -> float:
-    near = text[max(0, start - CONTEXT_CHARS):start].lower()
-    return SCORES[kind] + CONTEXT_BONUS * any(w in near for w in CONTEXT[kind])
+def score(text: str, start: int, end: int, kind: str) -> float:
+    near = (text[max(0, start - CONTEXT_CHARS):start].lower(), text[end:end + CONTEXT_CHARS].lower())
+    return SCORES[kind] + CONTEXT_BONUS * any(w in side for w in CONTEXT[kind] for side in near)
+
+
+def iban_spans(text: str):
+    """Valid IBANs, left to right. The pattern also takes what follows an IBAN
+    and looks like more of it, or starts at a word before it: at each place the
+    longest end that mod-97 confirms counts, and the search goes on behind it."""
+    at = 0
+    while m := IBAN.search(text, at):
+        end = next((e for e in range(m.end(), m.start() + 14, -1)
+                    if not (text[e:e + 1].isascii() and text[e:e + 1].isalnum()) and text[e - 1] != " "
+                    and mod97(text[m.start():e])), 0)
+        if end:
+            yield m.start(), end
+        at = end or m.start() + 1
+
+
+def pattern_spans(pattern, ok):
+    return lambda text: ((m.start(), m.end()) for m in pattern.finditer(text) if ok(m[0]))
 
 
 def method_spans(text: str, base: list) -> list[tuple[int, int, int]]:
     """The method's own spans that don't overlap ``base``."""
-    out = []
-    for rank, pattern, ok in ((4, IBAN, mod97), (5, SSN, lambda s: s[:3] not in ("000", "666") and s[0] != "9"),
-                              (6, NATIONAL, lambda s: True)):
-        for m in pattern.finditer(text):
-            if ok(m[0]) and score(text, m.start(), KINDS[rank]) >= THRESHOLD \
-                    and not any(a < m.end() and m.start() < b for a, _, b in base):
-                out.append((m.start(), rank, m.end()))
-    return out
+    return [(a, rank, b) for rank, spans in METHOD for a, b in spans(text)
+            if score(text, a, b, KINDS[rank]) >= THRESHOLD and not any(x < b and a < y for x, _, y in base)]
+
+
+#: The method's own kinds by rank, and what finds their spans.
+METHOD = (
+    (4, iban_spans),
+    (5, pattern_spans(SSN, lambda s: s[:3] not in ("000", "666") and s[0] != "9")),
+    (6, pattern_spans(NATIONAL, lambda s: True)),
+)
 
 
 def find(text: str) -> tuple[list, list]:
@@ -130,7 +150,7 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
                 text = text.as_py() or ""
                 _, every = find(text)
                 out.append([{"start": a, "end": b, "kind": KINDS[k], "base": k < len(BASE_KINDS),
-                             "score": min(1.0, score(text, a, KINDS[k]))} for a, k, b in every])
+                             "score": min(1.0, score(text, a, b, KINDS[k]))} for a, k, b in every])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(span))], ["__id", "spans"])
 
     return rows.mapInArrow(batches, SCHEMA.format(id=rows.schema["__id"].dataType.simpleString()))

@@ -86,6 +86,21 @@ def test_pii_equals_the_plain_patterns(spark):
     assert pii.find_pii(documents(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_pii_iban_ends_and_context_on_both_sides():
+    def kinds(text):
+        return [(pii.KINDS[k], text[a:b]) for a, k, b in pii.find(text)[1]]
+
+    es, be = "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034"
+    for iban in (es, be, be.replace(" ", "")):
+        for tail in ("", ".", " EUR", " 12 May", " 2024 EUR", " ABCD 1234", " " + be):
+            assert ("iban", iban) in kinds(f"iban {iban}{tail}"), tail
+    assert kinds(f"iban AB12 CDEF {es}") == [("iban", es)]
+    assert kinds("iban ES91 2100 0418 4502 0005 1333 EUR") == []
+    assert kinds("123-45-6789 (SSN)") == [("ssn", "123-45-6789")]
+    assert kinds("208-555-1177 (phone)") == [("local", "208-555-1177")]
+    assert kinds("208-555-1177 " + "x" * 60 + " phone") == kinds("123-45-6789") == []
+
+
 def test_secrets_base_random_and_mask(spark):
     rng = random.Random(3)
     noise = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40))

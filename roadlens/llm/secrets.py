@@ -29,6 +29,9 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "random")
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+#: A run to be tested holds letters and mixes digits, upper case, lower case or other symbols.
+MIXED = ("s.m RLIKE '[A-Za-z]' AND "
+         + " + ".join(f"cast(s.m RLIKE '{c}' AS int)" for c in ("[0-9]", "[A-Z]", "[a-z]", "[+/_-]")) + " >= 2")
 FDR = 0.05
 BINS = 2000
 #: Length bands of the method start at these lengths.
@@ -70,7 +73,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str, carry: str | None = None)
             .withColumn("access", spans("__text", access, "f_access", "access", "true"))
             .withColumn("hex", spans("__text", hexes, "f_hex", "hex", "true"))
             .withColumn("tokens", spans("__text", TOKEN, "f_token", "random",
-                                        "s.m RLIKE '[0-9]' AND s.m RLIKE '[A-Za-z]'"))
+                                        MIXED))
             .drop("f_assign", "f_access", "f_hex", "f_token"))
 
 

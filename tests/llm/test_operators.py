@@ -124,6 +124,19 @@ def test_secrets_base_random_and_mask(spark):
     assert secrets.find_secrets(documents(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_secrets_without_a_digit(spark):
+    rng = random.Random(14)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(rng.choice(letters) for _ in range(32)), "".join(rng.choice(letters + "+/_-") for _ in range(40))]
+    words = ["Lebensversicherungsgesellschaft", "well-known-state-of-the-art-tooling", "/usr/local/share/dictionary/words",
+             "internationalisationally"]
+    found = {r["__id"]: [s["kind"] for s in r["all"]]
+             for r in secrets.find_secrets(documents(spark, [f"see {t} there" for t in keys + words])).collect()}
+    assert [found[i] for i in range(6)] == [["random"]] * 2 + [[]] * 4
+    out = {r.doc_id: r.text for r in secrets.mask_secrets(documents(spark, [f"see {t} there" for t in keys + words])).collect()}
+    assert out[0] == out[1] == "see [SECRET] there" and out[2] == f"see {words[0]} there"
+
+
 def check_packing(rows, size):
     bins = collections.defaultdict(list)
     for r in rows:

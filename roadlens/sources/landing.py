@@ -120,8 +120,9 @@ def append(df: DataFrame, table: TableDef, path: str, rejects: str | None = None
 
     Rows that break a NOT NULL rule go to the folder ``rejects`` (by default
     ``<path>_rejects``). A key is kept once (S12): within the batch the row of
-    least (timestamp, whole row), and no row whose key is already stored; the
-    stored keys are read only from the batch's time span."""
+    least (timestamp, whole row), and no row whose key is already stored. Only
+    the key columns of the stored rows are read, and only the batch's time span
+    where the time is part of the key."""
     aligned, broken = enforce_not_null(align(df, table), table)
     spark = df.sparkSession
     if table.not_null:
@@ -134,7 +135,7 @@ def append(df: DataFrame, table: TableDef, path: str, rejects: str | None = None
             *[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in aligned.columns])
         before = stored(spark, table, path)
         if before is not None:
-            time = next((c for c in ("timestamp", "window_start") if c in aligned.columns), None)
+            time = next((c for c in ("timestamp", "window_start") if c in key), None)
             if time:
                 lo, hi = aligned.agg(F.min(time), F.max(time)).first()
                 before = before.filter(F.col(time).between(F.lit(lo), F.lit(hi)))

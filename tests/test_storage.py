@@ -57,3 +57,18 @@ def test_append_keeps_rejects_and_keys(spark):
     assert sorted(r["event_id"] for r in spark.read.parquet(path).collect()) == ["e1", "e3"]
     rejected = spark.read.parquet(path + "_rejects").collect()
     assert [r["event_id"] for r in rejected] == ["e2", "e2"] and rejected[0]["speed_ms"] == 3.0
+
+
+def test_append_finds_a_stored_key_under_another_timestamp(spark):
+    schema = "event_id string, vehicle_id string, timestamp timestamp, speed_ms double"
+    path = tempfile.mkdtemp(prefix="table-") + "/gps_events"
+    table = SERVING_TABLES["gps_events"]
+
+    def batch(*rows):
+        return spark.createDataFrame(
+            [(e, "ZX-001", dt.datetime(2024, 3, day, 10, 30, tzinfo=dt.timezone.utc), 1.0) for e, day in rows], schema)
+
+    assert landing.append(batch(("e1", 15), ("e2", 16)), table, path) == 2
+    assert landing.append(batch(("e1", 20), ("e3", 21)), table, path) == 1  # e1 re-stamped, outside of its first span
+    assert landing.append(batch(("e2", 1)), table, path) == 0
+    assert sorted(r["event_id"] for r in spark.read.parquet(path).collect()) == ["e1", "e2", "e3"]

@@ -8,32 +8,37 @@ every block meets its window, and at every slot each source is less than one
 block away from its target share.
 
 Quotas are whole numbers, so the schedule repeats after ``sum(quota)`` slots.
-Only this one period is scheduled (its length is set by ``resolution``, not by
-the data); each document then finds its slot and its place in the mix by
-arithmetic on its rank in its source. Everything is DataFrame functions.
+Only this one period is scheduled, on the driver (its length is set by
+``resolution`` and the number of sources, not by the documents); each block
+then finds its slot by arithmetic, and each document its place by its rank in
+its source. What touches documents is DataFrame functions.
 """
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import grouped_rank, read, stable_hash
+from roadlens.llm.common import grouped_rank, kept_table, read, stable_hash
 
 BLOCK_DOCS = 64
 RESOLUTION = 1000
 ALPHA = 0.7
+#: No cap any more; see ``mix``.
 MAX_SOURCES = 256
+#: Rounds unfolded at a time, and slots per bucket in which blocks are counted.
+CHUNK = 4096
+#: Tables of blocks up to this many rows are sent to every executor.
+BROADCAST_BLOCKS = 200_000
 SEED = 7
 #: Stands for a null source: no text, so no clash with a real name.
 NULL_SOURCE = "\x00null"
-TAIL = "\x00tail"
 
 
-def quotas(docs: DataFrame, source_col: str, weights: dict | None, resolution: int,
-           alpha: float, max_sources: int) -> DataFrame:
-    """One row per source: ``source`` (null as ``NULL_SOURCE``), ``pool`` (the
-    source it is scheduled with), ``n`` and ``quota`` of the pool."""
+def quotas(docs: DataFrame, source_col: str, weights: dict | None, resolution: int, alpha: float) -> DataFrame:
+    """One row per source: ``source`` (null as ``NULL_SOURCE``), ``n`` and ``quota``."""
     counted = (docs.groupBy(F.coalesce(F.col(source_col).cast("string"), F.lit(NULL_SOURCE)).alias("source"))
                .agg(F.count(F.lit(1)).alias("n")))
     if weights is None:
@@ -42,49 +47,61 @@ def quotas(docs: DataFrame, source_col: str, weights: dict | None, resolution: i
         table = F.create_map(*[F.lit(x) for k, v in weights.items()
                                for x in (NULL_SOURCE if k is None else str(k), float(v))]) if weights else None
         weight = F.coalesce(table[F.col("source")] if weights else F.lit(None), F.lit(0.0))
-    by_size = Window.orderBy(F.desc("n"), "source")  # one row per source
-    pooled = (counted.withColumn("weight", weight)
-              .withColumn("pool", F.when(F.row_number().over(by_size) < max_sources, F.col("source"))
-                          .otherwise(F.lit(TAIL))))
-    pool = Window.partitionBy("pool")
-    return (pooled.withColumn("total", F.sum("weight").over(Window.partitionBy()))
-            .withColumn("share", F.when(F.col("total") > 0, F.sum("weight").over(pool) / F.col("total")))
-            .select("source", "pool", F.sum("n").over(pool).alias("n"),
-                    F.greatest(F.lit(1), F.round(F.coalesce(F.col("share"), F.lit(0.0)) * resolution))
+    return (counted.withColumn("weight", weight)
+            .withColumn("total", F.sum("weight").over(Window.partitionBy()))  # one row per source
+            .withColumn("share", F.when(F.col("total") > 0, F.col("weight") / F.col("total")))
+            .select("source", "n", F.greatest(F.lit(1), F.round(F.coalesce(F.col("share"), F.lit(0.0)) * resolution))
                     .cast("long").alias("quota")))
 
 
-def schedule(quota: DataFrame, block_docs: int) -> DataFrame:
-    """The earliest-deadline-first schedule of one period, one row per slot:
-    pool, k (block of the pool within the period), slot, the counts of blocks
-    before it, and the pools' sizes and quotas. At most ``resolution`` plus
-    ``max_sources`` rows."""
-    one = (quota.select("pool", "n", "quota").distinct()
-           .agg(F.sort_array(F.collect_list(F.struct("pool", "quota", "n"))).alias("pools"))
-           .filter("size(pools) > 0")
-           .withColumn("period", F.expr("aggregate(pools, 0L, (a, p) -> a + p.quota)")))
-    # Among released blocks the one with the earliest (deadline, source) runs.
-    pick = """array_min(filter(transform(pools, (p, i) -> CASE
-                 WHEN st.done[i] < p.quota AND st.done[i] * period DIV p.quota <= t THEN
-                   named_struct('due', (st.done[i] * period + period + p.quota - 1) DIV p.quota, 'i', i) END),
-               x -> x IS NOT NULL)).i"""
-    step = f"""transform(array({pick}), c -> named_struct(
-                 'done', transform(st.done, (d, i) -> CASE WHEN i = c THEN d + 1L ELSE d END),
-                 'ran', concat(st.ran, array(named_struct('i', c, 'before', st.done)))))[0]"""
-    ran = one.withColumn("ran", F.expr(f"""aggregate(sequence(0L, period - 1L),
-        named_struct('done', transform(pools, p -> 0L),
-                     'ran', cast(array() AS array<struct<i: int, before: array<bigint>>>)),
-        (st, t) -> {step}, st -> st.ran)"""))
-    slots = ran.select("pools", "period", F.posexplode("ran").alias("slot", "r")).select(
-        F.expr("pools[r.i].pool").alias("pool"), F.expr("r.before[r.i]").alias("k"),
-        F.col("slot").cast("long"), "period", F.expr("pools[r.i].quota").alias("quota"),
-        F.expr("r.before").alias("before"), F.expr("transform(pools, p -> p.quota)").alias("quota_of"),
-        F.expr("transform(pools, p -> p.n)").alias("n_of"),
-        F.expr(f"(pools[r.i].n + {block_docs - 1}) DIV {block_docs}").alias("blocks"))
-    # The first slot that would go to a source without blocks left.
-    dry = F.min(F.when(F.col("k") == F.expr("blocks % quota"), F.expr("blocks DIV quota") * F.col("period")
-                       + F.col("slot"))).over(Window.partitionBy())
-    return slots.withColumn("dry_slot", dry)
+def earliest_deadline_first(quota: list[int]) -> list[tuple[int, int]]:
+    """One period: for each slot the source that runs (its index in ``quota``)
+    and which of its blocks. A heap of released blocks by (deadline, index) and
+    one of those to come: logarithmic in the sources per slot."""
+    period = sum(quota)
+    coming, released, out = [(0, i, 0) for i in range(len(quota))], [], []
+    for slot in range(period):
+        while coming and coming[0][0] <= slot:
+            _, i, k = heapq.heappop(coming)
+            heapq.heappush(released, (-(-(k + 1) * period // quota[i]), i, k))
+        _, i, k = heapq.heappop(released)
+        out.append((i, k))
+        if k + 1 < quota[i]:
+            heapq.heappush(coming, ((k + 1) * period // quota[i], i, k + 1))
+    return out
+
+
+def blocks_of(spark: SparkSession, quota: DataFrame, block_docs: int) -> DataFrame:
+    """One row per block of a source: source, block, slot, ``start`` (the
+    documents before it in the mix) and balanced. The sources and one period
+    are held by the driver; blocks are only ever counted in buckets of slots."""
+    sources = sorted(((r.source, r.n, r.quota) for r in quota.collect()), key=lambda r: r[0].encode())
+    period = sum(q for _, _, q in sources)
+    ran = earliest_deadline_first([q for _, _, q in sources])
+    plan, dry = [], None
+    for slot, (i, k) in enumerate(ran):
+        source, n, q = sources[i]
+        blocks = -(-n // block_docs)
+        plan.append((source, n, q, k, slot))
+        if k == blocks % q:  # the first slot that would go to this source without blocks left
+            dry = min(x for x in (dry, blocks // q * period + slot) if x is not None)
+    table = spark.createDataFrame(plan, "source string, n long, quota long, k long, at long")
+    # A source's k-th block of every round, rounds in chunks: no task unfolds a whole source.
+    last = F.expr(f"((n + {block_docs - 1}) DIV {block_docs} - 1 - k) DIV quota")
+    chunks = (table.withColumn("last", last).filter(f"k < (n + {block_docs - 1}) DIV {block_docs}")
+              .withColumn("chunk", F.explode(F.expr(f"sequence(0L, last, {CHUNK}L)"))))
+    slots = (chunks.repartition("source", "k", "chunk")
+             .withColumn("round", F.explode(F.expr(f"sequence(chunk, least(last, chunk + {CHUNK - 1}L))")))
+             .select("source", F.expr("round * quota + k").alias("block"), F.expr(f"round * {period}L + at").alias("slot"),
+                     F.expr(f"least({block_docs}L, n - (round * quota + k) * {block_docs})").alias("docs"))
+             .withColumn("bucket", F.expr(f"slot DIV {CHUNK}")))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    starts = (slots.groupBy("bucket").agg(F.sum("docs").alias("docs"))
+              .select("bucket", F.coalesce(F.sum("docs").over(before.orderBy("bucket")), F.lit(0)).alias("first")))
+    inside = F.coalesce(F.sum("docs").over(before.partitionBy("bucket").orderBy("slot")), F.lit(0))
+    return slots.withColumn("inside", inside).join(starts, "bucket").select(
+        "source", "block", "slot", F.expr("first + inside").alias("start"),
+        (F.col("slot") < F.lit(dry)).alias("balanced"))
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", weights: dict | None = None,
@@ -100,26 +117,20 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
     that has run dry are skipped: no document is dropped or repeated, and the
     less-than-one-block bound holds for the rows with ``balanced`` (before the
     first such slot). Null sources form a source of their own; rows that repeat
-    an id get places of their own; beyond ``max_sources`` the smallest sources
-    are scheduled together. An empty table gives no rows."""
+    an id get places of their own. Every source has block windows of its own:
+    ``max_sources`` is still taken from callers and cuts nothing. An empty table
+    gives no rows."""
     rows = docs.select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"))
-    quota = quotas(rows, "__source", weights, resolution, alpha, max_sources)
-    plan = F.broadcast(schedule(quota, block_docs))  # at most resolution + max_sources rows
+    blocks = kept_table(blocks_of(docs.sparkSession, quotas(rows, "__source", weights, resolution, alpha), block_docs), "blocks")
+    if blocks.count() <= BROADCAST_BLOCKS:
+        blocks = F.broadcast(blocks)
     keyed = (rows.withColumn("source", F.coalesce(F.col("__source").cast("string"), F.lit(NULL_SOURCE)))
              .withColumn("__hash", stable_hash(F.lit(seed), F.col("__id"))))
-    pooled = keyed.join(quota.select("source", "pool", F.col("quota").alias("q")), "source")
-    ranked = grouped_rank(pooled, "pool", "__hash", ["__id"], "__rank")
-    placed = (ranked.withColumn("block", F.expr(f"__rank DIV {block_docs}"))
-              .withColumn("k", F.expr("block % q"))
-              .join(plan, ["pool", "k"])
-              .withColumn("round", F.expr("block DIV quota")))
-    earlier = F.expr(f"""aggregate(zip_with(zip_with(before, quota_of, (b, q) -> {block_docs}L * (round * q + b)),
-                        n_of, (x, n) -> least(x, n)), 0L, (a, x) -> a + x)""")
+    ranked = grouped_rank(keyed, "source", "__hash", ["__id"], "__rank")
+    placed = ranked.withColumn("block", F.expr(f"__rank DIV {block_docs}")).join(blocks, ["source", "block"])
     return placed.select(
-        F.col("__id").alias(id_col), F.col("__source").alias(source_col), "block",
-        F.expr("round * period + slot").alias("slot"),
-        (earlier + F.expr(f"__rank - block * {block_docs}")).alias("position"),
-        (F.expr("round * period + slot") < F.col("dry_slot")).alias("balanced"))
+        F.col("__id").alias(id_col), F.col("__source").alias(source_col), "block", "slot",
+        F.expr(f"start + __rank - block * {block_docs}").alias("position"), "balanced")
 
 
 def with_position(docs: DataFrame, position_col: str, *, id_col: str = "doc_id", **settings) -> DataFrame:

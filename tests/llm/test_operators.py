@@ -68,6 +68,29 @@ def test_mixing_empty_repeated_and_pooled(spark):
     assert ordered.columns == docs.columns and ordered.count() == 80
 
 
+def test_mixing_schedules_every_source(spark):
+    """300 sources, one small one with a weight of 0.3: each has its own block
+    windows and the mix equals the oracle's flat schedule, slot by slot."""
+    docs = documents(spark, ["t"] * 1800, [f"s{i:03}" for i in range(300)])
+    weights = {"s299": 0.3, **{f"s{i:03}": 0.7 / 299 for i in range(299)}}
+    got = mixing.mix(docs, weights=weights, block_docs=2).orderBy("position").collect()
+    assert [r.position for r in got] == list(range(1800))
+    quota = [max(1, round(weights[f"s{i:03}"] * 1000)) for i in range(300)]
+    period, done, want = sum(quota), [0] * 300, {}
+    for slot in range(period):
+        i = min((-(-(done[i] + 1) * period // q), i) for i, q in enumerate(quota)
+                if done[i] < q and done[i] * period // q <= slot)[1]
+        want[i, done[i]] = slot
+        done[i] += 1
+    assert len({r.slot for r in got}) == 900
+    for r in got:
+        i = int(r.source[1:])
+        assert r.slot == r.block // quota[i] * period + want[i, r.block % quota[i]]
+    assert [r.slot for r in got] == sorted(r.slot for r in got)
+    assert {r.block for r in got if r.source == "s299"} == {0, 1, 2}
+    assert max(r.slot for r in got if r.source == "s299") < 3 * period / quota[299] + 1
+
+
 def test_pii_equals_the_plain_patterns(spark):
     texts = ODD + [
         "mail a.b@c.de.fr, x@y@z.com @@q@w.e and a@b.c.d@e.f", "1.2.3.4.5.6.7.8 999.1.1.1 0001.2.3.4",

@@ -1,13 +1,15 @@
 """Operator 9: license scan by an exact set-similarity join with templates.
 
-A text block is a line. Its set are its distinct words; a template's set are
-the template's. A line carries a template's label when it holds at least
-``CONTAINMENT`` of the template's words. The join is exact: template words are
-ordered by their frequency in all documents, rarest first; a line that meets
-the threshold must hold one of the ``|T| - need + 1`` first words of the
-template (prefix filter), must have ``need`` words (length filter), and from
-the place of its first match at least ``need`` template words must remain
-(positional filter). What passes is verified by intersection.
+A text block is a window of words, anywhere in the text and over line breaks,
+``1 / CONTAINMENT`` times as long as the template. Its set are its distinct
+words; a template's set are the template's. A window carries a template's label
+when it holds at least ``CONTAINMENT`` of the template's words. The join is
+exact: template words are ordered by their frequency in all documents, rarest
+first; a window that meets the threshold must hold one of the ``|T| - need + 1``
+first words of the template (prefix filter). Texts are cut into chunks that
+overlap by a window; a chunk that holds such a word and ``need`` words of the
+template is verified window by window. On texts with every notice on a line of
+its own this gives what ``ORACLE_SQL`` gives, whose blocks are lines.
 
 The base phrases are found beside it in the same pass. DataFrame functions
 only; templates are a fixed table, so what is broadcast has a fixed size.
@@ -37,6 +39,8 @@ TEMPLATES = (
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
 )
 CONTAINMENT = 0.8
+#: Windows that start in one chunk.
+CHUNK = 512
 
 
 #: What stands between words, before and after A-Z are lower-cased.
@@ -48,16 +52,18 @@ def words_of(text: Column) -> Column:
 
 
 def template_rows(spark: SparkSession, templates) -> DataFrame:
-    """One row per template: t, label, tokens (distinct, lower case), n, need."""
+    """One row per template: t, label, tokens (distinct, lower case), n, need,
+    span (words of a window)."""
     rows = []
     for t, (label, text) in enumerate(templates):
         words = sorted(set(text.lower().split()))
-        rows.append((t, label, words, len(words), max(1, math.ceil(CONTAINMENT * len(words) - 1e-9))))
-    return spark.createDataFrame(rows, "t int, label string, tokens array<string>, n int, need int")
+        rows.append((t, label, words, len(words), max(1, math.ceil(CONTAINMENT * len(words) - 1e-9)),
+                     math.ceil(len(text.split()) / CONTAINMENT - 1e-9)))
+    return spark.createDataFrame(rows, "t int, label string, tokens array<string>, n int, need int, span int")
 
 
 def prefix_index(docs: DataFrame, text: str, templates) -> list:
-    """Rows (t, label, n, need, tokens, at, w): for each template its first
+    """Rows (t, label, n, need, span, tokens, at, w): for each template its first
     ``n - need + 1`` words in the order of document frequency, rarest first.
     The frequencies count every document; there is a row per word of the fixed
     templates, so what comes to the driver has a fixed size."""
@@ -68,26 +74,32 @@ def prefix_index(docs: DataFrame, text: str, templates) -> list:
     ranked = (table.select("t", F.explode("tokens").alias("w")).join(counts, "w", "left").na.fill(0, ["df"])
               .groupBy("t").agg(F.sort_array(F.collect_list(F.struct("df", "w"))).alias("x")))
     return (table.drop("tokens").join(ranked, "t").withColumn("tokens", F.expr("transform(x, y -> y.w)"))
-            .select("t", "label", "n", "need", "tokens", F.posexplode(F.expr("slice(tokens, 1, n - need + 1)"))
+            .select("t", "label", "n", "need", "span", "tokens", F.posexplode(F.expr("slice(tokens, 1, n - need + 1)"))
                     .alias("at", "w")).collect())
 
 
 def containments(docs: DataFrame, index: list, text: str) -> DataFrame:
-    """``__id``, label, score of every line that meets a template's threshold."""
+    """``__id``, label, score of every chunk with a window that meets a
+    template's threshold."""
     spark = docs.sparkSession
-    schema = "t int, label string, n int, need int, tokens array<string>, at int, w string"
+    schema = "t int, label string, n int, need int, span int, tokens array<string>, at int, w string"
     firsts = sorted({r.w for r in index})
-    seen = "(?i)" + "|".join(firsts)
-    lines = (docs.filter(F.col(text).rlike(seen))
-             .select("__id", F.explode(F.split(F.col(text), "\n", -1)).alias("line"))
-             .filter(F.col("line").rlike(seen))
-             .withColumn("set", F.array_distinct(words_of(ascii_lower(F.col("line"))))).drop("line")
-             .withColumn("firsts", F.array_intersect("set", F.array(*[F.lit(w) for w in firsts]))))
-    hits = (lines.withColumn("w", F.explode("firsts"))
+    longest = max(r.span for r in index)
+    chunks = (docs.filter(F.col(text).rlike("(?i)" + "|".join(firsts)))
+              .withColumn("words", words_of(ascii_lower(F.col(text))))
+              .select("__id", F.explode(F.expr(f"""transform(sequence(0, size(words) DIV {CHUNK}),
+                  c -> slice(words, c * {CHUNK} + 1, {CHUNK + longest - 1}))""")).alias("words"))
+              .withColumn("firsts", F.array_intersect("words", F.array(*[F.lit(w) for w in firsts])))
+              .filter("size(firsts) > 0"))
+    hits = (chunks.withColumn("w", F.explode("firsts"))
             .join(F.broadcast(spark.createDataFrame(index, schema)), "w")  # the fixed templates' prefixes
-            .filter("size(set) >= need AND n - at >= need")
-            .withColumn("shared", F.size(F.array_intersect("set", "tokens")).cast("double")))
-    return hits.filter("shared >= need").select("__id", "label", (F.col("shared") / F.col("n")).alias("score"))
+            .filter("size(array_intersect(words, tokens)) >= need")
+            # Once per chunk and template: by the first prefix word it holds.
+            .filter("NOT arrays_overlap(slice(tokens, 1, at), firsts)"))
+    starts = "filter(sequence(1, size(words)), i -> array_contains(tokens, words[i - 1]))"
+    most = f"array_max(transform({starts}, i -> size(array_intersect(slice(words, i, span), tokens))))"
+    return (hits.withColumn("shared", F.expr(most).cast("double")).filter("shared >= need")
+            .select("__id", "label", (F.col("shared") / F.col("n")).alias("score")))
 
 
 def find_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

@@ -330,6 +330,23 @@ def test_licenses_odd_cases(spark):
     assert licenses.find_licenses(documents(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_licenses_wrapped_notices(spark):
+    """Notices over several lines, with comment marks, before and after a chunk's end."""
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of\nthis software and associated "
+           "documentation files (the \"Software\"), to deal\nin the Software without restriction")
+    bsd = ("# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided "
+           "that the following conditions are\n# met:")
+    gpl = (" * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General\n"
+           " * Public License")
+    mpl = "// This Source Code Form is subject to the terms of the Mozilla\n// Public License, v. 2.0."
+    filler = "\n".join(f"w{i}" for i in range(500))
+    texts = [mit, bsd, gpl, mpl] + [f"{filler[:-5 * i or None]}\n{mit}\n{filler}" for i in range(8)]
+    texts.append(f" {'x ' * 40}".join(mit.split()))  # a template's words, far apart on a line
+    got = {r.doc_id: r for r in licenses.find_licenses(documents(spark, texts)).collect()}
+    assert [got[i].labels for i in range(len(texts))] == ["mit", "bsd", "gpl", "mpl"] + ["mit"] * 8 + [""]
+    assert got[0].score == got[1].score == got[11].score == 1.0 and got[12].score == 0.0
+
+
 def test_embeddings_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embed_join, "LEAF", 16)
     monkeypatch.setattr(embed_join, "SMALL", 5)

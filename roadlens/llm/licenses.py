@@ -3,7 +3,7 @@
 A text block is a window of words, anywhere in the text and over line breaks,
 ``1 / CONTAINMENT`` times as long as the template. Its set are its distinct
 words; a template's set are the template's. A window carries a template's label
-when it holds at least ``CONTAINMENT`` of the template's words. The join is
+when it holds at least ``CONTAINMENT`` of the template's words, with those that decide (``DECIDING``). The join is
 exact: template words are ordered by their frequency in all documents, rarest
 first; a window that meets the threshold must hold one of the ``|T| - need + 1``
 first words of the template (prefix filter). Texts are cut into chunks that
@@ -39,12 +39,17 @@ TEMPLATES = (
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
 )
 CONTAINMENT = 0.8
+#: Words that tell a notice from others of the same wording: a window must hold
+#: those of its template.
+DECIDING = frozenset(("mit", "apache", "gnu", "nc", "attribution", "mozilla"))
 #: Windows that start in one chunk.
 CHUNK = 512
 
 
 #: What stands between words, before and after A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: A character of a word.
+WORD = BETWEEN[:-1].replace("[", "[^", 1)
 
 
 def words_of(text: Column) -> Column:
@@ -53,17 +58,17 @@ def words_of(text: Column) -> Column:
 
 def template_rows(spark: SparkSession, templates) -> DataFrame:
     """One row per template: t, label, tokens (distinct, lower case), n, need,
-    span (words of a window)."""
+    span (words of a window), must (its deciding words)."""
     rows = []
     for t, (label, text) in enumerate(templates):
         words = sorted(set(text.lower().split()))
         rows.append((t, label, words, len(words), max(1, math.ceil(CONTAINMENT * len(words) - 1e-9)),
-                     math.ceil(len(text.split()) / CONTAINMENT - 1e-9)))
-    return spark.createDataFrame(rows, "t int, label string, tokens array<string>, n int, need int, span int")
+                     math.ceil(len(text.split()) / CONTAINMENT - 1e-9), sorted(DECIDING.intersection(words))))
+    return spark.createDataFrame(rows, "t int, label string, tokens array<string>, n int, need int, span int, must array<string>")
 
 
 def prefix_index(docs: DataFrame, text: str, templates) -> list:
-    """Rows (t, label, n, need, span, tokens, at, w): for each template its first
+    """Rows (t, label, n, need, span, must, tokens, at, w): for each template its first
     ``n - need + 1`` words in the order of document frequency, rarest first.
     The frequencies count every document; there is a row per word of the fixed
     templates, so what comes to the driver has a fixed size."""
@@ -74,7 +79,7 @@ def prefix_index(docs: DataFrame, text: str, templates) -> list:
     ranked = (table.select("t", F.explode("tokens").alias("w")).join(counts, "w", "left").na.fill(0, ["df"])
               .groupBy("t").agg(F.sort_array(F.collect_list(F.struct("df", "w"))).alias("x")))
     return (table.drop("tokens").join(ranked, "t").withColumn("tokens", F.expr("transform(x, y -> y.w)"))
-            .select("t", "label", "n", "need", "span", "tokens", F.posexplode(F.expr("slice(tokens, 1, n - need + 1)"))
+            .select("t", "label", "n", "need", "span", "must", "tokens", F.posexplode(F.expr("slice(tokens, 1, n - need + 1)"))
                     .alias("at", "w")).collect())
 
 
@@ -82,10 +87,10 @@ def containments(docs: DataFrame, index: list, text: str) -> DataFrame:
     """``__id``, label, score of every chunk with a window that meets a
     template's threshold."""
     spark = docs.sparkSession
-    schema = "t int, label string, n int, need int, span int, tokens array<string>, at int, w string"
+    schema = "t int, label string, n int, need int, span int, must array<string>, tokens array<string>, at int, w string"
     firsts = sorted({r.w for r in index})
     longest = max(r.span for r in index)
-    chunks = (docs.filter(F.col(text).rlike("(?i)" + "|".join(firsts)))
+    chunks = (docs.filter(F.col(text).rlike(f"(?i)(?<!{WORD})(?:{'|'.join(firsts)})(?!{WORD})"))
               .withColumn("words", words_of(ascii_lower(F.col(text))))
               .select("__id", F.explode(F.expr(f"""transform(sequence(0, size(words) DIV {CHUNK}),
                   c -> slice(words, c * {CHUNK} + 1, {CHUNK + longest - 1}))""")).alias("words"))
@@ -93,11 +98,12 @@ def containments(docs: DataFrame, index: list, text: str) -> DataFrame:
               .filter("size(firsts) > 0"))
     hits = (chunks.withColumn("w", F.explode("firsts"))
             .join(F.broadcast(spark.createDataFrame(index, schema)), "w")  # the fixed templates' prefixes
-            .filter("size(array_intersect(words, tokens)) >= need")
+            .filter("size(array_intersect(words, tokens)) >= need AND size(array_except(must, words)) = 0")
             # Once per chunk and template: by the first prefix word it holds.
             .filter("NOT arrays_overlap(slice(tokens, 1, at), firsts)"))
     starts = "filter(sequence(1, size(words)), i -> array_contains(tokens, words[i - 1]))"
-    most = f"array_max(transform({starts}, i -> size(array_intersect(slice(words, i, span), tokens))))"
+    held = f"filter(transform({starts}, i -> array_intersect(slice(words, i, span), tokens)), x -> size(array_except(must, x)) = 0)"
+    most = f"array_max(transform({held}, x -> size(x)))"
     return (hits.withColumn("shared", F.expr(most).cast("double")).filter("shared >= need")
             .select("__id", "label", (F.col("shared") / F.col("n")).alias("score")))
 

@@ -347,6 +347,17 @@ def test_licenses_wrapped_notices(spark):
     assert got[0].score == got[1].score == got[11].score == 1.0 and got[12].score == 0.0
 
 
+def test_licenses_need_their_deciding_words(spark):
+    texts = ["Licensed under CC BY 4.0.", "The label released the album under a new license",
+             "Licensed under the MPL License, Version 2.0.", "This work is licensed under the Eiffel Public License version 3",
+             "This Source Code Form is subject to the terms of the Eclipse Public License",
+             "This work is licensed under a Creative Commons Zero 4 International License",
+             "Released under the license.\n" + "word " * 30 + "mit", "Licensed under CC BY-NC 4.0.", "released under MIT license"]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.find_licenses(documents(spark, texts)).collect()}
+    assert [got[i] for i in range(7)] == [("", 0.0)] * 7
+    assert got[7] == ("cc-by-nc", 1.0) and got[8] == ("mit", 1.0)
+
+
 def test_embeddings_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embed_join, "LEAF", 16)
     monkeypatch.setattr(embed_join, "SMALL", 5)

@@ -5,7 +5,9 @@ of a source with weight w (its quota over the period) is released at slot
 ``floor(k / w)`` and due by slot ``ceil((k + 1) / w)``; in each slot the
 released block with the earliest deadline runs. The weights sum to one, so
 every block meets its window, and at every slot each source is less than one
-block away from its target share.
+block away from the share its quota gives. Quotas are weights rounded to
+``1 / resolution``, at least one: the distance to the unrounded weight can grow
+with every period (not bounded, see the README).
 
 Quotas are whole numbers, so the schedule repeats after ``sum(quota)`` slots.
 Only this one period is scheduled, on the driver (its length is set by

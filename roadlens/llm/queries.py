@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from roadlens.llm import chat, embed_join, licenses, mixing, ngram_join, packing, pii, quality, secrets, urls
+from roadlens.llm import (chat, collocations, divergence, embed_join, lattice, licenses, mixing, ngram_join, packing, pii, quality, secrets,
+                          urls)
 
 QUERIES = {
     "op1_pfair_mixing": mixing.op1_pfair_mixing,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_reply_tree_chat": chat.op8_reply_tree_chat,
     "op9_license_containment": licenses.op9_license_containment,
     "op10_epsilon_grid_join": embed_join.op10_epsilon_grid_join,
+    "op11_source_divergence": divergence.op11_source_divergence,
+    "op12_phrase_collocations": collocations.op12_phrase_collocations,
+    "op13_lattice_likelihood": lattice.op13_lattice_likelihood,
 }
 
 #: The others are tested against brute force, an exact round trip or held-out rows.
@@ -24,4 +28,6 @@ ORACLES = {
     "op8_reply_tree_chat": chat.ORACLE_SQL,
     "op9_license_containment": licenses.ORACLE_SQL,
     "op10_epsilon_grid_join": embed_join.ORACLE_SQL,
+    "op11_source_divergence": divergence.ORACLE_SQL,
+    "op12_phrase_collocations": collocations.ORACLE_SQL,
 }

@@ -6,8 +6,10 @@ lower-cased. They are tagged with their language and vectorised by Spark ML's
 tag makes a term's document frequency its language's own, so one fit is one per
 language, and every document becomes an exact sparse vector. The fit holds its
 vocabulary at the driver. Therefore terms are dealt by hash into as many shards
-as keep a shard under ``SHARD_TERMS`` terms (estimated from all distinct terms
-before), each fitted and vectorised by itself; one shard is the usual case.
+as keep a shard under ``SHARD_TERMS`` terms, each fitted and vectorised by
+itself; one shard is the usual case. The number of shards follows from the terms
+of one part in ``SAMPLE`` of the hash range that occur ``minDF`` times; it does
+not touch the result.
 
 The vectors are summed per (language, source) without making them dense, batch
 by batch and then across tasks. Pairs of sources are evaluated on the sparse
@@ -37,34 +39,59 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import UPPER, ascii_lower, kept_table, read, ship_package
+from roadlens.llm.common import UPPER, kept_table, read, ship_package
 
 MIN_DF = 10
 TOP = 10
 SCALE = 1_000_000_000
 MAX_VOCABULARY = 2**31 - 1
 SHARD_TERMS = 1 << 20
+SAMPLE = 64
 BLOCK_ENTRIES = 200_000
 #: Cells of a block's dense working table (8 bytes each).
 TILE = 1 << 20
 #: Sources are compared in stripes of about so many.
 STRIPE = 256
-NO_TERM = "[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
-_TAG = "\0"  # no term holds it
+BATCH_TERMS = 1 << 21
+_TAG = b"\0"  # no term holds it
+_LETTERS = b"abcdefghijklmnopqrstuvwxyz"
+#: A-Z lower-cased, the other ASCII characters that are no letters as spaces.
+_TERM_BYTES = bytes(b if b > 127 or b in _LETTERS else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
-def terms_of(text: Column) -> Column:
-    return F.filter(F.split(ascii_lower(text), NO_TERM, -1), lambda w: w != "")
+def terms_of(text: bytes) -> list[bytes]:
+    """Every byte of a character beyond ASCII belongs to a term."""
+    return text.translate(_TERM_BYTES).split()
 
 
-def tagged(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+def _term_rows(batches: Iterator[pa.RecordBatch], batch_terms: int) -> Iterator[pa.RecordBatch]:
+    """The terms of each text, their language before them."""
+    for batch in batches:
+        terms, ends = [], [0]
+        for lang, text in zip(batch.column("lang").cast(pa.binary()).to_pylist(), batch.column("text").cast(pa.binary())):
+            tag = lang + _TAG
+            terms += [tag + w for w in terms_of(text.as_py())]
+            ends.append(len(terms))
+            if len(terms) >= batch_terms:
+                yield _listed(batch, terms, ends)
+                batch, terms, ends = batch.slice(len(ends) - 1), [], [0]
+        yield _listed(batch, terms, ends)
+
+
+def _listed(batch: pa.RecordBatch, terms: list, ends: list) -> pa.RecordBatch:
+    listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(terms, pa.binary()).cast(pa.string()))
+    return pa.RecordBatch.from_arrays([c.slice(0, len(listed)) for c in (batch.column("lang"), batch.column("source"))]
+                                      + [listed], names=["lang", "source", "terms"])
+
+
+def tagged(docs: DataFrame, text_col: str, lang_col: str, source_col: str,
+           batch_terms: int = BATCH_TERMS) -> DataFrame:
     """(lang, source, terms): the terms with their language before them."""
     def given(c: str) -> Column:
         return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
-    rows = docs.select(given(lang_col).alias("lang"), given(source_col).alias("source"),
-                       terms_of(given(text_col)).alias("terms"))
-    return rows.withColumn("terms", F.transform("terms", lambda w: F.concat("lang", F.lit(_TAG), w)))
+    return docs.select(given(lang_col).alias("lang"), given(source_col).alias("source"), given(text_col).alias("text")
+                       ).mapInArrow(lambda batches: _term_rows(batches, batch_terms), "lang string, source string, terms array<string>")
 
 
 def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,9 +120,9 @@ def sparse_sums(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD_
     """(lang, source, term, count) of the kept terms, counts above 0, of what
     ``tagged`` gives."""
     spark = docs.sparkSession
-    distinct = docs.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t", 0.02)).first()[0]
-    # The estimate errs by a few per cent; distinct terms are more than kept ones.
-    shards = max(1, math.ceil(1.25 * distinct / shard_terms))
+    sample = (docs.select(F.explode("terms").alias("t")).filter(F.pmod(F.xxhash64(F.lit("sample"), "t"), F.lit(SAMPLE)) == 0)
+              .groupBy("t").count().filter(F.col("count") >= min_df).count())
+    shards = max(1, math.ceil(1.25 * sample * SAMPLE / shard_terms))
     out = None
     for s in range(shards):
         part = docs if shards == 1 else docs.withColumn(
@@ -110,7 +137,7 @@ def sparse_sums(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD_
                 .groupBy("lang", "source", "index").agg(F.sum("count").alias("count")))
         names = spark.createDataFrame(pa.table({
             "index": pa.array(np.arange(len(vocabulary), dtype=np.int32)),
-            "term": pa.array([w.rsplit(_TAG, 1)[1] for w in vocabulary], pa.string())}))
+            "term": pa.array([w.rsplit(_TAG.decode(), 1)[1] for w in vocabulary], pa.string())}))
         named = kept_table(sums.join(names, "index").select("lang", "source", "term", "count"), "divergence-sums")
         out = named if out is None else out.unionByName(named)
     return out if out is not None else spark.createDataFrame(
@@ -170,11 +197,12 @@ def _pair_sums(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
 
 def audit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
           min_df: int = MIN_DF, top: int = TOP, shard_terms: int = SHARD_TERMS,
-          block_entries: int = BLOCK_ENTRIES, stripe_sources: int = STRIPE) -> DataFrame:
+          block_entries: int = BLOCK_ENTRIES, stripe_sources: int = STRIPE,
+          batch_terms: int = BATCH_TERMS) -> DataFrame:
     """See ``op11_source_divergence`` for the columns."""
     spark = docs.sparkSession
     ship_package(spark)
-    rows = tagged(docs, text_col, lang_col, source_col)
+    rows = kept_table(tagged(docs, text_col, lang_col, source_col, batch_terms), "divergence-documents")
     counts = sparse_sums(rows, min_df, shard_terms)
     whole = kept_table(counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count")), "divergence-terms")
     langs = whole.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_count").alias("lang_n"))

@@ -39,7 +39,8 @@ MIN_COUNT = 10
 COVERED_PERCENT = 50
 TOP = 2000
 DEPTH = 3
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 19
+PACKED_SYMBOLS = 1 << 21
 #: The bit set of frequent parts holds 16 bits a part, at most 2^27 (16 MB).
 MIN_BITS, MAX_BITS = 20, 27
 SCALE = 1_000_000
@@ -55,28 +56,42 @@ def tokens_of(text: bytes) -> list[bytes]:
     return [w for w in text.translate(_BYTES).replace(b"\n", b" \n ").split(b" ") if w]
 
 
+def _order(key: np.ndarray) -> np.ndarray:
+    """A stable argsort. Where the key leaves room for the place beside it,
+    plain sorting of both together is several times as fast."""
+    bits = len(key).bit_length()
+    if len(key) and int(key.max()) < 1 << (63 - bits):
+        packed = key << bits | np.arange(len(key))
+        packed.sort()
+        return packed & ((1 << bits) - 1)
+    return np.argsort(key, kind="stable")
+
+
 class ShardIndex:
     """Bidirectional FM-index over ``ids``: symbols up to ``sigma``, 0 between
-    pieces. The text is cyclic, and 0 at its start keeps both ends apart."""
+    pieces. The text is cyclic, and 0 at its start keeps both ends apart. Each
+    side is built when it is first extended."""
 
     def __init__(self, ids: np.ndarray, sigma: int):
-        after, before = np.roll(ids, -1), np.roll(ids, 1)
-        base = np.int64(sigma + 1)
-        self.sigma = sigma
+        self.ids, self.sigma, self.sides = ids, sigma, {}
         self.counts = np.bincount(ids, minlength=sigma + 1)
         self.first = np.concatenate([[0], np.cumsum(self.counts)])[:-1]
-        forward = np.argsort((ids * base + after) * base + np.roll(ids, -2), kind="stable")
-        self.left, self.left_row = self._steps(before[forward])
-        reverse = np.argsort((ids * base + before) * base + np.roll(ids, 2), kind="stable")
-        self.right, self.right_row = self._steps(after[reverse])
-
-    @staticmethod
-    def _steps(bwt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The last column, and for each row where its last symbol's rows begin
-        plus the symbol's rank: the row that one step leads to."""
-        lf = np.empty(len(bwt), np.int64)
-        lf[np.argsort(bwt, kind="stable")] = np.arange(len(bwt))
-        return bwt, lf
+
+    def side(self, side: str) -> tuple[np.ndarray, np.ndarray]:
+        """Of the forward (left) or reverse (right) index: its last column, and
+        for each row where its last symbol's rows begin plus the symbol's rank,
+        the row that one step leads to."""
+        if side not in self.sides:
+            way, base = -1 if side == "left" else 1, np.int64(self.sigma + 1)
+            one, two = np.roll(self.ids, way), np.roll(self.ids, 2 * way)
+            # Three symbols fit a key unless one text brings millions of words.
+            rows = (np.argsort((self.ids * base + one) * base + two) if base < PACKED_SYMBOLS else
+                    np.lexsort((two, one, self.ids)))
+            last = np.roll(self.ids, -way)[rows]
+            step = np.empty(len(last), np.int64)
+            step[_order(last)] = np.arange(len(last))
+            self.sides[side] = last, step
+        return self.sides[side]
 
     def words(self, keep: np.ndarray) -> dict:
         """Intervals of the single symbols that ``keep`` allows."""
@@ -88,13 +103,13 @@ class ShardIndex:
     def extend(self, at: dict, side: str, keep: np.ndarray) -> dict:
         """All one-symbol extensions of the intervals ``at`` on one side by
         symbols that ``keep`` allows, with their counts."""
-        own, other, last, step = (("fwd", "rev", self.left, self.left_row) if side == "left" else
-                                  ("rev", "fwd", self.right, self.right_row))
+        own, other = ("fwd", "rev") if side == "left" else ("rev", "fwd")
+        last, step = self.side(side)
         starts = np.cumsum(at["n"]) - at["n"]
         parent = np.repeat(np.arange(len(at["n"])), at["n"])
         rows = np.arange(len(parent)) + np.repeat(at[own] - starts, at["n"])
         key = parent * np.int64(self.sigma + 1) + last[rows]
-        order = np.argsort(key, kind="stable")
+        order = _order(key)
         key = key[order]
         begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
         counts = np.diff(np.concatenate([begin, [len(key)]]))
@@ -184,13 +199,14 @@ class _Shard:
             names=["lang", "phrase", "n"])
 
 
-def _sharded(batches: Iterator[pa.RecordBatch], length: int, word_bits, pair_bits) -> Iterator[pa.RecordBatch]:
+def _sharded(batches: Iterator[pa.RecordBatch], length: int, shard_words: int, word_bits,
+             pair_bits) -> Iterator[pa.RecordBatch]:
     shard = _Shard()
     for batch in batches:
         langs, texts = batch.column("lang").cast(pa.binary()), batch.column("text").cast(pa.binary())
-        for lang, text in zip(langs, texts):
-            shard.add(lang.as_py(), text.as_py())
-            if shard.size >= SHARD_WORDS:
+        for lang, text in zip(langs.to_pylist(), texts):
+            shard.add(lang, text.as_py())
+            if shard.size >= shard_words:
                 yield from _slices(shard.phrases(length, word_bits, pair_bits))
                 shard = _Shard()
     if shard.size:
@@ -202,12 +218,14 @@ def _slices(batch: pa.RecordBatch, rows: int = 100_000) -> Iterator[pa.RecordBat
         yield batch.slice(at, rows)
 
 
-def phrase_counts(docs: DataFrame, length: int, word_bits=None, pair_bits=None) -> DataFrame:
+def phrase_counts(docs: DataFrame, length: int, word_bits=None, pair_bits=None,
+                  shard_words: int = SHARD_WORDS) -> DataFrame:
     """(lang, phrase, n): the occurrences of all phrases of ``length`` words
     that the bit sets allow, summed across shards. ``docs``: lang, text."""
     sc = docs.sparkSession.sparkContext
     sent = sc.broadcast((word_bits, pair_bits))
-    return (docs.mapInArrow(lambda batches: _sharded(batches, length, *sent.value), "lang string, phrase string, n long")
+    return (docs.mapInArrow(lambda batches: _sharded(batches, length, shard_words, *sent.value),
+                            "lang string, phrase string, n long")
             .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
 
 
@@ -222,19 +240,21 @@ def _cut(l: str, r: str) -> Column:
 
 
 def collocations(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT,
-                 top: int = TOP) -> DataFrame:
+                 top: int = TOP, shard_words: int = SHARD_WORDS) -> DataFrame:
     """The ``top`` phrases of two or three words per language; see
     ``op12_phrase_collocations`` for the columns."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNDEFINED)).alias("lang"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    words = kept_table(phrase_counts(rows, 1), "phrase-words")
+    words = kept_table(phrase_counts(rows, 1, shard_words=shard_words), "phrase-words")
     total = words.groupBy("lang").agg(F.sum("n").alias("total"))
     frequent = words.filter(F.col("n") >= min_count)
     word_bits = bit_set(frequent, _word_hash(F.col("phrase")))
-    pairs = kept_table(phrase_counts(rows, 2, word_bits).filter(F.col("n") >= min_count), "phrase-pairs")
+    pairs = phrase_counts(rows, 2, word_bits, shard_words=shard_words).filter(F.col("n") >= min_count)
+    pairs = kept_table(pairs, "phrase-pairs")
     pair_bits = bit_set(pairs, _pair_hash(_word_hash(_word(0)), _word_hash(_word(1))))
-    triples = kept_table(phrase_counts(rows, 3, word_bits, pair_bits).filter(F.col("n") >= min_count), "phrase-triples")
+    triples = phrase_counts(rows, 3, word_bits, pair_bits, shard_words).filter(F.col("n") >= min_count)
+    triples = kept_table(triples, "phrase-triples")
 
     def part(table: DataFrame, name: str, count: str) -> DataFrame:
         return small_enough(table.select("lang", F.col("phrase").alias(name), F.col("n").alias(count)))

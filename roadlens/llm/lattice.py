@@ -27,7 +27,7 @@ not read.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,8 +44,9 @@ ROUNDS = 2
 FREQUENT = 200_000
 #: Words counted together before they are handed on.
 COUNTED_WORDS = 500_000
-SPACE_MARK = "▁"
-END = "</s>"
+#: A word's start: in the vocabulary file, and here as a byte that no word holds.
+SPACE_MARK, MARK = "▁", b" "
+NEVER = -math.inf
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -74,7 +75,7 @@ def initial_scores(path: str) -> tuple[list[bytes], np.ndarray]:
         piece = model.id_to_piece(i)
         if model.is_control(i) or model.is_unknown(i) or SPACE_MARK in piece[1:]:
             continue
-        key = bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.encode()
+        key = bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace(SPACE_MARK, MARK.decode()).encode()
         rank = size if model.is_byte(i) else -model.get_score(i)
         weight[key] = weight.get(key, 0.0) + 1 / (rank + ZIPF)
     for b in range(256):  # a vocabulary without byte pieces
@@ -88,72 +89,77 @@ class Lattice:
     """Segmentations of words into pieces with log probabilities."""
 
     def __init__(self, pieces: list[bytes], logs: np.ndarray):
-        #: Piece, or start of a longer piece, to the piece's number (or -1).
-        self.known: dict[bytes, int] = {}
-        for p in pieces:
-            for j in range(1, len(p)):
-                self.known.setdefault(p[:j], -1)
-        for i, p in enumerate(pieces):
-            self.known[p] = i
-        self.logs = [float(x) for x in logs]
-
-    def edges(self, word: bytes) -> Iterator[tuple[int, int, int]]:
-        """(start, end, piece) in order of the starts."""
-        known, n = self.known, len(word)
-        for i in range(n):
-            for j in range(i + 1, n + 1):
-                p = known.get(word[i:j])
-                if p is None:
-                    break
-                if p >= 0:
-                    yield i, j, p
+        #: A piece to its log probability; a mere start of longer ones to 1.
+        self.logs: dict[bytes, float] = {p[:j]: 1.0 for p in pieces for j in range(1, len(p))}
+        self.logs.update(zip(pieces, logs.tolist()))
+        self.number = {p: i for i, p in enumerate(pieces)}
 
     def forward(self, word: bytes) -> float:
         """The log of the summed probability of all segmentations."""
-        return self._forward(word, list(self.edges(word)))[-1]
-
-    def _forward(self, word: bytes, edges: list) -> list[float]:
-        exp, log1p, logs = math.exp, math.log1p, self.logs
-        alpha = [-math.inf] * (len(word) + 1)
+        exp, log1p, get, n = math.exp, math.log1p, self.logs.get, len(word)
+        alpha = [NEVER] * (n + 1)
         alpha[0] = 0.0
-        for i, j, p in edges:
-            x, y = alpha[i] + logs[p], alpha[j]
-            alpha[j] = x + log1p(exp(y - x)) if x > y else y + log1p(exp(x - y))
-        return alpha
+        for i in range(n):
+            here = alpha[i]
+            for j in range(i + 1, n + 1):
+                log = get(word[i:j])
+                if log is None:
+                    break
+                if log <= 0:
+                    x, y = here + log, alpha[j]
+                    if y == NEVER:
+                        alpha[j] = x
+                    else:
+                        alpha[j] = x + log1p(exp(y - x)) if x > y else y + log1p(exp(x - y))
+        return alpha[n]
 
-    def expected(self, word: bytes, times: float, out: np.ndarray) -> None:
+    def expected(self, word: bytes, times: float, out: dict[bytes, float]) -> None:
         """Adds the expected number of each piece in ``times`` occurrences."""
-        exp, log1p, logs = math.exp, math.log1p, self.logs
-        edges = list(self.edges(word))
-        alpha = self._forward(word, edges)
-        beta = [-math.inf] * (len(word) + 1)
-        beta[-1] = 0.0
-        total = alpha[-1]
-        for i, j, p in reversed(edges):
-            x, y = beta[j] + logs[p], beta[i]
-            out[p] += times * exp(alpha[i] + x - total)
-            beta[i] = x + log1p(exp(y - x)) if x > y else y + log1p(exp(x - y))
+        exp, log1p, get, n = math.exp, math.log1p, self.logs.get, len(word)
+        alpha, beta = [NEVER] * (n + 1), [NEVER] * (n + 1)
+        alpha[0] = beta[n] = 0.0
+        edges = []
+        for i in range(n):
+            here = alpha[i]
+            for j in range(i + 1, n + 1):
+                piece = word[i:j]
+                log = get(piece)
+                if log is None:
+                    break
+                if log <= 0:
+                    edges.append((i, j, piece, log))
+                    x, y = here + log, alpha[j]
+                    if y == NEVER:
+                        alpha[j] = x
+                    else:
+                        alpha[j] = x + log1p(exp(y - x)) if x > y else y + log1p(exp(x - y))
+        total = alpha[n]
+        for i, j, piece, log in reversed(edges):
+            x, y = beta[j] + log, beta[i]
+            out[piece] += times * exp(alpha[i] + x - total)
+            if y == NEVER:
+                beta[i] = x
+            else:
+                beta[i] = x + log1p(exp(y - x)) if x > y else y + log1p(exp(x - y))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n, c): occurrences in all and in the training texts."""
     def rows():
-        words = list(total)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()).cast(pa.string()), pa.array([total[w] for w in words], pa.int64()),
-             pa.array([training[w] for w in words], pa.int64())], names=["word", "n", "c"])
+        for held, counted in counts.items():
+            n = pa.array(counted.values(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(counted, pa.binary()).cast(pa.string()), n, pa.array([0] * len(n), pa.int64()) if held else n],
+                names=["word", "n", "c"])
+            counted.clear()
 
-    total, training = Counter(), Counter()
+    counts = {True: Counter(), False: Counter()}
     for batch in batches:
-        for text, held in zip(batch.column("text").cast(pa.binary()), batch.column("held_out")):
-            words = words_of(text.as_py())
-            total.update(words)
-            if not held.as_py():
-                training.update(words)
-            if len(total) >= COUNTED_WORDS:
-                yield rows()
-                total, training = Counter(), Counter()
-    yield rows()
+        for text, held in zip(batch.column("text").cast(pa.binary()), batch.column("held_out").to_pylist()):
+            counts[held].update(words_of(text.as_py()))
+            if len(counts[held]) >= COUNTED_WORDS:
+                yield from rows()
+    yield from rows()
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -167,18 +173,16 @@ def learn(words: DataFrame, n_training: int, path: str, rounds: int = ROUNDS) ->
     driver holds one number per piece of the vocabulary."""
     pieces, logs = initial_scores(path)
     prior = PRIOR * np.exp(logs)
-    mark = SPACE_MARK.encode()
     for _ in range(rounds):
         sent = words.sparkSession.sparkContext.broadcast((pieces, logs))
 
         def e_step(batches):
-            lattice = Lattice(*sent.value)
-            out = np.zeros(len(sent.value[0]))
+            lattice, out = Lattice(*sent.value), defaultdict(float)
             for batch in batches:
-                for word, c in zip(batch.column("word").cast(pa.binary()), batch.column("c")):
-                    lattice.expected(mark + word.as_py(), c.as_py(), out)
-            at = np.flatnonzero(out)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[at])], names=["piece", "expected"])
+                for word, c in zip(batch.column("word").cast(pa.binary()).to_pylist(), batch.column("c").to_pylist()):
+                    lattice.expected(MARK + word, c, out)
+            yield pa.RecordBatch.from_arrays([pa.array([lattice.number[p] for p in out], pa.int64()),
+                                              pa.array(out.values(), pa.float64())], names=["piece", "expected"])
 
         rows = (words.filter("c > 0").select("word", "c").mapInArrow(e_step, "piece long, expected double")
                 .groupBy("piece").agg(F.sum("expected").alias("expected")).collect())
@@ -218,12 +222,11 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     pieces, logs = learn(words, n_training, path or vocabulary_path(), rounds)
     model = spark.sparkContext.broadcast((pieces, logs))
     floor = math.log10(total + distinct + 1)
-    mark = SPACE_MARK.encode()
 
     def of_words(batches):
         lattice = Lattice(*model.value)
         for batch in batches:
-            score = [lattice.forward(mark + w.as_py()) / math.log(10) for w in batch.column("word").cast(pa.binary())]
+            score = [lattice.forward(MARK + w) / math.log(10) for w in batch.column("word").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())],
                                              names=["word", "n", "c", "score"])
 
@@ -236,23 +239,23 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     end = (n_training > 0, math.log10(n_training + 1) - floor, float(logs[-1]) / math.log(10))
 
     def of_texts(batches):
-        table = sent.value
+        get = sent.value.get
         for batch in batches:
             out = []
             for text in batch.column("text").cast(pa.binary()):
-                counts = Counter(words_of(text.as_py()))
-                n, n_known, base, score = 1, *end
+                words = words_of(text.as_py())
+                n_known, base, score = end
                 rare = []
-                for w, k in counts.items():
-                    n += k
-                    hit = table.get(w)
+                for w, k in Counter(words).items():
+                    hit = get(w)
                     if hit is None:
                         rare.append({"word": w, "k": k})
                     else:
-                        n_known += k * hit[0]
-                        base += k * hit[1]
-                        score += k * hit[2]
-                out.append((n, int(n_known), base, score, rare))
+                        known, b, s = hit
+                        n_known += k * known
+                        base += k * b
+                        score += k * s
+                out.append((len(words) + 1, int(n_known), base, score, rare))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("id"), batch.column("held_out"),
                  *[pa.array([o[j] for o in out], t) for j, t in enumerate(

@@ -39,7 +39,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import UPPER, kept_table, read, ship_package
+from roadlens.llm.common import UPPER, kept_table, read, ship_package, small_enough
 
 MIN_DF = 10
 TOP = 10
@@ -47,6 +47,7 @@ SCALE = 1_000_000_000
 MAX_VOCABULARY = 2**31 - 1
 SHARD_TERMS = 1 << 20
 SAMPLE = 64
+SUM_RUN = 1 << 12
 BLOCK_ENTRIES = 200_000
 #: Cells of a block's dense working table (8 bytes each).
 TILE = 1 << 20
@@ -109,11 +110,16 @@ def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(key, kind="stable")
         key, begin = np.unique(key[order], return_index=True)
         total = np.add.reduceat(count[order], begin) if len(key) else count
+        # One row per group and run of SUM_RUN indices.
+        index = key & 0xFFFFFFFF
+        run = key >> 32 << 32 | index // SUM_RUN
+        starts = np.flatnonzero(np.diff(run, prepend=-1))
+        ends = pa.array(np.append(starts, len(run)).astype(np.int32))
         first = np.unique(code, return_index=True)[1]
-        group = groups.take(pa.array(first[key >> 32]))
         yield pa.RecordBatch.from_arrays(
-            [*group.flatten(), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(total)],
-            names=["lang", "source", "index", "count"])
+            [*groups.take(pa.array(first[run[starts] >> 32])).flatten(), pa.array((index[starts] // SUM_RUN).astype(np.int32)),
+             pa.ListArray.from_arrays(ends, pa.array(index.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(total))],
+            names=["lang", "source", "run", "indices", "counts"])
 
 
 def sparse_sums(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD_TERMS) -> DataFrame:
@@ -127,14 +133,19 @@ def sparse_sums(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD_
     for s in range(shards):
         part = docs if shards == 1 else docs.withColumn(
             "terms", F.filter("terms", lambda x: F.pmod(F.xxhash64(x), F.lit(shards)) == s))  # noqa: B023
+        # Document frequencies need a document's distinct terms only.
+        once = part.select(F.array_distinct("terms").alias("terms"))
         model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df),
-                                vocabSize=MAX_VOCABULARY).fit(part)
+                                vocabSize=MAX_VOCABULARY).fit(once)
         vocabulary = model.vocabulary
         if not vocabulary:
             continue
         sums = (model.transform(part).select("lang", "source", "vector")
-                .mapInArrow(_group_sums, "lang string, source string, index int, count long")
-                .groupBy("lang", "source", "index").agg(F.sum("count").alias("count")))
+                .mapInArrow(_group_sums, "lang string, source string, run int, indices array<int>, counts array<long>")
+                # Shuffled as arrays; summing by index needs no further exchange.
+                .repartition("lang", "source", "run")
+                .select("lang", "source", "run", F.inline(F.arrays_zip("indices", "counts")).alias("index", "count"))
+                .groupBy("lang", "source", "run", "index").agg(F.sum("count").alias("count")))
         names = spark.createDataFrame(pa.table({
             "index": pa.array(np.arange(len(vocabulary), dtype=np.int32)),
             "term": pa.array([w.rsplit(_TAG.decode(), 1)[1] for w in vocabulary], pa.string())}))
@@ -205,7 +216,8 @@ def audit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", so
     rows = kept_table(tagged(docs, text_col, lang_col, source_col, batch_terms), "divergence-documents")
     counts = sparse_sums(rows, min_df, shard_terms)
     whole = kept_table(counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count")), "divergence-terms")
-    langs = whole.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_count").alias("lang_n"))
+    langs = kept_table(whole.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_count").alias("lang_n")),
+                       "divergence-langs")
     sizes = counts.groupBy("lang", "source").agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("entries"))
     # One row per group, with the p of the terms that it lacks, and the blocks of its language.
     groups = (rows.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
@@ -238,8 +250,8 @@ def audit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", so
              .select("lang", F.explode(F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")),
                                                F.struct(F.col("b").alias("source"), F.col("a").alias("item"))))
                      .alias("x"), "value").select("lang", "x.source", "x.item", "value"))
-    terms = (cells.join(whole, ["lang", "term"]).join(langs, "lang")
-             .withColumn("q", scaled("lang_count", "lang_n", "v")).filter("p > q")
+    overall = whole.join(small_enough(langs), "lang").select("lang", "term", scaled("lang_count", "lang_n", "v").alias("q"))
+    terms = (cells.join(overall, ["lang", "term"]).filter("p > q")
              .select("lang", "source", F.col("term").alias("item"), divergence("p", "q").alias("value")))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = [t.withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit(part))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import kept_table, read, ship_package, small_enough
+from roadlens.llm.common import kept_table, read, ship_package
 
 MIN_COUNT = 10
 COVERED_PERCENT = 50
@@ -44,6 +44,9 @@ PACKED_SYMBOLS = 1 << 21
 #: The bit set of frequent parts holds 16 bits a part, at most 2^27 (16 MB).
 MIN_BITS, MAX_BITS = 20, 27
 SCALE = 1_000_000
+RANK_PARTS = 64
+#: Tables of counts up to this size are sent to every executor.
+SENT_ROWS, SENT_BYTES = 500_000, 1 << 24
 UNDEFINED = "und"
 
 #: Bytes of a text: A-Z lower-cased, piece ends as \\n, tabs as spaces.
@@ -229,6 +232,13 @@ def phrase_counts(docs: DataFrame, length: int, word_bits=None, pair_bits=None,
             .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
 
 
+def sent_if_small(table: DataFrame) -> DataFrame:
+    """``table`` (written; lang, phrase, n) with a broadcast hint if its rows and
+    bytes are counted and few; beyond that the join shuffles both sides."""
+    size = table.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("lang") + F.octet_length("phrase")).alias("bytes")).first()
+    return F.broadcast(table) if size.rows <= SENT_ROWS and (size.bytes or 0) <= SENT_BYTES else table
+
+
 def _word(i: int) -> Column:
     return F.get(F.split("phrase", " "), F.lit(i))
 
@@ -257,7 +267,7 @@ def collocations(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     triples = kept_table(triples, "phrase-triples")
 
     def part(table: DataFrame, name: str, count: str) -> DataFrame:
-        return small_enough(table.select("lang", F.col("phrase").alias(name), F.col("n").alias(count)))
+        return sent_if_small(table).select("lang", F.col("phrase").alias(name), F.col("n").alias(count))
 
     single = kept_table(frequent, "phrase-frequent")
     two = (pairs.withColumnRenamed("n", "a").withColumns({"x": _word(0), "y": _word(1)})
@@ -278,8 +288,12 @@ def collocations(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
             .filter(F.expr(f"longer IS NULL OR 100 * longer < {COVERED_PERCENT} * a"))
             .select("lang", "phrase", "a", "l", "r", "score")
             .unionByName(three.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    # One row per language.
+    # The best of each part of a language first, so that no task sorts all of them.
+    best = [F.desc("score"), F.desc("a"), "phrase"]
+    parts = Window.partitionBy("lang", "part").orderBy(*best)
+    kept = (kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)))
+            .withColumn("rank", F.row_number().over(parts)).filter(F.col("rank") <= top).drop("part", "rank"))
+    order = Window.partitionBy("lang").orderBy(*best)
     return (kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
             .join(total, "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r",

@@ -77,7 +77,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, rank of the kind, end) of the base kinds, in this order."""
     out = [(a, 0, b) for a, b in emails(text)] if "@" in text else []
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") for p in m[0].split(".")]  # int() refuses thousands of digits
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             out.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         d = m[0].replace(" ", "").replace("-", "")

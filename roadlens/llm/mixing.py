@@ -136,18 +136,19 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
 
 
 def with_position(docs: DataFrame, position_col: str, *, id_col: str = "doc_id", **settings) -> DataFrame:
-    """``docs``, all rows and columns, with their position in ``mix``, sorted
-    by it; rows that repeat an id share its first position."""
+    """``docs``, all rows and columns, with their position in ``mix``, in any
+    order; rows that repeat an id share its first position."""
     places = (mix(docs, id_col=id_col, **settings).groupBy(F.col(id_col).alias("__mixed"))
               .agg(F.min("position").alias("__position")))
-    return (docs.join(places, docs[id_col].eqNullSafe(places["__mixed"])).orderBy("__position")
+    return (docs.join(places, docs[id_col].eqNullSafe(places["__mixed"]))
             .select(*[docs[c] for c in docs.columns], F.col("__position").alias(position_col)))
 
 
 def in_mixed_order(docs: DataFrame, *, id_col: str = "doc_id", **settings) -> DataFrame:
     """``docs``, all rows and columns, sorted by their position in ``mix``;
     rows that repeat an id stand together at its first position."""
-    return with_position(docs, "__place", id_col=id_col, **settings).select(*[f"`{c}`" for c in docs.columns])
+    placed = with_position(docs, "__place", id_col=id_col, **settings)
+    return placed.orderBy("__place").select(*[f"`{c}`" for c in docs.columns])
 
 
 def op1_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

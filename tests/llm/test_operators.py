@@ -9,7 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
-
+from pyspark.sql import functions as F
 
 from roadlens.llm import chat, embed_join, graph, licenses, mixing, ngram_join, packing, pii, quality, secrets, urls
 
@@ -424,3 +424,20 @@ def test_pipeline_output_follows_the_mix(spark, monkeypatch):
     (mostly_a, first_a), (mostly_b, first_b) = packed({"a": 0.9, "b": 0.1}), packed({"a": 0.1, "b": 0.9})
     assert mostly_a.keys() == mostly_b.keys() and mostly_a != mostly_b
     assert {first_a[i][1] % 2 for i in range(5)} == {0} and {first_b[i][1] % 2 for i in range(5)} == {1}
+
+
+def test_ip_parts_of_thousands_of_digits():
+    """Leading zeros count for nothing, however many."""
+    text = "0" * 5000 + ".1.1.1 and " + "9" * 5000 + ".1.1.1"
+    assert [s for s in pii.base_spans(text) if s[1] == 1] == [(0, 1, 5006)]
+
+
+def test_pipeline_takes_tables_that_name_a_place_in_the_mix(spark):
+    import corpus_pipeline as P
+
+    docs = documents(spark, ["some words of a text"] * 40, ["a", "b"]).withColumn("mix_position", F.lit("own"))
+    mixed = P.mix_sources(spark, docs, "")
+    assert mixed.columns == [*docs.columns, "mix_position_"] and {r.mix_position for r in mixed.collect()} == {"own"}
+    assert sorted(r.mix_position_ for r in mixed.collect()) == list(range(40))
+    packed = P.pack_sequences(spark, mixed, "").collect()
+    assert {r.doc_id for r in packed} == set(range(40))

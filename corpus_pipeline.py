@@ -16,10 +16,16 @@ from roadlens.llm.common import kept_table, read
 
 #: Target weights of the mix by source; None: operator 1's own.
 MIX_WEIGHTS: dict | None = None
-#: The column that carries a document's place in the mix to the packing.
+#: The column that carries a document's place in the mix to the packing, with
+#: as many underscores behind it as set it apart from the table's own columns.
 MIX_POSITION = "mix_position"
 
 
+def position_columns(docs: DataFrame) -> list[str]:
+    """The columns named like the place in the mix, the latest given last."""
+    return sorted((c for c in docs.columns if c.lower().rstrip("_") == MIX_POSITION), key=len)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: rejected documents go."""
     return quality.keep_good(docs, read(spark, sf_dir, "labels"))
@@ -38,14 +44,15 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: all documents, in the order of the mix, with their place in it."""
-    return mixing.with_position(docs, MIX_POSITION, weights=MIX_WEIGHTS)
+    """Operator 1: all documents, with their place in the mix."""
+    taken = position_columns(docs)
+    return mixing.with_position(docs, f"{taken[-1]}_" if taken else MIX_POSITION, weights=MIX_WEIGHTS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: the pieces of the documents and their places in sequences,
     which follow the mix where the documents carry it."""
-    return packing.pack(docs, order_col=MIX_POSITION if MIX_POSITION in docs.columns else None)
+    return packing.pack(docs, order_col=next(reversed(position_columns(docs)), None))
 
 
 STAGES = [

@@ -3,56 +3,77 @@ imu readings to can_bus readings, F3 maintenance labels.
 
 All three are range computations per vehicle. A window partitioned by vehicle
 alone would put a hot vehicle's whole history in one task, so each is
-partitioned by (vehicle, time bucket) instead, with the bucket width equal to
-the range. Rows that a neighbouring bucket needs as context are copied into it
-(flagged, never emitted), which keeps the result exact while every task holds
-at most two buckets of one vehicle.
+partitioned by (vehicle, time bucket) instead. Rows that a neighbouring bucket
+needs as context are copied into it, which keeps the result exact while a task
+holds at most two buckets of one vehicle. The frames only ever grow, so the
+time is linear in a bucket's rows after sorting.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOUR_US = 3_600_000_000
+#: Label buckets per horizon.
+HORIZON_BUCKETS = 24
 
 
 def _us(col: str = "timestamp"):
     return F.unix_micros(F.col(col))
 
 
-def _with_context(df: DataFrame, width_us: int, shift: int) -> DataFrame:
-    """Each row in its own bucket plus a context copy in bucket + ``shift``."""
-    b = F.floor(_us() / F.lit(width_us)).cast("long")
-    own = df.withColumns({"_bucket": b, "_ctx": F.lit(False)})
-    ctx = df.withColumns({"_bucket": b + F.lit(shift), "_ctx": F.lit(True)})
-    return own.unionByName(ctx)
+def _bucket(width_us: int) -> Column:
+    return F.floor(_us() / F.lit(width_us)).cast("long")
 
 
 def rolling_features(can: DataFrame, window_us: int = HOUR_US) -> DataFrame:
     """per can_bus reading, over the trailing window (inclusive of the
     current row and of rows with the same time): average speed, hard-brake
-    count, overheating count."""
-    base = can.select(
-        "event_id", "vehicle_id", "timestamp", "speed_ms",
-        F.col("hard_braking").cast("int").alias("_hb"),
-        F.col("engine_overheating").cast("int").alias("_oh"),
+    count, overheating count.
+
+    A window's total is the running total up to the reading less the running
+    total before the window's start. Each reading therefore brings a probe to
+    the start of its window, and both meet again by the reading's number; the
+    input is read once and shuffled once. Speeds are added as decimals of nine
+    places, so that differences of totals are exact. NaN speeds don't count.
+    Readings without a time form one window of their own."""
+    us, b = _us(), _bucket(window_us)
+    one = F.lit(1).cast("long")
+    reading = F.struct(
+        F.expr("try_cast(speed_ms AS decimal(20, 9))").alias("speed"),
+        F.when(F.expr("try_cast(speed_ms AS decimal(20, 9))").isNotNull(), one).otherwise(0).alias("n"),
+        F.coalesce(F.col("hard_braking").cast("long"), F.lit(0)).alias("hb"),
+        F.coalesce(F.col("engine_overheating").cast("long"), F.lit(0)).alias("oh"),
+    )
+    nothing = F.lit(None).cast("struct<speed: decimal(20, 9), n: bigint, hb: bigint, oh: bigint>")
+
+    def copy(bucket, at, kind, what):
+        return F.struct(bucket.alias("bucket"), at.alias("at"), F.lit(kind).alias("kind"), what.alias("x"))
+
+    # Kinds in the order that rows of one time are added: probe, then readings (0: of the bucket before).
+    copies = F.array(copy(b, us - window_us, -1, nothing), copy(b, us, 1, reading), copy(b + 1, us, 0, reading))
+    rows = (
+        can.withColumn("_row", F.monotonically_increasing_id())
+        .select("event_id", "vehicle_id", "timestamp", "_row",
+                F.explode(F.filter(copies, lambda c: c["bucket"].isNotNull() | (c["kind"] != 0))).alias("_c"))
+        .select("event_id", "vehicle_id", "timestamp", "_row", "_c.*")
     )
-    rows = _with_context(base, window_us, 1)
     w = (
-        Window.partitionBy("vehicle_id", "_bucket")
-        .orderBy(_us())
-        .rangeBetween(-window_us, 0)
+        Window.partitionBy("vehicle_id", "bucket").orderBy("at", F.col("kind") >= 0)
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        rows.select(
-            "event_id", "vehicle_id", "timestamp", "_ctx",
-            F.avg("speed_ms").over(w).alias("avg_speed_ms_1h"),
-            F.coalesce(F.sum("_hb").over(w), F.lit(0)).cast("long").alias("hard_brake_count_1h"),
-            F.coalesce(F.sum("_oh").over(w), F.lit(0)).cast("long").alias("engine_overheating_count_1h"),
-        )
-        .filter(~F.col("_ctx"))
-        .drop("_ctx")
+    totals = ("speed", "n", "hb", "oh")
+    signed = {c: F.coalesce(F.sum(f"x.{c}").over(w), F.lit(0)) * F.col("kind") for c in totals}
+    ends = rows.withColumns(signed).filter("kind <> 0")
+    # Still partitioned by (vehicle_id, bucket): no further shuffle.
+    both = ends.groupBy("vehicle_id", "bucket", "_row", "event_id", "timestamp").agg(
+        *[F.sum(c).alias(c) for c in totals])
+    return both.select(
+        "event_id", "vehicle_id", "timestamp",
+        F.when(F.col("n") > 0, F.col("speed").cast("double") / F.col("n")).alias("avg_speed_ms_1h"),
+        F.col("hb").alias("hard_brake_count_1h"),
+        F.col("oh").alias("engine_overheating_count_1h"),
     )
 
 
@@ -74,12 +95,8 @@ def align_imu(can: DataFrame, imu: DataFrame, tolerance_us: int = 1_000_000,
         F.lit(None).cast("double").alias("_val"), F.lit(None).cast("timestamp").alias("_imu_ts"),
         F.lit(1).alias("_kind"), F.col("sequence_number").alias("_seq"),
     )
-    b = F.floor(_us() / F.lit(tolerance_us)).cast("long")
-    rows = (
-        imu_rows.withColumns({"_bucket": b, "_ctx": F.lit(False)})
-        .unionByName(imu_rows.withColumns({"_bucket": b + 1, "_ctx": F.lit(True)}))
-        .unionByName(can_rows.withColumns({"_bucket": b, "_ctx": F.lit(False)}))
-    )
+    b = _bucket(tolerance_us)
+    rows = imu_rows.withColumn("_bucket", F.explode(F.array(b, b + 1))).unionByName(can_rows.withColumn("_bucket", b))
     w = (
         Window.partitionBy("vehicle_id", "_bucket")
         .orderBy(_us(), "_kind", "_seq")
@@ -104,31 +121,37 @@ def maintenance_labels(readings: DataFrame, events: DataFrame, horizon_us: int)
     """``needs_maintenance_24h`` = a maintenance event of the same vehicle
     strictly after the reading and within the horizon.
 
-    Events are copied into the previous bucket as context; the label is the
-    minimum event time in the forward range frame (1 us .. horizon)."""
-    ev = events.select(
-        F.lit(None).cast("string").alias("event_id"), "vehicle_id", "timestamp",
+    From the latest row of a bucket to the earliest, the last event seen is the
+    next one of a reading. A bucket is a ``HORIZON_BUCKETS``-th of the horizon;
+    the first event of each bucket is copied into the buckets before it that it
+    can be the next event of."""
+    width = max(1, horizon_us // HORIZON_BUCKETS)
+    b = _bucket(width)
+    ev = events.select("vehicle_id", "timestamp").filter("timestamp IS NOT NULL").withColumn("_bucket", b)
+    back = -(-horizon_us // width)
+    first = (
+        ev.groupBy("vehicle_id", "_bucket").agg(F.min("timestamp").alias("timestamp"))
+        .withColumn("_bucket", F.explode(F.sequence(F.col("_bucket") - back, F.col("_bucket") - 1)))
+    )
+    seen = ev.unionByName(first).select(
+        F.lit(None).cast("string").alias("event_id"), "vehicle_id", "timestamp", "_bucket",
         F.col("timestamp").alias("_mt"), F.lit(True).alias("_is_ev"),
     )
     rd = readings.select(
-        "event_id", "vehicle_id", "timestamp",
+        "event_id", "vehicle_id", "timestamp", b.alias("_bucket"),
         F.lit(None).cast("timestamp").alias("_mt"), F.lit(False).alias("_is_ev"),
     )
-    b = F.floor(_us() / F.lit(horizon_us)).cast("long")
-    rows = (
-        ev.withColumn("_bucket", b)
-        .unionByName(ev.withColumn("_bucket", b - 1))
-        .unionByName(rd.withColumn("_bucket", b))
+    # Readings before events of the same time, which are not after them.
+    w = (
+        Window.partitionBy("vehicle_id", "_bucket").orderBy(_us().desc(), "_is_ev")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    w = Window.partitionBy("vehicle_id", "_bucket").orderBy(_us()).rangeBetween(1, horizon_us)
-    return (
-        rows.select(
-            "event_id", "vehicle_id", "timestamp", "_is_ev",
-            F.min("_mt").over(w).alias("next_maintenance"),
-        )
+    found = (
+        rd.unionByName(seen)
+        .select("event_id", "vehicle_id", "timestamp", "_is_ev", F.last("_mt", ignorenulls=True).over(w).alias("_next"))
         .filter(~F.col("_is_ev"))
-        .select(
-            "event_id", "vehicle_id", "timestamp", "next_maintenance",
-            F.col("next_maintenance").isNotNull().alias("needs_maintenance_24h"),
-        )
+    )
+    due = F.when(F.unix_micros("_next") - _us() <= horizon_us, F.col("_next"))
+    return found.select("event_id", "vehicle_id", "timestamp", due.alias("next_maintenance")).withColumn(
+        "needs_maintenance_24h", F.col("next_maintenance").isNotNull()
     )

@@ -72,3 +72,41 @@ def test_labels_match_brute_force(spark):
     for _, r in c.iterrows():
         m = e[(e.vehicle_id == r.vehicle_id) & (e.us > r.us) & (e.us <= r.us + h)]
         assert bool(got.loc[r.event_id].needs_maintenance_24h) == (len(m) > 0)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_feature_frames_only_grow(spark):
+    can = can_fixture(spark, 50)
+    for df in (FT.rolling_features(can), FT.maintenance_labels(can, can.select("vehicle_id", "timestamp"), 10**6)):
+        frames = [x for x in plan_of(df).splitlines() if "specifiedwindowframe" in x.lower()]
+        assert frames and all("unboundedpreceding$(), currentrow$()" in x.lower() for x in frames)
+    # One shuffle: the probes meet their readings where the window left them.
+    assert plan_of(FT.rolling_features(can)).split("== Physical Plan ==")[1].count("Exchange") == 1
+
+
+def test_rolling_with_ties_nulls_and_long_vehicles(spark):
+    t = [BASE + dt.timedelta(seconds=s) for s in (0, 0, 3600, 3600.000001, 7200)]
+    rows = [(f"e{i}", "v", x, i, sp, hb, None) for i, (x, sp, hb) in enumerate(
+        zip(t, (1.0, None, 4.0, float("nan"), 2.0), (True, True, None, False, True)))]
+    rows += [("n1", "v", None, 9, 8.0, True, True), ("n2", None, t[0], 9, 8.0, True, True), ("e0", "v", t[0], 0, 1.0, True, None)]
+    can = spark.createDataFrame(rows, "event_id string, vehicle_id string, timestamp timestamp, sequence_number long, "
+                                      "speed_ms double, hard_braking boolean, engine_overheating boolean")
+    got = sorted((r.event_id, r.avg_speed_ms_1h, r.hard_brake_count_1h, r.engine_overheating_count_1h)
+                 for r in FT.rolling_features(can).collect())
+    assert got == [("e0", 1.0, 3, 0), ("e0", 1.0, 3, 0), ("e1", 1.0, 3, 0), ("e2", 2.0, 3, 0), ("e3", 4.0, 0, 0),
+                   ("e4", 3.0, 1, 0), ("n1", 8.0, 1, 1), ("n2", 8.0, 1, 1)]
+
+
+def test_next_event_at_the_edges_of_the_horizon(spark):
+    at = lambda s: BASE + dt.timedelta(seconds=s)
+    rd = spark.createDataFrame([("a", "v", at(0)), ("b", "v", at(24)), ("c", "v", at(0.000001)), ("d", "w", at(0))],
+                               "event_id string, vehicle_id string, timestamp timestamp")
+    ev = spark.createDataFrame([("v", at(24)), ("v", at(24)), ("v", at(100)), (None, at(5))], "vehicle_id string, timestamp timestamp")
+    got = {r.event_id: r.next_maintenance and r.next_maintenance.replace(tzinfo=dt.timezone.utc)
+           for r in FT.maintenance_labels(rd, ev, 24_000_000).collect()}
+    assert got == {"a": at(24), "b": None, "c": at(24), "d": None}
+    late = FT.maintenance_labels(rd, ev, 76_000_000).filter("event_id = 'b'").first()
+    assert late.needs_maintenance_24h

@@ -49,25 +49,25 @@ def rolling_features(can: DataFrame, window_us: int = HOUR_US) -> DataFrame:
     nothing = F.lit(None).cast("struct<speed: decimal(20, 9), n: bigint, hb: bigint, oh: bigint>")
 
     def copy(bucket, at, kind, what):
-        return F.struct(bucket.alias("bucket"), at.alias("at"), F.lit(kind).alias("kind"), what.alias("x"))
+        return F.struct(bucket.alias("_bucket"), at.alias("at"), F.lit(kind).alias("kind"), what.alias("x"))
 
     # Kinds in the order that rows of one time are added: probe, then readings (0: of the bucket before).
     copies = F.array(copy(b, us - window_us, -1, nothing), copy(b, us, 1, reading), copy(b + 1, us, 0, reading))
     rows = (
         can.withColumn("_row", F.monotonically_increasing_id())
         .select("event_id", "vehicle_id", "timestamp", "_row",
-                F.explode(F.filter(copies, lambda c: c["bucket"].isNotNull() | (c["kind"] != 0))).alias("_c"))
+                F.explode(F.filter(copies, lambda c: c["_bucket"].isNotNull() | (c["kind"] != 0))).alias("_c"))
         .select("event_id", "vehicle_id", "timestamp", "_row", "_c.*")
     )
     w = (
-        Window.partitionBy("vehicle_id", "bucket").orderBy("at", F.col("kind") >= 0)
+        Window.partitionBy("vehicle_id", "_bucket").orderBy("at", F.col("kind") >= 0)
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     totals = ("speed", "n", "hb", "oh")
     signed = {c: F.coalesce(F.sum(f"x.{c}").over(w), F.lit(0)) * F.col("kind") for c in totals}
     ends = rows.withColumns(signed).filter("kind <> 0")
-    # Still partitioned by (vehicle_id, bucket): no further shuffle.
-    both = ends.groupBy("vehicle_id", "bucket", "_row", "event_id", "timestamp").agg(
+    # Still partitioned by (vehicle_id, _bucket): no further shuffle.
+    both = ends.groupBy("vehicle_id", "_bucket", "_row", "event_id", "timestamp").agg(
         *[F.sum(c).alias(c) for c in totals])
     return both.select(
         "event_id", "vehicle_id", "timestamp",

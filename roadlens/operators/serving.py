@@ -1,41 +1,67 @@
 """Serving queries G1-G21 as DataFrame functions.
 
 Look-back windows (T7) are anchored at ``as_of``; by default the newest event
-time of the input, computed once as a scalar subquery. The optional focus
+time of the input, as a scalar subquery: over the zone map of a stored table,
+over the rows of any other frame. The optional focus
 vehicle (T8) is a bound literal, never spliced into SQL text. Every top-k
 orders by a unique tie-break so that the limit is deterministic.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.functions.numeric import round_half_up
 from roadlens.functions.time import lookback_start, minute_bucket
+from roadlens.sources.store import Timed, day_key
 
 # Dashboard look-back choices (minutes) and bucket bounds (s).
 WINDOW_CHOICES_MIN = (5, 15, 60, 360)
 LAG_BUCKETS_S = (0.1, 0.5, 1, 2, 5, 10, 30, 60)
 
 
-def recent(df: DataFrame, seconds: int, ts_col: str = "timestamp", as_of=None) -> DataFrame:
+def recent(df: DataFrame | Timed, seconds: int, ts_col: str = "timestamp", as_of=None) -> DataFrame:
     """Rows with ``ts_col >= as_of - seconds``.
 
-    A timestamp bound does not imply anything about the year/month/day
-    partition columns of a Hive-partitioned table, so when they are present
-    the implied day bound is added too: it only references partition columns
-    and prunes folders at the scan (the bound itself is evaluated once).
+    Of a stored table with a zone map (``Timed``) the newest time comes from
+    the map, and so does the first day that can hold such rows, whichever time
+    column is asked for: the table itself is only read from that day on.
+
+    Of a plain frame the newest time is computed from its rows. A timestamp
+    bound does not imply anything about the year/month/day partition columns of
+    a Hive-partitioned table, so when they are present the implied day bound is
+    added too: it only references partition columns and prunes folders at the
+    scan (the bound itself is evaluated once).
     """
+    if isinstance(df, Timed):
+        start = lookback_start(df.zones, f"last_{ts_col}", seconds, as_of)
+        first_day = df.zones.filter(F.col(f"last_{ts_col}") >= start).agg(F.min(day_key())).scalar()
+        return df.rows.filter((F.col(ts_col) >= start) & (day_key() >= first_day))
     start = lookback_start(df, ts_col, seconds, as_of)
     out = df.filter(F.col(ts_col) >= start)
     if ts_col == "timestamp" and {"year", "month", "day"} <= set(df.columns):
-        day_key = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
         start_key = F.year(start) * 10000 + F.month(start) * 100 + F.dayofmonth(start)
-        out = out.filter(day_key >= start_key)
+        out = out.filter(day_key() >= start_key)
     return out
 
 
+def newest(df: DataFrame | Timed, ts_col: str, n: int) -> DataFrame:
+    """The rows that can be among the ``n`` newest by ``ts_col``: of a plain
+    frame all; of a stored table those of the latest zones that hold ``n`` rows
+    together, and of zones that reach into their span."""
+    if not isinstance(df, Timed):
+        return df
+    last, first = f"last_{ts_col}", f"first_{ts_col}"
+    # The zone map is small: a row per day and hour.
+    running = Window.orderBy(F.desc(last), F.desc(first)).rowsBetween(Window.unboundedPreceding, -1)
+    needed = (df.zones.filter(F.col(last).isNotNull())
+              .withColumn("before", F.coalesce(F.sum("rows").over(running), F.lit(0))).filter(F.col("before") < n))
+    start = needed.agg(F.min(first)).scalar()
+    first_day = df.zones.filter(F.col(last) >= start).agg(F.min(day_key())).scalar()
+    return df.rows.filter((F.col(ts_col) >= start) & (day_key() >= first_day))
+
+
 def focus(df: DataFrame, vehicle: str | None) -> DataFrame:
     """Optional focus vehicle; None or "All" keeps every vehicle."""
     if vehicle is None or vehicle == "All":
@@ -43,7 +69,7 @@ def focus(df: DataFrame, vehicle: str | None) -> DataFrame:
     return df.filter(F.col("vehicle_id") == F.lit(vehicle))
 
 
-def active_vehicles(gps: DataFrame, last_minutes: int = 5, as_of=None) -> DataFrame:
+def active_vehicles(gps: DataFrame | Timed, last_minutes: int = 5, as_of=None) -> DataFrame:
     """G1."""
     return (
         recent(gps, last_minutes * 60, as_of=as_of)
@@ -57,28 +83,24 @@ def active_vehicles(gps: DataFrame, last_minutes: int = 5, as_of=None) -> DataFr
     )
 
 
-def recent_anomalies(anomalies: DataFrame, limit: int = 50) -> DataFrame:
+def recent_anomalies(anomalies: DataFrame | Timed, limit: int = 50) -> DataFrame:
     """Newest detections (top-k by detected_at, event_id breaks ties)."""
-    return anomalies.orderBy(F.desc("detected_at"), F.desc("event_id")).limit(limit).select(
+    found = newest(anomalies, "detected_at", limit)
+    return found.orderBy(F.desc("detected_at"), F.desc("event_id")).limit(limit).select(
         "vehicle_id", "timestamp", "sensor_type", "anomaly_score", "features"
     )
 
 
-def speed_timeseries(gps: DataFrame, vehicle_id: str, hours: int = 1, as_of=None) -> DataFrame:
+def speed_timeseries(gps: DataFrame | Timed, vehicle_id: str, hours: int = 1, as_of=None) -> DataFrame:
     """G3."""
-    v = gps.filter(F.col("vehicle_id") == F.lit(vehicle_id))
     return (
-        recent(v, hours * 3600, as_of=as_of if as_of is not None else _max_ts(gps))
+        focus(recent(gps, hours * 3600, as_of=as_of), vehicle_id)
         .select("timestamp", "speed_ms", "speed_kmh", "heading_deg")
         .orderBy("timestamp")
     )
 
 
-def _max_ts(df: DataFrame):
-    return df.select(F.max("timestamp")).scalar()
-
-
-def engine_health(can: DataFrame, hours: int = 6, as_of=None) -> DataFrame:
+def engine_health(can: DataFrame | Timed, hours: int = 6, as_of=None) -> DataFrame:
     """Engine-trouble rows (T9) of the last hours, newest first."""
     from roadlens.operators.validate import engine_trouble
 
@@ -93,7 +115,7 @@ def engine_health(can: DataFrame, hours: int = 6, as_of=None) -> DataFrame:
     )
 
 
-def throughput_last_hour(gps: DataFrame, as_of=None) -> DataFrame:
+def throughput_last_hour(gps: DataFrame | Timed, as_of=None) -> DataFrame:
     """Per minute, events and distinct vehicles over the last hour."""
     return (
         recent(gps, 3600, as_of=as_of)
@@ -106,28 +128,28 @@ def throughput_last_hour(gps: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def kpi_active_vehicles(gps: DataFrame, window_minutes: int = 15, as_of=None) -> DataFrame:
+def kpi_active_vehicles(gps: DataFrame | Timed, window_minutes: int = 15, as_of=None) -> DataFrame:
     """G6."""
     return recent(gps, window_minutes * 60, as_of=as_of).agg(
         F.countDistinct("vehicle_id").alias("cnt")
     )
 
 
-def kpi_anomaly_count(anomalies: DataFrame, window_minutes: int = 15, as_of=None) -> DataFrame:
+def kpi_anomaly_count(anomalies: DataFrame | Timed, window_minutes: int = 15, as_of=None) -> DataFrame:
     """Detections in the window (by detected_at)."""
     return recent(anomalies, window_minutes * 60, "detected_at", as_of).agg(
         F.count(F.lit(1)).alias("cnt")
     )
 
 
-def kpi_fleet_speed(gps: DataFrame, window_minutes: int = 15, as_of=None) -> DataFrame:
+def kpi_fleet_speed(gps: DataFrame | Timed, window_minutes: int = 15, as_of=None) -> DataFrame:
     """``round(avg(speed_ms) * 3.6, 1)``; null over no rows."""
     return recent(gps, window_minutes * 60, as_of=as_of).agg(
         round_half_up(F.avg("speed_ms") * 3.6, 1).alias("avg_kmh")
     )
 
 
-def kpi_overheating(can: DataFrame, window_minutes: int = 15, as_of=None) -> DataFrame:
+def kpi_overheating(can: DataFrame | Timed, window_minutes: int = 15, as_of=None) -> DataFrame:
     """G9."""
     return (
         recent(can, window_minutes * 60, as_of=as_of)
@@ -136,12 +158,12 @@ def kpi_overheating(can: DataFrame, window_minutes: int = 15, as_of=None) -> Dat
     )
 
 
-def kpi_events(gps: DataFrame, window_minutes: int = 15, as_of=None) -> DataFrame:
+def kpi_events(gps: DataFrame | Timed, window_minutes: int = 15, as_of=None) -> DataFrame:
     """G10."""
     return recent(gps, window_minutes * 60, as_of=as_of).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def last_locations(gps: DataFrame, window_minutes: int = 15, as_of=None) -> DataFrame:
+def last_locations(gps: DataFrame | Timed, window_minutes: int = 15, as_of=None) -> DataFrame:
     """Newest position per vehicle (one aggregate, nulls kept)."""
     last = F.max_by(
         F.struct("latitude", "longitude", "speed_ms"),
@@ -160,7 +182,7 @@ def last_locations(gps: DataFrame, window_minutes: int = 15, as_of=None) -> Data
     )
 
 
-def speed_per_minute(gps: DataFrame, window_minutes: int = 15, vehicle=None, as_of=None) -> DataFrame:
+def speed_per_minute(gps: DataFrame | Timed, window_minutes: int = 15, vehicle=None, as_of=None) -> DataFrame:
     """G12."""
     return (
         focus(recent(gps, window_minutes * 60, as_of=as_of), vehicle)
@@ -170,7 +192,7 @@ def speed_per_minute(gps: DataFrame, window_minutes: int = 15, vehicle=None, as_
     )
 
 
-def engine_temp_per_minute(can: DataFrame, window_minutes: int = 15, vehicle=None, as_of=None) -> DataFrame:
+def engine_temp_per_minute(can: DataFrame | Timed, window_minutes: int = 15, vehicle=None, as_of=None) -> DataFrame:
     """G13."""
     return (
         focus(recent(can, window_minutes * 60, as_of=as_of), vehicle)
@@ -183,7 +205,7 @@ def engine_temp_per_minute(can: DataFrame, window_minutes: int = 15, vehicle=Non
     )
 
 
-def anomaly_history(anomalies: DataFrame, window_minutes: int = 15, limit: int = 200, as_of=None) -> DataFrame:
+def anomaly_history(anomalies: DataFrame | Timed, window_minutes: int = 15, limit: int = 200, as_of=None) -> DataFrame:
     """Detections of the window, newest event time first, top ``limit``."""
     return (
         recent(anomalies, window_minutes * 60, "detected_at", as_of)
@@ -193,7 +215,7 @@ def anomaly_history(anomalies: DataFrame, window_minutes: int = 15, limit: int =
     )
 
 
-def hard_brake_leaderboard(can: DataFrame, window_minutes: int = 15, as_of=None) -> DataFrame:
+def hard_brake_leaderboard(can: DataFrame | Timed, window_minutes: int = 15, as_of=None) -> DataFrame:
     """G15."""
     return (
         recent(can, window_minutes * 60, as_of=as_of)
@@ -207,7 +229,7 @@ def hard_brake_leaderboard(can: DataFrame, window_minutes: int = 15, as_of=None)
     )
 
 
-def events_per_minute(gps: DataFrame, window_minutes: int = 15, as_of=None) -> DataFrame:
+def events_per_minute(gps: DataFrame | Timed, window_minutes: int = 15, as_of=None) -> DataFrame:
     """G16."""
     return (
         recent(gps, window_minutes * 60, as_of=as_of)

@@ -144,7 +144,7 @@ reg("g17_events_processed",
 
 reg("g18_anomalies_by_vehicle",
     "SELECT vehicle_id, count(*) AS anomalies FROM anomaly_detections GROUP BY 1",
-    "anomaly_detections")(lambda spark, sf: G.anomalies_by_vehicle(tables.anomaly_detections(spark, sf)))
+    "anomaly_detections")(lambda spark, sf: G.anomalies_by_vehicle(tables.anomaly_detections(spark, sf).rows))
 
 reg("g18_active_recent",
     f"SELECT DISTINCT vehicle_id FROM snapshots WHERE {since('snapshots', 300, 'ts')}",

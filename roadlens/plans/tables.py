@@ -11,8 +11,9 @@ from roadlens.operators.enrich import enrich, enrich_gps
 from roadlens.operators.validate import deduplicate, filter_invalid
 from roadlens.plans.telemetry_view import raw_messages
 from roadlens.schemas import SENSOR_SCHEMAS, TOPICS
-from roadlens.session import ensure_utc
+from roadlens.session import ensure_utc, scratch_path
 from roadlens.sources.kafka import parse_messages
+from roadlens.sources.store import StoredTable
 
 
 def messages(spark: SparkSession, sf_dir: str, sensors=None) -> DataFrame:
@@ -72,18 +73,21 @@ def scored_can(spark, sf_dir):
     return can.withColumn("is_anomaly", F.col("anomaly_score") < STANDIN_CUT)
 
 
+DETECTION_COLUMNS = ["event_id", "vehicle_id", "timestamp", "sensor_type", "anomaly_score", "features", "detected_at"]
+
+
+def scored_detections(spark, sf_dir):
+    """M14 record layout over the flagged readings (detected at ingestion)."""
+    scored = serving_table(spark, sf_dir, "can_bus").rows(spark).withColumn("anomaly_score", standin_score())
+    return scored.filter(F.col("anomaly_score") < STANDIN_CUT).withColumns(
+        {"features": F.to_json(F.struct(*FEATURES_JSON)), "detected_at": F.col("ingested_at")}
+    ).select(*DETECTION_COLUMNS)
+
+
 def anomaly_detections(spark, sf_dir):
-    """M14 record layout over the flagged readings (detected at ingestion),
-    read from the stored can_bus table like the other serving queries."""
-    scored = serving_table(spark, sf_dir, "can_bus").withColumn("anomaly_score", standin_score())
-    return (
-        scored.filter(F.col("anomaly_score") < STANDIN_CUT)
-        .select(
-            "event_id", "vehicle_id", "timestamp", "sensor_type", "anomaly_score",
-            F.to_json(F.struct(*FEATURES_JSON)).alias("features"),
-            F.col("ingested_at").alias("detected_at"),
-        )
-    )
+    """The stored detections (M14): scored once, kept by event."""
+    return stored(spark, sf_dir, "detections", lambda: scored_detections(spark, sf_dir), key=("event_id",),
+                  time_cols=("timestamp", "detected_at")).timed(spark)
 
 
 def snapshots(spark, sf_dir):
@@ -94,37 +98,39 @@ def snapshots(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Serving store: processed readings written once per session as
-# year/month/day-partitioned Parquet (what the streaming sink S8 lands), so the
-# serving queries read stored tables and their look-back prunes day folders.
+# Serving store: processed readings and detections, appended once per session to
+# stored tables (what the streaming sinks land). Their zone maps give the
+# look-back queries their anchors and days.
 # ---------------------------------------------------------------------------
 
-_STORE: dict[tuple[str, str, str], str] = {}
+_STORE: dict[tuple[str, str, str], StoredTable] = {}
 
 
-def serving_table(spark, sf_dir, sensor):
-    from roadlens.session import scratch_path
-    from roadlens.sources.landing import write_partitioned
-
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), sensor)
+def stored(spark, sf_dir, name, frame, **settings) -> StoredTable:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _STORE:
-        path = scratch_path(spark, f"serving-{sensor}")
-        write_partitioned(processed(spark, sf_dir, sensor), path, ["year", "month", "day"])
-        _STORE[key] = path
-    return spark.read.parquet(_STORE[key])
+        table = StoredTable(scratch_path(spark, f"serving-{name}"), **settings)
+        table.append(frame(), "view")
+        _STORE[key] = table
+    return _STORE[key]
+
+
+def serving_table(spark, sf_dir, sensor) -> StoredTable:
+    """Processed readings: their events are already distinct."""
+    return stored(spark, sf_dir, sensor, lambda: processed(spark, sf_dir, sensor))
 
 
 def gps_store(spark, sf_dir):
-    return serving_table(spark, sf_dir, "gps")
+    return serving_table(spark, sf_dir, "gps").timed(spark)
 
 
 def can_store(spark, sf_dir):
-    return serving_table(spark, sf_dir, "can_bus")
+    return serving_table(spark, sf_dir, "can_bus").timed(spark)
 
 
 def imu_store(spark, sf_dir):
-    return serving_table(spark, sf_dir, "imu")
+    return serving_table(spark, sf_dir, "imu").timed(spark)
 
 
 def store(spark, sf_dir, sensor):
-    return serving_table(spark, sf_dir, sensor)
+    return serving_table(spark, sf_dir, sensor).rows(spark)

@@ -322,23 +322,17 @@ register(
 # ---------------------------------------------------------------------------
 
 
+def _columns(table: str) -> str:
+    return ", ".join(f'"{f.name}"' for f in SERVING_TABLES[table].schema.fields)
+
+
 def _append_table(spark, sf):
     path = scratch_path(spark, "gps-events-table")
     landing.append(tables.gps_events(spark, sf), SERVING_TABLES["gps_events"], path)
-    return spark.read.parquet(path)
-
+    return landing.table_rows(spark, SERVING_TABLES["gps_events"], path)
 
-register(
-    "s_append_table",
-    with_ctes(
-        "SELECT " + ", ".join(f'"{f.name}"' for f in SERVING_TABLES["gps_events"].schema.fields)
-        + " FROM gps_events",
-        "gps_events",
-    ),
-)(_append_table)
 
-
-_GPS_COLUMNS = ", ".join(f'"{f.name}"' for f in SERVING_TABLES["gps_events"].schema.fields)
+register("s_append_table", with_ctes(f"SELECT {_columns('gps_events')} FROM gps_events", "gps_events"))(_append_table)
 
 
 def _append_twice(spark, sf):
@@ -346,10 +340,10 @@ def _append_twice(spark, sf):
     path = scratch_path(spark, "gps-events-twice")
     for _ in range(2):
         landing.append(tables.gps_events(spark, sf), SERVING_TABLES["gps_events"], path)
-    return spark.read.parquet(path)
+    return landing.table_rows(spark, SERVING_TABLES["gps_events"], path)
 
 
-register("s_append_twice", with_ctes(f"SELECT {_GPS_COLUMNS} FROM gps_events", "gps_events"))(_append_twice)
+register("s_append_twice", with_ctes(f"SELECT {_columns('gps_events')} FROM gps_events", "gps_events"))(_append_twice)
 
 
 def _append_rejects(spark, sf):
@@ -360,7 +354,8 @@ def _append_rejects(spark, sf):
     gps = tables.gps_events(spark, sf)
     landing.append(gps.withColumn("vehicle_id", F.when(~F.col("vehicle_id").endswith("7"), F.col("vehicle_id"))),
                    SERVING_TABLES["gps_events"], path)
-    return spark.read.parquet(f"{path}_rejects").select("event_id", "vehicle_id", "timestamp", "speed_ms")
+    return landing.rejected_rows(spark, SERVING_TABLES["gps_events"], path).select(
+        "event_id", "vehicle_id", "timestamp", "speed_ms")
 
 
 register("s_append_rejects", with_ctes(
@@ -368,6 +363,72 @@ register("s_append_rejects", with_ctes(
     "WHERE vehicle_id LIKE '%7'", "gps_events"))(_append_rejects)
 
 
+def _in_batches(spark, df, table, path, n=3):
+    """Overlapping appends: batch k brings the keys that fall into k or k + 1,
+    and the first one is repeated at the end."""
+    from pyspark.sql import functions as F
+
+    part = F.crc32(F.concat_ws("|", *[F.col(c).cast("string") for c in (table.key or ("event_id",))])) % n
+    for k in [*range(n), 0]:
+        own = (part == k) if not table.key else part.isin(k, (k + 1) % n)
+        landing.append(df.filter(own), table, path, batch=str(k))
+
+
+def _append_other(name, frame):
+    table = SERVING_TABLES[name]
+
+    def run(spark, sf):
+        path = scratch_path(spark, f"{name}-batches")
+        _in_batches(spark, frame(spark, sf), table, path)
+        return landing.table_rows(spark, table, path)
+
+    return run
+
+
+register("s_append_imu", with_ctes(f"SELECT {_columns('imu_events')} FROM imu_events", "imu_events"))(
+    _append_other("imu_events", tables.imu_events))
+register("s_append_can", with_ctes(f"SELECT {_columns('can_bus_events')} FROM can_bus_events", "can_bus_events"))(
+    _append_other("can_bus_events", tables.can_bus_events))
+register("s_append_detections", with_ctes(
+    f"SELECT {_columns('anomaly_detections')} FROM anomaly_detections", "anomaly_detections"))(
+    _append_other("anomaly_detections", tables.scored_detections))
+
+
+def _append_summary(spark, sf):
+    """W1 fills its table."""
+    from roadlens.plans.registry import w1_speed_summary
+
+    table, path = SERVING_TABLES["vehicle_summary_1min"], scratch_path(spark, "summary-batches")
+    _in_batches(spark, w1_speed_summary(spark, sf), table, path)
+    return landing.table_rows(spark, table, path)
+
+
+register("s_append_summary", W1_SQL)(_append_summary)
+
+
+def _batched_store(spark, sf):
+    path = scratch_path(spark, "gps-batches")
+    _in_batches(spark, tables.gps_events(spark, sf), SERVING_TABLES["gps_events"], path)
+    return landing.serving_store(SERVING_TABLES["gps_events"], path), path
+
+
+register("s_zone_map", with_ctes(
+    'SELECT year, month, day, hour, count(*) AS "rows", min("timestamp") AS first_timestamp, '
+    'max("timestamp") AS last_timestamp FROM gps_events GROUP BY 1, 2, 3, 4', "gps_events"))(
+    lambda spark, sf: _batched_store(spark, sf)[0].zones(spark))
+
+
+def _compacted(spark, sf):
+    """The rows after compaction and one more append of keys already stored."""
+    store, path = _batched_store(spark, sf)
+    store.compact(spark)
+    landing.append(tables.gps_events(spark, sf), SERVING_TABLES["gps_events"], path)
+    return landing.table_rows(spark, SERVING_TABLES["gps_events"], path)
+
+
+register("s_compact", with_ctes(f"SELECT {_columns('gps_events')} FROM gps_events", "gps_events"))(_compacted)
+
+
 def _training_scan(spark, sf):
     from roadlens.ml.iforest import FEATURE_COLS
 

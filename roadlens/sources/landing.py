@@ -7,14 +7,16 @@ tables and views in the Spark catalog.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
 from typing import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from roadlens.schemas import TableDef
+from roadlens.sources.store import StoredTable
 
 LANDING_KEYS = ("sensor_type", "year", "month", "day", "vehicle_id")
 # Rows per file and row group of the landing zone.
@@ -104,46 +106,51 @@ def load_table(spark: SparkSession, path: str, table: TableDef) -> DataFrame:
     return align(spark.read.parquet(path), table)
 
 
-def stored(spark: SparkSession, table: TableDef, path: str) -> DataFrame | None:
-    """The rows of a table folder, or None where nothing was appended yet."""
-    try:
-        return spark.read.schema(table.schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def append(df: DataFrame, table: TableDef, path: str, rejects: str | None = None) -> int:
-    """Append a frame to a table folder, aligned by name. Returns the rows
-    written.
-
-    Rows that break a NOT NULL rule go to the folder ``rejects`` (by default
-    ``<path>_rejects``). A key is kept once (S12): within the batch the row of
-    least (timestamp, whole row), and no row whose key is already stored. Only
-    the key columns of the stored rows are read, and only the batch's time span
-    where the time is part of the key."""
-    aligned, broken = enforce_not_null(align(df, table), table)
-    spark = df.sparkSession
-    if table.not_null:
-        broken.write.mode("append").parquet(rejects or f"{path.rstrip('/')}_rejects")
-    if table.key:
-        key, others = list(table.key), [c for c in aligned.columns if c not in table.key]
-        lead = [c for c in ("timestamp",) if c in others]
-        row = F.struct(*[F.col(c) for c in [*lead, *[c for c in others if c not in lead]]])
-        aligned = aligned.groupBy(*key).agg(F.min(row).alias("_r")).select(
-            *[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in aligned.columns])
-        before = stored(spark, table, path)
-        if before is not None:
-            time = next((c for c in ("timestamp", "window_start") if c in key), None)
-            if time:
-                lo, hi = aligned.agg(F.min(time), F.max(time)).first()
-                before = before.filter(F.col(time).between(F.lit(lo), F.lit(hi)))
-            aligned = aligned.join(before.select(*key), key, "left_anti").select(*aligned.columns)
-    # Count while writing (one pass), not with a second job.
-    obs = Observation("append")
-    aligned.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
-    return int(obs.get["rows"])
+def serving_store(table: TableDef, path: str) -> StoredTable:
+    """The folder of a serving table: its key, and its time columns."""
+    times = [f.name for f in table.schema.fields if f.dataType.typeName() == "timestamp"]
+    lead = [c for c in ("timestamp", "window_start") if c in times][:1]
+    return StoredTable(path.rstrip("/"), table.key, tuple(lead + [c for c in times if c not in lead]))
+
+
+def _rejects(table: TableDef, path: str) -> StoredTable:
+    return replace(serving_store(table, f"{path.rstrip('/')}_rejects"), key=())
+
+
+def table_rows(spark: SparkSession, table: TableDef, path: str) -> DataFrame:
+    """The committed rows of a serving table, in its columns."""
+    return align(serving_store(table, path).rows(spark), table)
+
+
+def rejected_rows(spark: SparkSession, table: TableDef, path: str) -> DataFrame:
+    """The rows that appends turned away."""
+    return align(_rejects(table, path).rows(spark), table)
+
+
+def append(df: DataFrame, table: TableDef, path: str, batch: str | None = None) -> int:
+    """Append a frame to a serving table, aligned by name. Returns the
+    rows that became visible; ``batch`` names the append, so that a repeated
+    one stores nothing twice.
+
+    Rows that break a NOT NULL rule are kept beside the table (see
+    ``rejected_rows``), written only where there are any. A key is kept once
+    (S12): within the batch the row of least (time, whole row), and no row whose
+    key is already stored, under whatever time."""
+    batch = batch or uuid.uuid4().hex[:12]
+    aligned = align(df, table)
+    broken = enforce_not_null(aligned, table)[1]
+    counted = Observation("append")
+    absent = F.lit(False)
+    for c in table.not_null:
+        absent = absent | F.col(c).isNull()
+    seen = aligned.observe(counted, F.count_if(absent).alias("broken"))
+
+    def keep_rejects() -> None:
+        if counted.get["broken"]:
+            _rejects(table, path).append(broken, batch)
+
+    # Counted while the rows are written, kept before they are committed.
+    return serving_store(table, path).append(enforce_not_null(seen, table)[0], batch, before_commit=keep_rejects)
 
 
 def register_views(spark: SparkSession, paths: dict[str, str]) -> None:

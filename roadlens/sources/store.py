@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -125,16 +126,15 @@ class StoredTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
 
-    def _new_keys(self, df: DataFrame, batches=None) -> DataFrame:
-        """``df`` without the rows whose key the given batches hold (null keys
-        never compare). Reads the key folders of the batch's own buckets; the
-        driver holds at most ``buckets`` numbers."""
-        spark = df.sparkSession
-        mine = [r.b for r in df.select(self._bucket().alias("b")).distinct().collect()]
-        held = self._visible(spark, "keys", batches) if mine else None
-        if held is None:
-            return df
-        return df.join(held.filter(F.col("bucket").isin(mine)).select(*self.key), list(self.key), "left_anti").select(*df.columns)
+    def _held(self, spark: SparkSession, batch: str, batches) -> DataFrame | None:
+        """The keys that the given batches hold in the key folders that those
+        of ``batch`` fall into. The driver gets at most ``buckets`` numbers."""
+        own = self._stored(spark, f"keys/batch={batch}")
+        held = self._visible(spark, "keys", batches)
+        if own is None or held is None:
+            return None
+        buckets = [r.bucket for r in own.select("bucket").distinct().collect()]
+        return held.filter(F.col("bucket").isin(buckets)).select(*self.key)
 
     def _once(self, df: DataFrame) -> DataFrame:
         """One row per key: the least by time, then by the whole row."""
@@ -144,25 +144,33 @@ class StoredTable:
         return df.groupBy(*self.key).agg(F.min(order).alias("_r")).select(
             *[F.col(c) if c in self.key else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
-    def append(self, df: DataFrame, batch: str | None = None) -> int:
+    def append(self, df: DataFrame, batch: str | None = None,
+               before_commit: Callable[[], None] | None = None) -> int:
         """Stores ``df`` and returns the rows that are new. ``batch`` names the
-        append: one that was committed under this name is not stored again."""
+        append: one that was committed under this name is not stored again.
+
+        The rows are written first, out of sight, and their keys are compared
+        with the batches committed so far, then with those committed meanwhile.
+        Only where a key is taken are the other rows written once more."""
         spark = df.sparkSession
         batch = self._name(batch)
-        _, names, _ = self._state(spark)
-        if batch in names:
+        if batch in self._state(spark)[1]:
             return 0
-        known = set(self._state(spark)[0])
-        kept = self._new_keys(self._once(df)) if self.key else df
-        self._write(kept, batch)
-        if self.key:  # what others committed since
-            while later := set(self._state(spark)[0]) - known:
-                known |= later
-                again = f"{batch}-{len(known)}"
-                self._write(self._new_keys(self._batch(spark, "rows", batch).drop("batch"), later), again)
-                batch = again
+        self._write(self._once(df) if self.key else df, batch)
+        known, left = set(), []
+        while self.key and (later := set(self._state(spark)[0]) - known):
+            known |= later
+            held = self._held(spark, batch, later)
+            if held is None or self._batch(spark, "keys", batch).join(held, list(self.key), "left_semi").isEmpty():
+                continue
+            left.append(batch)
+            free = self._batch(spark, "rows", batch).drop("batch").join(held, list(self.key), "left_anti")
+            batch = f"{left[0]}-{len(left)}"
+            self._write(free, batch)
+        if before_commit:
+            before_commit()
         n = self._batch(spark, "zones", batch).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-        self._commit(spark, batch, n)
+        self._commit(spark, batch, n, left)
         return n
 
     @staticmethod

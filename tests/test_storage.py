@@ -2,10 +2,16 @@
 
 import datetime as dt
 import os
+import re
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
+
+from roadlens.operators import serving
 from roadlens.schemas import SERVING_TABLES
 from roadlens.sources import landing
+from roadlens.sources.store import StoredTable
 
 
 def test_landing_write_one_partition(spark):
@@ -32,7 +38,7 @@ def test_append_aligns_by_name_and_counts(spark):
     path = tempfile.mkdtemp(prefix="table-") + "/gps_events"
     n = landing.append(df, SERVING_TABLES["gps_events"], path)
     assert n == 1
-    back = spark.read.parquet(path)
+    back = landing.table_rows(spark, SERVING_TABLES["gps_events"], path)
     assert back.columns == [f.name for f in SERVING_TABLES["gps_events"].schema.fields]
     r = back.first()
     assert r["speed_ms"] == 5.0 and r["latitude"] is None and r["event_id"] == "e1"
@@ -54,8 +60,8 @@ def test_append_keeps_rejects_and_keys(spark):
     table = SERVING_TABLES["gps_events"]
     assert landing.append(df, table, path) == 2
     assert landing.append(df, table, path) == 0
-    assert sorted(r["event_id"] for r in spark.read.parquet(path).collect()) == ["e1", "e3"]
-    rejected = spark.read.parquet(path + "_rejects").collect()
+    assert sorted(r["event_id"] for r in landing.table_rows(spark, table, path).collect()) == ["e1", "e3"]
+    rejected = landing.rejected_rows(spark, table, path).collect()
     assert [r["event_id"] for r in rejected] == ["e2", "e2"] and rejected[0]["speed_ms"] == 3.0
 
 
@@ -71,4 +77,127 @@ def test_append_finds_a_stored_key_under_another_timestamp(spark):
     assert landing.append(batch(("e1", 15), ("e2", 16)), table, path) == 2
     assert landing.append(batch(("e1", 20), ("e3", 21)), table, path) == 1  # e1 re-stamped, outside of its first span
     assert landing.append(batch(("e2", 1)), table, path) == 0
-    assert sorted(r["event_id"] for r in spark.read.parquet(path).collect()) == ["e1", "e2", "e3"]
+    assert sorted(r["event_id"] for r in landing.table_rows(spark, table, path).collect()) == ["e1", "e2", "e3"]
+
+
+def readings(spark, ids, day=0):
+    return spark.createDataFrame(
+        [(f"e{i}", f"v{i % 3}", dt.datetime(2024, 3, 1 + (i + day) % 5, i % 24, tzinfo=dt.timezone.utc), float(i)) for i in ids],
+        "event_id string, vehicle_id string, timestamp timestamp, speed_ms double")
+
+
+def files_of(df):
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+def held(spark, table):
+    return sorted(r.event_id for r in table.rows(spark).collect())
+
+
+def test_a_broken_append_leaves_the_table_and_is_repeated_whole(spark, tmp_path, monkeypatch):
+    table = StoredTable(str(tmp_path), ("event_id",))
+    assert table.append(readings(spark, range(10)), "one") == 10
+
+    def broken(*a, **k):
+        raise OSError("lost between write and commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(StoredTable, "_commit", broken)
+        with pytest.raises(OSError):
+            table.append(readings(spark, range(5, 20)), "two")
+    assert len(held(spark, table)) == 10 and table.zones(spark).agg(F.sum("rows")).first()[0] == 10
+    assert table.append(readings(spark, range(5, 20)), "two") == 10
+    assert table.append(readings(spark, range(5, 20)), "two") == 0  # replayed
+    assert table.append(readings(spark, range(30)), "one") == 0
+    assert held(spark, table) == sorted(f"e{i}" for i in range(20))
+
+
+def test_a_second_writer_stores_no_key_twice(spark, tmp_path, monkeypatch):
+    table, write = StoredTable(str(tmp_path), ("event_id",)), StoredTable._write
+    table.append(readings(spark, range(3)), "zero")
+
+    def slow(self, df, batch):
+        write(self, df, batch)
+        if batch == "b-slow":  # the other one is done before this one commits
+            table.append(readings(spark, range(8, 15), 1), "fast")
+
+    monkeypatch.setattr(StoredTable, "_write", slow)
+    assert table.append(readings(spark, range(10)), "slow") == 5
+    assert table.append(readings(spark, range(10)), "slow") == 0
+    assert held(spark, table) == sorted(f"e{i}" for i in range(15))
+
+
+def test_a_small_append_reads_few_key_folders(spark, tmp_path, monkeypatch):
+    table = StoredTable(str(tmp_path), ("event_id",), buckets=64)
+    table.append(readings(spark, range(2000)), "large")
+    seen, plans, real = [], [], StoredTable._held
+
+    def watched(self, *a):
+        out = real(self, *a)
+        seen.extend(r[0] for r in out.select(F.input_file_name()).distinct().collect())
+        plans.append(out._jdf.queryExecution().toString())
+        return out
+
+    monkeypatch.setattr(StoredTable, "_held", watched)
+    assert table.append(readings(spark, [7, 5000]), "small") == 1
+    buckets = {f.split("bucket=")[1].split("/")[0] for f in seen}
+    assert 1 <= len(buckets) <= 2 and all("/keys/" in f for f in seen)
+    assert all("bucket#" in p.split("PartitionFilters: [")[1].split("]")[0] for p in plans)
+
+
+def test_zone_map_equals_one_built_from_scratch(spark, tmp_path):
+    table = StoredTable(str(tmp_path), ("event_id",))
+    for k in range(3):
+        table.append(readings(spark, range(k * 40, k * 40 + 60)), str(k))
+
+    def scratch():
+        return sorted(table.rows(spark).groupBy("year", "month", "day", F.hour("timestamp").alias("hour")).agg(
+            F.count(F.lit(1)), F.min("timestamp"), F.max("timestamp")).collect())
+
+    def catalog():
+        return sorted(table.zones(spark).select("year", "month", "day", "hour", "rows", "first_timestamp",
+                                                "last_timestamp").collect())
+
+    assert catalog() == scratch() and sum(r["rows"] for r in catalog()) == 140
+    table.expire(spark, dt.date(2024, 3, 3))
+    assert catalog() == scratch() and {r.day for r in catalog()} == {3, 4, 5}
+    assert table.append(readings(spark, range(10)), "again") == 0  # keys of expired rows stay taken
+
+
+def test_compaction_swaps_files_under_a_reader(spark, tmp_path):
+    table = StoredTable(str(tmp_path), ("event_id",))
+    for k in range(4):
+        table.append(readings(spark, range(k * 10, k * 10 + 10)), str(k))
+    before = table.rows(spark)  # a reader that started earlier
+    files = files_of(before)
+    assert table.compact(spark) == 40 and table.compact(spark) == 40
+    after = table.rows(spark)
+    assert sorted(after.collect()) == sorted(before.collect())
+    assert len(files_of(after)) == 5 < len(files)  # one a day
+    gone = table.replaced(spark)
+    assert all(any(f"{folder}/" in f for folder in gone) for f in files)
+    assert not any(f"{folder}/" in f for folder in gone for f in files_of(after))
+    assert table.append(readings(spark, range(45)), "late") == 5 and len(held(spark, table)) == 45
+    assert table.append(readings(spark, range(45)), "2") == 0  # a replaced batch stays known
+
+
+def test_look_backs_read_the_zone_map_and_late_days_only(spark, tmp_path):
+    rows = readings(spark, range(120)).withColumn("detected_at", F.expr("timestamp + INTERVAL 30 HOURS"))
+    table = StoredTable(str(tmp_path), ("event_id",), ("timestamp", "detected_at"))
+    table.append(rows, "all")
+    timed = table.timed(spark)
+    for got, want in (
+        (serving.recent(timed, 3600), serving.recent(rows, 3600)),
+        (serving.recent(timed, 7200, "detected_at"), serving.recent(rows, 7200, "detected_at")),
+        (serving.newest(timed, "detected_at", 3).orderBy(F.desc("detected_at"), "event_id").limit(3),
+         rows.orderBy(F.desc("detected_at"), "event_id").limit(3)),
+    ):
+        plan = got._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        scans = re.split(r"\n\(\d+\) ", plan.split("===== Subqueries")[0])
+        scans = [s for s in scans if s.startswith("Scan parquet")]
+        assert len(scans) == 1 and "PartitionFilters" in scans[0] and "Subquery" in scans[0]
+        # No subquery reads the rows: all they scan is the zone map.
+        assert "speed_ms" not in plan.split("===== Subqueries")[1] and "/rows]" not in plan.split("===== Subqueries")[1]
+        assert sorted(got.select("event_id").collect()) == sorted(want.select("event_id").collect())
+    assert serving.recent(timed, 60, as_of="2030-01-01").count() == 0

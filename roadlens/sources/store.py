@@ -33,7 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DAY = ("year", "month", "day")
-BUCKETS = 256
+#: Key folders per batch; a table of billions of keys wants more.
+BUCKETS = 64
 COMMIT_SCHEMA = "batch string, rows long, replaces array<string>, drop_before date"
 
 
@@ -89,10 +90,10 @@ class StoredTable:
         record = spark.createDataFrame([(batch, rows, list(replaces), drop_before)], COMMIT_SCHEMA)
         record.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
-    def _visible(self, spark: SparkSession, part: str, batches=None) -> DataFrame | None:
+    def _visible(self, spark: SparkSession, part: str, batches=None, state=None) -> DataFrame | None:
         """Rows of a part in the committed batches (folders are pruned)."""
-        live, _, expired = self._state(spark)
-        live = [b for b in live if batches is None or b in batches]
+        live, _, expired = state or self._state(spark)
+        live = [b for b, n in live.items() if n and (batches is None or b in batches)]
         found = self._stored(spark, part) if live else None
         if found is None:
             return None
@@ -103,23 +104,25 @@ class StoredTable:
 
     # -- reading ---------------------------------------------------------
 
-    def rows(self, spark: SparkSession) -> DataFrame:
-        out = self._visible(spark, "rows")
+    def rows(self, spark: SparkSession, state=None) -> DataFrame:
+        out = self._visible(spark, "rows", state=state)
         if out is None:
             raise ValueError(f"nothing is committed in {self.path}")
         return out
 
-    def zones(self, spark: SparkSession) -> DataFrame:
+    def zones(self, spark: SparkSession, state=None) -> DataFrame:
         """The catalog: per day and hour the rows and the span of each time
         column, added up over the batches' own zones."""
-        out = self._visible(spark, "zones")
+        out = self._visible(spark, "zones", state=state)
         if out is None:
             raise ValueError(f"nothing is committed in {self.path}")
         spans = [f(f"{side}_{c}").alias(f"{side}_{c}") for c in self.time_cols for side, f in (("first", F.min), ("last", F.max))]
         return out.groupBy(*DAY, "hour").agg(F.sum("rows").alias("rows"), *spans)
 
     def timed(self, spark: SparkSession) -> Timed:
-        return Timed(self.rows(spark), self.zones(spark))
+        """Rows and zone map of one state of the table."""
+        state = self._state(spark)
+        return Timed(self.rows(spark, state), self.zones(spark, state))
 
     # -- writing ---------------------------------------------------------
 
@@ -129,11 +132,12 @@ class StoredTable:
     def _held(self, spark: SparkSession, batch: str, batches) -> DataFrame | None:
         """The keys that the given batches hold in the key folders that those
         of ``batch`` fall into. The driver gets at most ``buckets`` numbers."""
-        own = self._stored(spark, f"keys/batch={batch}")
+        if not self._count(spark, batch):
+            return None
         held = self._visible(spark, "keys", batches)
-        if own is None or held is None:
+        if held is None:
             return None
-        buckets = [r.bucket for r in own.select("bucket").distinct().collect()]
+        buckets = [r.bucket for r in self._batch(spark, "keys", batch).select("bucket").distinct().collect()]
         return held.filter(F.col("bucket").isin(buckets)).select(*self.key)
 
     def _once(self, df: DataFrame) -> DataFrame:
@@ -154,6 +158,7 @@ class StoredTable:
         Only where a key is taken are the other rows written once more."""
         spark = df.sparkSession
         batch = self._name(batch)
+        spark.createDataFrame([], COMMIT_SCHEMA).write.mode("ignore").parquet(f"{self.path}/commits")
         if batch in self._state(spark)[1]:
             return 0
         self._write(self._once(df) if self.key else df, batch)
@@ -169,7 +174,7 @@ class StoredTable:
             self._write(free, batch)
         if before_commit:
             before_commit()
-        n = self._batch(spark, "zones", batch).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        n = self._count(spark, batch)
         self._commit(spark, batch, n, left)
         return n
 
@@ -183,6 +188,9 @@ class StoredTable:
     def _batch(self, spark: SparkSession, part: str, batch: str) -> DataFrame:
         return spark.read.option("basePath", f"{self.path}/{part}").parquet(f"{self.path}/{part}/batch={batch}")
 
+    def _count(self, spark: SparkSession, batch: str) -> int:
+        return self._batch(spark, "zones", batch).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+
     def _write(self, df: DataFrame, batch: str) -> None:
         """Rows, then keys and zones from the columns of the written rows."""
         from roadlens.sources.landing import write_partitioned
@@ -213,7 +221,7 @@ class StoredTable:
             return sum(live.values())
         batch = self._name(None)
         self._write(self._visible(spark, "rows", set(live)), batch)
-        n = self._batch(spark, "zones", batch).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        n = self._count(spark, batch)
         self._commit(spark, batch, n, sorted(live))
         return n
 

@@ -28,7 +28,11 @@ ASSIGN_VALUE = r"""(?i)^(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "random")
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+#: Stands over base spans while tokens are sought; there it counts as one of their characters.
+BLANK = "\x01"
+TOKEN = r"(?<![A-Za-z0-9+/_=\x01-])[A-Za-z0-9+/_=\x01-]{20,}"
+RUN = 128
+BLOCK = 1024
 #: A run to be tested holds letters and mixes digits, upper case, lower case or other symbols.
 MIXED = ("s.m RLIKE '[A-Za-z]' AND "
          + " + ".join(f"cast(s.m RLIKE '{c}' AS int)" for c in ("[0-9]", "[A-Z]", "[a-z]", "[+/_-]")) + " >= 2")
@@ -41,15 +45,33 @@ MASK = "[SECRET]"
 
 def spans(text: str, pattern: str, found: str, kind: str, ok: str) -> Column:
     """Spans of ``pattern`` in column ``text`` whose match ``m`` meets ``ok``.
-    ``found`` holds the matches; the pieces between them give the places."""
+    ``found`` holds the matches; the pieces between them give the places. Places
+    are added up within runs of ``RUN`` matches, from the sums of the runs before:
+    a growing array is only ever as long as a run, or as there are runs."""
     quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    return F.expr(f"""CASE WHEN size({found}) > 0 THEN filter(aggregate(
-        zip_with({found}, slice(split({text}, '{quoted}', -1), 1, size({found})),
-                 (m, gap) -> named_struct('m', m, 'gap', length(gap))),
-        named_struct('at', 0, 'out', cast(array() AS array<struct<start: int, end: int, kind: string, m: string>>)),
-        (a, x) -> named_struct('at', a.at + x.gap + length(x.m), 'out', concat(a.out, array(named_struct(
-            'start', a.at + x.gap, 'end', a.at + x.gap + length(x.m), 'kind', '{kind}', 'm', x.m)))),
-        a -> a.out), s -> {ok}) ELSE cast(array() AS array<struct<start: int, end: int, kind: string, m: string>>) END""")
+    parts = f"""zip_with({found}, slice(split({text}, '{quoted}', -1), 1, size({found})),
+        (m, gap) -> named_struct('m', m, 'gap', length(gap), 'n', length(m)))"""
+    runs = f"""transform(array({parts}), p -> transform(sequence(0, (size(p) - 1) DIV {RUN}),
+        c -> slice(p, c * {RUN} + 1, {RUN})))[0]"""
+    firsts = """aggregate(r, named_struct('at', 0, 'out', cast(array() AS array<int>)),
+        (a, run) -> named_struct('at', a.at + aggregate(run, 0, (s, x) -> s + x.gap + x.n), 'out', concat(a.out, array(a.at))),
+        a -> a.out)"""
+    placed = f"""flatten(zip_with(r, {firsts}, (run, first) -> aggregate(run,
+        named_struct('at', first, 'out', cast(array() AS array<struct<start: int, end: int, kind: string, m: string>>)),
+        (a, x) -> named_struct('at', a.at + x.gap + x.n, 'out', concat(a.out, array(named_struct(
+            'start', a.at + x.gap, 'end', a.at + x.gap + x.n, 'kind', '{kind}', 'm', x.m)))),
+        a -> a.out)))"""
+    return F.expr(f"""CASE WHEN size({found}) > 0 THEN filter(transform(array({runs}), r -> {placed})[0], s -> {ok})
+                      ELSE cast(array() AS array<struct<start: int, end: int, kind: string, m: string>>) END""")
+
+
+def blanked(text: str, pattern: str, ok: str) -> Column:
+    """``text`` with each match ``m`` of ``pattern`` that meets ``ok`` written
+    over with ``BLANK``, at its length."""
+    quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
+    return F.when(F.col(text).rlike(pattern), F.expr(f"""array_join(zip_with(split({text}, '{quoted}', -1),
+        regexp_extract_all({text}, '{quoted}', 0), (gap, m) -> CASE WHEN m IS NULL THEN gap
+            WHEN {ok} THEN concat(gap, repeat('{BLANK}', length(m))) ELSE concat(gap, m) END), '')""")).otherwise(F.col(text))
 
 
 def matches(text: str, pattern: str) -> Column:
@@ -64,17 +86,24 @@ def scan(docs: DataFrame, id_col: str, text_col: str, carry: str | None = None)
     # A run of 24 or more hex digits is what the pattern finds and the length keeps.
     hexes = "(?<![0-9a-f])" + HEX.replace("+", "{24,}")
     access = ACCESS.replace("+", "{16,}")
-    found = (rows.withColumn("f_assign", matches("__text", ASSIGN)).withColumn("f_access", matches("__text", access))
-             .withColumn("f_hex", matches("__text", hexes)).withColumn("f_token", matches("__text", TOKEN)))
     value = ASSIGN_VALUE.replace("\\", "\\\\").replace("'", "\\'")
-    return (found
-            .withColumn("assign", spans("__text", ASSIGN, "f_assign", "assign",
-                                        f"length(regexp_extract(s.m, '{value}', 1)) >= 6"))
-            .withColumn("access", spans("__text", access, "f_access", "access", "true"))
-            .withColumn("hex", spans("__text", hexes, "f_hex", "hex", "true"))
-            .withColumn("tokens", spans("__text", TOKEN, "f_token", "random",
-                                        MIXED))
-            .drop("f_assign", "f_access", "f_hex", "f_token"))
+    long = f"length(regexp_extract({{0}}, '{value}', 1)) >= 6"
+    # A token that a base span touches is one that holds a blank: what a base
+    # pattern leaves of a run of token characters lies beside its blanks.
+    rest = (rows.withColumn("rest", F.translate("__text", BLANK, "\x02"))
+            .withColumn("rest", blanked("rest", ASSIGN, long.format("m")))
+            .withColumn("rest", blanked("rest", access, "true"))
+            .withColumn("rest", blanked("rest", hexes, "true")))
+    found = (rest.withColumn("f_assign", matches("__text", ASSIGN)).withColumn("f_access", matches("__text", access))
+             .withColumn("f_hex", matches("__text", hexes)).withColumn("f_token", matches("rest", TOKEN)))
+    scanned = (found
+               .withColumn("assign", spans("__text", ASSIGN, "f_assign", "assign", long.format("s.m")))
+               .withColumn("access", spans("__text", access, "f_access", "access", "true"))
+               .withColumn("hex", spans("__text", hexes, "f_hex", "hex", "true"))
+               .withColumn("tokens", spans("rest", TOKEN, "f_token", "random", f"NOT contains(s.m, '{BLANK}') AND {MIXED}")))
+    # A generator, so that what follows is not written into the steps above, to be computed again for each token.
+    kept = ["__id", "__text", *(["__row"] if carry else []), "assign", "access", "hex", "tokens"]
+    return scanned.select(F.inline(F.array(F.struct(*kept))))
 
 
 def normal_tail(z: str) -> str:
@@ -148,8 +177,6 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     (arrays of start, end, kind in order of start, then kind). Null texts count
     as empty. ``carry`` names a column to keep as ``__row``. Judges every token of every text; repeated rows get equal spans."""
     scanned = scan(docs, id_col, text_col, carry)
-    inside = " AND ".join(f"NOT exists({k}, b -> b.start < s.end AND s.start < b.end)" for k in KINDS[:3])
-    scanned = scanned.withColumn("tokens", F.expr(f"filter(tokens, s -> {inside})"))
     cuts = rejected_from(battery(scanned.select("tokens")).select(F.inline("tests")), fdr)
     # One value per band of encoding and length: at most 4 x 6 entries.
     cut_of = cuts.agg(F.map_from_entries(F.collect_list(F.struct("band", "cut"))).alias("cuts")).scalar()
@@ -196,10 +223,20 @@ def mask_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
              THEN concat(slice(a, 1, size(a) - 1), array(named_struct('start', a[size(a) - 1].start,
                          'end', greatest(s.end, a[size(a) - 1].end))))
              ELSE concat(a, array(named_struct('start', s.start, 'end', s.end))) END)""")
+    # Pieces are cut from blocks of the text: a place is not counted from its start each time.
+    def piece(start: str, end: str) -> str:
+        blocks = f"slice(blocks, {start} DIV {BLOCK} + 1, ({end} - 1) DIV {BLOCK} - {start} DIV {BLOCK} + 1)"
+        return f"if({end} > {start}, substring(array_join({blocks}, ''), {start} % {BLOCK} + 1, {end} - {start}), '')"
+
     cut = F.expr(f"""CASE WHEN size(merged) = 0 THEN __text ELSE concat(
-        array_join(transform(merged, (s, i) -> concat(substring(__text, coalesce(get(merged, i - 1).end, 0) + 1,
-            s.start - coalesce(get(merged, i - 1).end, 0)), '{mask}')), ''),
-        substring(__text, merged[size(merged) - 1].end + 1)) END""")
+        array_join(zip_with(merged, befores, (s, before) -> concat({piece('before', 's.start')}, '{mask}')), ''),
+        {piece('merged[size(merged) - 1].end', 'length(__text)')}) END""")
+    befores = F.expr("if(size(merged) > 0, concat(array(0), transform(slice(merged, 1, size(merged) - 1), s -> s.end)), array())")
+    blocks = F.when(F.size("merged") > 0, F.regexp_extract_all("__text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
     text = F.when(F.col(f"__row.`{text_col}`").isNotNull(), F.col("__masked"))
-    return (found.withColumn("merged", merged).withColumn("__masked", cut)
+    # Computed once, as above.
+    rows = found.select(F.inline(F.array(F.struct("__row", "__text", merged.alias("merged")))))
+    rows = rows.withColumns({"befores": befores, "blocks": blocks})
+    return (rows.select("__row", F.inline(F.array(F.struct("__text", "merged", "befores", "blocks"))))
+            .withColumn("__masked", cut)
             .select(*[(text if c == text_col else F.col(f"__row.`{c}`")).alias(c) for c in docs.columns]))

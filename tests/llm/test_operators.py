@@ -5,6 +5,7 @@ columns."""
 import collections
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -441,3 +442,51 @@ def test_pipeline_takes_tables_that_name_a_place_in_the_mix(spark):
     assert sorted(r.mix_position_ for r in mixed.collect()) == list(range(40))
     packed = P.pack_sequences(spark, mixed, "").collect()
     assert {r.doc_id for r in packed} == set(range(40))
+
+
+def test_masking_equals_cutting_the_spans_in_odd_and_long_texts(spark):
+    rng = random.Random(9)
+    digest = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.randrange(20, 70)))
+    texts = [None, "", "\x01", "\x01" + digest() * 3, digest() * 2 + "\x01" + digest(), "é😀" * 700 + digest() + "password=abcdef😀\x01",
+             "token: 'abc'" + "Zz9" * 10, "Zz9" * 10 + " password: AKIA" + "B2" * 12 + "." + digest(),
+             "\n".join(digest() + rng.choice([" ", "\x01", "😀 file", ".", "="]) for _ in range(700))]
+    docs = documents(spark, texts)
+    spans = {r["__id"]: [(s.start, s.end) for s in r["all"]] for r in secrets.find_secrets(docs).collect()}
+    assert len(spans[8]) > 500
+    for r in secrets.mask_secrets(docs).collect():
+        text, out, at = texts[r.doc_id], "", 0
+        merged = []
+        for a, b in sorted(spans[r.doc_id]):
+            if merged and a < merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        for a, b in merged:
+            out, at = out + text[at:a] + secrets.MASK, b
+        assert r.text == (None if text is None else out + text[at:])
+
+
+def test_tokens_beside_base_spans_are_the_runs_that_no_span_touches(spark):
+    """Blanking base spans finds the tokens that an overlap test keeps."""
+    rng = random.Random(4)
+    bits = ["password=", "secret: '", "AKIA", "ABCDEF23", "0123abcd", "deadbeef", "xY7+/", "_-=", " ", "\n", "'", ".", "\x01", "é"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(5, 120))) for _ in range(300)]
+    run = re.compile(secrets.TOKEN.replace(r"\x01", ""))
+    for r in secrets.scan(documents(spark, texts), "doc_id", "text").collect():
+        base = [(s.start, s.end) for k in ("assign", "access", "hex") for s in r[k]]
+        mixed = lambda m: (re.search("[A-Za-z]", m) and sum(bool(re.search(c, m)) for c in ("[0-9]", "[A-Z]", "[a-z]", "[+/_-]")) >= 2)
+        want = [(m.start(), m.end()) for m in run.finditer(texts[r["__id"]])
+                if mixed(m[0]) and not any(a < m.end() and m.start() < b for a, b in base)]
+        assert [(s.start, s.end) for s in r.tokens] == want
+
+
+def test_a_text_of_many_digests_takes_time_in_proportion(spark):
+    def seconds(n):
+        docs = documents(spark, ["\n".join(f"{i * 2**200 + 2**255:064x}  file{i}" for i in range(n))])
+        started = time.perf_counter()
+        (row,) = secrets.mask_secrets(docs).collect()
+        assert row.text.count(secrets.MASK) == n
+        return time.perf_counter() - started
+
+    seconds(10)
+    assert seconds(10_000) < 15 * seconds(1_000)

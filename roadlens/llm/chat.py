@@ -27,7 +27,6 @@ CONTROL = re.compile(r"(\\*)(###|</turn>)")
 ESCAPED = re.compile(r"\\(\\*(?:###|</turn>))")
 #: A turn starts behind the last turn's end, at an unescaped mark.
 ROLE = re.compile(r"### ([^:\n]*): ")
-MAX_ROUNDS = 40
 
 
 def escape(text: str) -> str:
@@ -75,45 +74,78 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """Root-to-leaf paths of messages (``tree``, ``id``, ``parent``): rows
-    (tree, leaf, id, up), one per message on the leaf's path, ``up`` steps from
-    the leaf. ``parent`` null, or not in the tree, starts a tree."""
+def ancestors(edges: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
+    """Written tables of jumps (``tree``, ``id``, ``to``), the k-th one 2^k
+    parents up, for the parent edges of messages; and what is left of them if
+    some edges form cycles, with the ``least`` id met on the way.
+
+    In a tree fewer messages have a jump in every round. Once as many have one as
+    before, all of them are on a cycle or lead to one, and once the least ids
+    stand still too, a message on a cycle knows its least id."""
+    jump = edges.withColumns({"least": F.col("to"), "lower": F.lit(True)})
+    tables, before = [], None
+    while True:
+        jump = kept_table(jump, "jumps")
+        left = jump.agg(F.count(F.lit(1)).alias("n"), F.count_if("lower").alias("lower")).first()
+        if not left.n:
+            return tables, None
+        if left.n == before and not left.lower:
+            return tables, jump
+        tables.append(jump)
+        before = left.n
+        further = jump.select("tree", F.col("id").alias("to"), F.col("to").alias("far"), F.col("least").alias("then"))
+        jump = (jump.drop("lower").join(further, ["tree", "to"])
+                .select("tree", "id", F.col("far").alias("to"), F.least("least", "then").alias("least"),
+                        (F.col("then") < F.col("least")).alias("lower")))
+
+
+def paths(messages: DataFrame, per_tree: int) -> DataFrame:
+    """Rows (tree, leaf, id, up) of the ``per_tree`` best branches of every
+    tree, one per message on the leaf's path, ``up`` steps from the leaf: by mean
+    score of the path's messages (to a millionth), then length, then leaf.
+
+    Branches are ranked before any is listed: sums and lengths up to the root are
+    doubled along the jumps, so a tree of n messages takes n log n rows, and only
+    the chosen branches are unfolded. A cycle of parents is cut: the message of
+    its least id starts a tree."""
     known = messages.select("tree", "id", "parent")
     ids = known.select("tree", F.col("id").alias("parent"))
-    jump = known.join(ids, ["tree", "parent"], "left_semi").select("tree", "id", F.col("parent").alias("to"))
-    leaf = known.join(known.select("tree", F.col("parent").alias("id")).filter("id IS NOT NULL"), ["tree", "id"], "left_anti")
-    path = leaf.select("tree", F.col("id").alias("leaf"), "id", F.lit(0).cast("long").alias("up"))
-    for k in range(MAX_ROUNDS):  # paths of 2^k messages are known; jumps go 2^k up
-        jump = kept_table(jump, "jumps")
-        if jump.isEmpty():
-            break
+    edges = kept_table(known.join(ids, ["tree", "parent"], "left_semi").select("tree", "id", F.col("parent").alias("to")),
+                       "edges")
+    jumps, looped = ancestors(edges)
+    if looped is not None:
+        starts = looped.filter("id = least").select("tree", "id")
+        edges = kept_table(edges.join(starts, ["tree", "id"], "left_anti"), "edges")
+        jumps, _ = ancestors(edges)
+    points = F.coalesce(F.expr("try_cast(round(score * 1000000) AS bigint)"), F.lit(0))
+    total = messages.select("tree", "id", points.alias("points"), F.lit(1).cast("long").alias("n"))
+    for jump in jumps:
+        above = total.select("tree", F.col("id").alias("to"), F.col("points").alias("p"), F.col("n").alias("m"))
+        gained = jump.select("tree", "id", "to").join(above, ["tree", "to"]).select("tree", "id", "p", "m")
+        total = kept_table(total.join(gained, ["tree", "id"], "left").select(
+            "tree", "id", (F.col("points") + F.coalesce("p", F.lit(0))).alias("points"),
+            (F.col("n") + F.coalesce("m", F.lit(0))).alias("n")), "totals")
+    leaves = total.join(edges.select("tree", F.col("to").alias("id")), ["tree", "id"], "left_anti")
+    best = Window.partitionBy("tree").orderBy(F.desc(F.col("points") / F.col("n")), F.desc("n"), "id")
+    path = (leaves.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= per_tree)
+            .select("tree", F.col("id").alias("leaf"), "id", F.lit(0).cast("long").alias("up")))
+    for k, jump in enumerate(jumps):  # paths of 2^k messages are known; jumps go 2^k up
         further = path.join(jump, ["tree", "id"]).select("tree", "leaf", F.col("to").alias("id"),
                                                          (F.col("up") + (1 << k)).alias("up"))
         path = kept_table(path.unionByName(further), "paths")
-        jump = (jump.join(jump.select("tree", F.col("id").alias("to"), F.col("to").alias("far")), ["tree", "to"])
-                .select("tree", "id", F.col("far").alias("to")))
     return path
 
 
-def choose(path: DataFrame, messages: DataFrame, per_tree: int) -> DataFrame:
-    """Rows (tree, leaf, id, up) of the ``per_tree`` best branches of a tree:
-    by mean score of the path's messages, then length, then leaf."""
-    scores = messages.select("tree", "id", F.coalesce("score", F.lit(0.0)).alias("score"))
-    ranked = (path.join(scores, ["tree", "id"]).groupBy("tree", "leaf")
-              .agg(F.avg("score").alias("mean"), F.count(F.lit(1)).alias("n")))
-    best = Window.partitionBy("tree").orderBy(F.desc("mean"), F.desc("n"), "leaf")
-    return path.join(ranked.withColumn("__r", F.row_number().over(best)).filter(F.col("__r") <= per_tree)
-                     .select("tree", "leaf"), ["tree", "leaf"])
-
-
 def conversations(messages: DataFrame, *, per_tree: int = 1) -> DataFrame:
     """Rows (tree, leaf, formatted, mask) of the chosen branches of messages
     (``tree``, ``id``, ``parent``, ``role``, ``text``, ``score``). Null roles
-    and texts are empty; ids must be unique in a tree; an empty table gives no
-    rows. Texts travel once, when the chosen path is put together."""
+    and texts are empty, null or NaN scores 0. Of messages that repeat an id
+    the one of least parent, role, text and score counts. A parent that the tree
+    doesn't hold starts one, and so does the least id of a cycle. A message
+    without an id is not part of a tree. An empty table gives no rows."""
     ship_package(messages.sparkSession)
-    chosen = choose(paths(messages), messages, per_tree)
+    messages = messages.groupBy("tree", "id").agg(F.min(F.struct("parent", "role", "text", "score")).alias("m")).select("tree", "id", "m.*")
+    chosen = paths(messages, per_tree)
     turns = (chosen.join(messages.select("tree", "id", F.coalesce("role", F.lit("")).alias("role"),
                                          F.coalesce("text", F.lit("")).alias("text")), ["tree", "id"])
              .groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(F.struct("up", "role", "text")), asc=False)

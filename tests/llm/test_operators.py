@@ -490,3 +490,20 @@ def test_a_text_of_many_digests_takes_time_in_proportion(spark):
 
     seconds(10)
     assert seconds(10_000) < 15 * seconds(1_000)
+
+
+def test_reply_trees_with_cycles_repeats_and_long_branches(spark):
+    rows = [(1, 1, 1, "self", 0.0), (1, 2, 1, "reply", 0.0),  # its own parent
+            (2, 5, 6, "a", 0.0), (2, 6, 5, "b", 0.0),  # a pure cycle
+            (3, 7, 9, "x", 0.1), (3, 8, 7, "y", 0.1), (3, 9, 8, "z", 0.1), (3, 2, 9, "t", 0.1), (3, 10, 2, "u", 0.9),  # leads to one
+            (4, 1, None, "p", 0.0), (4, 1, None, "o", 0.0), (4, 2, 1, "q", float("nan")),  # a repeated id
+            (5, 1, 99, "lost parent", None)]
+    rows += [(6, i, i - 1 if i else None, f"m{i}", 0.0) for i in range(600)]  # a caterpillar: a reply to each message
+    rows += [(6, 1000 + i, i, f"leaf{i}", 600.0 if i == 300 else 0.0) for i in range(600)]
+    messages = spark.createDataFrame([(t, i, p, "user", x, s) for t, i, p, x, s in rows],
+                                     "tree long, id long, parent long, role string, text string, score double")
+    got = {(r.tree, r.leaf): [x for _, x in chat.read_turns(r.formatted)] for r in chat.conversations(messages).collect()}
+    assert got == {(1, 2): ["self", "reply"], (2, 6): ["a", "b"], (3, 10): ["x", "y", "z", "t", "u"],
+                   (4, 2): ["o", "q"], (5, 1): ["lost parent"], (6, 1300): [f"m{i}" for i in range(301)] + ["leaf300"]}
+    every = chat.conversations(messages, per_tree=10_000).groupBy("tree").count().collect()
+    assert {r.tree: r["count"] for r in every} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 600}

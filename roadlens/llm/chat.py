@@ -118,13 +118,18 @@ def paths(messages: DataFrame, per_tree: int) -> DataFrame:
         edges = kept_table(edges.join(starts, ["tree", "id"], "left_anti"), "edges")
         jumps, _ = ancestors(edges)
     points = F.coalesce(F.expr("try_cast(round(score * 1000000) AS bigint)"), F.lit(0))
-    total = messages.select("tree", "id", points.alias("points"), F.lit(1).cast("long").alias("n"))
+    # A message whose jumps have ended is settled; each round touches the others only.
+    climbing = kept_table(messages.select("tree", "id", points.alias("points"), F.lit(1).cast("long").alias("n")), "totals")
+    settled = None
     for jump in jumps:
+        total = climbing if settled is None else settled.unionByName(climbing)
         above = total.select("tree", F.col("id").alias("to"), F.col("points").alias("p"), F.col("n").alias("m"))
-        gained = jump.select("tree", "id", "to").join(above, ["tree", "to"]).select("tree", "id", "p", "m")
-        total = kept_table(total.join(gained, ["tree", "id"], "left").select(
-            "tree", "id", (F.col("points") + F.coalesce("p", F.lit(0))).alias("points"),
-            (F.col("n") + F.coalesce("m", F.lit(0))).alias("n")), "totals")
+        ended = kept_table(climbing.join(jump.select("tree", "id"), ["tree", "id"], "left_anti"), "totals")
+        settled = ended if settled is None else settled.unionByName(ended)
+        climbing = kept_table(climbing.join(jump.select("tree", "id", "to"), ["tree", "id"]).join(above, ["tree", "to"])
+                              .select("tree", "id", (F.col("points") + F.col("p")).alias("points"),
+                                      (F.col("n") + F.col("m")).alias("n")), "totals")
+    total = climbing if settled is None else settled.unionByName(climbing)
     leaves = total.join(edges.select("tree", F.col("to").alias("id")), ["tree", "id"], "left_anti")
     best = Window.partitionBy("tree").orderBy(F.desc(F.col("points") / F.col("n")), F.desc("n"), "id")
     path = (leaves.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= per_tree)

@@ -172,18 +172,17 @@ class _Shard:
         self.size += len(tokens)
 
     def phrases(self, length: int, word_bits, pair_bits) -> pa.RecordBatch:
-        words, langs, hashes = [b""], [b""], [0]
-        listed = sorted((i, w, lang) for lang, ids in self.ids.items() for w, i in ids.items() if i)
-        words += [w for _, w, _ in listed]
-        langs += [lang for _, _, lang in listed]
-        sigma = len(listed)
+        sigma = sum(len(ids) - 1 for ids in self.ids.values())
+        words, langs = [b""] * (sigma + 1), [b""] * (sigma + 1)
+        for lang, ids in self.ids.items():
+            for w, i in ids.items():
+                words[i], langs[i] = w, lang
         text = np.concatenate(self.runs)
         if length == 1:
             found = np.arange(1, sigma + 1)[:, None]
             counts = np.bincount(text, minlength=sigma + 1)[1:]
         else:
-            hashes += [_hash(lang, w) for _, w, lang in listed]
-            h = np.array(hashes, np.uint64).view(np.int64)
+            h = np.array([0, *map(_hash, langs[1:], words[1:])], np.uint64).view(np.int64)
             keep = _in(word_bits, h)
             index = ShardIndex(text, sigma)
             at = index.extend(index.words(keep), "left", keep)

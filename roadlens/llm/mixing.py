@@ -1,37 +1,45 @@
 """Operator 1: mix sources to target weights by Pfair scheduling.
 
 Each source is cut into blocks of ``block_docs`` documents. Block k (from 0)
-of a source with weight w (its quota over the period) is released at slot
-``floor(k / w)`` and due by slot ``ceil((k + 1) / w)``; in each slot the
-released block with the earliest deadline runs. The weights sum to one, so
-every block meets its window, and at every slot each source is less than one
-block away from the share its quota gives. Quotas are weights rounded to
-``1 / resolution``, at least one: the distance to the unrounded weight can grow
-with every period (not bounded, see the README).
-
-Quotas are whole numbers, so the schedule repeats after ``sum(quota)`` slots.
-Only this one period is scheduled, on the driver (its length is set by
-``resolution`` and the number of sources, not by the documents); each block
-then finds its slot by arithmetic, and each document its place by its rank in
-its source. What touches documents is DataFrame functions.
+of a source with weight w is released at slot ``floor(k / w)`` and due by slot
+``ceil((k + 1) / w)``; in each slot the released block with the earliest
+deadline runs. The weights sum to one, so every block meets its window, and at
+every slot each source is less than one block away from its target share.
+
+Weights are whole numbers of ``1 / resolution`` (at least one), fine enough
+that windows follow the target weights over all blocks of the data: after S
+slots of n sources the distance they add is below ``S * (1 + n) / (2 *
+resolution)`` blocks.
+
+The schedule holds until the first source has no block left for a slot that
+goes to it; from there no weights can be met, and the blocks left follow in the
+order of their deadlines. A schedule is a sequence: each slot depends on those
+before. It is made on the driver, which holds one number per source and
+``CHUNK_SLOTS`` slots at a time (one number per block of documents, written to
+the shared folder as it goes). What touches documents, and the order of the
+blocks left, is DataFrame functions.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadlens.llm.common import grouped_rank, kept_table, read, stable_hash
+from roadlens.session import scratch_path
 
 BLOCK_DOCS = 64
-RESOLUTION = 1000
+RESOLUTION = 10_000_000_000
 ALPHA = 0.7
-#: No cap any more; see ``mix``.
-MAX_SOURCES = 256
-#: Rounds unfolded at a time, and slots per bucket in which blocks are counted.
+#: Blocks of a source unfolded at a time, and slots per row of the schedule.
 CHUNK = 4096
+#: Slots that the driver holds before it writes them.
+CHUNK_SLOTS = 1 << 20
+#: Blocks that one task puts in order.
+BLOCKS_PER_PART = 500_000
 #: Tables of blocks up to this many rows are sent to every executor.
 BROADCAST_BLOCKS = 200_000
 SEED = 7
@@ -56,72 +64,110 @@ def quotas(docs: DataFrame, source_col: str, weights: dict | None, resolution: i
                     .cast("long").alias("quota")))
 
 
-def earliest_deadline_first(quota: list[int]) -> list[tuple[int, int]]:
-    """One period: for each slot the source that runs (its index in ``quota``)
-    and which of its blocks. A heap of released blocks by (deadline, index) and
-    one of those to come: logarithmic in the sources per slot."""
-    period = sum(quota)
-    coming, released, out = [(0, i, 0) for i in range(len(quota))], [], []
-    for slot in range(period):
+def earliest_deadline_first(quota: list[int], blocks: list[int], ran: list[int]) -> Iterator[int]:
+    """For each slot the source that runs (its index in ``quota``), until one
+    has no block left for its slot; ``ran`` counts the blocks. A heap of released
+    blocks by (deadline, index) and one of those to come: logarithmic in the
+    sources per slot."""
+    period, slot = sum(quota), 0
+    coming, released = [(0, i) for i in range(len(quota))], []
+    while quota:
         while coming and coming[0][0] <= slot:
-            _, i, k = heapq.heappop(coming)
-            heapq.heappush(released, (-(-(k + 1) * period // quota[i]), i, k))
-        _, i, k = heapq.heappop(released)
-        out.append((i, k))
-        if k + 1 < quota[i]:
-            heapq.heappush(coming, ((k + 1) * period // quota[i], i, k + 1))
-    return out
+            i = heapq.heappop(coming)[1]
+            heapq.heappush(released, (-(-(ran[i] + 1) * period // quota[i]), i))
+        i = heapq.heappop(released)[1]
+        if ran[i] == blocks[i]:
+            return
+        yield i
+        ran[i] += 1
+        slot += 1
+        heapq.heappush(coming, (ran[i] * period // quota[i], i))
+
+
+def scheduled(spark: SparkSession, quota: list[int], blocks: list[int], ran: list[int]) -> tuple[DataFrame, int]:
+    """The written schedule, one row per slot (i, block, slot), and its length."""
+    path = scratch_path(spark, "schedule")
+    schema = "first long, i array<int>, block array<long>"
+    spark.createDataFrame([], schema).write.parquet(path)
+    rows, slot = [], 0
+    picked, block = [], []
+
+    def flush():
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(path)
+        rows.clear()
+
+    for i in earliest_deadline_first(quota, blocks, ran):
+        picked.append(i)
+        block.append(ran[i])
+        slot += 1
+        if len(picked) == CHUNK:
+            rows.append((slot - CHUNK, picked, block))
+            picked, block = [], []
+            if len(rows) * CHUNK >= CHUNK_SLOTS:
+                flush()
+    if picked:
+        rows.append((slot - len(picked), picked, block))
+    if rows:
+        flush()
+    stored = spark.read.schema(schema).parquet(path)
+    return (stored.select("first", F.posexplode(F.arrays_zip("i", "block")).alias("at", "x"))
+            .select("x.i", "x.block", (F.col("first") + F.col("at")).alias("slot"))), slot
 
 
 def blocks_of(spark: SparkSession, quota: DataFrame, block_docs: int) -> DataFrame:
     """One row per block of a source: source, block, slot, ``start`` (the
-    documents before it in the mix) and balanced. The sources and one period
-    are held by the driver; blocks are only ever counted in buckets of slots."""
+    documents before it in the mix) and balanced."""
     sources = sorted(((r.source, r.n, r.quota) for r in quota.collect()), key=lambda r: r[0].encode())
-    period = sum(q for _, _, q in sources)
-    ran = earliest_deadline_first([q for _, _, q in sources])
-    plan, dry = [], None
-    for slot, (i, k) in enumerate(ran):
-        source, n, q = sources[i]
-        blocks = -(-n // block_docs)
-        plan.append((source, n, q, k, slot))
-        if k == blocks % q:  # the first slot that would go to this source without blocks left
-            dry = min(x for x in (dry, blocks // q * period + slot) if x is not None)
-    table = spark.createDataFrame(plan, "source string, n long, quota long, k long, at long")
-    # A source's k-th block of every round, rounds in chunks: no task unfolds a whole source.
-    last = F.expr(f"((n + {block_docs - 1}) DIV {block_docs} - 1 - k) DIV quota")
-    chunks = (table.withColumn("last", last).filter(f"k < (n + {block_docs - 1}) DIV {block_docs}")
-              .withColumn("chunk", F.explode(F.expr(f"sequence(0L, last, {CHUNK}L)"))))
-    slots = (chunks.repartition("source", "k", "chunk")
-             .withColumn("round", F.explode(F.expr(f"sequence(chunk, least(last, chunk + {CHUNK - 1}L))")))
-             .select("source", F.expr("round * quota + k").alias("block"), F.expr(f"round * {period}L + at").alias("slot"),
-                     F.expr(f"least({block_docs}L, n - (round * quota + k) * {block_docs})").alias("docs"))
-             .withColumn("bucket", F.expr(f"slot DIV {CHUNK}")))
+    quotas_, counts = [q for _, _, q in sources], [-(-n // block_docs) for _, n, _ in sources]
+    ran = [0] * len(sources)
+    by_plan, dry = scheduled(spark, quotas_, counts, ran)
+    table = kept_table(spark.createDataFrame(
+        [(i, s, n, q, b, r) for i, ((s, n, q), b, r) in enumerate(zip(sources, counts, ran))],
+        "i int, source string, n long, quota long, blocks long, ran long"), "sources")
+    # The blocks left, in chunks: no task unfolds a whole source. Before them the
+    # schedule's, whose slot stands for the deadline.
+    left = (table.filter("ran < blocks").withColumn("chunk", F.explode(F.expr(f"sequence(ran, blocks - 1, {CHUNK}L)")))
+            .repartition("source", "chunk")
+            .withColumn("block", F.explode(F.expr(f"sequence(chunk, least(blocks - 1, chunk + {CHUNK - 1}L))")))
+            .select("i", "block", F.lit(True).alias("late"),
+                    F.expr(f"((block + 1) * {sum(quotas_)}L + quota - 1) DIV quota").alias("due")))
+    order = ["late", "due", "i"]
+    parts = max(1, -(-sum(counts) // BLOCKS_PER_PART))
+    dealt = (by_plan.select("i", "block", F.lit(False).alias("late"), F.col("slot").alias("due")).unionByName(left)
+             .join(table.select("i", "source", "n"), "i")
+             .withColumn("docs", F.expr(f"least({block_docs}L, n - block * {block_docs})"))
+             .repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()))
+    # Written, so that a part's number is not dealt again.
+    dealt = kept_table(dealt, "dealt")
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    starts = (slots.groupBy("bucket").agg(F.sum("docs").alias("docs"))
-              .select("bucket", F.coalesce(F.sum("docs").over(before.orderBy("bucket")), F.lit(0)).alias("first")))
-    inside = F.coalesce(F.sum("docs").over(before.partitionBy("bucket").orderBy("slot")), F.lit(0))
-    return slots.withColumn("inside", inside).join(starts, "bucket").select(
-        "source", "block", "slot", F.expr("first + inside").alias("start"),
-        (F.col("slot") < F.lit(dry)).alias("balanced"))
+
+    def ahead(col: str, window) -> Column:
+        return F.coalesce(F.sum(col).over(window), F.lit(0).cast("long"))
+
+    firsts = (dealt.groupBy("part").agg(F.count(F.lit(1)).alias("c"), F.sum("docs").alias("d"))
+              .select("part", ahead("c", before.orderBy("part")).alias("slots"), ahead("d", before.orderBy("part")).alias("first")))
+    within = Window.partitionBy("part").orderBy(*order)
+    return (dealt.withColumns({"at": F.row_number().over(within) - 1,
+                               "inside": ahead("docs", within.rowsBetween(Window.unboundedPreceding, -1))})
+            .join(firsts, "part")
+            .select("source", "block", (F.col("slots") + F.col("at")).alias("slot"),
+                    (F.col("first") + F.col("inside")).alias("start"), (~F.col("late")).alias("balanced")))
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", weights: dict | None = None,
         block_docs: int = BLOCK_DOCS, resolution: int = RESOLUTION, alpha: float = ALPHA,
-        max_sources: int = MAX_SOURCES, seed: int = SEED) -> DataFrame:
+        seed: int = SEED) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``source_col``, ``block`` (of
     the source), ``slot``, ``position`` (its place in the whole mix, 0 to N-1
     without gaps) and ``balanced``.
 
     Without ``weights`` a source weighs its document count to the power of
     ``alpha``; a source that ``weights`` doesn't name gets the least quota.
-    Within a source documents are in a seeded hash order. Slots of a source
-    that has run dry are skipped: no document is dropped or repeated, and the
-    less-than-one-block bound holds for the rows with ``balanced`` (before the
-    first such slot). Null sources form a source of their own; rows that repeat
-    an id get places of their own. Every source has block windows of its own:
-    ``max_sources`` is still taken from callers and cuts nothing. An empty table
-    gives no rows."""
+    Within a source documents are in a seeded hash order. Slots count from 0
+    without gaps. No document is dropped or repeated; the less-than-one-block
+    bound holds for the rows with ``balanced``, and the others follow by their
+    blocks' deadlines. Null sources form a source of their own; rows that repeat
+    an id get places of their own. An empty table gives no rows."""
     rows = docs.select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"))
     blocks = kept_table(blocks_of(docs.sparkSession, quotas(rows, "__source", weights, resolution, alpha), block_docs), "blocks")
     if blocks.count() <= BROADCAST_BLOCKS:
@@ -157,29 +203,32 @@ def op1_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = f"""
 WITH RECURSIVE counted AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
-q AS (SELECT source, n, row_number() OVER (ORDER BY source) AS i,
+q AS (SELECT source, n, (n + {BLOCK_DOCS - 1}) // {BLOCK_DOCS} AS blocks, row_number() OVER (ORDER BY source) AS i,
         greatest(1, CAST(round(pow(n, {ALPHA}) / (SELECT sum(pow(n, {ALPHA})) FROM counted) * {RESOLUTION}) AS BIGINT)) AS quota
       FROM counted),
-p AS (SELECT CAST(sum(quota) AS BIGINT) AS period, list(quota ORDER BY i) AS quotas, list(n ORDER BY i) AS sizes FROM q),
+p AS (SELECT CAST(sum(quota) AS BIGINT) AS period, list(quota ORDER BY i) AS quotas, list(blocks ORDER BY i) AS sizes FROM q),
 edf AS (
   SELECT CAST(-1 AS BIGINT) AS slot, CAST(NULL AS BIGINT) AS i, list_transform(quotas, lambda x: CAST(0 AS BIGINT)) AS done,
-         list_transform(quotas, lambda x: CAST(0 AS BIGINT)) AS before FROM p
+         CAST(NULL AS BIGINT) AS block FROM p
   UNION ALL
-  SELECT slot + 1, pick, list_transform(done, lambda d, j: CASE WHEN j = pick THEN d + 1 ELSE d END), done
-  FROM (SELECT slot, done, list_min(list_filter(list_transform(quotas, lambda w, j:
-          CASE WHEN done[j] < w AND done[j] * period // w <= slot + 1
+  SELECT slot + 1, pick, list_transform(done, lambda d, j: CASE WHEN j = pick THEN d + 1 ELSE d END), done[pick]
+  FROM (SELECT slot, done, sizes, list_min(list_filter(list_transform(quotas, lambda w, j:
+          CASE WHEN done[j] * period // w <= slot + 1
                THEN ((done[j] * period + period + w - 1) // w) * 100000 + j END), lambda x: x IS NOT NULL)) % 100000 AS pick
-        FROM edf, p WHERE slot + 1 < period)),
-slots AS (SELECT e.slot, e.i, q.source, q.quota, q.n, e.before[e.i] AS k, e.before FROM edf e JOIN q ON q.i = e.i),
-dry AS (SELECT min(((n + {BLOCK_DOCS - 1}) // {BLOCK_DOCS}) // quota * period + slot) AS dry
-        FROM slots, p WHERE k = ((n + {BLOCK_DOCS - 1}) // {BLOCK_DOCS}) % quota),
+        FROM edf, p)
+  WHERE done[pick] < sizes[pick]),
+dry AS (SELECT slot + 1 AS dry, done FROM edf ORDER BY slot DESC LIMIT 1),
+late AS (SELECT i, k AS block, dry + row_number() OVER (ORDER BY ((k + 1) * period + quota - 1) // quota, i) - 1 AS slot
+         FROM (SELECT i, quota, done, dry, unnest(range(done[i], blocks)) AS k FROM q, dry), p),
+slots AS (SELECT i, block, slot, true AS balanced FROM edf WHERE i IS NOT NULL
+          UNION ALL SELECT i, block, slot, false FROM late),
+starts AS (SELECT q.source, s.block, s.slot, s.balanced,
+             sum(least({BLOCK_DOCS}, q.n - s.block * {BLOCK_DOCS})) OVER (ORDER BY s.slot)
+               - least({BLOCK_DOCS}, q.n - s.block * {BLOCK_DOCS}) AS start
+           FROM slots s JOIN q ON q.i = s.i),
 ranked AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY
              CAST('0x' || substr(md5('{SEED}|' || doc_id), 1, 15) AS BIGINT), doc_id) - 1 AS r FROM documents)
-SELECT d.doc_id, d.source, d.r // {BLOCK_DOCS} AS block,
-  d.r // {BLOCK_DOCS} // s.quota * period + s.slot AS slot,
-  CAST(list_sum(list_transform(s.before, lambda b, j:
-    least({BLOCK_DOCS} * (d.r // {BLOCK_DOCS} // s.quota * quotas[j] + b), sizes[j]))) AS BIGINT)
-    + d.r - d.r // {BLOCK_DOCS} * {BLOCK_DOCS} AS position,
-  d.r // {BLOCK_DOCS} // s.quota * period + s.slot < dry AS balanced
-FROM ranked d, p, dry JOIN slots s ON s.source = d.source AND s.k = d.r // {BLOCK_DOCS} % s.quota
+SELECT d.doc_id, d.source, s.block, s.slot,
+  CAST(s.start + d.r - s.block * {BLOCK_DOCS} AS BIGINT) AS position, s.balanced
+FROM ranked d JOIN starts s ON s.source IS NOT DISTINCT FROM d.source AND s.block = d.r // {BLOCK_DOCS}
 """

@@ -59,37 +59,65 @@ def test_mixing_keeps_all_rows_and_stays_within_a_block(spark):
         assert all(abs(seen[s] - w * t) < 1 for s, w in share.items())
 
 
-def test_mixing_empty_repeated_and_pooled(spark):
+def test_mixing_empty_and_repeated(spark):
     assert mixing.mix(documents(spark, ["t"]).limit(0)).count() == 0
     docs = documents(spark, ["t"] * 40, [f"s{i}" for i in range(20)])
     docs = docs.union(docs)
-    got = mixing.mix(docs, max_sources=4, block_docs=3).collect()
+    got = mixing.mix(docs, block_docs=3).collect()
     assert sorted(r.position for r in got) == list(range(80))
     ordered = mixing.in_mixed_order(docs, block_docs=3)
     assert ordered.columns == docs.columns and ordered.count() == 80
 
 
+def flat_schedule(quota, blocks):
+    """Slot by slot over all sources; the blocks left by deadline."""
+    period, done, want = sum(quota), [0] * len(quota), {}
+    while True:
+        slot = len(want)
+        i = min((-(-(done[i] + 1) * period // q), i) for i, q in enumerate(quota) if done[i] * period // q <= slot)[1]
+        if done[i] == blocks[i]:
+            break
+        want[i, done[i]] = slot
+        done[i] += 1
+    dry = len(want)
+    for _, i, k in sorted((-(-(k + 1) * period // quota[i]), i, k) for i in range(len(quota)) for k in range(done[i], blocks[i])):
+        want[i, k] = len(want)
+    return want, dry
+
+
 def test_mixing_schedules_every_source(spark):
     """300 sources, one small one with a weight of 0.3: each has its own block
-    windows and the mix equals the oracle's flat schedule, slot by slot."""
+    windows and the mix equals the flat schedule, slot by slot."""
     docs = documents(spark, ["t"] * 1800, [f"s{i:03}" for i in range(300)])
     weights = {"s299": 0.3, **{f"s{i:03}": 0.7 / 299 for i in range(299)}}
     got = mixing.mix(docs, weights=weights, block_docs=2).orderBy("position").collect()
     assert [r.position for r in got] == list(range(1800))
-    quota = [max(1, round(weights[f"s{i:03}"] * 1000)) for i in range(300)]
-    period, done, want = sum(quota), [0] * 300, {}
-    for slot in range(period):
-        i = min((-(-(done[i] + 1) * period // q), i) for i, q in enumerate(quota)
-                if done[i] < q and done[i] * period // q <= slot)[1]
-        want[i, done[i]] = slot
-        done[i] += 1
-    assert len({r.slot for r in got}) == 900
-    for r in got:
-        i = int(r.source[1:])
-        assert r.slot == r.block // quota[i] * period + want[i, r.block % quota[i]]
+    total = sum(weights.values())
+    want, dry = flat_schedule([round(weights[f"s{i:03}"] / total * mixing.RESOLUTION) for i in range(300)], [3] * 300)
+    assert {(int(r.source[1:]), r.block): r.slot for r in got} == want
+    assert all(r.balanced == (r.slot < dry) for r in got)
     assert [r.slot for r in got] == sorted(r.slot for r in got)
-    assert {r.block for r in got if r.source == "s299"} == {0, 1, 2}
-    assert max(r.slot for r in got if r.source == "s299") < 3 * period / quota[299] + 1
+
+
+def test_mixing_follows_weights_that_are_not_rounded(spark, monkeypatch):
+    """3,000 blocks, one source below 1/1000: less than one block from the
+    target at every slot, though no weight is a whole thousandth. The schedule
+    is written in many small chunks, and its parts are ordered by many tasks."""
+    monkeypatch.setattr(mixing, "CHUNK", 64)
+    monkeypatch.setattr(mixing, "CHUNK_SLOTS", 512)
+    monkeypatch.setattr(mixing, "BLOCKS_PER_PART", 500)
+    share = {"a": 0.61803, "b": 0.28196, "c": 0.0999574, None: 0.0000526}
+    counts = {"a": 1950, "b": 900, "c": 305, None: 3}
+    docs = documents(spark, ["t"] * 3158, [s for s, n in counts.items() for _ in range(n)])
+    got = mixing.mix(docs, weights=share, block_docs=1).orderBy("position").collect()
+    assert [r.slot for r in got] == [r.position for r in got] == list(range(3158))
+    balanced = [r for r in got if r.balanced]
+    assert len(balanced) > 3000 and all(r.balanced for r in got[:len(balanced)])
+    seen = collections.Counter()
+    for t, r in enumerate(balanced, 1):
+        seen[r.source] += 1
+        assert all(abs(seen[s] - w * t) < 1 for s, w in share.items())
+    assert sum(r.source is None for r in got) == 3
 
 
 def test_pii_equals_the_plain_patterns(spark):

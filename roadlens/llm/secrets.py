@@ -1,12 +1,13 @@
 """Operator 3: secret scan with base patterns and a randomness test battery.
 
 Base patterns give spans of kind assign, access and hex. The method looks at
-every other run of 20 or more token characters that mixes character classes.
-It infers the encoding (hex, base32, base62, base64) and tests the token
-against independent uniform draws from that alphabet: a chi-squared test of
-the symbol counts, a Wald-Wolfowitz runs test around the middle of the
-alphabet and a lag-one serial correlation. Fisher's rule joins the three
-p-values. Tokens of a length band are then judged together: the
+every other run of 20 or more token characters that holds a letter (letters of
+one case only: 32 or more). It infers the encoding (hex, letters of one case,
+base32, base36, base62, base64) and tests the token against independent uniform
+draws from that alphabet: a chi-squared test of the symbol counts, a
+Wald-Wolfowitz runs test around the middle of the alphabet and a lag-one serial
+correlation; of one case also the number of vowels and their runs. Fisher's rule
+joins the p-values. Tokens of a length band are then judged together: the
 Benjamini-Hochberg rule rejects randomness at false-discovery rate ``FDR``
 within each band of encoding and length, and what is not rejected is
 reported with kind ``random``. The rule's ranks come from a histogram of
@@ -33,9 +34,11 @@ BLANK = "\x01"
 TOKEN = r"(?<![A-Za-z0-9+/_=\x01-])[A-Za-z0-9+/_=\x01-]{20,}"
 RUN = 128
 BLOCK = 1024
-#: A run to be tested holds letters and mixes digits, upper case, lower case or other symbols.
-MIXED = ("s.m RLIKE '[A-Za-z]' AND "
-         + " + ".join(f"cast(s.m RLIKE '{c}' AS int)" for c in ("[0-9]", "[A-Z]", "[a-z]", "[+/_-]")) + " >= 2")
+#: Runs of letters of one case are tested from this length on: the battery
+#: cannot tell shorter ones from words (measured in the README).
+ONE_CASE = 32
+#: A run to be tested holds a letter: others are numbers and ruled lines.
+TESTED = f"s.m RLIKE '[A-Za-z]' AND NOT s.m RLIKE '^([a-z]{{20,{ONE_CASE - 1}}}|[A-Z]{{20,{ONE_CASE - 1}}})$'"
 FDR = 0.05
 BINS = 2000
 #: Length bands of the method start at these lengths.
@@ -100,7 +103,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str, carry: str | None = None)
                .withColumn("assign", spans("__text", ASSIGN, "f_assign", "assign", long.format("s.m")))
                .withColumn("access", spans("__text", access, "f_access", "access", "true"))
                .withColumn("hex", spans("__text", hexes, "f_hex", "hex", "true"))
-               .withColumn("tokens", spans("rest", TOKEN, "f_token", "random", f"NOT contains(s.m, '{BLANK}') AND {MIXED}")))
+               .withColumn("tokens", spans("rest", TOKEN, "f_token", "random", f"NOT contains(s.m, '{BLANK}') AND {TESTED}")))
     # A generator, so that what follows is not written into the steps above, to be computed again for each token.
     kept = ["__id", "__text", *(["__row"] if carry else []), "assign", "access", "hex", "tokens"]
     return scanned.select(F.inline(F.array(F.struct(*kept))))
@@ -120,24 +123,36 @@ def battery(scanned: DataFrame) -> DataFrame:
     length) and ``bin`` (of the joint p-value)."""
     symbols = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/"
     band = " ".join(f"WHEN x.n >= {b} THEN {b}" for b in reversed(BANDS))
-    tails = [normal_tail("x.z_chi"), f"2 * ({normal_tail('x.z_runs')})", f"2 * ({normal_tail('x.z_serial')})"]
+    tails = [normal_tail("x.z_chi"), *(f"2 * ({normal_tail(z)})" for z in ("x.z_runs", "x.z_serial", "x.z_vowels", "x.z_sounds"))]
+    logs = [f"-2 * ln(greatest(1e-15D, least(1D, {t})))" for t in tails]
     steps = {
         "core": "regexp_replace(x.m, '=+$', '')",
         "encoding": """CASE WHEN x.core RLIKE '^([0-9a-f]+|[0-9A-F]+)$' THEN 'hex'
-            WHEN x.core RLIKE '^[A-Z2-7]+$' THEN 'base32' WHEN x.core RLIKE '^[A-Za-z0-9]+$' THEN 'base62'
+            WHEN x.core RLIKE '^([a-z]+|[A-Z]+)$' THEN 'letters' WHEN x.core RLIKE '^[A-Z2-7]+$' THEN 'base32'
+            WHEN x.core RLIKE '^([a-z0-9]+|[A-Z0-9]+)$' THEN 'base36' WHEN x.core RLIKE '^[A-Za-z0-9]+$' THEN 'base62'
             ELSE 'base64' END""",
         # The alphabet in order; '-' and '_' stand where '+' and '/' do.
         "alphabet": f"""CASE x.encoding WHEN 'hex' THEN '0123456789ABCDEF'
-            WHEN 'base32' THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' WHEN 'base62' THEN '{symbols[:62]}'
-            ELSE '{symbols}' END""",
-        "v": """transform(filter(split(CASE x.encoding WHEN 'hex' THEN upper(x.core) ELSE translate(x.core, '-_', '+/') END,
-            ''), c -> c <> ''), c -> cast(instr(x.alphabet, c) - 1 AS double))""",
+            WHEN 'letters' THEN '{symbols[10:36]}' WHEN 'base32' THEN '{symbols[10:36]}234567'
+            WHEN 'base36' THEN '{symbols[:36]}' WHEN 'base62' THEN '{symbols[:62]}' ELSE '{symbols}' END""",
+        "folded": """CASE WHEN x.encoding IN ('hex', 'letters', 'base36') THEN upper(x.core)
+            ELSE translate(x.core, '-_', '+/') END""",
+        "v": "transform(filter(split(x.folded, ''), c -> c <> ''), c -> cast(instr(x.alphabet, c) - 1 AS double))",
         "n": "cast(greatest(2, size(x.v)) AS double)",
         "k": "cast(length(x.alphabet) AS double)",
         # Chi-squared of the symbol counts, made normal by Wilson and Hilferty.
         "chi": """aggregate(array_distinct(x.v), 0D,
             (a, y) -> a + power(cast(size(filter(x.v, w -> w = y)) AS double), 2)) * x.k / x.n - x.n""",
         "z_chi": "(cbrt(x.chi / (x.k - 1)) - 1 + 2 / (9 * (x.k - 1))) / sqrt(2 / (9 * (x.k - 1)))",
+        # Vowels, which set words of one case apart: their number, then their runs
+        # given their number (Wald and Wolfowitz).
+        "share": "5D / x.k",
+        "a": "cast(size(filter(split(x.folded, ''), c -> c RLIKE '[AEIOUaeiou]')) AS double)",
+        "z_vowels": "abs(x.a - x.n * x.share) / sqrt(x.n * x.share * (1 - x.share))",
+        "ab": "2 * x.a * (x.n - x.a)",
+        "runs": "length(regexp_replace(regexp_replace(x.folded, '[AEIOUaeiou]+', '\\u0001'), '[^\\u0001]+', '\\u0002'))",
+        "z_sounds": """CASE WHEN x.a = 0 OR x.a = x.n OR x.ab <= x.n THEN 0D ELSE
+            abs(x.runs - (x.ab / x.n + 1)) / sqrt(x.ab * (x.ab - x.n) / (x.n * x.n * (x.n - 1))) END""",
         "steps": "zip_with(slice(x.v, 1, size(x.v) - 1), slice(x.v, 2, size(x.v) - 1), (a, b) -> named_struct('a', a, 'b', b))",
         # Runs around the middle of the alphabet: a step changes side with chance 1/2.
         "z_runs": """abs(size(filter(x.steps, s -> (s.a < x.k / 2) <> (s.b < x.k / 2))) - (x.n - 1) / 2)
@@ -145,10 +160,12 @@ def battery(scanned: DataFrame) -> DataFrame:
         # Lag-one products around the uniform mean, over the uniform variance.
         "z_serial": """abs(aggregate(x.steps, 0D, (a, s) -> a + (s.a - (x.k - 1) / 2) * (s.b - (x.k - 1) / 2)))
             / ((x.k * x.k - 1) / 12) / sqrt(x.n - 1)""",
-        # Fisher's rule: chi-squared with six degrees of freedom.
-        "fisher": " + ".join(f"-2 * ln(greatest(1e-15D, least(1D, {t})))" for t in tails),
-        "bin": f"""cast(least({BINS - 1}, floor(-50 * ln(greatest(1e-17D,
-            exp(-x.fisher / 2) * (1 + x.fisher / 2 + x.fisher * x.fisher / 8))))) AS int)""",
+        # Fisher's rule: chi-squared with twice as many degrees of freedom as tests.
+        "three": " + ".join(logs[:3]),
+        "five": f"CASE WHEN x.encoding IN ('letters', 'base36') THEN x.three + {' + '.join(logs[3:])} END",
+        "joint": """CASE WHEN x.five IS NULL THEN exp(-x.three / 2) * (1 + x.three / 2 + pow(x.three, 2) / 8)
+            ELSE exp(-x.five / 2) * (1 + x.five / 2 + pow(x.five, 2) / 8 + pow(x.five, 3) / 48 + pow(x.five, 4) / 384) END""",
+        "bin": f"cast(least({BINS - 1}, floor(-50 * ln(greatest(1e-17D, x.joint)))) AS int)",
         "band": f"concat(x.encoding, ' ', CASE {band} ELSE 0 END)",
     }
     out = scanned.withColumn("tests", F.expr("transform(tokens, s -> named_struct('m', s.m))"))
@@ -178,7 +195,7 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     as empty. ``carry`` names a column to keep as ``__row``. Judges every token of every text; repeated rows get equal spans."""
     scanned = scan(docs, id_col, text_col, carry)
     cuts = rejected_from(battery(scanned.select("tokens")).select(F.inline("tests")), fdr)
-    # One value per band of encoding and length: at most 4 x 6 entries.
+    # One value per band of encoding and length: at most 6 x 6 entries.
     cut_of = cuts.agg(F.map_from_entries(F.collect_list(F.struct("band", "cut"))).alias("cuts")).scalar()
     judged = judge(scanned, cut_of)
     order = " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(KINDS))

@@ -189,6 +189,28 @@ def test_secrets_without_a_digit(spark):
     assert out[0] == out[1] == "see [SECRET] there" and out[2] == f"see {words[0]} there"
 
 
+def test_secrets_tell_keys_from_words(spark):
+    """100 keys of each alphabet among as many names and paths of words."""
+    rng, low = random.Random(15), "abcdefghijklmnopqrstuvwxyz"
+    alphabets = {"lower": low, "upper": low.upper(), "base36": low + "0123456789", "base32": low.upper() + "234567",
+                 "base62": low + low.upper() + "0123456789"}
+    words = "the people who would have first come through many of these great houses where small thoughts are found again".split()
+
+    def name(sep, how=str, least=32):
+        out = []
+        while len(sep.join(out)) < least:
+            out.append(how(rng.choice(words)))
+        return sep.join(out)
+
+    made = [(kind, "".join(rng.choice(a) for _ in range(32))) for kind, a in alphabets.items() for _ in range(100)]
+    made += [(kind, f()) for kind, f in {"snake": lambda: name("_"), "path": lambda: name("/"), "camel": lambda: name("", str.title),
+                                         "glued": lambda: name(""), "short": lambda: name("", least=20)[:24]}.items() for _ in range(100)]
+    found = collections.Counter(made[r["__id"]][0] for r in secrets.find_secrets(documents(spark, [f"see {t} ." for _, t in made])).collect()
+                                if any(s["kind"] == "random" for s in r["all"]))
+    assert all(found[kind] >= 90 for kind in alphabets), found
+    assert found["snake"] + found["path"] + found["short"] <= 2 and found["camel"] <= 5 and found["glued"] <= 25, found
+
+
 def check_packing(rows, size):
     bins = collections.defaultdict(list)
     for r in rows:

@@ -30,10 +30,33 @@ def processing_lag_ms(ts_col: str = "timestamp", as_of=None) -> Column:
     return F.unix_millis(anchor) - F.unix_millis(F.col(ts_col))
 
 
+#: The decoded columns that each derived column is computed from.
+INPUTS: dict[str, dict[str, tuple[str, ...]]] = {
+    "gps": {"speed_kmh": ("speed_ms",), "is_moving": ("speed_ms",), "processing_lag_ms": ("timestamp",)},
+    "imu": {"accel_magnitude": ("accel_x", "accel_y", "accel_z"), "lateral_g": ("accel_y",), "longitudinal_g": ("accel_x",),
+            "gyro_magnitude": ("gyro_x", "gyro_y", "gyro_z")},
+    "can_bus": {"speed_kmh": ("speed_ms",), "hard_braking": ("brake_pressure_pct",),
+                "engine_overheating": ("engine_temp_celsius",), "low_battery": ("battery_voltage",),
+                "high_wear_brakes": ("brake_wear_pct",)},
+}
+
+
+def inputs_of(sensor: str, columns) -> list[str]:
+    """The decoded columns that ``columns`` (decoded or derived) need."""
+    derived = INPUTS.get(sensor, {})
+    return list(dict.fromkeys(i for c in columns for i in derived.get(c, (c,))))
+
+
+def _derive(df: DataFrame, sensor: str, derived: dict[str, Column]) -> DataFrame:
+    """``df`` with the derived columns whose inputs it holds."""
+    held = set(df.columns)
+    return df.withColumns({c: e for c, e in derived.items() if held.issuperset(INPUTS[sensor][c])})
+
+
 def enrich_gps(df: DataFrame, as_of=None) -> DataFrame:
     """P2, P3, P4 on gps readings."""
-    return df.withColumns(
-        {
+    return _derive(
+        df, "gps", {
             "speed_kmh": F.round(F.col("speed_ms") * KMH_PER_MS, 2),
             "is_moving": F.col("speed_ms") > MOVING_MS,
             "processing_lag_ms": processing_lag_ms("timestamp", as_of),
@@ -43,8 +66,8 @@ def enrich_gps(df: DataFrame, as_of=None) -> DataFrame:
 
 def enrich_imu(df: DataFrame) -> DataFrame:
     """P5-P8 on imu readings."""
-    return df.withColumns(
-        {
+    return _derive(
+        df, "imu", {
             "accel_magnitude": F.round(magnitude("accel_x", "accel_y", "accel_z"), 4),
             "lateral_g": F.round(F.col("accel_y") / G, 4),
             "longitudinal_g": F.round(F.col("accel_x") / G, 4),
@@ -55,8 +78,8 @@ def enrich_imu(df: DataFrame) -> DataFrame:
 
 def enrich_can_bus(df: DataFrame) -> DataFrame:
     """P2, P9-P12 on can_bus readings (null inputs give null flags)."""
-    return df.withColumns(
-        {
+    return _derive(
+        df, "can_bus", {
             "speed_kmh": F.round(F.col("speed_ms") * KMH_PER_MS, 2),
             "hard_braking": F.col("brake_pressure_pct") > HARD_BRAKE_PCT,
             "engine_overheating": F.col("engine_temp_celsius") > OVERHEAT_C,

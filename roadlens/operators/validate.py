@@ -8,62 +8,59 @@ frame splits into valid rows and a quarantine. Defaults fill optional nulls.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.operators.enrich import enrich
 from roadlens.schemas import (
     DEFAULTS,
     ENVELOPE_CONSTRAINTS,
     PAYLOAD_CONSTRAINTS,
+    SANITY_BOUNDS,
     Constraint,
 )
 
-# Sanity bounds of the processing path.
-ACCEL_MAX = 100.0
-RPM_RANGE = (0, 8000)
-ENGINE_TEMP_RANGE = (-40, 200)
 
+def sanity_checks(sensor: str) -> list[tuple[str, Column]]:
+    """(name, true where the reading fails) for each bound of the sensor.
+    A missing value fails; a sensor without bounds has no checks."""
+    return [(f"{c.column}:range", F.col(c.column).isNull() | _check(c)[1]) for c in SANITY_BOUNDS.get(sensor, [])]
 
-def valid_gps() -> Column:
-    """Latitude and longitude in range, speed non-negative (null fails)."""
-    return (
-        F.col("latitude").between(-90, 90)
-        & F.col("longitude").between(-180, 180)
-        & (F.col("speed_ms") >= 0)
-    )
 
+def _with_inputs(df: DataFrame, sensor: str) -> DataFrame:
+    """``df`` with the derived columns that the sensor's bounds look at."""
+    absent = {c.column for c in SANITY_BOUNDS.get(sensor, [])} - set(df.columns)
+    return enrich(df, sensor) if absent else df
 
-def valid_imu() -> Column:
-    """Plausible acceleration (needs ``accel_magnitude`` derived first)."""
-    return F.col("accel_magnitude") < ACCEL_MAX
 
+def filter_invalid(df: DataFrame, sensor: str) -> DataFrame:
+    """The readings that fail no check. A derived column that a bound
+    looks at is added where it is absent."""
+    failed = [bad for _, bad in sanity_checks(sensor)]
+    return _with_inputs(df, sensor).filter(~reduce(Column.__or__, failed)) if failed else df
 
-def valid_can() -> Column:
-    """Rpm and engine temperature within inclusive bounds."""
-    return F.col("engine_rpm").between(*RPM_RANGE) & F.col(
-        "engine_temp_celsius"
-    ).between(*ENGINE_TEMP_RANGE)
 
+def sanity_drops(df: DataFrame, sensor: str) -> DataFrame:
+    """How many readings each check of T1-T4 drops: sensor_type, rule, rows (0
+    where it drops none). A reading that fails two checks counts for both."""
+    checks = sanity_checks(sensor)
+    counts = _with_inputs(df, sensor).agg(
+        *[F.count_if(bad).alias(f"n{i}") for i, (_, bad) in enumerate(checks)])
+    rows = F.array(*[F.struct(F.lit(sensor).alias("sensor_type"), F.lit(name).alias("rule"), F.col(f"n{i}").alias("rows"))
+                     for i, (name, _) in enumerate(checks)])
+    return counts.select(F.inline(rows))
 
-def filter_invalid(df: DataFrame, sensor: str) -> DataFrame:
-    """T1-T4. The imu rule needs ``accel_magnitude``; it is derived when absent."""
-    if sensor == "gps":
-        return df.filter(valid_gps())
-    if sensor == "imu":
-        if "accel_magnitude" not in df.columns:
-            from roadlens.operators.enrich import enrich_imu
 
-            df = enrich_imu(df)
-        return df.filter(valid_imu())
-    if sensor == "can_bus":
-        return df.filter(valid_can())
-    return df
+#: Of the copies of an event, the first by these stays.
+DEDUP_ORDER = ("ingested_at", "topic", "partition", "offset")
 
 
 def deduplicate(
     df: DataFrame,
     key: str = "event_id",
-    order_by: tuple[str, ...] = ("ingested_at", "topic", "partition", "offset"),
+    order_by: tuple[str, ...] = DEDUP_ORDER,
 ) -> DataFrame:
     """T5 (batch): keep one row per key, the first by ``order_by``.
 

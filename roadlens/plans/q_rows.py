@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.time import time_parts
@@ -67,6 +70,27 @@ register(
     ),
 )(lambda spark, sf: V.filter_invalid(tables.parsed(spark, sf, "can_bus"), "can_bus"))
 
+register(
+    "t_sanity_drops",
+    with_ctes(
+        "".join(
+            f"{' UNION ALL ' if i else ''}SELECT '{sensor}' AS sensor_type, '{col}:range' AS rule, "
+            f"count(*) FILTER (WHERE ({ok}) IS NOT TRUE) AS rows FROM {cte}_all"
+            for i, (sensor, cte, col, ok) in enumerate([
+                ("gps", "gps", "latitude", "latitude BETWEEN -90 AND 90"),
+                ("gps", "gps", "longitude", "longitude BETWEEN -180 AND 180"),
+                ("gps", "gps", "speed_ms", "speed_ms >= 0"),
+                ("imu", "imu", "accel_magnitude", "accel_magnitude < 100"),
+                ("can_bus", "can", "engine_rpm", "engine_rpm BETWEEN 0 AND 8000"),
+                ("can_bus", "can", "engine_temp_celsius", "engine_temp_celsius BETWEEN -40 AND 200"),
+            ])
+        ),
+        "gps_raw", "imu_enriched", "can_raw",
+        extra={"gps_all": dupes("gps_raw"), "imu_all": dupes("imu_enriched"), "can_all": dupes("can_raw")},
+    ),
+)(lambda spark, sf: reduce(DataFrame.unionByName, [
+    V.sanity_drops(tables.parsed(spark, sf, s), s) for s in ("gps", "imu", "can_bus")]))
+
 register("t_dedup", with_ctes("SELECT * FROM can_raw", "can_raw"))(
     lambda spark, sf: V.deduplicate(tables.parsed(spark, sf, "can_bus")))
 
@@ -110,8 +134,9 @@ register(
 def _checked(spark, sf):
     parts = []
     for sensor in SENSOR_TYPES:
-        df = V.deduplicate(tables.parsed(spark, sf, sensor))
-        c = V.with_violations(df, sensor)
+        # Checked before the deduplication, so that its shuffle carries the names only.
+        c = V.with_violations(tables.parsed(spark, sf, sensor), sensor)
+        c = V.deduplicate(c.select("event_id", *V.DEDUP_ORDER, "sensor_type", "vehicle_id", "violations"))
         parts.append(c.select(
             "event_id", "sensor_type", "vehicle_id", "violations",
             F.array_join("violations", ",").alias("violation_list"),

@@ -56,10 +56,16 @@ FROM gps_events GROUP BY 1, 2, 3""",
 )
 
 
+def summary_of(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window summary over readings of which only its own columns are decoded."""
+    summary = W.SUMMARIES[key]
+    return W.summarise(tables.processed(spark, sf_dir, summary.sensor, columns=summary.reads), summary)
+
+
 @register("w1_speed_summary", W1_SQL)
 def w1_speed_summary(spark, sf_dir):
     """W1 over processed gps readings."""
-    return W.window_summary("w1", tables.gps_events(spark, sf_dir))
+    return summary_of("w1", spark, sf_dir)
 
 
 W2_SQL = with_ctes(
@@ -75,7 +81,7 @@ FROM can_bus_events WHERE hard_braking GROUP BY 1, 2""",
 @register("w2_hard_braking", W2_SQL)
 def w2_hard_braking(spark, sf_dir):
     """W2 over processed can_bus readings."""
-    return W.window_summary("w2", tables.can_bus_events(spark, sf_dir))
+    return summary_of("w2", spark, sf_dir)
 
 
 W3_SQL = with_ctes(
@@ -94,7 +100,7 @@ FROM can_bus_events GROUP BY 1, 2""",
 @register("w3_engine_health", W3_SQL)
 def w3_engine_health(spark, sf_dir):
     """W3 over processed can_bus readings."""
-    return W.window_summary("w3", tables.can_bus_events(spark, sf_dir))
+    return summary_of("w3", spark, sf_dir)
 
 
 W4_SQL = with_ctes(
@@ -113,7 +119,7 @@ FROM imu_events GROUP BY 1, 2""",
 @register("w4_imu_vibration", W4_SQL)
 def w4_imu_vibration(spark, sf_dir):
     """W4 over processed imu readings."""
-    return W.window_summary("w4", tables.imu_events(spark, sf_dir))
+    return summary_of("w4", spark, sf_dir)
 
 
 W5_SQL = with_ctes(
@@ -129,7 +135,7 @@ GROUP BY 1, 2""",
 
 
 def all_processed(spark, sf_dir, cols=("timestamp", "sensor_type", "vehicle_id", "event_id")):
-    parts = [tables.processed(spark, sf_dir, s).select(*cols) for s in ("gps", "imu", "can_bus")]
+    parts = [tables.processed(spark, sf_dir, s, columns=cols) for s in ("gps", "imu", "can_bus")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 

@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.functions.time import time_parts
-from roadlens.operators.enrich import enrich, enrich_gps
-from roadlens.operators.validate import deduplicate, filter_invalid
+from roadlens.operators.enrich import enrich, enrich_gps, inputs_of
+from roadlens.operators.validate import DEDUP_ORDER, deduplicate, filter_invalid
 from roadlens.plans.telemetry_view import raw_messages
-from roadlens.schemas import SENSOR_SCHEMAS, TOPICS
+from roadlens.schemas import SANITY_BOUNDS, SENSOR_SCHEMAS, TOPICS
 from roadlens.session import ensure_utc, scratch_path
 from roadlens.sources.kafka import parse_messages
 from roadlens.sources.store import StoredTable
@@ -21,23 +21,33 @@ def messages(spark: SparkSession, sf_dir: str, sensors=None) -> DataFrame:
     return raw_messages(spark, sf_dir, sensors)
 
 
-def parsed(spark: SparkSession, sf_dir: str, sensor: str) -> DataFrame:
+def parsed(spark: SparkSession, sf_dir: str, sensor: str, columns=None) -> DataFrame:
     """S3 over one topic of the view (duplicates still present)."""
     msgs = messages(spark, sf_dir, [sensor]).filter(F.col("topic") == TOPICS[sensor])
-    return parse_messages(msgs, SENSOR_SCHEMAS[sensor])
+    return parse_messages(msgs, SENSOR_SCHEMAS[sensor], columns)
 
 
-def processed(spark: SparkSession, sf_dir: str, sensor: str, with_hour: bool = True) -> DataFrame:
+def processed(spark: SparkSession, sf_dir: str, sensor: str, with_hour: bool = True, columns=None) -> DataFrame:
     """Decoded, filtered (T1-T4), deduplicated (T5), enriched (P*) readings with
-    year/month/day/hour (P1)."""
-    df = parsed(spark, sf_dir, sensor)
-    df = filter_invalid(df, sensor)
-    df = deduplicate(df)
+    year/month/day/hour (P1).
+
+    With ``columns`` (decoded or derived) only what these, the filter and the
+    deduplication need is decoded, and only what the ``columns`` need goes
+    through the shuffle of the deduplication."""
+    if columns is None:
+        df = deduplicate(filter_invalid(parsed(spark, sf_dir, sensor), sensor))
+    else:
+        needs = inputs_of(sensor, columns)
+        bounds = inputs_of(sensor, (c.column for c in SANITY_BOUNDS.get(sensor, [])))
+        df = filter_invalid(parsed(spark, sf_dir, sensor, {*needs, *bounds, "event_id", "ingested_at"}), sensor)
+        df = deduplicate(df.select(*dict.fromkeys(["event_id", *DEDUP_ORDER, *needs])))
     if sensor == "gps":
         # Lag is measured against the ingestion time carried by each reading.
         df = enrich_gps(df, as_of=F.col("ingested_at"))
     else:
         df = enrich(df, sensor)
+    if columns is not None:
+        return df.select(*columns)
     return time_parts(df, "timestamp", with_hour=with_hour)
 
 
@@ -94,7 +104,15 @@ def snapshots(spark, sf_dir):
     """P14 over gps, imu and scored can_bus readings."""
     from roadlens.operators.enrich import snapshot
 
-    return snapshot(gps_events(spark, sf_dir), imu_events(spark, sf_dir), scored_can(spark, sf_dir))
+    reads = {
+        "gps": ("speed_ms", "latitude", "longitude"),
+        "imu": ("accel_magnitude",),
+        "can_bus": ("speed_ms", "engine_temp_celsius", "sequence_number"),
+    }
+    gps, imu, can = (processed(spark, sf_dir, s, columns=("event_id", "vehicle_id", "sensor_type", "timestamp", *cols))
+                     for s, cols in reads.items())
+    can = can.withColumn("anomaly_score", standin_score()).withColumn("is_anomaly", F.col("anomaly_score") < STANDIN_CUT)
+    return snapshot(gps, imu, can)
 
 
 # ---------------------------------------------------------------------------

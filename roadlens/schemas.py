@@ -182,6 +182,14 @@ ENVELOPE_CONSTRAINTS = _required("event_id", "vehicle_id", "sensor_type", "times
     Constraint("sensor_type", "one_of", values=SENSOR_TYPES),
 ]
 
+# Sanity bounds of the processing path (T1-T4). They are looser
+# than the payload's, and a missing value is out of bounds.
+SANITY_BOUNDS: dict[str, list[Constraint]] = {
+    "gps": [_rng("latitude", -90, 90), _rng("longitude", -180, 180), _rng("speed_ms", 0)],
+    "imu": [_rng("accel_magnitude", hi=100, hi_open=True)],
+    "can_bus": [_rng("engine_rpm", 0, 8000), _rng("engine_temp_celsius", -40, 200)],
+}
+
 # Payload bounds of the six sensor kinds.
 PAYLOAD_CONSTRAINTS: dict[str, list[Constraint]] = {
     "gps": _required(

@@ -102,12 +102,15 @@ def telemetry_topics() -> list[str]:
     return [t for t in TOPICS.values() if t != ALERTS_TOPIC]
 
 
-def parse_messages(df: DataFrame, schema: StructType) -> DataFrame:
-    """S3: decode JSON values against ``schema``.
+def parse_messages(df: DataFrame, schema: StructType, columns: Iterable[str] | None = None) -> DataFrame:
+    """S3: decode JSON values against ``schema``, or only its ``columns`` (and
+    vehicle_id): the others are skipped over, not decoded.
 
     Keeps topic/partition/offset, flattens the payload and drops rows whose
     vehicle_id is null (malformed JSON decodes to all nulls).
     """
+    if columns is not None:
+        schema = StructType([f for f in schema.fields if f.name in {"vehicle_id", *columns}])
     data = F.from_json(F.col("value").cast("string"), schema, JSON_OPTIONS)
     # ``inline`` of a one-element array flattens the decoded struct through a
     # Generate. Filters on the decoded fields (this one and every sanity

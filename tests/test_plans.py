@@ -26,6 +26,31 @@ def test_decode_once_and_pruned(spark, name):
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
 
 
+@pytest.mark.parametrize("name", ["w1_speed_summary", "w2_hard_braking", "w3_engine_health", "w4_imu_vibration", "w5_throughput"])
+def test_summaries_decode_their_columns_only(spark, name):
+    """The decoder's schema: the summary's inputs, the filter's bounds, the
+    deduplication's key and order, nothing else."""
+    import re
+
+    from roadlens.operators.enrich import inputs_of
+    from roadlens.operators.windows import SUMMARIES
+    from roadlens.schemas import SANITY_BOUNDS, SENSOR_SCHEMAS
+
+    df = E.queries()[name](spark, SF)
+    p = df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("extended"))
+    decoded = [set(re.findall(r"StructField\((\w+),", ln)) for ln in p.splitlines() if "from_json(StructField" in ln]
+    assert decoded, p
+    key = name[:2]
+    sensors = [SUMMARIES[key].sensor] if key in SUMMARIES else ["gps", "imu", "can_bus"]
+    reads = SUMMARIES[key].reads if key in SUMMARIES else ("timestamp", "sensor_type", "vehicle_id", "event_id")
+    allowed = {s: set(inputs_of(s, [*reads, *(c.column for c in SANITY_BOUNDS[s])])) | {"event_id", "ingested_at", "vehicle_id"}
+               for s in sensors}
+    for fields in decoded:
+        assert any(fields <= allowed[s] for s in sensors), fields
+        assert len(fields) < min(len(SENSOR_SCHEMAS[s].fields) for s in sensors)
+
+
 def test_asof_alignment_has_no_join(spark):
     p = plan(spark, "f2_align_imu")
     assert "Join" not in p

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from roadlens.plans.telemetry_view import raw_table_path
 from roadlens.schemas import TOPICS
 from roadlens.session import scratch_path
@@ -92,3 +94,30 @@ def test_console_sink_update_mode(spark):
     q.awaitTermination()
     # The last progress may be an empty batch; count over all batches.
     assert sum(p["sources"][0]["numInputRows"] for p in q.recentProgress) > 0
+
+
+def test_landing_replays_and_broken_batches_store_once(spark):
+    """A batch that breaks between two sinks and is run again, and one that is
+    repeated whole, leave every sink as if each had run once."""
+    from roadlens.plans.q_stream import _scorer
+    from roadlens.streaming import topology as T
+
+    messages = spark.read.parquet(raw_table_path(spark, SF)).filter("offset % 5 = 0")
+    once, twice = (T.Landing(scratch_path(spark, "land"), scorer=_scorer) for _ in range(2))
+    new = once.process(messages, 0)
+    assert set(new) == set(T.SINKS) and new["gps"] > 0 and new["counters"] > 0
+
+    def broken(can):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        T.Landing(twice.root, scorer=broken).process(messages, 0)
+    half = T.processed(T.parse_messages(messages.filter(T.F.col("topic") == T.TOPICS["gps"]), T.SENSOR_SCHEMAS["gps"]), "gps")
+    twice.sink("gps").append(half, f"{twice.name}-0")  # one sink had committed
+    assert twice.process(messages, 0)["gps"] == 0
+    assert set(twice.process(messages, 0).values()) == {0}
+    assert twice.process(messages, 1)["gps"] == 0  # the same events in a later batch
+    for sink in T.SINKS:
+        if sink != "counters":
+            assert once.rows(spark, sink).count() == twice.rows(spark, sink).count() == new[sink], sink
+    assert twice.rows(spark, "counters").count() == 2 * new["counters"]

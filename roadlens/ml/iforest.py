@@ -1,30 +1,36 @@
 """Isolation forest on Spark: M1-M6, M12, M14.
 
-Spark ML has no isolation forest, so the fit is distributed by hand:
-
-* M1 scaling: feature means and population standard deviations in one
-  aggregate; scaling is a column expression.
-* Subsampling: each tree takes the rows with the smallest
-  ``xxhash64(event_id, tree, seed)``. A hash threshold keeps only a small
-  superset of candidates per tree before ranking, so rows are never copied
-  once per tree; the result does not depend on partitioning.
-* M2 build: ``groupBy(tree).applyInPandas`` grows one tree per group of at
-  most ``psi`` rows (numpy, random feature and split, depth limit
-  ceil(log2 psi)). Randomness is seeded by (seed, tree).
-* M3 score: the node table (at most trees x (2 psi - 1) rows, a proven
-  bound) is broadcast to an Arrow-batched pandas UDF that walks every tree
-  for a whole batch at once. Score = -2^(-E[h(x)] / c(psi)) (Liu, Ting and
-  Zhou, 2008); lower is more anomalous.
-* M4 predict: the offset is the contamination quantile of the training
-  scores (bounded-memory approximate percentile); below it is -1.
+Spark ML has no isolation forest, so the fit is distributed by hand. All that is
+random comes from md5 of names, so another engine can repeat a fit exactly.
+
+* M1 scaling: means and population standard deviations in one aggregate, rounded
+  so that they don't depend on the order of summation.
+* Subsampling: one hash per row. It names the first of the trees that the row is
+  offered to; as many follow as give each tree some ``SPARE`` times its share. A
+  tree ranks its offers by a linear map of the hash and takes the first ``psi``.
+  About ``SPARE * trees * psi`` rows are ranked, however large the input; where
+  repeated keys leave a tree short, more are offered.
+* M2 build: ``groupBy(tree).applyInPandas`` grows one tree per group of at most
+  ``psi`` rows, numbered as a heap (children of i: 2i and 2i + 1), with a depth
+  limit of ceil(log2 psi).
+* M3 score: the node table (at most trees x (2 psi - 1) rows, a proven bound) is
+  broadcast to an Arrow-batched pandas UDF that walks a tree for a whole batch at
+  once, as many steps as the depth limit. Path lengths are whole numbers of
+  ``1 / UNIT``, so their sum is exact. Score = -2^(-E[h(x)] / c(psi)) (Liu, Ting
+  and Zhou, 2008), rounded; lower is more anomalous.
+* M4 predict: the offset is the exact contamination quantile of the training
+  scores, from counts per rounded score (at most 10^SCORE_DIGITS + 1 rows); below
+  it is -1.
 * M12: the node table and one parameter row are written as Parquet.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -32,6 +38,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadlens.functions.numeric import round_half_up
+
 # Feature columns and model parameters.
 FEATURE_COLS = [
     "speed_ms",
@@ -45,15 +53,20 @@ CONTAMINATION = 0.05
 SEED = 42
 MAX_SAMPLES = 256
 
+STAT_DIGITS = 9
+SCORE_DIGITS = 6
+UNIT = 10**9
+SPARE = 8
+#: Modulus of the linear maps that rank the offers.
+PRIME = 2**31 - 1
+
 NODE_SCHEMA = T.StructType([
     T.StructField("tree_id", T.IntegerType()),
     T.StructField("node_id", T.IntegerType()),
-    T.StructField("feature", T.IntegerType()),
-    T.StructField("threshold", T.DoubleType()),
-    T.StructField("left", T.IntegerType()),
-    T.StructField("right", T.IntegerType()),
+    T.StructField("feature", T.IntegerType()),  # -1: a leaf
+    T.StructField("threshold", T.DoubleType()),  # larger values go right
     T.StructField("size", T.IntegerType()),
-    T.StructField("depth", T.IntegerType()),
+    T.StructField("length", T.LongType()),  # a leaf's path length in 1 / UNIT
 ])
 
 
@@ -86,45 +99,38 @@ def feature_frame(df: DataFrame, features=FEATURE_COLS) -> DataFrame:
     return df.withColumns({c: F.coalesce(e, F.lit(0.0)) for c, e in exprs.items()})
 
 
+def depth_limit(psi: int) -> int:
+    return math.ceil(math.log2(max(psi, 2)))
+
+
+def _digits(*names) -> str:
+    return hashlib.md5(":".join(str(n) for n in names).encode()).hexdigest()
+
+
 def _grow(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    tree_id = int(key[0])
-    seed = int(pdf["_seed"].iloc[0])
-    psi = len(pdf)
-    x = np.stack([pdf[f"f{i}"].to_numpy(dtype="float64") for i in range(sum(c[:1] == "f" and c[1:].isdigit() for c in pdf.columns))], axis=1)
-    # Sort by the row hash so the tree does not depend on arrival order.
-    x = x[np.argsort(pdf["_h"].to_numpy(), kind="mergesort")]
-    rng = np.random.default_rng([seed, tree_id])
-    max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    nodes = []  # (node_id, feature, threshold, left, right, size, depth)
-
-    stack = [(0, np.arange(psi), 0)]
-    next_id = 1
-    rows = {}
-    while stack:
-        nid, idx, depth = stack.pop()
-        sub = x[idx]
-        if depth >= max_depth or len(idx) <= 1:
-            rows[nid] = (nid, -1, 0.0, -1, -1, len(idx), depth)
-            continue
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        splittable = np.nonzero(hi > lo)[0]
-        if len(splittable) == 0:
-            rows[nid] = (nid, -1, 0.0, -1, -1, len(idx), depth)
-            continue
-        f = int(rng.choice(splittable))
-        thr = float(rng.uniform(lo[f], hi[f]))
-        left_mask = sub[:, f] < thr
-        lid, rid = next_id, next_id + 1
-        next_id += 2
-        rows[nid] = (nid, f, thr, lid, rid, len(idx), depth)
-        stack.append((lid, idx[left_mask], depth + 1))
-        stack.append((rid, idx[~left_mask], depth + 1))
-    for nid in sorted(rows):
-        nodes.append(rows[nid])
-    out = pd.DataFrame(nodes, columns=["node_id", "feature", "threshold", "left", "right", "size", "depth"])
-    out.insert(0, "tree_id", tree_id)
-    return out.astype({"tree_id": "int32", "node_id": "int32", "feature": "int32", "left": "int32",
-                       "right": "int32", "size": "int32", "depth": "int32"})
+    tree, seed = int(key[0]), int(pdf["_seed"].iat[0])
+    x = np.stack([pdf[c].to_numpy(dtype="float64") for c in pdf.columns if c.startswith("f_")], axis=1)
+    limit = depth_limit(len(x))
+    nodes, level = [], {1: np.arange(len(x))}
+    for depth in range(limit + 1):
+        below = {}
+        for node, members in level.items():
+            sub = x[members]
+            lo, hi = sub.min(axis=0), sub.max(axis=0)
+            open_to = np.flatnonzero(hi > lo)
+            if depth == limit or not len(open_to):
+                length = round((depth + float(c_factor(len(members)))) * UNIT)
+                nodes.append((tree, node, -1, 0.0, len(members), length))
+                continue
+            draw = _digits(seed, tree, node)
+            f = open_to[int(draw[:7], 16) % len(open_to)]
+            cut = lo[f] + int(draw[7:20], 16) / 2**52 * (hi[f] - lo[f])
+            cut = cut if cut < hi[f] else lo[f]
+            right = sub[:, f] > cut
+            nodes.append((tree, node, f, cut, len(members), 0))
+            below[2 * node], below[2 * node + 1] = members[~right], members[right]
+        level = below
+    return pd.DataFrame(nodes, columns=NODE_SCHEMA.fieldNames())
 
 
 @dataclass
@@ -140,24 +146,13 @@ class IsolationForestModel:
 
     # ------------------------------------------------------------------ M3
     def _arrays(self):
-        nodes = self.nodes.sort_values(["tree_id", "node_id"])
-        width = int(nodes["node_id"].max()) + 1
-        shape = (self.n_trees, width)
-        feat = np.full(shape, -1, dtype="int32")
-        thr = np.zeros(shape)
-        left = np.full(shape, -1, dtype="int32")
-        right = np.full(shape, -1, dtype="int32")
-        size = np.zeros(shape, dtype="int64")
-        depth = np.zeros(shape, dtype="int64")
-        t, n = nodes["tree_id"].to_numpy(), nodes["node_id"].to_numpy()
-        feat[t, n] = nodes["feature"]
-        thr[t, n] = nodes["threshold"]
-        left[t, n] = nodes["left"]
-        right[t, n] = nodes["right"]
-        size[t, n] = nodes["size"]
-        depth[t, n] = nodes["depth"]
-        leaf_len = depth + c_factor(size)
-        return feat, thr, left, right, leaf_len
+        shape = (self.n_trees, 2 << depth_limit(self.psi))
+        feature = np.full(shape, -1, dtype="int32")
+        threshold = np.zeros(shape)
+        length = np.zeros(shape, dtype="int64")
+        at = self.nodes["tree_id"].to_numpy(), self.nodes["node_id"].to_numpy()
+        feature[at], threshold[at], length[at] = (self.nodes[c] for c in ("feature", "threshold", "length"))
+        return feature, threshold, length
 
     def score_column(self, df: DataFrame):
         """Column expression for ``score_samples`` of the rows of ``df``."""
@@ -168,30 +163,26 @@ class IsolationForestModel:
         arrays = spark.sparkContext.broadcast(self._arrays())
         means = np.array(self.means)
         stds = np.where(np.array(self.stds) > 0, np.array(self.stds), 1.0)
-        cpsi = float(c_factor([self.psi])[0])
+        steps = depth_limit(self.psi)
+        whole = float(c_factor(self.psi)) or 1.0
 
         @F.pandas_udf(T.DoubleType())
         def score(*cols: pd.Series) -> pd.Series:
-            feat, thr, left, right, leaf_len = arrays.value
+            feature, threshold, length = arrays.value
             x = (np.stack([c.to_numpy(dtype="float64") for c in cols], axis=1) - means) / stds
-            n = len(x)
-            total = np.zeros(n)
-            rows = np.arange(n)
-            for t in range(feat.shape[0]):
-                node = np.zeros(n, dtype="int64")
-                for _ in range(64):
-                    f = feat[t, node]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    go_left = x[rows, np.maximum(f, 0)] < thr[t, node]
-                    nxt = np.where(go_left, left[t, node], right[t, node])
-                    node = np.where(inner, nxt, node)
-                total += leaf_len[t, node]
-            return pd.Series(-np.power(2.0, -(total / feat.shape[0]) / cpsi))
+            rows = np.arange(len(x))
+            total = np.zeros(len(x), dtype="int64")
+            for t in range(len(feature)):
+                node = np.ones(len(x), dtype="int64")
+                for _ in range(steps):
+                    f = feature[t, node]
+                    right = x[rows, np.maximum(f, 0)] > threshold[t, node]
+                    node = np.where(f >= 0, 2 * node + right, node)
+                total += length[t, node]
+            return pd.Series(-np.power(2.0, -(total / len(feature) / UNIT) / whole))
 
         feats = feature_frame(df, self.features)
-        return feats, score(*[F.col(c) for c in self.features])
+        return feats, round_half_up(score(*[F.col(c) for c in self.features]), SCORE_DIGITS)
 
     def score_samples(self, df: DataFrame, out: str = "anomaly_score") -> DataFrame:
         feats, col = self.score_column(df)
@@ -238,6 +229,37 @@ class IsolationForest:
         self.seed = seed
         self.features = list(features)
         self.key = key
+        self.model: IsolationForestModel | None = None
+
+    def _fitted(self) -> IsolationForestModel:
+        if self.model is None:
+            raise RuntimeError("no forest yet: use fit() or load()")
+        return self.model
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        return self._fitted().predict(df)
+
+    def score_samples(self, df: DataFrame) -> DataFrame:
+        return self._fitted().score_samples(df)
+
+    def training_rows(self, df: DataFrame, n: int, spare: int = SPARE) -> DataFrame:
+        """The rows of each tree: ``tree_id`` and the columns of ``df``, which
+        has ``n`` rows."""
+        psi = min(self.max_samples, n)
+        offers = min(self.n_trees, -(-spare * self.n_trees * psi // n))
+        digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(self.seed)), F.col(self.key).cast("string"))), 1, 15)
+        hashed = df.withColumn("_h", F.conv(digits, 16, 10).cast("long"))
+        mixed = F.expr(f"_h div {self.n_trees} % {PRIME}")
+        if offers == 1:  # more rows than needed for one offer each
+            hashed = hashed.filter(mixed < -(-PRIME * min(n, spare * self.n_trees * psi) // n))
+        maps = [_digits(self.seed, t) for t in range(self.n_trees)]
+        slope, shift = (F.array(*[F.lit(int(m[i:i + 7], 16) + 1).cast("long") for m in maps]) for i in (0, 7))
+        offered = hashed.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(offers - 1)))).withColumn(
+            "tree_id", ((F.col("_h") + F.col("_j")) % self.n_trees).cast("int"))
+        order = (mixed * F.get(slope, F.col("tree_id")) + F.get(shift, F.col("tree_id"))) % PRIME
+        by = Window.partitionBy("tree_id").orderBy("_o", "_h", self.key)
+        return (offered.withColumn("_o", order).withColumn("_r", F.row_number().over(by))
+                .filter(F.col("_r") <= psi).select("tree_id", *df.columns))
 
     def fit(self, df: DataFrame) -> IsolationForestModel:
         from roadlens.session import ship_package
@@ -246,58 +268,37 @@ class IsolationForest:
         feats = feature_frame(df, self.features).select(self.key, *self.features)
         stats = feats.agg(
             F.count(F.lit(1)).alias("n"),
-            *[F.avg(c).alias(f"m{i}") for i, c in enumerate(self.features)],
-            *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(self.features)],
+            *[round_half_up(F.avg(c), STAT_DIGITS).alias(f"m{i}") for i, c in enumerate(self.features)],
+            *[round_half_up(F.stddev_pop(c), STAT_DIGITS).alias(f"s{i}") for i, c in enumerate(self.features)],
         ).first()
         n = int(stats["n"])
         if n == 0:
             raise ValueError("no training rows")
         k = len(self.features)
         means = [float(stats[f"m{i}"]) for i in range(k)]
-        stds = [float(stats[f"s{i}"] or 0.0) for i in range(k)]
+        stds = [float(stats[f"s{i}"]) or 1.0 for i in range(k)]
         psi = min(self.max_samples, n)
-        # Candidate rate: 8x the needed share keeps a shortfall negligible.
-        rate = min(1.0, 8.0 * psi / n)
-        max_h = 2**63 - 1
-        cut = max_h if rate >= 1.0 else int(rate * max_h)
-        tree_ids = F.sequence(F.lit(0), F.lit(self.n_trees - 1))
-        hashed = F.transform(
-            tree_ids,
-            lambda t: F.struct(
-                t.alias("t"),
-                # Clear the sign bit: a non-negative hash without abs() overflow.
-                F.xxhash64(F.col(self.key), t, F.lit(self.seed)).bitwiseAND(F.lit(max_h)).alias("h"),
-            ),
-        )
-        scaled = [((F.col(c) - F.lit(means[i])) / F.lit(stds[i] if stds[i] > 0 else 1.0)).alias(f"f{i}")
-                  for i, c in enumerate(self.features)]
-        cand = feats.select(
-            *scaled, F.explode(F.filter(hashed, lambda s: s["h"] <= F.lit(cut))).alias("s")
-        ).select("*", F.col("s.t").alias("tree_id"), F.col("s.h").alias("_h")).drop("s")
-        ranked = cand.withColumn(
-            "_r", F.row_number().over(Window.partitionBy("tree_id").orderBy("_h"))
-        ).filter(F.col("_r") <= psi).drop("_r").withColumn("_seed", F.lit(self.seed))
-        nodes = ranked.groupBy("tree_id").applyInPandas(_grow, NODE_SCHEMA).toPandas()
+        scaled = [((F.col(c) - F.lit(means[i])) / F.lit(stds[i])).alias(f"f_{i}") for i, c in enumerate(self.features)]
+        spare = SPARE
+        while True:
+            rows = self.training_rows(feats, n, spare).select("tree_id", *scaled, F.lit(self.seed).alias("_seed"))
+            nodes = rows.groupBy("tree_id").applyInPandas(_grow, NODE_SCHEMA).toPandas()
+            roots = nodes[nodes["node_id"] == 1]
+            if (len(roots) == self.n_trees and (roots["size"] == psi).all()) or spare * psi >= n:
+                break
+            spare *= 8
         model = IsolationForestModel(
             nodes=nodes, means=means, stds=stds, psi=psi, offset=0.0, features=self.features,
             n_trees=self.n_trees, seed=self.seed,
         )
-        scores = model.score_samples(df)
-        model.offset = float(
-            scores.agg(F.percentile_approx("anomaly_score", self.contamination, 100000)).first()[0]
-        )
+        counts = model.score_samples(df).groupBy("anomaly_score").count()
+        upto = counts.withColumn("upto", F.sum("count").over(Window.orderBy("anomaly_score")))
+        need = max(1, math.ceil(Fraction(str(self.contamination)) * n))
+        model.offset = upto.filter(F.col("upto") >= need).agg(F.min("anomaly_score")).first()[0]
+        self.model = model
         return model
 
 
-class UnfittedDetector:
-    """Predicting before fitting raises, as in the reference."""
-
-    def predict(self, *_a, **_k):
-        raise RuntimeError("no forest yet: use fit() or load()")
-
-    score_samples = predict
-
-
 def anomaly_records(scored: DataFrame, features=FEATURE_COLS) -> DataFrame:
     """Detection records with the features as JSON."""
     return scored.filter(F.col("is_anomaly")).select(

@@ -1,4 +1,5 @@
-"""Registered model queries (rows-only checks: seeded models, no SQL oracle).
+"""Registered model queries. The forest's SQL grows and walks the same trees
+(``forest_sql``); the maintenance model is seeded and has none.
 
 The isolation forest trains on processed can_bus readings whose
 ``accel_magnitude`` comes from the aligned imu reading (F2), then scores
@@ -9,12 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from roadlens.ml.iforest import IsolationForest, anomaly_records
+from roadlens.functions.numeric import round_half_up
+from roadlens.ml.iforest import FEATURE_COLS, NODE_SCHEMA, IsolationForest, anomaly_records
 from roadlens.ml.maintenance import MaintenancePredictor
 from roadlens.operators import features as FT
 from roadlens.plans import tables
+from roadlens.plans.forest_sql import forest_ctes, with_forest
+from roadlens.plans.oracle import rnd, with_ctes
 from roadlens.plans.q_features import HORIZON_US, ROLLING_US, maintenance_log
-from roadlens.plans.registry import register
+from roadlens.plans.registry import ORACLES, register
 
 _MODELS: dict = {}
 
@@ -33,7 +37,38 @@ def forest(spark, sf):
     return _MODELS[key]
 
 
-@register("m_iforest_scores")
+FOREST_INPUT = {
+    "aligned": ORACLES["f2_align_imu"],
+    "forest_readings": "SELECT event_id, vehicle_id, \"timestamp\", sensor_type, " + ", ".join(
+        f"coalesce({c}, 0.0) AS {c}" for c in FEATURE_COLS) + " FROM can_bus_events LEFT JOIN (SELECT event_id, accel_magnitude FROM aligned) a USING (event_id)",
+    "forest_input": f"SELECT event_id, [{', '.join(FEATURE_COLS)}] AS v FROM forest_readings",
+}
+
+
+def forest_oracle(sql: str) -> str:
+    before = with_ctes("", "can_bus_events").rstrip() + ",\n"
+    return with_forest(sql, {**FOREST_INPUT, **forest_ctes(len(FEATURE_COLS))}, before)
+
+
+@register("m_iforest_rows", forest_oracle("SELECT t AS tree_id, event_id FROM forest_rows"))
+def m_iforest_rows(spark, sf):
+    """M2: the training rows of every tree."""
+    readings = tables.can_bus_events(spark, sf).select("event_id")
+    return IsolationForest().training_rows(readings, readings.count()).withColumn("tree_id", F.col("tree_id").cast("long"))
+
+
+@register("m_iforest_nodes", forest_oracle(
+    "SELECT tree_id, CAST(node_id AS BIGINT) AS node_id, CAST(feature AS BIGINT) AS feature, "
+    f"{rnd('threshold', 6)} AS threshold, size, length FROM forest_nodes"))
+def m_iforest_nodes(spark, sf):
+    """M2: the trees."""
+    nodes = spark.createDataFrame(forest(spark, sf).nodes, NODE_SCHEMA)
+    return nodes.select(*(F.col(c).cast("long").alias(c) for c in ("tree_id", "node_id", "feature", "size", "length")),
+                        round_half_up("threshold", 6).alias("threshold"))
+
+
+@register("m_iforest_scores", forest_oracle(
+    'SELECT event_id, vehicle_id, "timestamp", anomaly_score FROM forest_readings JOIN forest_scores USING (event_id)'))
 def m_iforest_scores(spark, sf):
     """M3: score of every reading (lower = more anomalous)."""
     model = forest(spark, sf)
@@ -41,7 +76,10 @@ def m_iforest_scores(spark, sf):
         "event_id", "vehicle_id", "timestamp", "anomaly_score")
 
 
-@register("m_iforest_flags")
+@register("m_iforest_flags", forest_oracle(
+    'SELECT event_id, vehicle_id, "timestamp", sensor_type, anomaly_score, '
+    f"to_json({{{', '.join(f"'{c}': {c}" for c in FEATURE_COLS)}}}) AS features "
+    "FROM forest_readings JOIN forest_scores USING (event_id), forest_cut WHERE anomaly_score < cut"))
 def m_iforest_flags(spark, sf):
     """M4 + M14: detections at the contamination cut, as anomaly records."""
     model = forest(spark, sf)
@@ -83,7 +121,9 @@ def m_maintenance_cv(spark, sf):
     return spark.createDataFrame([(mean, std)], "roc_auc_mean double, roc_auc_std double")
 
 
-@register("m_anomaly_rate_by_vehicle")
+@register("m_anomaly_rate_by_vehicle", forest_oracle(
+    "SELECT vehicle_id, count(*) AS readings, count(*) FILTER (WHERE anomaly_score < cut) AS flagged "
+    "FROM forest_readings JOIN forest_scores USING (event_id), forest_cut GROUP BY vehicle_id"))
 def m_anomaly_rate_by_vehicle(spark, sf):
     """M4 per vehicle: share of readings flagged by the forest."""
     model = forest(spark, sf)

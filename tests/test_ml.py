@@ -1,11 +1,14 @@
 """Isolation forest cases carried over from the reference's model tests
 (FIXTURES §5), plus the paper's c(n) and reload equality."""
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from roadlens.ml.iforest import IsolationForest, IsolationForestModel, UnfittedDetector, c_factor
+from roadlens.ml.iforest import IsolationForest, IsolationForestModel, c_factor
+from roadlens.plans.forest_sql import forest_ctes, with_forest
 
 
 def normal_rows(spark, n=500, seed=42):
@@ -55,19 +58,17 @@ def test_reload_identical(spark, model, tmp_path):
 
 
 def test_fit_is_deterministic(spark, model):
-    # Same subsample and structure under another partitioning; thresholds
-    # agree up to the last bits of the scaling statistics (summation order).
+    # Same subsample, structure and thresholds under another partitioning.
     again = IsolationForest().fit(normal_rows(spark).repartition(7))
     a = again.nodes.sort_values(["tree_id", "node_id"]).reset_index(drop=True)
     b = model.nodes.sort_values(["tree_id", "node_id"]).reset_index(drop=True)
-    ints = ["tree_id", "node_id", "feature", "left", "right", "size", "depth"]
-    assert a[ints].equals(b[ints])
-    assert np.allclose(a["threshold"], b["threshold"], rtol=0, atol=1e-9)
+    assert a.equals(b)
+    assert again.offset == model.offset
 
 
 def test_unfitted_and_missing_columns(spark, model):
     with pytest.raises(RuntimeError):
-        UnfittedDetector().predict(None)
+        IsolationForest().predict(normal_rows(spark))
     with pytest.raises(ValueError):
         model.score_samples(spark.createDataFrame([("x", 1.0)], "event_id string, speed_ms double"))
 
@@ -78,3 +79,33 @@ def test_accel_magnitude_derived(spark, model):
                                "steering_angle_deg double, brake_pressure_pct double, engine_temp_celsius double")
     r = model.score_samples(df).first()
     assert r["accel_magnitude"] == 5.0
+
+
+@pytest.mark.parametrize("names, rows, sample", [("ab", 3000, 64), ("abcdef", 700, 256), ("abc", 40, 256)])
+def test_forest_equals_sql(spark, names, rows, sample):
+    # Ties and a constant feature included; 3,000 rows are not all offered to every tree.
+    rng = np.random.default_rng(rows)
+    pdf = pd.DataFrame({c: np.round(rng.normal(0, 1 + i, rows), 1) for i, c in enumerate(names)})
+    pdf["b"] = 1.5 if len(names) > 2 else pdf["b"]
+    pdf.insert(0, "event_id", [f"e{i}" for i in range(rows)])
+    df = spark.createDataFrame(pdf)
+    model = IsolationForest(n_trees=20, max_samples=sample, features=list(names)).fit(df)
+    x = f"SELECT event_id, [{', '.join(names)}] AS v FROM pdf"
+    con = duckdb.connect()
+    con.register("pdf", pdf)
+
+    def sql(query):
+        return con.execute(with_forest(query, {"forest_input": x, **forest_ctes(len(names), 20, sample)})).fetchall()
+
+    nodes = sql("SELECT tree_id, node_id, feature, size, length FROM forest_nodes ORDER BY ALL")
+    assert nodes == sorted(model.nodes[["tree_id", "node_id", "feature", "size", "length"]].itertuples(index=False, name=None))
+    scores = sorted(tuple(r) for r in model.predict(df).select("event_id", "anomaly_score", "is_anomaly").collect())
+    assert scores == sql("SELECT event_id, anomaly_score, anomaly_score < cut FROM forest_scores, forest_cut ORDER BY ALL")
+
+
+def test_repeated_keys_leave_no_tree_short(spark):
+    # All rows share one key, so only one tree is offered rows at first.
+    df = spark.range(5000).select(F.lit("same").alias("event_id"), (F.col("id") % 97).cast("double").alias("a"))
+    model = IsolationForest(n_trees=100, max_samples=4, features=["a"]).fit(df)
+    roots = model.nodes[model.nodes.node_id == 1]
+    assert len(roots) == 100 and (roots["size"] == 4).all()

@@ -22,10 +22,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from roadlens.functions.numeric import round_half_up
 
@@ -227,61 +226,82 @@ def recent_alerts(alerts: DataFrame, n: int = 50) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# The same cool-down on a stream, in event time. A key's state is its last
-# fire and the hits above the watermark, which may still be preceded by others.
+# The same cool-down on a stream, in event time. Hits wait one by one in a
+# key's state, each with a timer; a micro-batch touches only the hits that came
+# or are due, not all that wait.
 # ---------------------------------------------------------------------------
 
-STATE_SCHEMA = T.StructType([T.StructField("last_fire_us", T.LongType()), T.StructField("waiting", T.BinaryType())])
-
-
-def _packed(pdf: pd.DataFrame) -> bytes:
-    table = pa.Table.from_pandas(pdf, preserve_index=False)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as out:
-        out.write_table(table)
-    return sink.getvalue().to_pybytes()
-
-
-def _stream_fold(key, pdfs, state):
-    last, waiting = state.get if state.exists else (None, None)
-    parts = [pa.ipc.open_stream(waiting).read_pandas()] if waiting else []
-    parts += [p for p in pdfs if len(p)]
-    if not parts:  # timed out with nothing waiting: the cool-down is over
-        state.remove()
-        return
-    pdf = pd.concat(parts, ignore_index=True).sort_values(["ts", "event_id"], kind="mergesort", ignore_index=True)
-    ts_us = pdf["ts"].to_numpy(dtype="datetime64[us]").astype("int64")
-    cooldown = int(pdf["cooldown_s"].iat[0] * 1e6)
-    mark = state.getCurrentWatermarkMs()
-    due = int(np.searchsorted(ts_us, mark * 1000, "right"))
-    keep = []
-    for i in range(due):
-        if last is None or ts_us[i] - last >= cooldown:
-            last = int(ts_us[i])
-            keep.append(i)
-    # Next look: when the first waiting hit is due, else when the cool-down ends.
-    wake = -(-int(ts_us[due] if due < len(pdf) else last + cooldown) // 1000)
-    if wake > mark:
-        state.update((last, _packed(pdf.iloc[due:]) if due < len(pdf) else None))
-        state.setTimeoutTimestamp(wake)
-    elif state.exists:
-        state.remove()
-    yield pdf.iloc[keep]
+WAITING_KEY = "due_ms long, slot int"
+WAITING_HIT = "us long, event_id string, severity string, cooldown_us long, message string"
+
+
+class CooldownState(StatefulProcessor):
+    """State of a (rule, vehicle): its last fire, and the hits waiting for the
+    watermark by the millisecond in which they are due. Timers come in time
+    order, so hits are folded in event-time order whatever order they came in.
+    A last fire is dropped once its cool-down is over."""
+
+    def init(self, handle):
+        self.handle = handle
+        self.last = handle.getValueState("last_fire", "us long, until_us long")
+        self.waiting = handle.getMapState("waiting", WAITING_KEY, WAITING_HIT)
+
+    def handleInputRows(self, key, rows, timerValues):
+        slots = {}
+        for r in rows:
+            due = -(-r.us // 1000)
+            if due not in slots:
+                slots[due] = sum(1 for _ in self._slots(due))
+                self.handle.registerTimer(due)
+            self.waiting.updateValue((due, slots[due]), (r.us, r.event_id, r.severity, r.cooldown_us, r.message))
+            slots[due] += 1
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        places = list(self._slots(due))
+        hits = sorted((tuple(self.waiting.getValue(p)) for p in places), key=lambda h: (h[0], h[1] or ""))
+        for p in places:
+            self.waiting.removeKey(p)
+        until = self.last.get()[1] if self.last.exists() else None
+        fired = []
+        for us, event_id, severity, cooldown_us, message in hits:
+            if until is None or us >= until:
+                until = us + cooldown_us
+                fired.append(Row(rule=key[0], severity=severity, vehicle_id=key[1], us=us, event_id=event_id,
+                                 cooldown_us=cooldown_us, message=message))
+        if fired:
+            self.last.update((fired[-1].us, until))
+            self.handle.registerTimer(-(-until // 1000))
+        elif until is not None and until <= due * 1000:
+            self.last.clear()
+        return iter(fired)
+
+    def _slots(self, due):
+        """The taken places of one millisecond, which are numbered from 0."""
+        slot = 0
+        while self.waiting.containsKey((due, slot)):
+            yield (due, slot)
+            slot += 1
+
+    def close(self):
+        pass
+
+
+FIRED = ("rule string, severity string, vehicle_id string, us long, event_id string, cooldown_us long, message string")
 
 
 def apply_cooldown_stream(cands: DataFrame) -> DataFrame:
     """Stateful cool-down on a streaming frame of candidates whose ``ts``
-    carries a watermark. Hits wait in state until the watermark has passed
-    them and are then folded in event-time order, so the alerts don't depend
-    on the order of arrival or on the micro-batches. A key's state is dropped
-    once its cool-down is over and nothing waits."""
+    carries a watermark. A hit fires, or not, once the watermark has passed it,
+    so the alerts don't depend on the order of arrival or on the micro-batches.
+    The query needs the RocksDB state store when it starts
+    (``streaming.jobs.rocksdb_state``)."""
     from roadlens.session import ship_package
 
     ship_package(cands.sparkSession)
-    return cands.groupBy("rule", "vehicle_id").applyInPandasWithState(
-        _stream_fold,
-        outputStructType=cands.schema,
-        stateStructType=STATE_SCHEMA,
-        outputMode="append",
-        timeoutConf="EventTimeTimeout",
-    )
+    hits = cands.withColumns({"us": F.unix_micros("ts"), "cooldown_us": (F.col("cooldown_s") * 1_000_000).cast("long")})
+    fired = hits.groupBy("rule", "vehicle_id").transformWithState(
+        CooldownState(), outputStructType=FIRED, outputMode="append", timeMode="EventTime")
+    return fired.withColumns({"ts": F.timestamp_micros("us"), "cooldown_s": F.col("cooldown_us") / 1_000_000.0}).select(
+        *cands.columns)

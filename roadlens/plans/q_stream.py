@@ -74,18 +74,31 @@ def _control_messages(spark: SparkSession, ts: str, phase: int) -> DataFrame:
     return out.select(*[f.name for f in STREAM_ENVELOPE.fields])
 
 
-def run_stream(spark: SparkSession, sf: str, build, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """Run ``build(raw_stream)`` to completion through a Parquet sink, in
-    micro-batches of ``files_per_batch`` files where given."""
+def in_slices(messages: DataFrame, slices: int) -> list[DataFrame]:
+    """The messages in order of their readings' time, in slices of equal length;
+    malformed ones come first."""
+    us = F.unix_micros(F.try_to_timestamp(F.get_json_object(F.col("value").cast("string"), "$.timestamp")))
+    lo, hi = messages.agg(F.min(us), F.max(us)).first()
+    number = F.least(F.coalesce(F.floor((us - F.lit(lo)) * slices / F.lit(hi - lo + 1)), F.lit(0)), F.lit(slices - 1))
+    return [messages.filter(number == i) for i in range(slices)]
+
+
+def run_stream(spark: SparkSession, sf: str, build, name: str, slices: int | None = None) -> DataFrame:
+    """Run ``build(raw_stream)`` to completion through a Parquet sink; with
+    ``slices`` the data come in as many deliveries, in order of time."""
     root = scratch_path(spark, f"stream-{name}")
-    control = f"{root}/control"
+    control, data = f"{root}/control", raw_table_path(spark, sf)
     spark.createDataFrame([], STREAM_ENVELOPE).write.parquet(control)
-    raw = J.file_source(spark, [raw_table_path(spark, sf), control], list(TOPICS.values()), files_per_batch)
+    deliveries = [None, *(_control_messages(spark, ts, i + 1).coalesce(1) for i, ts in enumerate(CONTROL_TS))]
+    if slices:
+        deliveries[:1] = in_slices(spark.read.schema(STREAM_ENVELOPE).parquet(data), slices)
+        data = control
+    raw = J.file_source(spark, list(dict.fromkeys([data, control])), list(TOPICS.values()))
     df = build(raw)
     out, ckpt = f"{root}/out", f"{root}/checkpoint"
-    for phase in range(3):
-        if phase:
-            _control_messages(spark, CONTROL_TS[phase - 1], phase).coalesce(1).write.mode("append").parquet(control)
+    for delivery in deliveries:
+        if delivery is not None:
+            delivery.write.mode("append").parquet(control)
         q = (
             df.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out)
@@ -99,8 +112,8 @@ def run_stream(spark: SparkSession, sf: str, build, name: str, files_per_batch:
     return res
 
 
-def _reg(key: str, batch_key: str, build, files_per_batch: int | None = None):
-    register(key, ORACLES.get(batch_key))(lambda spark, sf: run_stream(spark, sf, build, key, files_per_batch))
+def _reg(key: str, batch_key: str, build):
+    register(key, ORACLES.get(batch_key))(lambda spark, sf: run_stream(spark, sf, build, key))
 
 
 for key, (sensor, fn, dur) in W.WINDOW_SUMMARIES.items():
@@ -126,8 +139,10 @@ def _scorer(can):
         "is_anomaly", F.col("anomaly_score") < tables.STANDIN_CUT)
 
 
-#: The message files of an hour of readings arrive in no order of time.
-ALERT_WATERMARK = "2 hours"
+#: The readings of an hour come in two deliveries, so many alerts are due, and
+#: state expires, while data still come.
+ALERT_WATERMARK = "5 minutes"
+ALERT_SLICES = 2
 
 
 def _alerts(raw):
@@ -154,7 +169,11 @@ _register_f2()
 def _register_alerts():
     from roadlens.plans import q_alerts  # noqa: F401  (oracle text)
 
-    _reg("r_stream_alerts", "a_cooldown_all", _alerts, files_per_batch=6)
+    def alerts(spark, sf):
+        with J.rocksdb_state(spark):
+            return run_stream(spark, sf, _alerts, "r_stream_alerts", ALERT_SLICES)
+
+    register("r_stream_alerts", ORACLES["a_cooldown_all"])(alerts)
 
 
 _register_alerts()

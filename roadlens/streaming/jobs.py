@@ -6,6 +6,7 @@ summaries, deduplication and alert state downstream never redefine it.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,22 @@ def sensor_stream(raw: DataFrame, sensor: str, watermark: str | None = None) ->
     return time_parts(df)
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries that start inside keep their state in RocksDB, as timers need.
+    A query's checkpoint remembers it; the session's own setting comes back."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def parquet_sink(df: DataFrame, path: str, checkpoint: str, partition_cols=None,
                  trigger: dict | None = None, name: str | None = None,
                  files_per_partition: int = 4):

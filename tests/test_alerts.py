@@ -7,6 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from roadlens.operators import alerts as A
+from roadlens.streaming.jobs import rocksdb_state
 
 BASE = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -79,14 +80,39 @@ def test_stream_cooldown_matches_batch(spark, tmp_path):
     stream = (spark.readStream.schema(snap.schema).option("maxFilesPerTrigger", 1).parquet(src)
               .withWatermark("ts", "3 days"))
     out = A.apply_cooldown_stream(A.candidates(stream))
-    q = (out.writeStream.format("memory").queryName("alerts_stream_test").outputMode("append")
-         .trigger(availableNow=True).start())
+    with rocksdb_state(spark):
+        q = (out.writeStream.format("memory").queryName("alerts_stream_test").outputMode("append")
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     got = {(r["rule"], r["event_id"]) for r in spark.table("alerts_stream_test").collect()}
     batch = {(r["rule"], r["event_id"]) for r in A.evaluate(snap).collect()}
     assert got == batch
 
 
+def test_stream_alerts_fire_before_the_end_and_state_goes(spark, tmp_path):
+    # Hits at 0, 200, 300 and 300 s, then at 2,000 s, then another vehicle's at 9,000 and 20,000 s.
+    schema = ("vehicle_id string, ts timestamp, event_id string, sensor_type string, speed_ms double, "
+              "accel_magnitude double, engine_temp double, is_anomaly boolean, anomaly_score double")
+    src, ckpt, out = (str(tmp_path / d) for d in ("snap", "ckpt", "out"))
+    spark.createDataFrame([], schema).write.parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src).withWatermark("ts", "1 minute")
+    alerts = A.apply_cooldown_stream(A.candidates(stream)).select("event_id", "ts", "cooldown_s")
+    seen, left = [], []
+    for batch in ([("a", 300, "e3"), ("a", 0, "e1"), ("a", 300, "e4"), ("a", 200, "e2")], [("a", 2000, "e5")],
+                  [("b", 9000, "e6")], [("b", 20000, "e7")], [("b", 30000, "e8")]):
+        rows = [(v, BASE + dt.timedelta(seconds=s), e, "can_bus", 30.0, 0.0, 0.0, False, None) for v, s, e in batch]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        with rocksdb_state(spark):
+            q = (alerts.writeStream.format("parquet").option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
+        q.awaitTermination()
+        seen.append(sorted(r["event_id"] for r in spark.read.schema(alerts.schema).parquet(out).collect()))
+        left.append(sum(op["numRowsTotal"] for op in q.lastProgress["stateOperators"]))
+    assert seen[-1] == ["e1", "e3", "e5", "e6", "e7"]
+    assert "e1" in seen[1] and "e3" in seen[1] and "e4" not in seen[-1]
+    assert left == [3, 2, 2, 2, 2]  # at the end: e8 waits, e7 fired last; nothing of vehicle a
+    assert {r["cooldown_s"] for r in spark.read.schema(alerts.schema).parquet(out).collect()} == {300.0}
+
+
 def test_history_ids_are_deterministic(spark):
     snap = fixture(spark, 300, seed=5)
     h1 = A.history(A.evaluate(snap), as_of="2024-01-02").select("alert_id").collect()

@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from roadlens.operators import windows as W
 from roadlens.plans import tables
 from roadlens.plans.oracle import with_ctes
-from roadlens.plans.registry import ORACLES, register
+from roadlens.plans.registry import ORACLES, all_processed, beside_exact, register
 from roadlens.plans.telemetry_view import JSON_OPTIONS, raw_table_path
 from roadlens.schemas import SENSOR_SCHEMAS, STREAM_ENVELOPE, TOPICS
 from roadlens.session import scratch_path
-from roadlens.sources.kafka import quarantine
+from roadlens.sources.kafka import parse_messages, quarantine
 from roadlens.streaming import jobs as J
-from roadlens.streaming.topology import Landing
+from roadlens.streaming.progress import ProgressLog, totals
+from roadlens.streaming.topology import READINGS, Landing
 
 CONTROL_VEHICLE = "ZX-CONTROL"
 CONTROL_TS = ("2024-03-01 00:00:00", "2024-04-01 00:00:00")
@@ -123,14 +124,22 @@ for key, (sensor, fn, dur) in W.WINDOW_SUMMARIES.items():
          (lambda s, f, d: lambda raw: f(J.sensor_stream(raw, s, "2 minutes"), d))(sensor, fn, dur))
 
 
-def _w5(raw):
+def _readings(raw):
     parts = [J.sensor_stream(raw, s, "2 minutes").select("timestamp", "sensor_type", "vehicle_id")
              for s in ("gps", "imu", "can_bus")]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return W.fleet_throughput(u, "1 minute")
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_reg("r_stream_w5", "w5_throughput", lambda raw: W.fleet_throughput(_readings(raw), "1 minute"))
+
+
+@register("r_stream_w5_sketched", ORACLES["w5_sketched_hours"])
+def r_stream_w5_sketched(spark, sf):
+    """W5's sketched minutes from a stream, merged to hours where they are stored."""
+    minutes = run_stream(spark, sf, lambda raw: W.throughput_sketches(_readings(raw)), "r_stream_w5_sketched")
+    return beside_exact(minutes, all_processed(spark, sf), "sensor_type")
 
 
-_reg("r_stream_w5", "w5_throughput", _w5)
 _reg("r_stream_dedup", "p_enrich_can", lambda raw: J.sensor_stream(raw, "can_bus"))
 
 
@@ -242,3 +251,36 @@ def _register_landing():
 
 
 _register_landing()
+
+
+# ---------------------------------------------------------------------------
+# What the queries reported, read back from the progress store
+# ---------------------------------------------------------------------------
+
+PROGRESS_FILES = 3
+
+
+def _register_progress():
+    from roadlens.plans import q_rows  # noqa: F401  (oracle text)
+
+    @register("r_progress", "SELECT 'decoded-' || topic AS query, received AS input_rows, 0 AS dropped_by_watermark, "
+                            f"true AS several_batches FROM ({ORACLES['s_decode_stats']}) s WHERE topic IN "
+                            f"({', '.join(repr(TOPICS[s]) for s in READINGS)})")
+    def r_progress(spark, sf):
+        """Rows read by one query per sensor topic over several micro-batches."""
+        root = scratch_path(spark, "progress")
+        with ProgressLog(spark, f"{root}/progress") as log:
+            for sensor in READINGS:
+                topic = TOPICS[sensor]
+                source = spark.readStream.schema(STREAM_ENVELOPE).option("maxFilesPerTrigger", PROGRESS_FILES).parquet(
+                    f"{raw_table_path(spark, sf)}/topic={topic}")
+                decoded = parse_messages(source.withColumn("topic", F.lit(topic)), SENSOR_SCHEMAS[sensor])
+                q = (decoded.writeStream.queryName(f"decoded-{topic}").format("parquet")
+                     .option("checkpointLocation", f"{root}/checkpoint-{sensor}").trigger(availableNow=True)
+                     .start(f"{root}/{sensor}"))
+                q.awaitTermination()
+                log.wait(q)
+        return totals(log.rows()).select("query", "input_rows", "dropped_by_watermark", (F.col("batches") > 1).alias("several_batches"))
+
+
+_register_progress()

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadlens.functions.time import to_ntz
 from roadlens.plans import tables
@@ -143,3 +144,45 @@ def all_processed(spark, sf_dir, cols=("timestamp", "sensor_type", "vehicle_id",
 def w5_throughput(spark, sf_dir):
     """W5 over the union of processed gps, imu and can_bus readings."""
     return W.fleet_throughput(all_processed(spark, sf_dir), "1 minute")
+
+
+def _hours(by: str) -> str:
+    return with_ctes(
+        f"""
+SELECT {bucket('"timestamp"', 3600)} AS window_start{by},
+       count(*) AS event_count, count(DISTINCT vehicle_id) AS active_vehicles, true AS sketch_within_bound
+FROM (SELECT "timestamp", sensor_type, vehicle_id FROM gps_events
+      UNION ALL SELECT "timestamp", sensor_type, vehicle_id FROM imu_events
+      UNION ALL SELECT "timestamp", sensor_type, vehicle_id FROM can_bus_events) u
+GROUP BY ALL""",
+        "gps_events", "imu_events", "can_bus_events",
+    )
+
+
+W5_HOURS_SQL = _hours(", sensor_type")
+W5_FLEET_HOURS_SQL = _hours("")
+
+
+def beside_exact(sketches: DataFrame, readings: DataFrame, *by: str) -> DataFrame:
+    """Hours merged from sketched minutes, beside the exact distinct counts."""
+    merged = W.merge_sketches(sketches, "1 hour", *by).withColumnRenamed("active_vehicles", "sketched")
+    hour = F.window("timestamp", "1 hour")["start"].alias("window_start")
+    exact = readings.groupBy(hour, *by).agg(F.count_distinct("vehicle_id").alias("active_vehicles"))
+    off = F.abs(F.col("sketched") - F.col("active_vehicles"))
+    return merged.join(exact, ["window_start", *by]).select(
+        "window_start", *by, "event_count", "active_vehicles",
+        (off <= F.lit(W.SKETCH_BOUND) * F.col("active_vehicles")).alias("sketch_within_bound"))
+
+
+@register("w5_sketched_hours", W5_HOURS_SQL)
+def w5_sketched_hours(spark, sf_dir):
+    """W5's minutes as sketches, merged to hours per sensor type."""
+    readings = all_processed(spark, sf_dir)
+    return beside_exact(W.throughput_sketches(readings), readings, "sensor_type")
+
+
+@register("w5_sketched_fleet_hours", W5_FLEET_HOURS_SQL)
+def w5_sketched_fleet_hours(spark, sf_dir):
+    """The same over all sensor types: a vehicle seen by several counts once."""
+    readings = all_processed(spark, sf_dir)
+    return beside_exact(W.throughput_sketches(readings), readings)

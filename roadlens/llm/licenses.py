@@ -56,15 +56,20 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, BETWEEN, -1), lambda w: w != "")
 
 
+def template_list(templates) -> list[tuple]:
+    """(t, label, distinct lower-case words, n, need, span, must) of each template."""
+    out = []
+    for t, (label, text) in enumerate(templates):
+        words = sorted(set(text.lower().split()))
+        out.append((t, label, words, len(words), max(1, math.ceil(CONTAINMENT * len(words) - 1e-9)),
+                    math.ceil(len(text.split()) / CONTAINMENT - 1e-9), sorted(DECIDING.intersection(words))))
+    return out
+
+
 def template_rows(spark: SparkSession, templates) -> DataFrame:
     """One row per template: t, label, tokens (distinct, lower case), n, need,
     span (words of a window), must (its deciding words)."""
-    rows = []
-    for t, (label, text) in enumerate(templates):
-        words = sorted(set(text.lower().split()))
-        rows.append((t, label, words, len(words), max(1, math.ceil(CONTAINMENT * len(words) - 1e-9)),
-                     math.ceil(len(text.split()) / CONTAINMENT - 1e-9), sorted(DECIDING.intersection(words))))
-    return spark.createDataFrame(rows, "t int, label string, tokens array<string>, n int, need int, span int, must array<string>")
+    return spark.createDataFrame(template_list(templates), "t int, label string, tokens array<string>, n int, need int, span int, must array<string>")
 
 
 def prefix_index(docs: DataFrame, text: str, templates) -> list:
@@ -142,10 +147,12 @@ def op9_license_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    """Every line against every template."""
+    """Every window that starts at a template's word against that template."""
     split = r"list_filter(regexp_split_to_array({0}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
     low = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    values = ", ".join(f"('{label}', ['{"', '".join(sorted(set(text.lower().split())))}'])" for label, text in TEMPLATES)
+    values = ", ".join(
+        f"({t}, '{label}', {n}, {need}, {span}, {len(must)}, {words!r}, {must!r}::VARCHAR[])"
+        for t, label, words, n, need, span, must in template_list(TEMPLATES))
     hits = []
     for phrase, label in PHRASES.items():
         w = phrase.split()
@@ -154,11 +161,16 @@ def _oracle() -> str:
                     f"lambda i: {{'i': i, 'label': '{label}'}})")
     return f"""
 WITH d AS (SELECT doc_id, text, {split.format(low.format('text'))} AS words FROM documents),
-t(label, tokens) AS (VALUES {values}),
-l AS (SELECT doc_id, {split.format(low.format('line'))} AS ws
-      FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
-m AS (SELECT doc_id, label, len(list_intersect(list_distinct(ws), tokens)) * 1.0 / len(tokens) AS c FROM l, t
-      WHERE len(list_intersect(list_distinct(ws), tokens)) >= ceil({CONTAINMENT} * len(tokens) - 1e-9)),
+t(t, label, n, need, span, musts, tokens, must) AS (VALUES {values}),
+k AS (SELECT t, label, n, need, span, musts, w, list_contains(must, w) AS deciding
+      FROM (SELECT * EXCLUDE (tokens), unnest(tokens) AS w FROM t)),
+o AS (SELECT row_number() OVER () AS r, doc_id, words FROM d),
+q AS (SELECT * FROM (SELECT r, doc_id, unnest(words) AS w, unnest(range(len(words))) AS i FROM o) JOIN k USING (w)),
+m AS (SELECT doc_id, label, shared / CAST(n AS DOUBLE) AS c FROM (
+        SELECT x.r, x.doc_id, x.t, x.label, x.n, x.need, x.musts, x.i, count(DISTINCT y.w) AS shared,
+               count(DISTINCT y.w) FILTER (WHERE y.deciding) AS decided
+        FROM q x JOIN q y ON x.r = y.r AND x.t = y.t AND y.i >= x.i AND y.i < x.i + x.span GROUP BY ALL)
+      WHERE shared >= need AND decided = musts),
 g AS (SELECT doc_id, list(DISTINCT label) AS more, max(c) AS most FROM m GROUP BY doc_id),
 b AS (SELECT doc_id, words, list_concat(list_concat({hits[0]}, {hits[1]}), {hits[2]}) AS p FROM d)
 SELECT b.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(p) AS BIGINT) AS n_base,

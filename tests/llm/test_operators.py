@@ -557,3 +557,29 @@ def test_reply_trees_with_cycles_repeats_and_long_branches(spark):
                    (4, 2): ["o", "q"], (5, 1): ["lost parent"], (6, 1300): [f"m{i}" for i in range(301)] + ["leaf300"]}
     every = chat.conversations(messages, per_tree=10_000).groupBy("tree").count().collect()
     assert {r.tree: r["count"] for r in every} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 600}
+
+
+def test_licenses_equal_their_sql_on_wrapped_and_undecided_notices(spark):
+    import duckdb
+    import pandas as pd
+
+    from roadlens.llm import licenses as L
+
+    texts = ["", None, "nothing of the kind " * 40]
+    for _, notice in L.TEMPLATES:
+        words = notice.split()
+        texts.append("intro text\n" + "\n".join(" ".join(words[i:i + 4]) for i in range(0, len(words), 4)) + "\nrest")
+        texts.append("x " * 300 + " ".join(w for w in words if w.lower() not in L.DECIDING))
+        texts.append(" ".join(words[: len(words) // 2]) + " y" * 500 + " " + " ".join(words[len(words) // 2:]))
+        texts.append(" z ".join(words))
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    con = duckdb.connect()
+    con.register("documents", documents)
+    got = L.find_licenses(spark.createDataFrame(documents, "doc_id long, text string"))
+    found = con.execute(L.ORACLE_SQL)
+    cols = [c[0] for c in found.description]
+    expect = sorted(found.fetchall())
+    assert sorted(tuple(r) for r in got.select(*cols).collect()) == expect
+    # The wrapped notices are labelled; lines alone would not show them.
+    wrapped = {r[0]: r[cols.index("labels")] for r in expect}
+    assert all(label in wrapped[3 + 4 * i].split(",") for i, (label, _) in enumerate(L.TEMPLATES))

@@ -19,14 +19,17 @@ over many tasks.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from roadlens.functions.numeric import round_half_up
+from roadlens.functions.time import time_parts
+from roadlens.sources.store import StoredTable
 
 
 @dataclass(frozen=True)
@@ -207,17 +210,44 @@ HISTORY_TTL_DAYS = 30
 def history(alerts: DataFrame, ttl_days: int = HISTORY_TTL_DAYS, as_of=None) -> DataFrame:
     """History records keyed by a deterministic alert_id, with expiry;
     expired records are filtered against ``as_of`` (default: now)."""
-    alert_id = F.sha2(
-        F.concat_ws("|", "rule", "vehicle_id", F.unix_micros("ts").cast("string")), 256
-    )
-    out = alerts.withColumns(
-        {
-            "alert_id": alert_id,
-            "expires_at": F.col("ts") + F.expr(f"INTERVAL {int(ttl_days)} DAYS"),
-        }
-    )
+    return unexpired(alerts.withColumn("alert_id", alert_id()), ttl_days, as_of)
+
+
+def alert_id() -> Column:
+    return F.sha2(F.concat_ws("|", "rule", "vehicle_id", F.unix_micros("ts").cast("string")), 256)
+
+
+def unexpired(identified: DataFrame, ttl_days: int, as_of=None) -> DataFrame:
     anchor = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    return out.filter(F.col("expires_at") > anchor)
+    return identified.withColumn("expires_at", F.col("ts") + F.expr(f"INTERVAL {int(ttl_days)} DAYS")).filter(
+        F.col("expires_at") > anchor)
+
+
+@dataclass(frozen=True)
+class AlertHistory:
+    """The fired alerts in a stored table, one per alert id and time. A batch
+    that is stored again adds nothing; ``expire`` hides whole days."""
+
+    path: str
+    ttl_days: int = HISTORY_TTL_DAYS
+
+    @property
+    def table(self) -> StoredTable:
+        return StoredTable(self.path, key=("alert_id", "ts"), time_cols=("ts",))
+
+    def append(self, fired: DataFrame, batch: str | None = None) -> int:
+        """The number of alerts that were not stored yet."""
+        identified = fired.withColumn("alert_id", alert_id())
+        return self.table.append(time_parts(identified, "ts", with_hour=False), batch)
+
+    def expire(self, spark: SparkSession, as_of) -> None:
+        """Hides the days all of whose alerts are past their time at ``as_of``."""
+        self.table.expire(spark, (as_of - timedelta(days=self.ttl_days)).date())
+
+    def rows(self, spark: SparkSession, as_of=None) -> DataFrame:
+        """The alerts that have not expired at ``as_of`` (default: now)."""
+        kept = self.table.rows(spark).drop("year", "month", "day")
+        return unexpired(kept, self.ttl_days, as_of)
 
 
 def recent_alerts(alerts: DataFrame, n: int = 50) -> DataFrame:

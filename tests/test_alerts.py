@@ -156,3 +156,19 @@ def test_message_texts_are_iso_and_survive_null_scores(spark):
         "[ENGINE OVERHEAT] Vehicle ZX-001 | temp=110.0°C | ts=2024-01-01T12:00:00+00:00",
         "[HIGH SPEED] Vehicle ZX-002 | speed=108.0 km/h | ts=2024-01-01T12:00:00.500000+00:00",
     }
+
+
+def test_stored_history_keeps_each_alert_once_and_expires_days(spark, tmp_path):
+    rows = [("high_speed", "medium", "a", "m", BASE + dt.timedelta(days=d, hours=h), f"e{d}-{h}") for d in range(4) for h in (1, 23)]
+    fired = spark.createDataFrame(rows, "rule string, severity string, vehicle_id string, message string, ts timestamp, event_id string")
+    kept = A.AlertHistory(str(tmp_path / "history"), ttl_days=30)
+    first, later = fired.filter(F.col("event_id") < "e2"), fired
+    assert (kept.append(first, "b1"), kept.append(first, "b1"), kept.append(later, "b2")) == (4, 0, 4)
+    start = BASE.replace(tzinfo=None)
+    assert kept.rows(spark, start).count() == 8
+    same = A.history(fired, 30, start).select(sorted(A.history(fired, 30, start).columns))
+    stored = kept.rows(spark, start).select(same.columns)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, same.collect()))
+    # 32 days on, the first two days are gone for good, also for a reader of the past.
+    kept.expire(spark, BASE + dt.timedelta(days=32))
+    assert {r["event_id"][:2] for r in kept.rows(spark, start).collect()} == {"e2", "e3"}

@@ -60,7 +60,8 @@ def read_stream(
             .option("subscribe", ",".join(topic_list))
         )
         for k, v in opts.items():
-            reader = reader.option(k, v)
+            if v is not None:  # None takes a default away: no cap per trigger, loss fails
+                reader = reader.option(k, v)
         return reader.load().select(*KAFKA_COLUMNS)
     if source == "files":
         reader = spark.readStream.schema(STREAM_ENVELOPE)

@@ -3,7 +3,9 @@ vehicle, and the streaming state (R10) against the batch fold."""
 
 import datetime as dt
 import random
+from types import SimpleNamespace
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from roadlens.operators import alerts as A
@@ -172,3 +174,91 @@ def test_stored_history_keeps_each_alert_once_and_expires_days(spark, tmp_path):
     # 32 days on, the first two days are gone for good, also for a reader of the past.
     kept.expire(spark, BASE + dt.timedelta(days=32))
     assert {r["event_id"][:2] for r in kept.rows(spark, start).collect()} == {"e2", "e3"}
+
+
+class _Handle:
+    """A key's state in memory, with a count of the calls to it."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, set()
+
+    def getValueState(self, name, schema):
+        return self.State(self)
+
+    def getMapState(self, name, key, schema):
+        return self.Map(self)
+
+    def registerTimer(self, ms):
+        self.calls += 1
+        self.timers.add(ms)
+
+    class State:
+        def __init__(self, handle):
+            self.handle, self.held = handle, None
+
+        def exists(self):
+            self.handle.calls += 1
+            return self.held is not None
+
+        def get(self):
+            self.handle.calls += 1
+            return self.held
+
+        def update(self, value):
+            self.handle.calls += 1
+            self.held = value
+
+        def clear(self):
+            self.update(None)
+
+    class Map(State):
+        def __init__(self, handle):
+            self.handle, self.held = handle, {}
+
+        def containsKey(self, key):
+            self.handle.calls += 1
+            return key in self.held
+
+        def getValue(self, key):
+            self.handle.calls += 1
+            return self.held[key]
+
+        def updateValue(self, key, value):
+            self.handle.calls += 1
+            self.held[key] = value
+
+        def removeKey(self, key):
+            self.handle.calls += 1
+            del self.held[key]
+
+        def iterator(self):
+            self.handle.calls += 1
+            return iter(list(self.held.items()))
+
+        def clear(self):
+            self.update({})
+
+
+def test_stream_state_is_called_less_than_twice_per_hit():
+    rng = random.Random(3)
+    state, handle = A.CooldownState(), _Handle()
+    state.init(handle)
+    hits = [Row(us=rng.randrange(4_000_000_000), event_id=f"e{i:05d}", severity="low", cooldown_us=60_000_000, message="m")
+            for i in range(2000)]
+    fired, before = [], 0
+    assert len({h.us for h in hits}) == len(hits)
+    for wm_s in (1000, 2000, 3000, 4000, 5000):  # readings come at most one batch ahead of the watermark
+        came = [h for h in hits if before <= h.us < (wm_s + 500) * 1_000_000]
+        before = (wm_s + 500) * 1_000_000
+        now = SimpleNamespace(getCurrentWatermarkInMs=lambda: wm_s * 1000)
+        assert not list(state.handleInputRows(("r", "v"), iter(came), now))
+        for t in sorted(t for t in handle.timers if t <= wm_s * 1000):
+            handle.timers.remove(t)
+            fired += state.handleExpiredTimer(("r", "v"), now, SimpleNamespace(getExpiryTimeInMs=lambda: t))
+    assert handle.calls < 2 * len(hits)
+    want, until = [], None
+    for h in sorted(hits, key=lambda h: (h.us, h.event_id)):
+        if until is None or h.us >= until:
+            until = h.us + h.cooldown_us
+            want.append(h.event_id)
+    assert [f.event_id for f in fired] == want

@@ -1,9 +1,12 @@
 """The streaming topology (R8/R9), progress table (R11) and sinks."""
 
 import os
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from roadlens.operators.features import align_imu
 from roadlens.plans.telemetry_view import raw_table_path
 from roadlens.schemas import TOPICS
 from roadlens.session import scratch_path
@@ -121,3 +124,36 @@ def test_landing_replays_and_broken_batches_store_once(spark):
         if sink != "counters":
             assert once.rows(spark, sink).count() == twice.rows(spark, sink).count() == new[sink], sink
     assert twice.rows(spark, "counters").count() == 2 * new["counters"]
+
+
+def test_stream_alignment_forms_no_pairs_and_equals_the_batch(spark, tmp_path):
+    """Readings on the second, of equal times, a tolerance apart and too far
+    apart, in several micro-batches."""
+    rng = random.Random(8)
+    times = lambda n: [rng.choice([rng.randrange(60) * 250_000, rng.randrange(15_000_000)]) for _ in range(n)]
+    schema = "event_id string, vehicle_id string, us long, accel_magnitude double, sequence_number long"
+    imu = spark.createDataFrame([(f"i{i}", f"v{i % 7}", t, float(i), i) for i, t in enumerate(times(150))], schema)
+    can = spark.createDataFrame([(f"c{i}", f"v{i % 8}", t, None, i) for i, t in enumerate(times(300))], schema)
+    end = spark.createDataFrame([(f"end{i}", "end", t, 0.0, -i) for i, t in enumerate((10**10, 2 * 10**10))], schema)
+    streams = {}
+    for name, df in (("can", can), ("imu", imu)):
+        df = df.withColumn("timestamp", F.timestamp_micros("us"))
+        path = str(tmp_path / name)
+        for i in range(3):
+            df.filter(F.pmod("sequence_number", F.lit(3)) == i).coalesce(1).write.mode("append").parquet(path)
+        for i in range(2):
+            end.withColumn("timestamp", F.timestamp_micros("us")).filter(F.col("event_id") == f"end{i}").coalesce(1).write.mode(
+                "append").parquet(path)
+        streams[name] = (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+                         .withWatermark("timestamp", "1 minute"))
+    out = J.align_imu_stream(streams["can"].select("event_id", "vehicle_id", "timestamp"), streams["imu"])
+    assert "Join" not in out._jdf.queryExecution().analyzed().toString()
+    q = (out.writeStream.format("memory").queryName("aligned_test").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    cols = ["event_id", "vehicle_id", "timestamp", "accel_magnitude", "imu_timestamp"]
+    got = spark.table("aligned_test").filter("vehicle_id <> 'end'").select(*cols).collect()
+    as_batch = [df.withColumn("timestamp", F.timestamp_micros("us")) for df in (can, imu)]
+    want = align_imu(*as_batch).select(*cols).collect()
+    key = lambda r: r.event_id
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert 0 < sum(r.imu_timestamp is None for r in got) < len(got)

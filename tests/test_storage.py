@@ -6,9 +6,11 @@ import re
 import tempfile
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from roadlens.operators import serving
+from roadlens.plans import telemetry_view
 from roadlens.schemas import SERVING_TABLES
 from roadlens.sources import landing
 from roadlens.sources.store import StoredTable
@@ -201,3 +203,13 @@ def test_look_backs_read_the_zone_map_and_late_days_only(spark, tmp_path):
         assert "speed_ms" not in plan.split("===== Subqueries")[1] and "/rows]" not in plan.split("===== Subqueries")[1]
         assert sorted(got.select("event_id").collect()) == sorted(want.select("event_id").collect())
     assert serving.recent(timed, 60, as_of="2030-01-01").count() == 0
+
+
+def test_message_table_is_written_without_sorting_by_topic(spark, monkeypatch):
+    monkeypatch.setattr(telemetry_view, "_RAW_PATHS", {})
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda *a: pytest.fail("a write of several topics sorts its messages"))
+    written = spark.read.parquet(telemetry_view.raw_table_path(spark, "/root/testdata/sf0.001"))
+    built = telemetry_view.build_raw_messages(spark, "/root/testdata/sf0.001")
+    written = written.select(*built.columns)
+    assert written.count() == built.count() > 0
+    assert written.exceptAll(built).isEmpty()

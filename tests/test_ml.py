@@ -8,6 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadlens.ml.iforest import IsolationForest, IsolationForestModel, c_factor
+from roadlens.ml.maintenance import FEATURE_COLS as MAINTENANCE_COLS
+from roadlens.operators.features import align_imu
+from roadlens.plans import q_ml, tables
 from roadlens.plans.forest_sql import forest_ctes, with_forest
 
 
@@ -109,3 +112,19 @@ def test_repeated_keys_leave_no_tree_short(spark):
     model = IsolationForest(n_trees=100, max_samples=4, features=["a"]).fit(df)
     roots = model.nodes[model.nodes.node_id == 1]
     assert len(roots) == 100 and (roots["size"] == 4).all()
+
+
+def test_model_inputs_are_decoded_once_and_keep_their_rows(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    can, imu = tables.can_bus_events(spark, sf), tables.imu_events(spark, sf)
+    joined = can.join(align_imu(can, imu).select("event_id", "accel_magnitude"), "event_id", "left")
+    q_ml.anomaly_input(spark, sf)
+    labelled = q_ml.maintenance_input(spark, sf)
+    assert set(MAINTENANCE_COLS) < set(labelled.columns) and labelled.count() == can.count() > 0
+    monkeypatch.setattr(tables, "processed", lambda *a, **k: pytest.fail("decoded again"))
+    monkeypatch.setattr(tables, "can_bus_events", lambda *a, **k: pytest.fail("decoded again"))
+    made = q_ml.anomaly_input(spark, sf)
+    q_ml.maintenance_input(spark, sf)
+    joined = joined.select(*made.columns)
+    assert made.count() == joined.count() > 0
+    assert made.exceptAll(joined).isEmpty()

@@ -109,3 +109,23 @@ def test_serving_reads_store_with_day_pruning(spark, name):
     part = [ln for ln in p.splitlines() if ln.startswith("PartitionFilters")]
     assert any("day#" in ln and "Subquery" in ln for ln in part), p
     assert "from_json(" not in p
+
+
+def test_first_partitions_rise_with_the_rows_and_the_callers_number_stays(spark, monkeypatch):
+    from roadlens import session
+
+    monkeypatch.setattr(session, "_SET", {})
+    before = spark.conf.get(session.INITIAL_PARTITIONS, None)
+    try:
+        spark.conf.unset(session.INITIAL_PARTITIONS)
+        shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        for rows, want in ((1000, shuffles), (400 * session.ROWS_PER_PARTITION, 400), (5000, 400)):
+            session.ensure_partitions(spark, rows)
+            assert int(spark.conf.get(session.INITIAL_PARTITIONS)) == want
+        spark.conf.set(session.INITIAL_PARTITIONS, "7")
+        session.ensure_partitions(spark, 10**9)
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == "7"
+    finally:
+        spark.conf.unset(session.INITIAL_PARTITIONS)
+        if before is not None:
+            spark.conf.set(session.INITIAL_PARTITIONS, before)

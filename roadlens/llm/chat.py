@@ -74,29 +74,38 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def ancestors(edges: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
-    """Written tables of jumps (``tree``, ``id``, ``to``), the k-th one 2^k
-    parents up, for the parent edges of messages; and what is left of them if
-    some edges form cycles, with the ``least`` id met on the way.
-
-    In a tree fewer messages have a jump in every round. Once as many have one as
-    before, all of them are on a cycle or lead to one, and once the least ids
-    stand still too, a message on a cycle knows its least id."""
-    jump = edges.withColumns({"least": F.col("to"), "lower": F.lit(True)})
-    tables, before = [], None
+def climbs(start: DataFrame) -> tuple[list[DataFrame], DataFrame, DataFrame | None]:
+    """Written tables of jumps, the k-th one 2^k parents up; the messages that
+    have reached their root, with the ``points`` and number (``n``) of messages
+    on the way; and the messages left if some parents form cycles, with the
+    ``least`` id met.
+
+    ``start``: rows (``tree``, ``id``, ``to``, ``points``), ``to`` null at a root.
+    A round joins the messages that still climb with the places they stand at:
+    jump, sums and least id double together. In a tree fewer messages climb in
+    every round. Once as many do as before, all of them are on a cycle or lead to
+    one, and once the least ids stand still too, a message on a cycle knows its
+    least id."""
+    state = start.withColumns({"n": F.lit(1).cast("long"), "least": F.col("to"), "lower": F.col("to").isNotNull()})
+    jumps, settled, before = [], None, None
     while True:
-        jump = kept_table(jump, "jumps")
-        left = jump.agg(F.count(F.lit(1)).alias("n"), F.count_if("lower").alias("lower")).first()
+        state = kept_table(state, "climbs")
+        ended, climbing = state.filter("to IS NULL"), state.filter("to IS NOT NULL")
+        settled = ended if settled is None else settled.unionByName(ended)
+        left = climbing.agg(F.count(F.lit(1)).alias("n"), F.count_if("lower").alias("lower")).first()
         if not left.n:
-            return tables, None
+            return jumps, settled, None
         if left.n == before and not left.lower:
-            return tables, jump
-        tables.append(jump)
+            return jumps, settled, climbing
+        jumps.append(climbing.select("tree", "id", "to"))
         before = left.n
-        further = jump.select("tree", F.col("id").alias("to"), F.col("to").alias("far"), F.col("least").alias("then"))
-        jump = (jump.drop("lower").join(further, ["tree", "to"])
-                .select("tree", "id", F.col("far").alias("to"), F.least("least", "then").alias("least"),
-                        (F.col("then") < F.col("least")).alias("lower")))
+        above = settled.unionByName(climbing).select(
+            "tree", F.col("id").alias("to"), F.col("to").alias("far"), F.col("points").alias("p"), F.col("n").alias("m"),
+            F.col("least").alias("then"))
+        state = climbing.drop("lower").join(above, ["tree", "to"]).select(
+            "tree", "id", F.col("far").alias("to"), (F.col("points") + F.col("p")).alias("points"),
+            (F.col("n") + F.col("m")).alias("n"), F.least("least", "then").alias("least"),
+            F.coalesce(F.col("then") < F.col("least"), F.lit(False)).alias("lower"))
 
 
 def paths(messages: DataFrame, per_tree: int) -> DataFrame:
@@ -104,33 +113,24 @@ def paths(messages: DataFrame, per_tree: int) -> DataFrame:
     tree, one per message on the leaf's path, ``up`` steps from the leaf: by mean
     score of the path's messages (to a millionth), then length, then leaf.
 
-    Branches are ranked before any is listed: sums and lengths up to the root are
-    doubled along the jumps, so a tree of n messages takes n log n rows, and only
+    Branches are ranked before any is listed: sums and lengths up to the root
+    double with the jumps, so a tree of n messages takes n log n rows, and only
     the chosen branches are unfolded. A cycle of parents is cut: the message of
     its least id starts a tree."""
-    known = messages.select("tree", "id", "parent")
-    ids = known.select("tree", F.col("id").alias("parent"))
-    edges = kept_table(known.join(ids, ["tree", "parent"], "left_semi").select("tree", "id", F.col("parent").alias("to")),
-                       "edges")
-    jumps, looped = ancestors(edges)
+    # Sums are wider than a score: they run around a cycle until it is found.
+    points = F.coalesce(F.expr("try_cast(round(score * 1000000) AS bigint)"), F.lit(0)).cast("decimal(38,0)")
+    ids = messages.select("tree", F.col("id").alias("parent"), F.lit(True).alias("held"))
+    edges = messages.select("tree", "id", "parent", points.alias("points")).join(ids, ["tree", "parent"], "left").select(
+        "tree", "id", F.when(F.col("held"), F.col("parent")).alias("to"), "points")
+    jumps, total, looped = climbs(edges)
     if looped is not None:
-        starts = looped.filter("id = least").select("tree", "id")
-        edges = kept_table(edges.join(starts, ["tree", "id"], "left_anti"), "edges")
-        jumps, _ = ancestors(edges)
-    points = F.coalesce(F.expr("try_cast(round(score * 1000000) AS bigint)"), F.lit(0))
-    # A message whose jumps have ended is settled; each round touches the others only.
-    climbing = kept_table(messages.select("tree", "id", points.alias("points"), F.lit(1).cast("long").alias("n")), "totals")
-    settled = None
-    for jump in jumps:
-        total = climbing if settled is None else settled.unionByName(climbing)
-        above = total.select("tree", F.col("id").alias("to"), F.col("points").alias("p"), F.col("n").alias("m"))
-        ended = kept_table(climbing.join(jump.select("tree", "id"), ["tree", "id"], "left_anti"), "totals")
-        settled = ended if settled is None else settled.unionByName(ended)
-        climbing = kept_table(climbing.join(jump.select("tree", "id", "to"), ["tree", "id"]).join(above, ["tree", "to"])
-                              .select("tree", "id", (F.col("points") + F.col("p")).alias("points"),
-                                      (F.col("n") + F.col("m")).alias("n")), "totals")
-    total = climbing if settled is None else settled.unionByName(climbing)
-    leaves = total.join(edges.select("tree", F.col("to").alias("id")), ["tree", "id"], "left_anti")
+        starts = looped.filter("id = least").select("tree", "id", F.lit(True).alias("first"))
+        edges = kept_table(edges, "edges").join(starts, ["tree", "id"], "left").select(
+            "tree", "id", F.when(F.col("first").isNull(), F.col("to")).alias("to"), "points")
+        jumps, total, _ = climbs(edges)
+    leaves = total.select("tree", "id", F.col("points").cast("double").alias("points"), "n")
+    if jumps:
+        leaves = leaves.join(jumps[0].select("tree", F.col("to").alias("id")), ["tree", "id"], "left_anti")
     best = Window.partitionBy("tree").orderBy(F.desc(F.col("points") / F.col("n")), F.desc("n"), "id")
     path = (leaves.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= per_tree)
             .select("tree", F.col("id").alias("leaf"), "id", F.lit(0).cast("long").alias("up")))
@@ -150,6 +150,7 @@ def conversations(messages: DataFrame, *, per_tree: int = 1) -> DataFrame:
     without an id is not part of a tree. An empty table gives no rows."""
     ship_package(messages.sparkSession)
     messages = messages.groupBy("tree", "id").agg(F.min(F.struct("parent", "role", "text", "score")).alias("m")).select("tree", "id", "m.*")
+    messages = kept_table(messages.filter("id IS NOT NULL"), "messages")
     chosen = paths(messages, per_tree)
     turns = (chosen.join(messages.select("tree", "id", F.coalesce("role", F.lit("")).alias("role"),
                                          F.coalesce("text", F.lit("")).alias("text")), ["tree", "id"])

@@ -559,6 +559,20 @@ def test_reply_trees_with_cycles_repeats_and_long_branches(spark):
     assert {r.tree: r["count"] for r in every} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 600}
 
 
+def test_long_replies_take_two_tables_a_doubling(spark, monkeypatch):
+    """Every further job costs driver memory: a round climbs once and unfolds once."""
+    written, keep = [], chat.kept_table
+    monkeypatch.setattr(chat, "kept_table", lambda df, name: written.append(name) or keep(df, name))
+    rows = [(1, i, i - 1 if i else None, "user", f"m{i}", 0.0) for i in range(100)]
+    rows += [(2, 1, 1, "user", "self", 8e12), (2, None, 1, "user", "no id", 9e12)]  # sums around a cycle pass a long
+    messages = spark.createDataFrame(rows, "tree long, id long, parent long, role string, text string, score double")
+    got = {r.tree: [x for _, x in chat.read_turns(r.formatted)] for r in chat.conversations(messages).collect()}
+    assert got == {1: [f"m{i}" for i in range(100)], 2: ["self"]}
+    written.clear()
+    chat.conversations(messages.filter("tree = 1")).collect()
+    assert len(written) <= 2 * 7 + 2
+
+
 def test_licenses_equal_their_sql_on_wrapped_and_undecided_notices(spark):
     import duckdb
     import pandas as pd

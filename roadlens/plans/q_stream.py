@@ -21,7 +21,7 @@ from roadlens.plans.oracle import with_ctes
 from roadlens.plans.registry import ORACLES, all_processed, beside_exact, register
 from roadlens.plans.telemetry_view import JSON_OPTIONS, raw_table_path
 from roadlens.schemas import SENSOR_SCHEMAS, STREAM_ENVELOPE, TOPICS
-from roadlens.session import scratch_path
+from roadlens.session import scratch_path, small_splits
 from roadlens.sources.kafka import parse_messages, quarantine
 from roadlens.streaming import jobs as J
 from roadlens.streaming.progress import ProgressLog, totals
@@ -220,9 +220,10 @@ def landed(spark: SparkSession, sf: str) -> Landing:
             if batch_id == 0:
                 landing.process(batch, batch_id)
 
-        q = (raw.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(process)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
+        with small_splits(spark):  # a batch is held while its sinks read it
+            q = (raw.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(process)
+                 .trigger(availableNow=True).start())
+            q.awaitTermination()
         _LANDINGS[key] = landing
     return _LANDINGS[key]
 

@@ -213,3 +213,35 @@ def test_message_table_is_written_without_sorting_by_topic(spark, monkeypatch):
     written = written.select(*built.columns)
     assert written.count() == built.count() > 0
     assert written.exceptAll(built).isEmpty()
+
+
+def test_a_task_reads_a_bounded_split_of_messages(spark, monkeypatch):
+    """Row groups of the message files fit the splits that the streams ask for."""
+    from roadlens import session
+    from roadlens.plans import telemetry_view as V
+
+    monkeypatch.setattr(V, "SPLIT_BYTES", 20_000)
+    monkeypatch.setattr(session, "SPLIT_BYTES", 20_000)
+    monkeypatch.setattr(V, "_RAW_PATHS", {})
+    path = V.raw_table_path(spark, "/root/testdata/sf0.01")
+    before = spark.conf.get(session.MAX_PARTITION_BYTES)
+    with session.small_splits(spark):
+        messages = spark.read.parquet(path)
+        split = messages.select(F.length("value")).rdd.glom().map(len).collect()
+    assert spark.conf.get(session.MAX_PARTITION_BYTES) == before
+    assert sum(split) == spark.read.parquet(path).count()
+    assert max(split) < sum(split) / 30
+
+
+def test_a_key_bucket_is_written_by_several_tasks(spark, tmp_path):
+    """A large batch with few buckets: no task gets a whole one."""
+    table = StoredTable(str(tmp_path / "t"), key=("id",), time_cols=("ts",), buckets=1)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "20k")
+    try:
+        rows = spark.range(0, 60_000, 1, 8).selectExpr("uuid() AS id", "timestamp '2024-01-01' AS ts")
+        assert table.append(rows, "a") == 60_000
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "t" / "keys" / "batch=b-a" / "bucket=0").glob("*.parquet"))) > 1

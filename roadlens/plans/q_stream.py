@@ -121,11 +121,12 @@ for key, (sensor, fn, dur) in W.WINDOW_SUMMARIES.items():
     batch = {"w1": "w1_speed_summary", "w2": "w2_hard_braking", "w3": "w3_engine_health",
              "w4": "w4_imu_vibration"}[key]
     _reg(f"r_stream_{key}", batch,
-         (lambda s, f, d: lambda raw: f(J.sensor_stream(raw, s, "2 minutes"), d))(sensor, fn, dur))
+         (lambda s, f, d, c: lambda raw: f(J.sensor_stream(raw, s, "2 minutes", c), d))(
+             sensor, fn, dur, W.SUMMARIES[key].reads))
 
 
 def _readings(raw):
-    parts = [J.sensor_stream(raw, s, "2 minutes").select("timestamp", "sensor_type", "vehicle_id")
+    parts = [J.sensor_stream(raw, s, "2 minutes", ("timestamp", "sensor_type", "vehicle_id"))
              for s in ("gps", "imu", "can_bus")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from roadlens.functions.time import time_parts
 from roadlens.operators import alerts as A
 from roadlens.operators import windows as W
-from roadlens.operators.enrich import enrich, enrich_gps, snapshot
+from roadlens.operators.enrich import enrich, enrich_gps, inputs_of, snapshot
 from roadlens.operators.validate import deduplicate_stream, filter_invalid
-from roadlens.schemas import SENSOR_SCHEMAS, TOPICS
+from roadlens.schemas import SANITY_BOUNDS, SENSOR_SCHEMAS, TOPICS
 from roadlens.sources.kafka import parse_messages, read_stream
 
 # Watermark delays per pipeline and the default trigger.
@@ -26,15 +26,27 @@ DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 PARTITION_COLS = ["year", "month", "day", "vehicle_id", "sensor_type"]
 
 
-def sensor_stream(raw: DataFrame, sensor: str, watermark: str | None = None) -> DataFrame:
+def sensor_stream(raw: DataFrame, sensor: str, watermark: str | None = None, columns=None) -> DataFrame:
     """Decode one topic, set the watermark once (R1), filter, deduplicate
-    within the watermark (R3), enrich and add time parts."""
-    df = parse_messages(raw.filter(F.col("topic") == TOPICS[sensor]), SENSOR_SCHEMAS[sensor])
+    within the watermark (R3), enrich and add time parts.
+
+    With ``columns`` (decoded or derived) only what these and the filter need is
+    decoded, and only what the ``columns`` need goes through the deduplication."""
+    topic, needs, decoded = raw.filter(F.col("topic") == TOPICS[sensor]), None, None
+    if columns is not None:
+        needs = list(dict.fromkeys(["event_id", "timestamp", *inputs_of(sensor, columns)]))
+        if "processing_lag_ms" in columns:
+            needs.append("ingested_at")
+        decoded = {*needs, *inputs_of(sensor, (c.column for c in SANITY_BOUNDS.get(sensor, [])))}
+    df = parse_messages(topic, SENSOR_SCHEMAS[sensor], decoded)
     df = df.withWatermark("timestamp", watermark or WATERMARK.get(sensor, "1 minute"))
     df = filter_invalid(df, sensor)
-    df = deduplicate_stream(df)
-    df = enrich_gps(df, as_of=F.col("ingested_at")) if sensor == "gps" else enrich(df, sensor)
-    return time_parts(df)
+    df = deduplicate_stream(df.select(*dict.fromkeys(needs)) if needs else df)
+    if sensor == "gps":
+        df = enrich_gps(df, as_of=F.col("ingested_at") if "ingested_at" in df.columns else None)
+    else:
+        df = enrich(df, sensor)
+    return time_parts(df) if columns is None else df.select(*columns)
 
 
 @contextmanager

@@ -157,3 +157,13 @@ def test_stream_alignment_forms_no_pairs_and_equals_the_batch(spark, tmp_path):
     key = lambda r: r.event_id
     assert sorted(got, key=key) == sorted(want, key=key)
     assert 0 < sum(r.imu_timestamp is None for r in got) < len(got)
+
+
+def test_a_sensor_stream_decodes_and_shuffles_its_columns_only(spark):
+    raw = J.file_source(spark, [raw_table_path(spark, "/root/testdata/sf0.001")], list(TOPICS.values()))
+    lag = J.sensor_stream(raw, "gps", "2 minutes", ("timestamp", "vehicle_id", "processing_lag_ms"))
+    assert lag.columns == ["timestamp", "vehicle_id", "processing_lag_ms"]
+    assert "ingested_at" in lag._jdf.queryExecution().analyzed().toString()
+    plan = J.sensor_stream(raw, "gps", "2 minutes", ("timestamp", "vehicle_id"))._jdf.queryExecution().analyzed().toString()
+    assert "latitude" in plan and "heading_deg" not in plan and "ingested_at" not in plan
+    assert "latitude" not in plan.split("DeduplicateWithinWatermark")[0]  # a bound's column is not kept

@@ -262,3 +262,16 @@ def test_stream_state_is_called_less_than_twice_per_hit():
             until = h.us + h.cooldown_us
             want.append(h.event_id)
     assert [f.event_id for f in fired] == want
+
+
+def test_stored_alerts_are_evaluated_once_for_all_appends(spark, monkeypatch):
+    from roadlens.operators import alerts as A
+    from roadlens.plans import q_alerts
+
+    plans, append = [], A.AlertHistory.append
+    monkeypatch.setattr(q_alerts, "_HISTORY", {})
+    monkeypatch.setattr(A.AlertHistory, "append", lambda self, fired, batch=None: plans.append(
+        fired._jdf.queryExecution().optimizedPlan().toString()) or append(self, fired, batch))
+    rows = q_alerts.stored_alerts(spark, "/root/testdata/sf0.001").rows(spark, q_alerts.AS_OF)
+    assert rows.count() == rows.select("alert_id", "ts").distinct().count() > 0
+    assert len(plans) == 3 and not any("MapInPandas" in p for p in plans)

@@ -353,7 +353,7 @@ def _columns(table: str) -> str:
 
 def _append_table(spark, sf):
     path = scratch_path(spark, "gps-events-table")
-    landing.append(tables.gps_events(spark, sf), SERVING_TABLES["gps_events"], path)
+    landing.append(tables.served(spark, sf, "gps"), SERVING_TABLES["gps_events"], path)
     return landing.table_rows(spark, SERVING_TABLES["gps_events"], path)
 
 
@@ -364,7 +364,7 @@ def _append_twice(spark, sf):
     """The second append finds every key stored."""
     path = scratch_path(spark, "gps-events-twice")
     for _ in range(2):
-        landing.append(tables.gps_events(spark, sf), SERVING_TABLES["gps_events"], path)
+        landing.append(tables.served(spark, sf, "gps"), SERVING_TABLES["gps_events"], path)
     return landing.table_rows(spark, SERVING_TABLES["gps_events"], path)
 
 
@@ -411,9 +411,9 @@ def _append_other(name, frame):
 
 
 register("s_append_imu", with_ctes(f"SELECT {_columns('imu_events')} FROM imu_events", "imu_events"))(
-    _append_other("imu_events", tables.imu_events))
+    _append_other("imu_events", lambda spark, sf: tables.served(spark, sf, "imu")))
 register("s_append_can", with_ctes(f"SELECT {_columns('can_bus_events')} FROM can_bus_events", "can_bus_events"))(
-    _append_other("can_bus_events", tables.can_bus_events))
+    _append_other("can_bus_events", lambda spark, sf: tables.served(spark, sf, "can_bus")))
 register("s_append_detections", with_ctes(
     f"SELECT {_columns('anomaly_detections')} FROM anomaly_detections", "anomaly_detections"))(
     _append_other("anomaly_detections", tables.scored_detections))
@@ -433,7 +433,7 @@ register("s_append_summary", W1_SQL)(_append_summary)
 
 def _batched_store(spark, sf):
     path = scratch_path(spark, "gps-batches")
-    _in_batches(spark, tables.gps_events(spark, sf), SERVING_TABLES["gps_events"], path)
+    _in_batches(spark, tables.served(spark, sf, "gps"), SERVING_TABLES["gps_events"], path)
     return landing.serving_store(SERVING_TABLES["gps_events"], path), path
 
 
@@ -447,7 +447,7 @@ def _compacted(spark, sf):
     """The rows after compaction and one more append of keys already stored."""
     store, path = _batched_store(spark, sf)
     store.compact(spark)
-    landing.append(tables.gps_events(spark, sf), SERVING_TABLES["gps_events"], path)
+    landing.append(tables.served(spark, sf, "gps"), SERVING_TABLES["gps_events"], path)
     return landing.table_rows(spark, SERVING_TABLES["gps_events"], path)
 
 

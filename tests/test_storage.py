@@ -245,3 +245,60 @@ def test_a_key_bucket_is_written_by_several_tasks(spark, tmp_path):
     finally:
         spark.conf.set(size, before)
     assert len(list((tmp_path / "t" / "keys" / "batch=b-a" / "bucket=0").glob("*.parquet"))) > 1
+
+
+def written_rows(spark, path):
+    """Rows of all batches on disk, visible or not."""
+    return sum(spark.read.parquet(str(f)).count() for f in path.glob("rows/batch=*") if list(f.rglob("*.parquet")))
+
+
+def test_a_load_writes_no_row_whose_key_is_stored(spark, tmp_path):
+    table = SERVING_TABLES["gps_events"]
+    assert landing.append(readings(spark, range(40)), table, str(tmp_path), "0") == 40
+    assert landing.append(readings(spark, range(20, 60), 1), table, str(tmp_path), "1") == 20
+    assert landing.append(readings(spark, range(60)), table, str(tmp_path), "2") == 0
+    assert written_rows(spark, tmp_path) == 60
+    store = landing.serving_store(table, str(tmp_path))
+    assert store.compact(spark) == 60
+    assert landing.append(readings(spark, range(60)), table, str(tmp_path)) == 0
+    assert landing.append(readings(spark, range(70)), table, str(tmp_path), look_first=False) == 10
+    assert held(spark, store) == sorted(f"e{i}" for i in range(70))
+    assert store.zones(spark).agg(F.sum("rows")).first()[0] == 70
+
+
+def test_a_look_before_the_write_finds_what_is_committed_after_it(spark, tmp_path, monkeypatch):
+    table, write = StoredTable(str(tmp_path), ("event_id",)), StoredTable._write
+    table.append(readings(spark, range(3)), "zero")
+
+    def slow(self, df, batch):
+        if batch == "b-slow":  # the other one is done between this one's look and its write
+            table.append(readings(spark, range(8, 15), 1), "fast", look_first=True)
+        write(self, df, batch)
+
+    monkeypatch.setattr(StoredTable, "_write", slow)
+    assert table.append(readings(spark, range(10)), "slow", look_first=True) == 5
+    assert held(spark, table) == sorted(f"e{i}" for i in range(15))
+
+
+def test_a_load_without_free_rows_keeps_its_rejects(spark, tmp_path):
+    """All rows stored or broken: the count of the broken ones is not lost with the empty rest."""
+    table, excluded = SERVING_TABLES["gps_events"], "spark.sql.adaptive.optimizer.excludedRules"
+    path, before = str(tmp_path / "t"), spark.conf.get(excluded, None)
+    broken = readings(spark, range(5, 8)).withColumn("vehicle_id", F.lit(None).cast("string"))
+    assert landing.append(readings(spark, range(5)), table, path) == 5
+    assert landing.append(readings(spark, range(5)).unionByName(broken), table, path) == 0
+    assert landing.append(broken, table, path) == 0
+    assert sorted(r.event_id for r in landing.rejected_rows(spark, table, path).collect()) == ["e5", "e5", "e6", "e6", "e7", "e7"]
+    assert spark.conf.get(excluded, None) == before
+
+
+def test_served_readings_are_the_processed_ones_in_the_columns_of_their_table(spark):
+    from roadlens.plans import tables
+
+    sf = "/root/testdata/sf0.001"
+    for sensor in ("gps", "imu", "can_bus"):
+        served, table = tables.served(spark, sf, sensor), SERVING_TABLES[f"{sensor}_events"]
+        whole = tables.processed(spark, sf, sensor).select(*served.columns)
+        assert served.columns == [f.name for f in table.schema.fields]
+        assert served.schema == whole.schema and sorted(served.collect(), key=str) == sorted(whole.collect(), key=str)
+        assert "sequence_number" not in served._jdf.queryExecution().executedPlan().toString()

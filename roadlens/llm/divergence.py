@@ -4,19 +4,22 @@ Terms are runs of letters (``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+``), A-Z
 lower-cased. They are tagged with their language and vectorised by Spark ML's
 ``CountVectorizer`` with ``minDF`` and the largest integer ``vocabSize``: the
 tag makes a term's document frequency its language's own, so one fit is one per
-language, and every document becomes an exact sparse vector. The fit holds its
-vocabulary at the driver. Therefore terms are dealt by hash into as many shards
-as keep a shard under ``SHARD_TERMS`` terms, each fitted and vectorised by
-itself; one shard is the usual case. The number of shards follows from the terms
-of one part in ``SAMPLE`` of the hash range that occur ``minDF`` times; it does
-not touch the result.
-
-The vectors are summed per (language, source) without making them dense, batch
-by batch and then across tasks. Pairs of sources are evaluated on the sparse
-sums: terms are dealt into blocks of about ``BLOCK_ENTRIES`` sums, each block
-adds up the terms that either source has, and the terms that neither has count
-alike, so their number times one value is the rest. The table of pairs is as
-large as the result asks for.
+language. It reads every document's distinct terms. What becomes an exact sparse
+vector is the terms that occur equally often in the documents of a (language,
+source) that are held at a time: counts add up, so the vector times that number
+is the documents' own. A term is vectorised once there, not once an occurrence.
+The fit holds its vocabulary at the driver. Therefore terms are dealt by hash
+into as many shards as keep a shard under ``SHARD_TERMS`` terms, each fitted and
+vectorised by itself; one shard is the usual case. The number of shards follows
+from the terms of one part in ``SAMPLE`` of the hash range that occur ``minDF``
+times; it does not touch the result.
+
+The vectors, each times its number, are summed per (language, source) without
+making them dense, batch by batch and then across tasks. Pairs of sources are
+evaluated on the sparse sums: terms are dealt into blocks of about
+``BLOCK_ENTRIES`` sums, each block adds up the terms that either source has, and
+the terms that neither has count alike, so their number times one value is the
+rest. The table of pairs is as large as the result asks for.
 
 Counts and probabilities are integers (decimals where a product passes 64
 bits), so every value is exact.
@@ -35,6 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -53,51 +57,149 @@ BLOCK_ENTRIES = 200_000
 TILE = 1 << 20
 #: Sources are compared in stripes of about so many.
 STRIPE = 256
-BATCH_TERMS = 1 << 21
+BATCH_TERMS = 3 << 20
+#: Texts that are split at a time.
+SPLIT_TEXTS = 500
+#: Bytes of text that hold about one term.
+TERM_BYTES = 8
+#: Terms in a row of ``alike`` at most.
+ROW_TERMS = 1 << 16
+#: Entries of vectors that a task sums at a time.
+SUM_CELLS = 1 << 21
+_LOW = 0xFFFFFFFF
+_KEYS = [pa.field("lang", pa.string()), pa.field("source", pa.string())]
+_ROWS = [pa.field("terms", pa.list_(pa.string())), pa.field("alike", pa.list_(pa.string())), pa.field("times", pa.int64())]
 _TAG = b"\0"  # no term holds it
 _LETTERS = b"abcdefghijklmnopqrstuvwxyz"
 #: A-Z lower-cased, the other ASCII characters that are no letters as spaces.
 _TERM_BYTES = bytes(b if b > 127 or b in _LETTERS else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
-def terms_of(text: bytes) -> list[bytes]:
-    """Every byte of a character beyond ASCII belongs to a term."""
-    return text.translate(_TERM_BYTES).split()
+def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The terms of all texts (bytes, one after another), and where each text's
+    terms begin among them, with the end. Every byte of a character beyond
+    ASCII belongs to a term."""
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    data = (texts.buffers()[2] or pa.py_buffer(b""))[at[0]:at[-1]].to_pybytes().translate(_TERM_BYTES)
+    at = at - at[0]
+    letter = np.frombuffer(data, np.uint8) != 32
+    first, last = letter.copy(), letter.copy()
+    first[1:] &= ~letter[:-1]
+    last[:-1] &= ~letter[1:]
+    heads, tails = at[:-1][at[:-1] < at[1:]], at[1:][at[:-1] < at[1:]] - 1
+    first[heads], last[tails] = letter[heads], letter[tails]
+    first, last = np.flatnonzero(first), np.flatnonzero(last)
+    offsets = np.append(0, np.cumsum(last - first + 1)).astype(np.int32)
+    letters = pa.py_buffer(data.translate(None, b" "))
+    return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), letters]), np.searchsorted(first, at)
 
 
 def _term_rows(batches: Iterator[pa.RecordBatch], batch_terms: int) -> Iterator[pa.RecordBatch]:
-    """The terms of each text, their language before them."""
+    """The rows of ``tagged``, from texts of ``TERM_BYTES * batch_terms`` bytes
+    (or one text) at a time."""
     for batch in batches:
-        terms, ends = [], [0]
-        for lang, text in zip(batch.column("lang").cast(pa.binary()).to_pylist(), batch.column("text").cast(pa.binary())):
-            tag = lang + _TAG
-            terms += [tag + w for w in terms_of(text.as_py())]
-            ends.append(len(terms))
-            if len(terms) >= batch_terms:
-                yield _listed(batch, terms, ends)
-                batch, terms, ends = batch.slice(len(ends) - 1), [], [0]
-        yield _listed(batch, terms, ends)
-
-
-def _listed(batch: pa.RecordBatch, terms: list, ends: list) -> pa.RecordBatch:
-    listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(terms, pa.binary()).cast(pa.string()))
-    return pa.RecordBatch.from_arrays([c.slice(0, len(listed)) for c in (batch.column("lang"), batch.column("source"))]
-                                      + [listed], names=["lang", "source", "terms"])
+        size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64)
+        part = 0
+        while part < len(batch):
+            end = part + max(1, int(np.searchsorted(np.cumsum(size[part:]), TERM_BYTES * batch_terms, "right")))
+            yield from _combined(batch.slice(part, end - part))
+            part = end
+
+
+def _combined(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    texts = batch.column("text").cast(pa.binary())
+    parts = [terms_of(texts.slice(i, SPLIT_TEXTS)) for i in range(0, len(texts), SPLIT_TEXTS)]
+    size = np.concatenate([np.diff(ends) for _, ends in parts])
+    terms = pa.chunked_array([t for t, _ in parts]).dictionary_encode().combine_chunks()
+    del parts
+    words = terms.dictionary
+    code = terms.indices.to_numpy().astype(np.int64)
+    del terms
+    yield _document_rows(batch, size, code, words)
+    yield _group_rows(batch, size, code, words)
+
+
+def _changes(key: np.ndarray) -> np.ndarray:
+    """True where a sorted key differs from the one before it."""
+    out = np.ones(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=out[1:])
+    return out
+
+
+def _rows(batch: pa.RecordBatch, row: np.ndarray, **given: pa.Array) -> pa.RecordBatch:
+    row = pa.array(row)
+    return pa.RecordBatch.from_arrays([batch.column(k.name).take(row) for k in _KEYS]
+                                      + [given.get(f.name, pa.nulls(len(row), f.type)) for f in _ROWS],
+                                      schema=pa.schema(_KEYS + _ROWS))
+
+
+def _listed(batch: pa.RecordBatch, ends: np.ndarray, row: np.ndarray, code: np.ndarray, words: pa.Array) -> pa.Array:
+    """Lists of the terms ``code``, each with the language of row ``row`` before it."""
+    tags = batch.column("lang").cast(pa.binary()).take(pa.array(row))
+    terms = pc.binary_join_element_wise(tags, words.take(pa.array(code)), _TAG)
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), terms.cast(pa.string()))
+
+
+def _document_rows(batch: pa.RecordBatch, size: np.ndarray, code: np.ndarray, words: pa.Array) -> pa.RecordBatch:
+    """Each document's distinct terms."""
+    key = np.repeat(np.arange(len(batch)) << 32, size)
+    key |= code
+    key.sort()
+    key = key[_changes(key)]
+    row, code = (key >> 32).astype(np.int32), (key & _LOW).astype(np.int32)
+    del key
+    ends = np.searchsorted(row, np.arange(len(batch) + 1))
+    return _rows(batch, np.arange(len(batch)), terms=_listed(batch, ends, row, code, words))
+
+
+def _group_rows(batch: pa.RecordBatch, size: np.ndarray, code: np.ndarray, words: pa.Array) -> pa.RecordBatch:
+    """Each group's terms, those of one count in a row."""
+    keys = pd.MultiIndex.from_arrays([batch.column(k.name).cast(pa.binary()).to_pandas() for k in _KEYS])
+    group = pd.factorize(keys)[0].astype(np.int64)
+    first = np.unique(group, return_index=True)[1]
+    key = np.repeat(group << 32, size)
+    key |= code
+    key.sort()
+    begin = np.flatnonzero(_changes(key))
+    count = np.diff(np.append(begin, len(key)))
+    key = key[begin]
+    alike = key >> 32 << 32 | count
+    order = np.argsort(alike)
+    key, alike = key[order], alike[order]
+    starts = np.flatnonzero(_changes(alike) | (np.arange(len(alike)) % ROW_TERMS == 0))
+    return _rows(batch, first[alike[starts] >> 32], times=pa.array(alike[starts] & _LOW), alike=_listed(
+        batch, np.append(starts, len(alike)), first[key >> 32], key & _LOW, words))
 
 
 def tagged(docs: DataFrame, text_col: str, lang_col: str, source_col: str,
            batch_terms: int = BATCH_TERMS) -> DataFrame:
-    """(lang, source, terms): the terms with their language before them."""
+    """Terms with their language before them, in rows of two kinds: ``terms``
+    holds a document's distinct terms; ``alike`` holds terms of a (lang, source)
+    that each occur ``times`` times in some of its documents. Over all rows of
+    the second kind, ``times`` adds up to a term's occurrences."""
     def given(c: str) -> Column:
         return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
     return docs.select(given(lang_col).alias("lang"), given(source_col).alias("source"), given(text_col).alias("text")
-                       ).mapInArrow(lambda batches: _term_rows(batches, batch_terms), "lang string, source string, terms array<string>")
+                       ).mapInArrow(lambda batches: _term_rows(batches, batch_terms),
+                                    "lang string, source string, terms array<string>, alike array<string>, times long")
 
 
 def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the sparse vectors of each (lang, source) of a batch."""
+    """Sums of the sparse vectors of each (lang, source), each as often as its
+    row says, of batches of about ``SUM_CELLS`` entries together."""
+    held, cells = [], 0
     for batch in batches:
+        held.append(batch)
+        cells += len(batch.column("vector").field("indices").flatten())
+        if cells >= SUM_CELLS:
+            yield from _summed(held)
+            held, cells = [], 0
+    yield from _summed(held)
+
+
+def _summed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in pa.Table.from_batches(held).combine_chunks().to_batches() if held else []:
         groups = pa.StructArray.from_arrays([batch.column("lang"), batch.column("source")], ["lang", "source"])
         keys = pd.MultiIndex.from_arrays([batch.column("lang").to_pandas(), batch.column("source").to_pandas()])
         code, _ = pd.factorize(keys)
@@ -105,15 +207,16 @@ def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, value = vectors.field("indices"), vectors.field("values")
         size = np.diff(at.offsets.to_numpy())
         index = at.flatten().to_numpy().astype(np.int64)
-        count = value.flatten().to_numpy().astype(np.int64)
+        count = value.flatten().to_numpy().astype(np.int64) * np.repeat(batch.column("times").to_numpy(), size)
         key = np.repeat(code.astype(np.int64), size) << 32 | index
-        order = np.argsort(key, kind="stable")
-        key, begin = np.unique(key[order], return_index=True)
-        total = np.add.reduceat(count[order], begin) if len(key) else count
+        order = np.argsort(key)
+        key, count = key[order], count[order]
+        begin = np.flatnonzero(_changes(key))
+        key, total = key[begin], np.add.reduceat(count, begin) if len(begin) else count
         # One row per group and run of SUM_RUN indices.
         index = key & 0xFFFFFFFF
         run = key >> 32 << 32 | index // SUM_RUN
-        starts = np.flatnonzero(np.diff(run, prepend=-1))
+        starts = np.flatnonzero(_changes(run))
         ends = pa.array(np.append(starts, len(run)).astype(np.int32))
         first = np.unique(code, return_index=True)[1]
         yield pa.RecordBatch.from_arrays(
@@ -122,42 +225,50 @@ def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["lang", "source", "run", "indices", "counts"])
 
 
-def sparse_sums(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD_TERMS) -> DataFrame:
-    """(lang, source, term, count) of the kept terms, counts above 0, of what
-    ``tagged`` gives."""
+def sparse_sums(docs: DataFrame, min_df: int = MIN_DF, shard_terms: int = SHARD_TERMS) -> tuple[DataFrame, DataFrame]:
+    """(lang, source, index, count) of the kept terms, counts above 0, of what
+    ``tagged`` gives; (index, term). An index is one of a term of one language."""
     spark = docs.sparkSession
-    sample = (docs.select(F.explode("terms").alias("t")).filter(F.pmod(F.xxhash64(F.lit("sample"), "t"), F.lit(SAMPLE)) == 0)
-              .groupBy("t").count().filter(F.col("count") >= min_df).count())
+    alike = docs.filter("times IS NOT NULL").select("lang", "source", "times", F.col("alike").alias("terms"))
+    docs = docs.filter("terms IS NOT NULL").select("terms")
+    sample = (alike.select(F.explode("terms").alias("t"), "times")
+              .filter(F.pmod(F.xxhash64(F.lit("sample"), "t"), F.lit(SAMPLE)) == 0)
+              .groupBy("t").agg(F.sum("times").alias("n")).filter(F.col("n") >= min_df).count())
     shards = max(1, math.ceil(1.25 * sample * SAMPLE / shard_terms))
-    out = None
+    out, names, known = None, None, 0
     for s in range(shards):
-        part = docs if shards == 1 else docs.withColumn(
-            "terms", F.filter("terms", lambda x: F.pmod(F.xxhash64(x), F.lit(shards)) == s))  # noqa: B023
         # Document frequencies need a document's distinct terms only.
-        once = part.select(F.array_distinct("terms").alias("terms"))
+        once, part = [df if shards == 1 else df.withColumn(
+            "terms", F.filter("terms", lambda x: F.pmod(F.xxhash64(x), F.lit(shards)) == s))  # noqa: B023
+            for df in (docs, alike)]
         model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df),
                                 vocabSize=MAX_VOCABULARY).fit(once)
         vocabulary = model.vocabulary
         if not vocabulary:
             continue
-        sums = (model.transform(part).select("lang", "source", "vector")
+        sums = (model.transform(part).select("lang", "source", "times", "vector")
                 .mapInArrow(_group_sums, "lang string, source string, run int, indices array<int>, counts array<long>")
                 # Shuffled as arrays; summing by index needs no further exchange.
                 .repartition("lang", "source", "run")
                 .select("lang", "source", "run", F.inline(F.arrays_zip("indices", "counts")).alias("index", "count"))
                 .groupBy("lang", "source", "run", "index").agg(F.sum("count").alias("count")))
-        names = spark.createDataFrame(pa.table({
-            "index": pa.array(np.arange(len(vocabulary), dtype=np.int32)),
-            "term": pa.array([w.rsplit(_TAG.decode(), 1)[1] for w in vocabulary], pa.string())}))
-        named = kept_table(sums.join(names, "index").select("lang", "source", "term", "count"), "divergence-sums")
-        out = named if out is None else out.unionByName(named)
-    return out if out is not None else spark.createDataFrame(
-        [], "lang string, source string, term string, count long")
+        sums = kept_table(sums.select("lang", "source", (F.col("index") + F.lit(known).cast("long")).alias("index"), "count"),
+                          "divergence-sums")
+        terms = kept_table(spark.createDataFrame(pa.table({
+            "index": pa.array(np.arange(known, known + len(vocabulary), dtype=np.int64)),
+            "term": pa.array([w.rsplit(_TAG.decode(), 1)[1] for w in vocabulary], pa.string())})), "divergence-names")
+        known += len(vocabulary)
+        out, names = (sums, terms) if out is None else (out.unionByName(sums), names.unionByName(terms))
+    if out is None:
+        out = spark.createDataFrame([], "lang string, source string, index long, count long")
+        names = spark.createDataFrame([], "index long, term string")
+    return out, names
 
 
 def scaled(count: str, n: str, v: str) -> Column:
     """p = 1 + floor(1000000000 (count + 2) / (n + 2 v)); null if nothing is kept."""
-    return F.expr(f"""CASE WHEN {v} > 0 THEN 1L + (cast({SCALE} AS decimal(10,0)) * cast({count} + 2 AS decimal(19,0)))
+    return F.expr(f"""CASE WHEN {v} > 0 AND {count} < 9000000000 THEN 1L + ({SCALE}L * ({count} + 2)) div ({n} + 2 * {v})
+                      WHEN {v} > 0 THEN 1L + (cast({SCALE} AS decimal(10,0)) * cast({count} + 2 AS decimal(19,0)))
                       div cast({n} + 2 * {v} AS decimal(19,0)) END""")
 
 
@@ -169,13 +280,13 @@ def divergence(p: str, q: str) -> Column:
 def _pair_sums(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
     """Of one block of a language's terms and two stripes of its sources: for
     each pair of sources, one of each stripe, the number of terms that either
-    has, and the sum of f over them. A row without a term names a source and
-    the p of the terms that it lacks."""
-    heads = block[block["term"].isna()].sort_values("source")
+    has, and the sum of f over them. A row of index -1 names a source and the p
+    of the terms that it lacks."""
+    heads = block[block["index"] < 0].sort_values("source")
     names, p0, stripe = heads["source"].to_numpy(), heads["p"].to_numpy(np.int64), heads["stripe"].to_numpy()
-    cells = block[block["term"].notna()]
+    cells = block[block["index"] >= 0]
     row = np.searchsorted(names, cells["source"].to_numpy())
-    col = pd.factorize(cells["term"])[0]
+    col = pd.factorize(cells["index"])[0]
     p = cells["p"].to_numpy(np.int64)
     by_row = np.argsort(row, kind="stable")
     bounds = np.searchsorted(row[by_row], np.arange(len(names) + 1))
@@ -214,13 +325,13 @@ def audit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", so
     spark = docs.sparkSession
     ship_package(spark)
     rows = kept_table(tagged(docs, text_col, lang_col, source_col, batch_terms), "divergence-documents")
-    counts = sparse_sums(rows, min_df, shard_terms)
-    whole = kept_table(counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count")), "divergence-terms")
+    counts, names = sparse_sums(rows, min_df, shard_terms)
+    whole = kept_table(counts.groupBy("lang", "index").agg(F.sum("count").alias("lang_count")), "divergence-terms")
     langs = kept_table(whole.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_count").alias("lang_n")),
                        "divergence-langs")
     sizes = counts.groupBy("lang", "source").agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("entries"))
     # One row per group, with the p of the terms that it lacks, and the blocks of its language.
-    groups = (rows.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
+    groups = (rows.filter("times IS NULL").select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
               .fillna(0, ["n", "entries", "v", "lang_n"]).withColumn("zero", F.lit(0).cast("long"))
               .withColumn("p0", scaled("zero", "n", "v")))
     blocks = F.ceil(F.sum("entries").over(Window.partitionBy("lang")) / F.lit(block_entries))
@@ -229,16 +340,16 @@ def audit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", so
               .withColumn("stripe", F.pmod(F.xxhash64("source"), "stripes").cast("int")))
     groups = kept_table(groups, "divergence-groups")
     cells = kept_table(counts.join(groups, ["lang", "source"]).withColumn("p", scaled("count", "n", "v")).select(
-        "lang", "source", "term", "p", "stripe", "stripes",
-        F.pmod(F.xxhash64("term"), "blocks").cast("int").alias("block")), "divergence-cells")
+        "lang", "source", "index", "p", "stripe", "stripes",
+        F.pmod(F.xxhash64("index"), "blocks").cast("int").alias("block")), "divergence-cells")
 
     heads = groups.filter("v > 0").select(
-        "lang", "source", F.lit(None).cast("string").alias("term"), F.col("p0").alias("p"), "stripe", "stripes",
+        "lang", "source", F.lit(-1).cast("long").alias("index"), F.col("p0").alias("p"), "stripe", "stripes",
         F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
     # Every two stripes meet once in a block.
     met = (cells.unionByName(heads).withColumn("other", F.explode(F.expr("sequence(0, stripes - 1)")))
            .select("lang", "block", F.least("stripe", "other").alias("lo"), F.greatest("stripe", "other").alias("hi"),
-                   "source", "term", "p", "stripe"))
+                   "source", "index", "p", "stripe"))
     summed = (met.groupBy("lang", "block", "lo", "hi")
               .applyInPandas(_pair_sums, "lang string, a string, b string, terms long, value long")
               .groupBy("lang", "a", "b").agg(F.sum("terms").alias("terms"), F.sum("value").alias("value")))
@@ -250,10 +361,14 @@ def audit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", so
              .select("lang", F.explode(F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")),
                                                F.struct(F.col("b").alias("source"), F.col("a").alias("item"))))
                      .alias("x"), "value").select("lang", "x.source", "x.item", "value"))
-    overall = whole.join(small_enough(langs), "lang").select("lang", "term", scaled("lang_count", "lang_n", "v").alias("q"))
-    terms = (cells.join(overall, ["lang", "term"]).filter("p > q")
-             .select("lang", "source", F.col("term").alias("item"), divergence("p", "q").alias("value")))
-    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
+    overall = whole.join(small_enough(langs), "lang").select("index", scaled("lang_count", "lang_n", "v").alias("q"))
+    groups_of = Window.partitionBy("lang", "source")
+    # Only terms that can be among the first, ties with the last of them too, are named.
+    terms = (cells.select("lang", "source", "index", "p").join(overall, "index").filter("p > q")
+             .select("lang", "source", "index", divergence("p", "q").alias("value"))
+             .withColumn("least", F.rank().over(groups_of.orderBy(F.desc("value")))).filter(F.col("least") <= top)
+             .join(names, "index").select("lang", "source", F.col("term").alias("item"), "value"))
+    order = groups_of.orderBy(F.desc("value"), "item")
     ranked = [t.withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit(part))
               for part, t in (("pair", pairs), ("term", terms))]
     return ranked[0].unionByName(ranked[1].filter(F.col("rank") <= top)).select(

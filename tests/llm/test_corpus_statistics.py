@@ -215,3 +215,26 @@ def test_likelihoods_without_training_documents_or_rows(spark):
     for r in lattice.score_texts(docs).collect():
         assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0) and r.score < 0
     assert lattice.score_texts(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("batch_terms", [4, 1 << 21])
+def test_divergence_vectorises_a_term_once_a_group_not_once_an_occurrence(spark, batch_terms):
+    rows, docs = corpus(spark)
+    docs = docs.coalesce(1)
+    got = divergence.tagged(docs, "text", "lang", "source", batch_terms).collect()
+    found = [(g or "", s or "", Counter(f"{g or ''}\0{w}" for w in re.findall("[^\x00-\x40\x5B-\x60\x7B-\x7F]+", low(t))))
+             for _, t, g, s in rows]
+    own = Counter((r.lang, r.source, frozenset(r.terms)) for r in got if r.times is None)
+    assert own == Counter((g, s, frozenset(c)) for g, s, c in found)
+    assert all(len(r.terms) == len(set(r.terms)) for r in got if r.times is None)
+    sums, seen = Counter(), Counter()
+    for r in got:
+        for t in r.alike or []:
+            sums[r.lang, r.source, t] += r.times
+            seen[r.lang, r.source, t] += 1
+    want = Counter()
+    for g, s, c in found:
+        want.update({(g, s, t): k for t, k in c.items()})
+    assert sums == want
+    if batch_terms > 4:  # all texts at once
+        assert max(seen.values()) == 1

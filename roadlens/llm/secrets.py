@@ -37,8 +37,9 @@ BLOCK = 1024
 #: Runs of letters of one case are tested from this length on: the battery
 #: cannot tell shorter ones from words (measured in the README).
 ONE_CASE = 32
-#: A run to be tested holds a letter: others are numbers and ruled lines.
-TESTED = f"s.m RLIKE '[A-Za-z]' AND NOT s.m RLIKE '^([a-z]{{20,{ONE_CASE - 1}}}|[A-Z]{{20,{ONE_CASE - 1}}})$'"
+#: A run to be tested holds a letter: others are numbers and ruled lines. Equal
+#: signs, which pad or join, make no other alphabet of letters of one case.
+TESTED = f"s.m RLIKE '[A-Za-z]' AND NOT s.m RLIKE '^=*(([a-z]=*){{1,{ONE_CASE - 1}}}|([A-Z]=*){{1,{ONE_CASE - 1}}})$'"
 FDR = 0.05
 BINS = 2000
 #: Length bands of the method start at these lengths.

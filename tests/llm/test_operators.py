@@ -530,6 +530,13 @@ def test_tokens_beside_base_spans_are_the_runs_that_no_span_touches(spark):
         assert [(s.start, s.end) for s in r.tokens] == want
 
 
+def test_equal_signs_do_not_make_short_runs_of_one_case_tokens(spark):
+    word = "qwertyuiopasdfghjklzxcvbnm"
+    texts = [word + "=", word.upper() + "==", "==" + word, "qwertyuiop=asdfghjklz", "a" + "=" * 30, word + "abcdef=", word + "=A", word + "=1"]
+    got = {r["__id"]: [(s.start, s.end) for s in r.tokens] for r in secrets.scan(documents(spark, texts), "doc_id", "text").collect()}
+    assert got == {i: [(0, len(t))] if i > 4 else [] for i, t in enumerate(texts)}
+
+
 def test_a_text_of_many_digests_takes_time_in_proportion(spark):
     def seconds(n):
         docs = documents(spark, ["\n".join(f"{i * 2**200 + 2**255:064x}  file{i}" for i in range(n))])

@@ -1,14 +1,13 @@
 """Maintenance-risk classifier: M1, M7-M12 on Spark ML.
 
 Pipeline = VectorAssembler -> StandardScaler(withMean) -> GBTClassifier
-(200 trees, step 0.05, depth 4, seed 42). Training needs every feature and
+(200 trees, step 0.05, depth 4, seed 42), fitted on binned rows. Training needs every feature and
 the label (error otherwise); inference fills a missing feature with 0.0.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -16,6 +15,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadlens.ml.boosting import BinnedGBTClassifier
+
 # Feature columns, label and model parameters.
 FEATURE_COLS = [
     "engine_temp_celsius",
@@ -57,8 +58,8 @@ def pipeline(n_trees: int = N_TREES, step: float = STEP, depth: int = DEPTH, see
     return Pipeline(stages=[
         VectorAssembler(inputCols=FEATURE_COLS, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        GBTClassifier(labelCol="label", featuresCol="features", maxIter=n_trees, stepSize=step,
-                      maxDepth=depth, seed=seed),
+        BinnedGBTClassifier(labelCol="label", featuresCol="features", maxIter=n_trees, stepSize=step,
+                            maxDepth=depth, seed=seed),
     ])
 
 

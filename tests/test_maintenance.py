@@ -1,12 +1,17 @@
 """The maintenance model on a small frame with separable labels."""
 
+import math
 import random
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from roadlens.ml import boosting
+from roadlens.ml.boosting import BinnedGBTClassifier
 from roadlens.ml.maintenance import FEATURE_COLS, LABEL_COL, MaintenancePredictor
 
 
@@ -57,3 +62,28 @@ def test_importances_and_reload(spark, frame, predictor, tmp_path):
     again = MaintenancePredictor.load(str(tmp_path / "model"))
     risks = [p.predict_proba(frame).select("event_id", "maintenance_risk") for p in (predictor, again)]
     assert risks[0].exceptAll(risks[1]).count() == 0
+
+
+def test_binned_fit_is_sparks_and_does_not_depend_on_partitions(spark, monkeypatch):
+    # Above 10,000 rows, where Spark draws rows for its candidate splits; three features, one all zero.
+    rng = random.Random(11)
+    rows = []
+    for _ in range(12_000):
+        a, b = rng.gauss(0, 1), float(rng.randrange(5))
+        rows.append((a, b, 0.0, float(rng.random() < 1 / (1 + math.exp(-2 * a - b * (a > 0) + 1)))))
+    plain = spark.createDataFrame(rows, "a double, b double, c double, label double").repartition(3, "a")
+    frame = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(plain).cache()
+    settings = dict(labelCol="label", featuresCol="features", maxIter=6, stepSize=0.3, maxDepth=4, seed=42)
+    own, sparks = (cls(**settings).fit(frame) for cls in (BinnedGBTClassifier, GBTClassifier))
+    both = [{r.features: r.p for r in m.transform(frame).select("features", F.element_at(vector_to_array("probability"), 2).alias("p")).collect()}
+            for m in (own, sparks)]
+    assert max(abs(p - both[1][x]) for x, p in both[0].items()) < 1e-9
+    assert own.featureImportances.toArray() == pytest.approx(sparks.featureImportances.toArray(), abs=1e-3)
+    few, persisted = frame.limit(9000).cache(), spark.sparkContext._jsc.getPersistentRDDs
+    few.count()
+    held = set(persisted())
+    monkeypatch.setattr(boosting, "REBUILD", 2)
+    texts = {BinnedGBTClassifier(**settings).fit(few.repartition(n, "a")).toDebugString.split("\n", 1)[1] for n in (1, 5)}
+    monkeypatch.setattr(boosting, "REBUILD", 100)
+    texts.add(BinnedGBTClassifier(**settings).fit(few.repartition(3, "a")).toDebugString.split("\n", 1)[1])
+    assert len(texts) == 1 and set(persisted()) == held

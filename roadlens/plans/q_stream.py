@@ -153,10 +153,14 @@ def _scorer(can):
 #: state expires, while data still come.
 ALERT_WATERMARK = "5 minutes"
 ALERT_SLICES = 2
+#: What the rules' snapshots and the scorer read.
+ALERT_READS = {s: ("event_id", "vehicle_id", "sensor_type", "timestamp", *own) for s, own in {
+    "gps": ("speed_ms",), "imu": ("accel_magnitude",), "can_bus": ("speed_ms", "engine_temp_celsius", "sequence_number"),
+}.items()}
 
 
 def _alerts(raw):
-    snap = J.snapshot_stream(raw, scorer=_scorer, watermark=ALERT_WATERMARK)
+    snap = J.snapshot_stream(raw, scorer=_scorer, watermark=ALERT_WATERMARK, columns=ALERT_READS)
     return J.alert_stream(snap).select("rule", "severity", "vehicle_id", "message", "ts", "event_id")
 
 

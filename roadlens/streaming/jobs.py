@@ -193,9 +193,10 @@ def alert_stream(snap: DataFrame, rules=None) -> DataFrame:
     return A.apply_cooldown_stream(A.candidates(snap, rules))
 
 
-def snapshot_stream(raw: DataFrame, scorer=None, watermark: str | None = None) -> DataFrame:
-    """P14 on streams (one union of the three sensor pipelines)."""
-    streams = [sensor_stream(raw, s, watermark) for s in ("gps", "imu", "can_bus")]
+def snapshot_stream(raw: DataFrame, scorer=None, watermark: str | None = None, columns: dict | None = None) -> DataFrame:
+    """P14 on streams (one union of the three sensor pipelines). ``columns`` are
+    those that each sensor decodes and deduplicates, the scorer's included."""
+    streams = [sensor_stream(raw, s, watermark, columns and columns[s]) for s in ("gps", "imu", "can_bus")]
     if scorer is not None:
         streams[2] = scorer(streams[2])
     return snapshot(*streams)

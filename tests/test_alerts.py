@@ -2,9 +2,11 @@
 vehicle, and the streaming state (R10) against the batch fold."""
 
 import datetime as dt
+import json
 import random
 from types import SimpleNamespace
 
+import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -275,3 +277,31 @@ def test_stored_alerts_are_evaluated_once_for_all_appends(spark, monkeypatch):
     rows = q_alerts.stored_alerts(spark, "/root/testdata/sf0.001").rows(spark, q_alerts.AS_OF)
     assert rows.count() == rows.select("alert_id", "ts").distinct().count() > 0
     assert len(plans) == 3 and not any("MapInPandas" in p for p in plans)
+
+
+def test_waiting_hits_share_state_rows():
+    # Under a call per five hits (two rows a hit before), rows of bounded size, and frames as rows.
+    rng = random.Random(5)
+    hits = [Row(us=rng.randrange(4_000_000_000), event_id=None if i == 7 else f"e{i:05d}", severity="low", cooldown_us=60_000_000,
+                message=f"{i} km/h °") for i in range(20_000)]
+    out = []
+    for state, given in ((A.CooldownState(), iter), (A.CooldownFrames(), lambda came: (pd.DataFrame(came[i:i + 3000], columns=A.HIT)
+                                                                                        for i in range(0, len(came), 3000)))):
+        handle, fired = _Handle(), []
+        state.init(handle)
+        for wm_s, came in ((0, hits[:12_000]), (1500, hits[12_000:]), (2500, []), (9000, [])):
+            now = SimpleNamespace(getCurrentWatermarkInMs=lambda: wm_s * 1000)
+            assert not list(state.handleInputRows(("r", "v"), given([h for h in came if h.us > wm_s * 1_000_000]), now))
+            assert max((len(json.loads(v[1])) for v in state.waiting.held.values()), default=0) <= A.ROW_HITS
+            for t in sorted(t for t in handle.timers if t <= wm_s * 1000):
+                handle.timers.remove(t)
+                fired += [tuple(r) for f in state.handleExpiredTimer(("r", "v"), now, SimpleNamespace(getExpiryTimeInMs=lambda: t))
+                          for r in (f.itertuples(index=False) if isinstance(f, pd.DataFrame) else [f])]
+        assert handle.calls < len(hits) / 5 and not state.waiting.held
+        out.append(fired)
+    want, until = [], None
+    for h in sorted([*hits[:12_000], *(h for h in hits[12_000:] if h.us > 1_500_000_000)], key=lambda h: (h.us, h.event_id or "")):
+        if until is None or h.us >= until:
+            until = h.us + h.cooldown_us
+            want.append(("r", "low", "v", h.us, h.event_id, h.cooldown_us, h.message))
+    assert out[0] == out[1] == want

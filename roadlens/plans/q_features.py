@@ -57,7 +57,7 @@ register(
 
 def maintenance_log(spark, sf):
     """Maintenance events derived from system-health readings (3 errors in a minute)."""
-    sh = tables.processed(spark, sf, "system_health")
+    sh = tables.processed(spark, sf, "system_health", columns=("vehicle_id", "timestamp", "error_count_last_minute"))
     return sh.filter(F.col("error_count_last_minute") == 3).select("vehicle_id", "timestamp")
 
 

@@ -107,12 +107,12 @@ def m_iforest_flags(spark, sf):
 
 
 def _labelled_readings(spark, sf):
-    columns = ("event_id", "vehicle_id", "timestamp", "speed_ms", "hard_braking", "engine_overheating")
-    can = tables.processed(spark, sf, "can_bus", columns=(*columns, *MAINTENANCE_COLS[:5]))
-    feats = FT.rolling_features(can, ROLLING_US).drop("vehicle_id", "timestamp")
-    labels = FT.maintenance_labels(can, maintenance_log(spark, sf), HORIZON_US).select(
-        "event_id", "needs_maintenance_24h")
-    return can.join(feats, "event_id").join(labels, "event_id")
+    at, own = ("event_id", "vehicle_id", "timestamp"), ("speed_ms", "hard_braking", "engine_overheating", *MAINTENANCE_COLS[:5])
+    can = tables.processed(spark, sf, "can_bus", columns=(*at, *own)).filter("event_id IS NOT NULL")
+    feats = FT.rolling_features(can, ROLLING_US, keep=own)
+    features = tuple(c for c in feats.columns if c not in (*at, *own))
+    labelled = FT.maintenance_labels(feats, maintenance_log(spark, sf), HORIZON_US, keep=(*own, *features))
+    return labelled.select(*at, *own, *features, "needs_maintenance_24h")
 
 
 def maintenance_input(spark, sf):

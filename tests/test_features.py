@@ -110,3 +110,20 @@ def test_next_event_at_the_edges_of_the_horizon(spark):
     assert got == {"a": at(24), "b": None, "c": at(24), "d": None}
     late = FT.maintenance_labels(rd, ev, 76_000_000).filter("event_id = 'b'").first()
     assert late.needs_maintenance_24h
+
+
+def test_model_input_decodes_readings_once_and_joins_nothing(spark):
+    from roadlens.operators import features as FT
+    from roadlens.plans import q_ml, tables
+    from roadlens.plans.q_features import HORIZON_US, ROLLING_US, maintenance_log
+
+    sf = "/root/testdata/sf0.001"
+    made = q_ml._labelled_readings(spark, sf)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    assert plan.count("from_json") == 3  # can_bus once; the log of maintenance feeds two parts
+    can = tables.can_bus_events(spark, sf)
+    feats = FT.rolling_features(can, ROLLING_US).drop("vehicle_id", "timestamp")
+    labels = FT.maintenance_labels(can, maintenance_log(spark, sf), HORIZON_US).select("event_id", "needs_maintenance_24h")
+    joined = can.join(feats, "event_id").join(labels, "event_id").select(*made.columns)
+    assert joined.count() > 0 and sorted(map(str, made.collect())) == sorted(map(str, joined.collect()))

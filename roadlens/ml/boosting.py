@@ -292,7 +292,7 @@ class BinnedGBTClassifier(GBTClassifier):
         candidates = [len(s) for s in splits]
         frame = dataset.select(vector_to_array(self.getFeaturesCol()), F.col(self.getLabelCol()).cast("double"))
         cores = dataset.sparkSession.sparkContext.defaultParallelism
-        parts = cores * -(-rows // (cores * TASK_ROWS))
+        parts = min(cores * -(-rows // (cores * TASK_ROWS)), -(-rows // BLOCK))
         blocks = frame.mapInArrow(_binned(splits), _BLOCK_SQL).repartition(parts)
         binned = blocks.rdd.map(_unpack).persist(StorageLevel.MEMORY_AND_DISK)
         weights = [1.0] + [self.getStepSize()] * (self.getMaxIter() - 1)

@@ -82,8 +82,9 @@ def test_binned_fit_is_sparks_and_does_not_depend_on_partitions(spark, monkeypat
     few, persisted = frame.limit(9000).cache(), spark.sparkContext._jsc.getPersistentRDDs
     few.count()
     held = set(persisted())
-    monkeypatch.setattr(boosting, "REBUILD", 2)
-    texts = {BinnedGBTClassifier(**settings).fit(few.repartition(n, "a")).toDebugString.split("\n", 1)[1] for n in (1, 5)}
-    monkeypatch.setattr(boosting, "REBUILD", 100)
-    texts.add(BinnedGBTClassifier(**settings).fit(few.repartition(3, "a")).toDebugString.split("\n", 1)[1])
+    texts = set()
+    for parts, block, rebuild in ((1, 1 << 16, 50), (5, 700, 2), (3, 4000, 3)):
+        monkeypatch.setattr(boosting, "BLOCK", block)
+        monkeypatch.setattr(boosting, "REBUILD", rebuild)
+        texts.add(BinnedGBTClassifier(**settings).fit(few.repartition(parts, "a")).toDebugString.split("\n", 1)[1])
     assert len(texts) == 1 and set(persisted()) == held
